@@ -1,11 +1,7 @@
-"""What several of the training-data operators share: shared storage, word expressions, checked broadcasts."""
+"""What several of the training-data operators share: tables, word rules, hashes to the unit interval."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,41 +11,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: The same folding for UTF-8 bytes: A-Z to a-z, all else unchanged.
 FOLD_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
-#: Keys up to this many may be broadcast (two longs each, about 64 MB hashed); beyond it the join shuffles.
-BROADCAST_KEYS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def use_shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints that all machines see: the session's spark.checkpoint.dir, or a new local one where that is unset (tests)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not named:
-        named = sc._jsc.sc().getCheckpointDir()
-        named = named.get() if named.isDefined() else None
-    if not named:
-        named = tempfile.mkdtemp(prefix="pulsegrid-checkpoints-")
-        atexit.register(shutil.rmtree, named, ignore_errors=True)
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(named)
-    return named
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder, so that a lost executor costs no more than its own tasks."""
-    use_shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def small_or_shuffled(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """keys (kept, counted) with a broadcast hint if they are no more than limit; else as they are, for a shuffled join."""
-    kept = cut(keys)
-    return F.broadcast(kept) if kept.count() <= limit else kept
-
-
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

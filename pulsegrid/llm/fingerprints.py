@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import cut, small_or_shuffled
+from pulsegrid.functions.storage import cut, small_or_shuffled
 
 #: Unicode White_Space.
 BLANKS = r"[\u0009-\u000D\u0020\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"

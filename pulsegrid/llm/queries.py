@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import fingerprints
+from pulsegrid.llm import fingerprints, sharding
 from pulsegrid.llm.common import table
 
 
@@ -14,9 +14,13 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_report(table(spark, sf_dir, "documents"))
 
 
+def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints,)}
+    return {f.__name__: f for f in (op2_document_fingerprints, op6_stratified_shards)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_stratified_shards": sharding.ORACLE}
