@@ -10,6 +10,8 @@ are kept and ordered by text; a null id sorts first; other columns are left alon
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,12 +42,11 @@ def _hex(h: Column) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(h["a"]), 16, "0"), F.lpad(F.hex(h["b"]), 16, "0")))
 
 
-def clashes(texts: DataFrame, digests: DataFrame) -> DataFrame:
-    """texts(h, canon), digests(h) with every occurrence -> (h, canon, variant) of the digests that different canonical texts share.
+def clashes(texts: DataFrame, shared: DataFrame) -> DataFrame:
+    """texts(h, canon), shared(h): the digests that occur twice -> (h, canon, variant) of those that different canonical texts share.
 
     Only texts whose digest occurs twice move; copies are folded before the shuffle, so a hot group sends one row a task.
     """
-    shared = small_or_shuffled(digests.groupBy("h").count().where("count > 1").select("h"))
     distinct = texts.join(shared, "h", "left_semi").groupBy("h", "canon").agg(F.lit(1).alias("one"))
     clash = distinct.groupBy("h").agg(F.sum("one").alias("n")).where("n > 1").select("h")
     rank = F.row_number().over(Window.partitionBy("h").orderBy("canon")) - 1
@@ -55,7 +56,8 @@ def clashes(texts: DataFrame, digests: DataFrame) -> DataFrame:
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint", bits: int = 64) -> DataFrame:
     """df with the column out: equal exactly where the canonical texts are equal."""
     own = df.withColumn("__h", lanes(canonical(F.col(text)), bits))
-    found = cut(clashes(df.select(lanes(canonical(F.col(text)), bits).alias("h"), canonical(F.col(text)).alias("canon")), own.select(F.col("__h").alias("h"))))
+    shared = small_or_shuffled(own.groupBy(F.col("__h").alias("h")).count().where("count > 1").select("h"))
+    found = cut(clashes(df.select(lanes(canonical(F.col(text)), bits).alias("h"), canonical(F.col(text)).alias("canon")), shared))
     if found.isEmpty():
         return own.withColumn(out, _hex(F.col("__h"))).drop("__h")
     keyed = own.withColumn("__c", canonical(F.col(text)))
@@ -87,22 +89,37 @@ def successor(keys: DataFrame, levels: int = 2) -> DataFrame:
     return inner.join(beyond, "g", "left").select("k", F.coalesce("inner", "head").alias("next"))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """docs(doc_id, text, ...) with next_<c> for each carried column: that of the next document by doc_id, the first after the last.
+def with_next(docs: DataFrame, carried: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """derive(docs(doc_id, text)) with next_<c> for each carried column: that of the next document by doc_id, the first after the last.
 
     One shuffle of the rows, by the high bits of doc_id: a window spans 256 ids. The last row of each takes its
     neighbour from the first row of the next bucket in use, the only rows that move again.
     """
     rows = docs.withColumn("k", F.coalesce(F.shiftright("doc_id", NEIGHBOUR_BITS), F.lit(-(1 << 62)).cast("long")))
     w = Window.partitionBy("k").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    inside = rows.select("*", *(F.lead(c).over(w).alias(f"in_{c}") for c in carried))
-    heads = rows.select("k", *carried, F.row_number().over(w).alias("rn")).where("rn = 1").drop("rn")
+    inside = derive(rows).select("*", *(F.lead(c).over(w).alias(f"in_{c}") for c in carried))
+    heads = derive(rows.withColumn("rn", F.row_number().over(w)).where("rn = 1")).select("k", *carried)
     used = rows.groupBy("k").agg(F.lit(1).alias("one")).select("k")
     first = used.agg(F.min("k").alias("first"))
     after = successor(used).crossJoin(F.broadcast(first)).select("k", F.coalesce("next", "first").alias("nk"))  # first: one row
     borrowed = after.join(heads.withColumnRenamed("k", "nk"), "nk").select("k", *(F.col(c).alias(f"out_{c}") for c in carried))
     last = F.col("in_text").isNull()
-    return inside.join(borrowed, "k", "left").select(*docs.columns, *(F.when(last, F.col(f"out_{c}")).otherwise(F.col(f"in_{c}")).alias(f"next_{c}") for c in carried))
+    return inside.join(borrowed, "k", "left").select(*derive(docs).columns, *(F.when(last, F.col(f"out_{c}")).otherwise(F.col(f"in_{c}")).alias(f"next_{c}") for c in carried))
+
+
+def _edited() -> Column:
+    """The text whose last floor(n / 2) code points give way to the first as many (or all) of next_text."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    return F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
+
+
+def _edits_again(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The edited texts of wanted(doc_id, next_doc_id), with doc_id, made anew from docs without moving the other texts."""
+    ids = small_or_shuffled(wanted.select("doc_id", "next_doc_id").distinct())
+    named = ids.select(F.col("doc_id").alias("own_id"), "next_doc_id")
+    own = docs.join(named, F.col("doc_id").eqNullSafe(F.col("own_id"))).drop("own_id")
+    after = docs.select(F.col("doc_id").alias("after_id"), F.col("text").alias("next_text")).join(ids.select(F.col("next_doc_id").alias("want_id")), F.col("after_id").eqNullSafe(F.col("want_id")), "left_semi")
+    return own.join(after, F.col("next_doc_id").eqNullSafe(F.col("after_id"))).select("doc_id", _edited().alias("text"))
 
 
 def neighbour_report(documents: DataFrame, bits: int = 64) -> DataFrame:
@@ -110,20 +127,19 @@ def neighbour_report(documents: DataFrame, bits: int = 64) -> DataFrame:
 
     An exact digest has only two likenesses: 1 for the same canonical text, 0 for any other.
     """
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", lanes(canonical(F.col("text")), bits))
-    half = F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
-    pairs = with_next(docs, ["text", "h"]).withColumn("edited", edited)
-    rows = pairs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "h", lanes(canonical(F.col("edited")), bits).alias("eh"), F.col("next_h").alias("nh"))
+    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = with_next(docs, ["doc_id", "text", "h"], lambda df: df.withColumn("h", lanes(canonical(F.col("text")), bits)))
+    rows = pairs.select("doc_id", "next_doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode(_edited(), "UTF-8"), 256).alias("edited_sha256"), "h", lanes(canonical(_edited()), bits).alias("eh"), F.col("next_h").alias("nh"))
     rows = cut(rows)
     both = rows.select("h").unionAll(rows.select(F.col("eh").alias("h")))
-    texts = docs.select("h", canonical(F.col("text")).alias("canon"))
-    own_edits = pairs.withColumn("canon", canonical(F.col("edited"))).select(lanes(F.col("canon"), bits).alias("h"), "canon")
-    found = cut(clashes(texts.unionAll(own_edits), both))
+    shared = small_or_shuffled(both.groupBy("h").count().where("count > 1").select("h"))
+    edits = _edits_again(docs, rows.join(shared.select(F.col("h").alias("eh")), "eh", "left_semi"))
+    texts = docs.unionAll(edits).select(canonical(F.col("text")).alias("canon")).select(lanes(F.col("canon"), bits).alias("h"), "canon")
+    found = cut(clashes(texts, shared))
     if found.isEmpty():
         named = rows.select("*", _hex(F.col("h")).alias("fingerprint"), _hex(F.col("eh")).alias("edited_fingerprint"), _hex(F.col("nh")).alias("next_fingerprint"))
     else:
-        full = pairs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "h", F.col("next_h").alias("nh"), canonical(F.col("text")).alias("c"), canonical(F.col("edited")).alias("ec"), canonical(F.col("next_text")).alias("nc"))
+        full = pairs.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.encode(_edited(), "UTF-8"), 256).alias("edited_sha256"), "h", F.col("next_h").alias("nh"), canonical(F.col("text")).alias("c"), canonical(_edited()).alias("ec"), canonical(F.col("next_text")).alias("nc"))
         named = full.withColumn("eh", lanes(F.col("ec"), bits))
         for h, c, out in (("h", "c", "fingerprint"), ("eh", "ec", "edited_fingerprint"), ("nh", "nc", "next_fingerprint")):
             named = _with_variant(named, found, h, c, out)
