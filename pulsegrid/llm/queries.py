@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import fingerprints, sharding
+from pulsegrid.llm import decontaminate, fingerprints, sharding, simhash
 from pulsegrid.llm.common import table
 
 
@@ -18,8 +18,16 @@ def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints, op6_stratified_shards)}
+    return {f.__name__: f for f in (op2_document_fingerprints, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
