@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fingerprints, sharding, simhash, toxicity
+from pulsegrid.llm import decontaminate, fingerprints, mixing, sharding, simhash, toxicity
 from pulsegrid.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_mixture_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
@@ -31,8 +35,8 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints, op4_toxicity, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates)}
+    return {f.__name__: f for f in (op2_document_fingerprints, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_stratified_shards": sharding.ORACLE}
+    return {"op5_mixture_sample": mixing.ORACLE, "op6_stratified_shards": sharding.ORACLE}
