@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fingerprints, mixing, sharding, simhash, toxicity
+from pulsegrid.llm import decontaminate, fingerprints, mixing, pitman_yor, sharding, simhash, toxicity
 from pulsegrid.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_report(table(spark, sf_dir, "documents"))
 
 
+def op3_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -35,7 +39,7 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates)}
+    return {f.__name__: f for f in (op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
