@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fingerprints, mixing, pitman_yor, sharding, simhash, toxicity
+from pulsegrid.llm import decontaminate, fingerprints, mixing, pitman_yor, repeats, sharding, simhash, toxicity
 from pulsegrid.llm.common import table
 
 
@@ -38,8 +38,12 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates)}
+    return {f.__name__: f for f in (op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
