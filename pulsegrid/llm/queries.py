@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fingerprints, mixing, pitman_yor, repeats, sharding, simhash, toxicity
+from pulsegrid.llm import decontaminate, fingerprints, htmltext, mixing, pitman_yor, repeats, sharding, simhash, toxicity
 from pulsegrid.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op7_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.report(table(spark, sf_dir, "pages"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,7 +47,7 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages)}
+    return {f.__name__: f for f in (op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
