@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fingerprints, htmltext, mixing, pitman_yor, repeats, sharding, simhash, toxicity
+from pulsegrid.llm import decontaminate, fingerprints, htmltext, mixing, pitman_yor, repeats, sharding, simhash, toolcalls, toxicity
 from pulsegrid.llm.common import table
 
 
+def op1_linked_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.report(table(spark, sf_dir, "conversations"))
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_report(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages)}
+    return {f.__name__: f for f in (op1_linked_tool_calls, op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
