@@ -102,31 +102,36 @@ def _fine_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(rep)], ["key", "fp", "rep"])
 
 
-def _components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest index that each of n items reaches over the links a-b."""
-    label = np.arange(n)
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """label, the smallest index that each item reaches so far, with the links a-b added."""
     while True:
         least = np.minimum(label[a], label[b])
         before = label.copy()
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
+        np.minimum.at(label, label[a], least)
+        np.minimum.at(label, label[b], least)
         label = label[label]
         if np.array_equal(before, label):
             return label
 
 
 def _linked(keys: np.ndarray, fps: np.ndarray, reps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in key order -> a spanning forest, as pairs of rep, of the links inside runs of one key."""
-    firsts, seconds = [], []
+    """Rows in key order -> a spanning forest, as pairs of rep, of the links inside runs of one key.
+
+    Links between rows that are joined already are left out as they are found, so memory follows the rows, not the links.
+    """
+    label, firsts, seconds, held = np.arange(len(keys)), [], [], 0
     fps, lag, at = fps.view(np.uint64), 1, np.arange(len(keys))
     while len(at := at[at < len(keys) - lag]) and len(at := at[keys[at] == keys[at + lag]]):
         near = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= distance]
+        near = near[label[near] != label[near + lag]]
         firsts.append(near)
         seconds.append(near + lag)
+        held += len(near)
         lag += 1
-    if not firsts or not sum(map(len, firsts)):
-        return reps[:0], reps[:0]
-    label = _components(len(keys), np.concatenate(firsts), np.concatenate(seconds))
+        if held > len(keys):
+            label, firsts, seconds, held = _joined(label, np.concatenate(firsts), np.concatenate(seconds)), [], [], 0
+    if held:
+        label = _joined(label, np.concatenate(firsts), np.concatenate(seconds))
     tied = np.flatnonzero(label != np.arange(len(keys)))
     return reps[tied], reps[label[tied]]
 
