@@ -28,7 +28,7 @@ def checked(value: Column, condition: Column, message: str) -> Column:
 
 def safe_identifier(value: str, name: str) -> str:
     """An identifier that can stand as one segment of a path."""
-    if not isinstance(value, str) or value in ("", ".", "..") or not re.fullmatch(r"[A-Za-z0-9._-]+", value):
+    if not isinstance(value, str) or value in ("", ".", "..") or "/" in value or "\0" in value:
         raise ContractError(f"{name} must be one safe path segment")
     return value
 
@@ -39,5 +39,5 @@ def review_cap(value: int | str) -> int | None:
     if text == "all":
         return None
     if not re.fullmatch(r"[0-9]+", text) or int(text) < 1:
-        raise ContractError("review cap must be a positive integer or all")
+        raise ContractError("review cap must be a positive integer or 'all'")
     return int(text)

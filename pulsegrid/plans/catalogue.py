@@ -1,11 +1,467 @@
-"""Every query of the engine by name, with its DuckDB twin where SQL can express it."""
+"""Every query of the engine by name over the test data, with its DuckDB twin where SQL can express it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from pulsegrid.functions.storage import cut
+from pulsegrid.operators import adjudication, categories, clusters, evidence, narrative, publish, similarity, traffic
+from pulsegrid.sources import testdata as data
+from pulsegrid.streaming import events
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+THRESHOLD = 0.5
+GUARD = 3000
+CLUSTERS = 50
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def _cutoffs(s: SparkSession, d: str) -> DataFrame:
+    return evidence.daily_cutoffs(data.successful_records(s, d), data.days(s))
+
+
+def _resolved(s: SparkSession, d: str) -> DataFrame:
+    """Articles resolved against users as pages; user ids without a document are unavailable."""
+    universe = evidence.candidate_universe(evidence.filter_project(data.successful_records(s, d), data.PROJECT))
+    return evidence.canonicalize(universe, data.aliases(s, d), data.pages(s, d))
+
+
+def _series(s: SparkSession, d: str) -> DataFrame:
+    """(page_id, date, views_ceil) over all users as pages."""
+    records = evidence.filter_project(data.successful_records(s, d), data.PROJECT)
+    return records.join(data.aliases(s, d).withColumnRenamed("alias", "article"), "article").groupBy("page_id", "date").agg(F.sum("views_ceil").alias("views_ceil"))
+
+
+def _members(s: SparkSession, d: str) -> DataFrame:
+    """(cluster_id, page_id): users seen, in fixed clusters."""
+    name = F.format_string("cluster-%02d", F.pmod("page_id", F.lit(CLUSTERS)))
+    return _series(s, d).select("page_id").distinct().select(name.alias("cluster_id"), "page_id")
+
+
+def _traffic(s: SparkSession, d: str) -> DataFrame:
+    return traffic.cluster_traffic(traffic.sparse_window_traffic(_members(s, d), data.days(s), _cutoffs(s, d), _series(s, d)))
+
+
+def _edges(s: SparkSession, d: str) -> DataFrame:
+    return cut(similarity.similarity_edges(data.vectors(s, d), THRESHOLD))
+
+
+def _pages(s: SparkSession, d: str) -> DataFrame:
+    """Pages with selected categories, for those that have a vector."""
+    return data.pages(s, d).join(data.vectors(s, d).select("page_id"), "page_id", "left_semi").select("page_id", "canonical_title", "lead", F.array().cast("array<string>").alias("selected_categories"))
+
+
+def _components(s: SparkSession, d: str) -> DataFrame:
+    return clusters.component_members(data.vectors(s, d), _edges(s, d))
+
+
+def _clusters(s: SparkSession, d: str) -> DataFrame:
+    whole = clusters.reviewable(_components(s, d)).select("page_id", "component", F.col("component").alias("cluster"), F.lit(None).cast("double").alias("subdivision_threshold"))
+    return clusters.preliminary_clusters(whole, data.vectors(s, d))
+
+
+def _ranked(s: SparkSession, d: str) -> DataFrame:
+    return clusters.assign_ids(clusters.rank_clusters(_clusters(s, d)))
+
+
+def _reviewed(s: SparkSession, d: str) -> DataFrame:
+    """(cluster_id, page_ids, answers): proposals that reject toxic pages, or everything where fewer than two stay."""
+    toxic = data.table(s, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("page_id"), F.lit(True).alias("toxic"))
+    each = _ranked(s, d).select("cluster_id", "page_ids", F.explode("page_ids").alias("page_id")).join(toxic, "page_id", "left")
+    lists = each.groupBy("cluster_id").agg(F.first("page_ids").alias("page_ids"), F.sort_array(F.collect_list(F.when(F.col("toxic").isNull(), F.col("page_id")))).alias("kept"))
+    fine = F.size("kept") >= 2
+    group = F.struct(F.col("cluster_id").alias("name"), F.col("kept").alias("page_ids"), F.lit("similar").alias("rationale"))
+    groups = F.when(fine, F.array(group)).otherwise(F.array().cast("array<struct<name:string,page_ids:array<bigint>,rationale:string>>"))
+    gone = F.when(fine, F.array_except("page_ids", "kept")).otherwise(F.col("page_ids"))
+    proposal = F.struct(groups.alias("groups"), F.transform(gone, lambda i: F.struct(i.alias("page_id"), F.lit("toxic").alias("reason"))).alias("rejected"))
+    answers = F.concat(F.lit('{"proposer":['), F.to_json(proposal), F.lit('],"critic":[{"approved":true,"challenges":[]}]}'))
+    return lists.select("cluster_id", "page_ids", answers.alias("answers"))
+
+
+def _decided(s: SparkSession, d: str) -> DataFrame:
+    return adjudication.adjudicate_clusters(_reviewed(s, d))
+
+
+# evidence
+
+
+def scan_raw_daily(s: SparkSession, d: str) -> DataFrame:
+    return data.raw_daily(s, d)
+
+
+def filter_project(s: SparkSession, d: str) -> DataFrame:
+    return evidence.filter_project(data.raw_daily(s, d), data.PROJECT)
+
+
+def nominal_days(s: SparkSession, d: str) -> DataFrame:
+    return evidence.nominal_days(s, data.AS_OF)
+
+
+def guard_consecutive_days(s: SparkSession, d: str) -> DataFrame:
+    return evidence.consecutive_days(evidence.nominal_days(s, data.AS_OF))
+
+
+def daily_cutoffs(s: SparkSession, d: str) -> DataFrame:
+    return _cutoffs(s, d)
+
+
+def coverage(s: SparkSession, d: str) -> DataFrame:
+    return evidence.coverage(data.days(s))
+
+
+def coverage_gate(s: SparkSession, d: str) -> DataFrame:
+    return evidence.coverage_gate(data.days(s))
+
+
+def candidate_universe(s: SparkSession, d: str) -> DataFrame:
+    return evidence.candidate_universe(evidence.filter_project(data.successful_records(s, d), data.PROJECT))
+
+
+def metadata_batches(s: SparkSession, d: str) -> DataFrame:
+    return evidence.metadata_batches(candidate_universe(s, d))
+
+
+def exclusion_reason(s: SparkSession, d: str) -> DataFrame:
+    return data.pages(s, d).select("page_id", evidence.exclusion_reason(F.col("canonical_title")).alias("reason"))
+
+
+def canonicalize(s: SparkSession, d: str) -> DataFrame:
+    return _resolved(s, d)
+
+
+def exclusion_counts(s: SparkSession, d: str) -> DataFrame:
+    return evidence.exclusion_counts(_resolved(s, d), data.successful_records(s, d), data.PROJECT)
+
+
+def canonical_pages(s: SparkSession, d: str) -> DataFrame:
+    return evidence.canonical_pages(_resolved(s, d)).withColumn("aliases", F.array_join("aliases", ","))
+
+
+def page_observations(s: SparkSession, d: str) -> DataFrame:
+    return evidence.page_observations(evidence.filter_project(data.successful_records(s, d), data.PROJECT), _resolved(s, d))
+
+
+def lead_truncate(s: SparkSession, d: str) -> DataFrame:
+    return data.table(s, d, "documents").select("doc_id", evidence.lead_text(F.col("text")).alias("lead"))
+
+
+def category_prefix_strip(s: SparkSession, d: str) -> DataFrame:
+    titled = data.table(s, d, "documents").select("doc_id", F.concat(F.when(F.col("lang") == "en", "Category:").otherwise(""), "source").alias("title"))
+    return titled.select("doc_id", evidence.category_name(F.col("title")).alias("category"))
+
+
+def merge_metadata(s: SparkSession, d: str) -> DataFrame:
+    """Two fragments of every page: one with the lead, one with the categories."""
+    p = data.pages(s, d)
+    empty = F.array().cast("array<string>")
+    parts = p.select("page_id", "canonical_title", "lead", empty.alias("categories")).unionByName(p.select("page_id", "canonical_title", F.lit("").alias("lead"), F.slice("categories", 1, 3).alias("categories"))).unionByName(p.select("page_id", "canonical_title", "lead", F.slice("categories", 2, 3).alias("categories")))
+    return evidence.merge_metadata(parts).withColumn("categories", F.array_join("categories", ","))
+
+
+def redirect_resolution(s: SparkSession, d: str) -> DataFrame:
+    """Documents redirect to a third of their id as long as it is even; odd ones are pages."""
+    ids = data.table(s, d, "documents").select("doc_id")
+    links = ids.where("doc_id > 0 AND doc_id % 2 = 0").select(F.concat(F.lit("d"), "doc_id").alias("source"), F.concat(F.lit("d"), F.floor(F.col("doc_id") / 3)).alias("target"))
+    return evidence.resolve_redirects(ids.select(F.concat(F.lit("d"), "doc_id").alias("title")), links)
+
+
+# categories
+
+
+def _noisy(s: SparkSession, d: str) -> DataFrame:
+    """Pages with some categories of upkeep among theirs."""
+    extra = F.array(F.concat((1900 + F.col("page_id") % 100).cast("string"), F.lit(" births")), F.lit("Living people"), F.lit("All articles to check"))
+    return data.pages(s, d).withColumn("categories", F.concat("categories", extra))
+
+
+def category_noise_filter(s: SparkSession, d: str) -> DataFrame:
+    return categories.meaningful(_noisy(s, d)).select("page_id", F.size("categories").alias("n"), F.array_join(F.array_sort("categories"), "\x1f").alias("categories"))
+
+
+def category_df(s: SparkSession, d: str) -> DataFrame:
+    return categories.document_frequency(_noisy(s, d))
+
+
+def category_idf(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(categories.inverse_frequency(_noisy(s, d)), "idf")
+
+
+def select_categories(s: SparkSession, d: str) -> DataFrame:
+    return categories.select_categories(_noisy(s, d)).select("page_id", F.array_join("selected_categories", "\x1f").alias("selected_categories"))
+
+
+def representations(s: SparkSession, d: str) -> DataFrame:
+    return categories.representations(categories.select_categories(_noisy(s, d)))
+
+
+# similarity and clusters
+
+
+def scan_embeddings(s: SparkSession, d: str) -> DataFrame:
+    return data.vectors(s, d).select("page_id", F.size("content").alias("n"), F.round(F.aggregate("content", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+def normalize_embeddings(s: SparkSession, d: str) -> DataFrame:
+    unit = data.vectors(s, d).select("page_id", similarity.normalized(F.col("content")).alias("v"))
+    return unit.select("page_id", F.round(F.element_at("v", 1), 6).alias("first"), F.round(F.element_at("v", 64), 6).alias("last"))
+
+
+def similarity_edges(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(_edges(s, d), "similarity")
+
+
+def connected_components(s: SparkSession, d: str) -> DataFrame:
+    return _components(s, d)
+
+
+def cluster_cohesion(s: SparkSession, d: str) -> DataFrame:
+    members = _components(s, d).select(F.col("component").alias("cluster"), "page_id")
+    return _rounded(similarity.cohesion(members, data.vectors(s, d)), "cohesion")
+
+
+def token_estimate(s: SparkSession, d: str) -> DataFrame:
+    return clusters.token_estimate(clusters.reviewable(_components(s, d)), _pages(s, d))
+
+
+def preliminary_clusters(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(_clusters(s, d).select(F.col("cluster").alias("component"), "size", "cohesion", F.array_join("page_ids", ",").alias("page_ids")), "cohesion")
+
+
+def rank_clusters(s: SparkSession, d: str) -> DataFrame:
+    return _ranked(s, d).select("rank", "cluster_id", "size", F.array_join("page_ids", ",").alias("page_ids"))
+
+
+def review_cap(s: SparkSession, d: str) -> DataFrame:
+    return clusters.review_cap(_ranked(s, d)).select("rank", "cluster_id")
+
+
+def formation_counts(s: SparkSession, d: str) -> DataFrame:
+    m = cut(_components(s, d))
+    parts = clusters.reviewable(m).select("page_id", "component", F.col("component").alias("cluster"), F.lit(None).cast("double").alias("subdivision_threshold"))
+    return clusters.formation_counts(m, parts, clusters.preliminary_clusters(parts, data.vectors(s, d)))
+
+
+def _parts(s: SparkSession, d: str) -> DataFrame:
+    m = clusters.reviewable(_components(s, d))
+    return clusters.subdivide_components(m, _edges(s, d), _pages(s, d), THRESHOLD, GUARD, 0)
+
+
+def subdivide_components(s: SparkSession, d: str) -> DataFrame:
+    return _parts(s, d)
+
+
+def pack_members(s: SparkSession, d: str) -> DataFrame:
+    return clusters.pack_members(clusters.reviewable(_components(s, d)), _pages(s, d), GUARD, 0)
+
+
+# adjudication
+
+
+def decision_validation(s: SparkSession, d: str) -> DataFrame:
+    return _decided(s, d).select("cluster_id", "status", "page_id", "assignment", "reason")
+
+
+def terminal_partition(s: SparkSession, d: str) -> DataFrame:
+    source = _ranked(s, d).select("cluster_id", F.explode("page_ids").alias("page_id"))
+    return adjudication.terminal_partition(source, _decided(s, d))
+
+
+def adjudication_counts(s: SparkSession, d: str) -> DataFrame:
+    return adjudication.adjudication_counts(_decided(s, d))
+
+
+def assign_cluster_ids(s: SparkSession, d: str) -> DataFrame:
+    return adjudication.final_clusters(_decided(s, d)).select("final_cluster_id", "cluster_id", F.array_join("page_ids", ",").alias("page_ids"))
+
+
+def _answered(s: SparkSession, d: str, critic: str, reviser: str) -> DataFrame:
+    """The reviewed clusters with other critiques and revisions (JSON, PAGE standing for their first page)."""
+    fill = lambda t: F.replace(F.lit(t), F.lit("PAGE"), F.element_at("page_ids", 1).cast("string"))
+    head = F.regexp_extract("answers", r'^\{("proposer":\[.*\]),"critic"', 1)
+    return _reviewed(s, d).select("cluster_id", "page_ids", F.concat(F.lit("{"), head, F.lit(',"critic":['), fill(critic), F.lit('],"reviser":['), fill(reviser), F.lit("]}")).alias("answers"))
+
+
+def revision_validation(s: SparkSession, d: str) -> DataFrame:
+    """Critics demand the first page's rejection; revisions reject nothing, so every cluster closes."""
+    critic = '{"approved":false,"challenges":[{"dimension":"brand_safety","message":"unsafe","page_ids":[PAGE],"required_action":"reject"}]}'
+    return adjudication.adjudicate_clusters(_answered(s, d, critic, '{"groups":[],"rejected":[]}')).select("cluster_id", "status", F.array_join("errors", ",").alias("errors"), "page_id", "assignment", "reason")
+
+
+def critique_validation(s: SparkSession, d: str) -> DataFrame:
+    """Critiques that approve and challenge at once close their clusters."""
+    critic = '{"approved":true,"challenges":[{"dimension":"naming","message":"vague","page_ids":[PAGE],"required_action":"revise"}]}'
+    return adjudication.adjudicate_clusters(_answered(s, d, critic, "null")).select("cluster_id", "status", F.array_join("errors", ",").alias("errors"), "page_id", "reason")
+
+
+def model_visible_members(s: SparkSession, d: str) -> DataFrame:
+    each = _ranked(s, d).select("cluster_id", F.explode("page_ids").alias("page_id"))
+    out = adjudication.visible_members(each.join(_pages(s, d), "page_id"))
+    return out.withColumn("selected_categories", F.array_join("selected_categories", ","))
+
+
+# traffic and portfolio
+
+
+def censored_grid(s: SparkSession, d: str) -> DataFrame:
+    return traffic.censored_grid(_members(s, d), data.days(s), _cutoffs(s, d), _series(s, d))
+
+
+def window_traffic(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(traffic.sparse_window_traffic(_members(s, d), data.days(s), _cutoffs(s, d), _series(s, d)), "seven_day_equivalent", "minimum", "maximum")
+
+
+def window_traffic_grid(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(traffic.window_traffic(censored_grid(s, d)), "seven_day_equivalent", "minimum", "maximum")
+
+
+def classify_direction(s: SparkSession, d: str) -> DataFrame:
+    return _traffic(s, d).select("cluster_id", "direction")
+
+
+def impact_score(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(traffic.scored(_traffic(s, d)).select("cluster_id", "impact_score"), "impact_score")
+
+
+def qualify(s: SparkSession, d: str) -> DataFrame:
+    return traffic.qualified(_traffic(s, d)).select("cluster_id", "direction")
+
+
+def rank_portfolio(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(traffic.rank_portfolio(_traffic(s, d)).select("rank", "cluster_id", "direction", "impact_score"), "impact_score")
+
+
+def _items(s: SparkSession, d: str) -> DataFrame:
+    return traffic.portfolio_items(traffic.rank_portfolio(_traffic(s, d)), _members(s, d))
+
+
+def portfolio_items(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(_items(s, d), "percentage_change", "coverage_previous", "coverage_current", "impact_score")
+
+
+def portfolio_cards(s: SparkSession, d: str) -> DataFrame:
+    return traffic.portfolio_cards(_items(s, d))
+
+
+def validate_membership(s: SparkSession, d: str) -> DataFrame:
+    """Members that are no documents."""
+    return traffic.unknown_members(_members(s, d).withColumn("page_id", F.col("page_id") * 7), data.pages(s, d))
+
+
+def validate_observation_dates(s: SparkSession, d: str) -> DataFrame:
+    every = data.raw_daily(s, d).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+    return traffic.unexpected_dates(every, data.days(s))
+
+
+def validate_cutoffs(s: SparkSession, d: str) -> DataFrame:
+    every = data.raw_daily(s, d).groupBy("date").agg(F.min("views_ceil").alias("cutoff")).where("date >= DATE '2024-01-17'")
+    return traffic.cutoff_faults(every, data.days(s))
+
+
+def validate_duplicates(s: SparkSession, d: str) -> DataFrame:
+    return traffic.repeated_keys(data.raw_daily(s, d).select("date", F.col("article").alias("article")), "date", "article")
+
+
+# narrative
+
+
+def _narrated(s: SparkSession, d: str) -> DataFrame:
+    facts = _items(s, d).select("cluster_id", F.concat(F.lit("Group "), "cluster_id").alias("name"), "direction", F.array(F.lit("Retail"), F.lit("Travel")).alias("brand_categories"), F.when(F.col("rank") % 2 == 0, "high").otherwise("medium").alias("buying_power_rating"))
+    return narrative.narrative_templates(facts)
+
+
+def narrative_templates(s: SparkSession, d: str) -> DataFrame:
+    return _narrated(s, d).withColumn("brand_categories", F.array_join("brand_categories", ","))
+
+
+def narrative_validation(s: SparkSession, d: str) -> DataFrame:
+    fields = F.struct("name", F.when(F.col("buying_power_rating") == "high", F.concat("summary", F.lit(" Views doubled because of fans."))).otherwise(F.col("summary")).alias("summary"), "commercial_interpretation", "brand_categories", "buying_power_rating", "buying_power_rationale")
+    told = _narrated(s, d).select("cluster_id", F.col("name").alias("source_name"), "direction", fields.alias("narrative"))
+    return narrative.narrative_validation(told).select("cluster_id", F.array_join("errors", ";").alias("errors"))
+
+
+# publication and events
+
+
+def semantic_fingerprint(s: SparkSession, d: str) -> DataFrame:
+    return publish.semantic_fingerprint(data.pages(s, d))
+
+
+def xstage_formation(s: SparkSession, d: str) -> DataFrame:
+    """Members whose titles were changed for every tenth page, and one unknown category for every seventh."""
+    chosen = categories.select_categories(data.pages(s, d))
+    bad = chosen.withColumn("canonical_title", F.when(F.col("page_id") % 10 == 0, "changed").otherwise(F.col("canonical_title"))).withColumn("selected_categories", F.when(F.col("page_id") % 7 == 0, F.array(F.lit("from nowhere"))).otherwise(F.col("selected_categories")))
+    return publish.formation_faults(bad, data.pages(s, d))
+
+
+def xstage_members(s: SparkSession, d: str) -> DataFrame:
+    p = data.pages(s, d).select("page_id", "canonical_title", "lead")
+    final = p.where("page_id % 2 = 0").withColumn("lead", F.when(F.col("page_id") % 10 == 0, "changed").otherwise(F.col("lead")))
+    return publish.member_faults(final, p.where("page_id % 6 <> 0"))
+
+
+def xstage_traffic(s: SparkSession, d: str) -> DataFrame:
+    t = _traffic(s, d).select("cluster_id", "direction", F.col("current.observed_total").alias("n"))
+    other = t.where("cluster_id <> 'cluster-03'").withColumn("n", F.when(F.col("cluster_id") == "cluster-05", -1).otherwise(F.col("n")))
+    return publish.traffic_faults(t, other)
+
+
+def xstage_portfolio(s: SparkSession, d: str) -> DataFrame:
+    items = _rounded(_items(s, d), "impact_score").select("rank", "cluster_id", "impact_score")
+    return publish.portfolio_faults(items, items.where("rank <> 2"))
+
+
+def xstage_ids(s: SparkSession, d: str) -> DataFrame:
+    wrong = _ranked(s, d).select("rank", F.when(F.col("rank") % 5 == 0, "preliminary-cluster-0000").otherwise(F.col("cluster_id")).alias("cluster_id"))
+    return publish.id_faults(wrong, "cluster_id", F.col("rank"), "preliminary-cluster-")
+
+
+def audit_redaction(s: SparkSession, d: str) -> DataFrame:
+    """Attempts from events, without what they answered."""
+    tries = data.table(s, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("attempt"), F.col("event_type").alias("status"), F.col("props").alias("output")))).alias("attempts"))
+    out = publish.redacted_attempts(tries, "attempts", "output")
+    return out.select("user_id", F.to_json("attempts").alias("attempts"))
+
+
+def event_sequence_check(s: SparkSession, d: str) -> DataFrame:
+    e = data.table(s, d, "events").select(F.col("event_type").alias("run_id"), (F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")) + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)).alias("sequence"))
+    return events.sequence_check(e)
+
+
+def event_global_sequence(s: SparkSession, d: str) -> DataFrame:
+    e = data.table(s, d, "events").select(F.to_date("ts").cast("string").alias("run_id"), F.col("event_type").alias("stage"), F.col("event_id").alias("sequence"))
+    return events.global_sequence(e, F.col("stage"))
+
+
+def event_public_message(s: SparkSession, d: str) -> DataFrame:
+    level = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "signup", "warning").otherwise("info")
+    e = data.table(s, d, "events").select("event_id", F.concat(F.lit("stage-"), "event_type").alias("module"), F.lit("load-rows").alias("operation"), level.alias("level"))
+    return e.select("event_id", events.public_message(F.col("module"), F.col("operation"), F.col("level")).alias("message"))
+
+
+def event_daily_counts(s: SparkSession, d: str) -> DataFrame:
+    return events.daily_counts(data.table(s, d, "events").select(F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_type").alias("module")))
+
+
+def queries() -> dict[str, Query]:
+    own = (
+        scan_raw_daily, filter_project, nominal_days, guard_consecutive_days, daily_cutoffs, coverage, coverage_gate, candidate_universe, metadata_batches, exclusion_reason, canonicalize, exclusion_counts, canonical_pages, page_observations, lead_truncate, category_prefix_strip, merge_metadata, redirect_resolution,
+        category_noise_filter, category_df, category_idf, select_categories, representations,
+        scan_embeddings, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, subdivide_components, pack_members,
+        decision_validation, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
+        censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
+        narrative_templates, narrative_validation,
+        semantic_fingerprint, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_global_sequence, event_public_message, event_daily_counts,
+    )
+    return {f.__name__: f for f in own}
+
+
+def oracle_sql() -> dict[str, str]:
+    from pulsegrid.plans.oracles import ORACLES
+
+    return ORACLES
