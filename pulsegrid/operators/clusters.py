@@ -156,8 +156,8 @@ def preliminary_clusters(parts: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def rank_clusters(clusters: DataFrame) -> DataFrame:
-    """clusters with rank: cohesion down (null last), size down, page ids up. Clusters are the reviewable few; one window ranks them."""
-    order = Window.orderBy(F.col("cohesion").desc_nulls_last(), F.col("size").desc(), "page_ids")
+    """clusters with rank: cohesion (to 12 digits, so that the order of a sum does not matter) down, null last, size down, page ids up. Clusters are the reviewable few; one window ranks them."""
+    order = Window.orderBy(F.round("cohesion", 12).desc_nulls_last(), F.col("size").desc(), "page_ids")
     return clusters.withColumn("rank", F.row_number().over(order))
 
 

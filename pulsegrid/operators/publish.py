@@ -31,7 +31,7 @@ def semantic_fingerprint(pages: DataFrame) -> DataFrame:
 
     The bytes are those of canonical JSON, so a Python reader gets the same. The whole document is one value: it is meant for a stage's pages, not for a corpus.
     """
-    record = F.to_json(F.struct(F.array_sort(F.array_distinct("categories")).alias("categories"), "canonical_title", "lead", "page_id"), {"ignoreNullFields": "false"})
+    record = F.to_json(F.struct("canonical_title", F.array_sort(F.array_distinct("categories")).alias("categories"), "lead", "page_id"), {"ignoreNullFields": "false"})
     ordered = F.array_sort(F.collect_list(F.struct("page_id", "canonical_title", record.alias("json"))))
     text = F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda x: x["json"]), ","), F.lit("]"))
     return pages.agg(F.concat(F.lit("sha256:"), F.sha2(F.encode(text, "UTF-8"), 256)).alias("fingerprint"), F.count(F.lit(1)).alias("n_pages"))
