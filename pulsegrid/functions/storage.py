@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to a table of its own in the shared folder: like cut, but columnar and compressed, for wider or longer results."""
+    spark = df.sparkSession
+    path = f"{use_shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small_or_shuffled(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
     """keys (kept, counted) with a broadcast hint if they are no more than limit; else as they are, for a shuffled join."""
     kept = cut(keys)
