@@ -330,6 +330,8 @@ class Renderer(HTMLParser):
         flow.preformatted(data) if self.pre else flow.text(data)
 
     def result(self) -> str:
+        if re.match(r"<[a-zA-Z/!?]", self.rawdata):  # a tag or comment that the page's end cuts off is none
+            self.rawdata = ""
         self.close()
         while self.open:
             self._pop()

@@ -312,6 +312,6 @@ def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def reject(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """documents without those that score at least the threshold. Same columns."""
-    columns = documents.columns
-    return score(documents, fit(documents, labels)).where(F.col("score") < threshold).select(*columns)
+    """documents without those that score at least the threshold. Same columns. Where there are too few labels to learn from, none is rejected."""
+    columns, net = documents.columns, fit(documents, labels)
+    return documents if isinstance(net, Constant) else score(documents, net).where(F.col("score") < threshold).select(*columns)
