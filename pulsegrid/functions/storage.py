@@ -38,6 +38,8 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{use_shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)  # it is of use to this application alone
     return spark.read.schema(df.schema).parquet(path)
 
 
