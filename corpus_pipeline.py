@@ -14,11 +14,9 @@ Nulls, empty tables, repeated ids and further columns are treated as the operato
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.functions.storage import use_shared_dir
+from pulsegrid.functions.storage import kept
 from pulsegrid.llm import decontaminate, mixing, sharding, simhash, toxicity
 from pulsegrid.llm.common import table
 
@@ -53,7 +51,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; what a stage returns is written to the shared folder and read again, so no stage is run twice."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = f"{use_shared_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.common import LOWER, UPPER
+
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
 #: ASCII bytes outside 0-9 and a-z separate words; A-Z are lowered first.
@@ -163,3 +165,28 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = scan(documents.select("doc_id", "text"), benchmark)
     n_hit = F.aggregate("hit_runs", F.lit(0).cast("long"), lambda a, r: a + r[1] - r[0])
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"), F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"), (F.size("hit_runs") > 0).alias("contaminated"))
+
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _ahead(table: str, key: str) -> str:
+    """Every word with the WINDOW - 1 after it."""
+    return f"""SELECT row, {key}, pos, n, list(word) OVER (PARTITION BY row ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS ahead FROM (
+    SELECT row, {key}, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT row_number() OVER () AS row, {key}, {_WORDS} AS w FROM {table}))"""
+
+
+#: The report in DuckDB's SQL.
+ORACLE = f"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, len({_WORDS}) AS n FROM documents),
+d AS ({_ahead('documents', 'doc_id')}),
+b AS ({_ahead('benchmark', 'item_id')}),
+windows AS (SELECT DISTINCT item_id, least({WINDOW}, n) AS length, array_to_string(ahead[1:least({WINDOW}, n)], ' ') AS k FROM b WHERE pos + least({WINDOW}, n) - 1 <= n AND item_id IS NOT NULL),
+lengths AS (SELECT DISTINCT length FROM windows),
+keyed AS MATERIALIZED (SELECT doc_id, pos, length, array_to_string(ahead[1:length], ' ') AS k FROM d, lengths WHERE pos + length - 1 <= n),
+hits AS (SELECT doc_id, pos, length, item_id FROM keyed JOIN windows USING (length, k)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + length)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+SELECT docs.doc_id, CAST(n AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

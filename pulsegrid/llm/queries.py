@@ -55,4 +55,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixture_sample": mixing.ORACLE, "op6_stratified_shards": sharding.ORACLE}
+    return {"op1_linked_tool_calls": toolcalls.ORACLE, "op5_mixture_sample": mixing.ORACLE, "op6_stratified_shards": sharding.ORACLE, "op8_benchmark_decontamination": decontaminate.ORACLE}

@@ -218,11 +218,14 @@ def train(texts: list[bytes], toxic: list[int], weights: list[float], seed: int
     rng = np.random.default_rng(seed)
     order = np.concatenate([rng.permutation(np.flatnonzero(y == v)) for v in (0, 1)])
     first, second = order[::2], order[1::2]
-    lists = []
+    words_of, grams_of = [], []
     for i in first:
         own = sorted(set(split_words(texts[i])))
-        lists.append(word_buckets(own)[:2] if own else (np.zeros(0, int), np.zeros(0, int)))
-    net = Network(rng, _log_odds([np.unique(a) for a, _ in lists], y[first]), _log_odds([np.unique(b) for _, b in lists], y[first]))
+        a, b = word_buckets(own)[:2] if own else (np.zeros(0, int), np.zeros(0, int))
+        words_of.append(np.unique(a).astype(np.int32))
+        grams_of.append(np.unique(b).astype(np.int32))
+    net = Network(rng, _log_odds(words_of, y[first]), _log_odds(grams_of, y[first]))
+    del words_of, grams_of
     moments: dict = {}
     step = 0
     for round_ in range(ROUNDS + 1):
@@ -289,8 +292,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Network | Constant:
     chosen = usable.where(unit_interval(F.col("doc_id").cast("string"), seed="labelled") < F.when(F.col("y") == 1, rate[1]).otherwise(rate[0]))
     # about SAMPLE_POSITIVE + SAMPLE_NEGATIVE rows, which bounds the broadcast and what the driver holds
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return train([r["text"].encode() for r in rows], [r["y"] for r in rows], [1 / rate[r["y"]] for r in rows])
+    rows = sorted((r["doc_id"], r["text"].encode(), r["y"]) for r in rows)
+    return train([t for _, t, _ in rows], [y for _, _, y in rows], [1 / rate[y] for _, _, y in rows])
 
 
 def score(documents: DataFrame, net: Network | Constant, text: str = "text") -> DataFrame:
