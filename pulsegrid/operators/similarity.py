@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,16 +17,27 @@ THRESHOLD = 0.76
 BLOCK = 4096
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once; a plain use inside a lambda would compute it again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def normalized(vector: Column) -> Column:
     """The vector over its length. It is scaled by its largest element first, so neither squares overflow nor tiny ones vanish.
 
     Empty vectors, zeros, NaN and infinities fail the query.
     """
+
+    def scaled(s: Column) -> Column:
+        fine = (F.size(s["v"]) > 0) & (s["m"] > 0) & (s["m"] < float("inf")) & ~F.exists(s["v"], lambda x: F.isnan(x) | x.isNull())
+        return checked(F.transform(s["v"], lambda x: x / s["m"]), fine, "an embedding is empty, zero or not finite")
+
+    def over_length(a: Column) -> Column:
+        length = F.sqrt(F.aggregate(a, F.lit(0.0), lambda t, x: t + x * x))
+        return _let(F.struct(a.alias("v"), length.alias("n")), lambda s: F.transform(s["v"], lambda x: x / s["n"]))
+
     largest = F.array_max(F.transform(vector, F.abs))
-    fine = (F.size(vector) > 0) & (largest > 0) & (largest < float("inf")) & ~F.exists(vector, lambda x: F.isnan(x) | x.isNull())
-    scaled = F.transform(vector, lambda x: x / largest)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(checked(scaled, fine, "an embedding is empty, zero or not finite"), lambda x: x / length)
+    return _let(_let(F.struct(vector.alias("v"), largest.alias("m")), scaled), over_length)
 
 
 def blended(vectors: DataFrame) -> DataFrame:

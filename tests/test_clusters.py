@@ -97,11 +97,12 @@ def test_bad_vectors(spark, bad):
         similarity.blended(vectors(spark, [(1, bad, [1.0])])).collect()
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_components_of_chains_stars_and_loops(spark, few):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, j) for j in range(2, 40)] + [(500, 500), (7, 7), (None, 3), (900, 901)]
-    out = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    out = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long"), few_edges=few).collect()}
     assert out == {i: 100 for i in range(100, 161)} | {j: 1 for j in range(1, 40)} | {900: 900, 901: 900}
-    assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+    assert connected_components(spark.createDataFrame([], "src long, dst long"), few_edges=few).count() == 0
 
 
 def test_bytes_are_those_of_compact_json(spark):
