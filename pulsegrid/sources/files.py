@@ -22,7 +22,7 @@ def read_top_pages(spark: SparkSession, path: str) -> DataFrame:
 def read_evidence_fixture(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """raw_daily, day_status, aliases and pages of one evidence document."""
     whole = spark.read.text(path, wholetext=True).select(F.from_json("value", _FIXTURE, {"mode": "FAILFAST"}).alias("f")).select("f.*")
-    refuse_rows(whole.where("schema_version IS NULL OR schema_version <> '1.0' OR source IS NULL OR daily_responses IS NULL"), "Wikimedia Evidence fixture has an invalid shape")
+    refuse_rows(whole.where("schema_version IS NULL OR schema_version <> '1.0' OR source IS NULL OR daily_responses IS NULL"), "evidence fixture has an invalid shape")
     days = whole.select(F.explode("daily_responses").alias("date", "r")).select(F.to_date("date").alias("date"), "r.records", "r.error")
     status = days.select("date", F.when(F.col("records").isNull(), "unavailable").otherwise("successful").alias("status"))
     raw = days.select("date", F.explode("records").alias("x")).select("date", "x.*")
