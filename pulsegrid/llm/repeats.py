@@ -413,10 +413,10 @@ def linked_texts(texts: DataFrame, paired: int = PAIRED, values: int = BROADCAST
     return connected_components(before.unionAll(ties))
 
 
-def _without_copies(texts: DataFrame, ids: DataFrame, kept: DataFrame) -> DataFrame:
-    """texts without the ids that name only copies of texts with smaller ids. As it is read several times, it is kept as a table where the filter takes a shuffle."""
-    gone = cut(ids.where("id IS NOT NULL").distinct().join(kept, "id", "left_anti"))
-    if gone.count() <= BROADCAST_KEYS:
+def _without_copies(texts: DataFrame, ids: DataFrame, keepers: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """texts without the ids that name only copies of texts with smaller ids. Beyond most such ids the filter takes a shuffle; as the result is read several times, it is then kept as a table."""
+    gone = cut(ids.where("id IS NOT NULL").distinct().join(keepers, "id", "left_anti"))
+    if gone.count() <= most:
         return texts.join(F.broadcast(gone), "id", "left_anti")
     return kept(texts.join(gone, "id", "left_anti"), "different-texts")
 

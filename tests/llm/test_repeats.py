@@ -114,3 +114,13 @@ def test_awkward_rows(awkward, nothing):
     assert len(out) == awkward.count() and r.shared_passages(nothing).count() == 0
     assert {x["class_id"] for x in out if x["doc_id"] in (1, 2, None)} == {1}
     assert not any(x["repeated"] for x in out)
+
+
+def test_many_copies(spark, monkeypatch):
+    """Copies beyond what is broadcast are taken out by a shuffle, with the same result."""
+    rng = random.Random(7)
+    passage = [f"v{rng.randrange(3000)}" for _ in range(60)]
+    texts = [" ".join(passage)] * 3 + [" ".join(["own", *passage, "words"])] * 2 + ["short"] * 2 + ["alone"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(r._without_copies, "__defaults__", (0,))
+    assert {x["doc_id"]: (x["class_id"], x["repeated"]) for x in r.shared_passages(df).collect()} == {**dict.fromkeys(range(5), (0, True)), 5: (5, False), 6: (5, False), 7: (7, False)}
