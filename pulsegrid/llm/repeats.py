@@ -1,25 +1,29 @@
-"""Substring near-duplicates: documents that hold a passage of PASSAGE words in common but for one word, found by compact windows.
+"""Substring near-duplicates: documents that hold near-duplicate passages of PASSAGE words or more, found by compact windows.
 
 A compact window of a text's shingle hashes is a node of the Cartesian tree over them: the longest stretch whose
 minimum that node is. Every stretch of RUN words in two texts has one minimum, so two texts with such a stretch in
 common share the node; only nodes whose window spans a whole stretch are kept, about two in every 21 positions.
 
-Two passages of 50 words are near-duplicates if they are equal but for one changed, added or missing word. That is what
-a Jaccard similarity of 0.8 over five-word shingles leaves room for (one word costs five of 46 shingles), and any longer
-passage of that similarity holds such 50 words. One word cannot break both halves, so 25 of them in a row are equal,
-and both texts have a node there. Hence:
+Two passages of at least 50 words are near-duplicates if the Jaccard similarity of their five-word shingles is at least
+0.8. Common shingles are then at least four times those that only one passage has, and at least 41. A place where
+equal shingles break off costs eight others or more (four in each text, if all it does is to go on elsewhere), so k of
+them leave k + 1 runs with 32 k common shingles or more, 41 for one: the longest run has 21 shingles, which is 25 equal
+words, and both texts have a node there, with no chance involved. (This counts shingles that a passage holds once.) A
+passage that can be parted in two with 46 shingles on each side has a part of that similarity, so REACH words about
+the node are enough. Hence:
 
 1. nodes that several texts share are looked up by hash; texts of equal words count as one from the start;
 2. the 50 words about each such node are hashed: equal ones tie their texts to one group, without pairs;
 3. where 25 equal words hold a node, so do the ten words before it or the ten behind: nodes that texts of different
-   groups share with either go on with the 45 words on both sides, equal surroundings of a
-   group folded: where at most PAIRED surroundings are outside a node's largest group, they are compared with all; where
-   there are more, those that share a stretch of 25 words about it are compared so, and where even such a stretch has
-   more of them, hashes of every 50 words with each one word left out find the near-duplicates among any number, again without pairs.
+   groups share with either go on with the REACH words on both sides, equal surroundings of a group folded: where at most
+   PAIRED surroundings are outside a node's largest group, they are compared with all; where there are more, those that
+   share a stretch of 25 words about it are compared so. Where even such a stretch has more of them, hashes of every 50
+   words with each one word left out tie what they can without pairs, and what is then still apart is compared in a grid
+   of chunks.
 
-What a step sends grows with the text it looks at, whatever the size of a group; minima are aggregated before they are
-shuffled. No step has a cap: a passage that all documents share costs each of them the same. Only step 3 skips
-surroundings of fewer than DISTINCT different words (one word over and over), which step 2 ties where they are equal.
+Step 2 and the first steps of what is crowded send what grows with the text they look at. The grid is all pairs of the
+chunks of one stretch, and is used only for surroundings that hold one stretch and that nothing before has tied.
+Nothing has a cap. Step 3 skips surroundings of fewer than DISTINCT different words (one word over and over).
 
 Defined results: null and short texts have no passages and form classes of their own; a row without id gives no name
 to a class and takes the smallest id it is linked to (null if there is none); texts with one id are linked through it.
@@ -27,6 +31,7 @@ to a class and takes the smallest id it is linked to (null if there is none); te
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,8 +46,14 @@ from pulsegrid.operators.graph import connected_components
 
 SHINGLE, PASSAGE = 5, 50
 RUN = PASSAGE // 2
-#: Words kept on either side of a node: no passage that holds it reaches farther.
+#: Words on either side of a node that a passage of PASSAGE words can hold.
 SIDE = PASSAGE - SHINGLE
+#: Shingles of the shortest passage, and how many of them two such passages of LIKENESS (as a ratio) share at least.
+LEAST = PASSAGE - SHINGLE + 1
+LIKENESS = (4, 5)
+COMMON = -(-2 * LEAST * LIKENESS[0] // (LIKENESS[0] + LIKENESS[1]))
+#: Words kept on either side of a node: 92 shingles and a gap of a quarter of all.
+REACH = 128
 PAIRED, DISTINCT, CHUNK = 1024, 8, 4096
 #: Bits of a node's place in its text.
 PLACE = 24
@@ -160,16 +171,16 @@ def described(text: bytes | None, one: int, shared: np.ndarray | None) -> tuple[
 
 
 def surroundings(text: bytes | None, positions: list[int]) -> list[tuple[int, bytes]]:
-    """(value, words) of each node: 32 bits of each word's hash from SIDE before its shingle to SIDE behind, 0 beyond the text's ends."""
+    """(value, words) of each node: 32 bits of each word's hash from REACH before its shingle to REACH behind, 0 beyond the text's ends."""
     words = word_hashes(text)
     if len(words) < PASSAGE:
         return []
     values = rolled(words, SHINGLE).view(np.int64)
-    short = np.zeros(len(words) + 2 * SIDE, np.uint32)
-    short[SIDE : SIDE + len(words)] = (words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    short = np.zeros(len(words) + 2 * REACH, np.uint32)
+    short[REACH : REACH + len(words)] = (words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     out = []
     for p in positions:
-        around = short[p : p + 2 * SIDE + SHINGLE]
+        around = short[p : p + 2 * REACH + SHINGLE]
         if len(np.unique(around[around > 0])) >= DISTINCT:
             out.append((int(values[p]), around.tobytes()))
     return out
@@ -180,31 +191,127 @@ def _steps(equal: np.ndarray) -> np.ndarray:
     return np.where(equal.all(axis=1), equal.shape[1], equal.argmin(axis=1)) if equal.shape[1] else np.zeros(len(equal), np.int64)
 
 
-def _with_one_edit(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of words going outwards -> equal words before the first difference, and the most in all beyond one changed, added or missing word."""
-    plain = _steps((a == b) & (a > 0))
-    n = a.shape[1]
-    wide = lambda x: np.concatenate((x, np.zeros((len(x), 2), x.dtype)), axis=1)
-    a, b = wide(a), wide(b)
-    k = np.arange(n)
-    best = plain
-    for da, db in ((1, 1), (1, 0), (0, 1)):
-        ia, ib = np.minimum(plain[:, None] + k + da, n + 1), np.minimum(plain[:, None] + k + db, n + 1)
-        x, y = np.take_along_axis(a, ia, axis=1), np.take_along_axis(b, ib, axis=1)
-        best = np.maximum(best, plain + _steps((x == y) & (x > 0)))
-    return plain, best
-
-
-def near(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Which rows of surroundings hold PASSAGE words about the node that are equal but for one."""
-    right, right_one = _with_one_edit(first[:, SIDE + SHINGLE :], second[:, SIDE + SHINGLE :])
-    left, left_one = _with_one_edit(first[:, :SIDE][:, ::-1], second[:, :SIDE][:, ::-1])
-    return np.maximum(left + right_one, left_one + right) + SHINGLE >= PASSAGE - 1
+def shingle_codes(around: np.ndarray) -> np.ndarray:
+    """Surroundings (rows of words) -> a hash of the shingle at every place, 0 where it reaches beyond the text."""
+    n = around.shape[1] - SHINGLE + 1
+    code, whole = np.zeros((len(around), n), np.uint64), np.ones((len(around), n), bool)
+    with np.errstate(over="ignore"):
+        for k in range(SHINGLE):
+            word = around[:, k : k + n]
+            code = _mixed(code * _B1 + word.astype(np.uint64) + _B2)
+            whole &= word > 0
+    return np.where(whole, code | np.uint64(1), np.uint64(0))
+
+
+def _spans(at: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
+    """[i, j] -> how many of the items are at j or before and at i or behind, less those whose former place (-1: none) is there too."""
+    h = np.zeros((n, n), np.int64)
+    np.add.at(h, (at, at), 1)
+    again = before >= 0
+    np.add.at(h, (before[again], at[again]), -1)
+    return np.cumsum(np.cumsum(h[::-1], axis=0)[::-1], axis=1)
+
+
+def _distinct(codes: np.ndarray) -> np.ndarray:
+    """[i, j] -> different codes from i to j."""
+    last: dict[int, int] = {}
+    before = np.empty(len(codes), np.int64)
+    for i, c in enumerate(codes.tolist()):
+        before[i] = last.get(c, -1)
+        last[c] = i
+    return _spans(np.arange(len(codes)), before, len(codes))
+
+
+def _chain(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """The longest common subsequence of two rows of codes, as places."""
+    where: dict[int, list[int]] = {}
+    for j, c in enumerate(b):
+        where.setdefault(c, []).append(j)
+    ends, links, last = [], [], []
+    for i, c in enumerate(a):
+        for j in reversed(where.get(c, ())):
+            k = bisect.bisect_left(ends, j)
+            links.append((i, j, last[k - 1] if k else -1))
+            if k == len(ends):
+                ends.append(j)
+                last.append(len(links) - 1)
+            else:
+                ends[k], last[k] = j, len(links) - 1
+    out, at = [], last[-1] if last else -1
+    while at >= 0:
+        i, j, at = links[at]
+        out.append((i, j))
+    return out[::-1]
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two rows of shingle codes hold passages of PASSAGE words or more, from one common shingle to another, with a Jaccard similarity of LIKENESS.
+
+    A passage too short is made longer by shingles that count as its own alone.
+    """
+    a, b = a[a > 0], b[b > 0]
+    if len(np.intersect1d(a, b)) < COMMON:
+        return False
+    chain = np.array(_chain(a.tolist(), b.tolist()), np.int64)
+    x, y = chain[:, 0], chain[:, 1]
+    first_a, first_b = {}, {}
+    for (i, j) in chain.tolist():
+        first_a.setdefault(int(a[i]), (i, j))
+    codes_b = b.tolist()
+    for j in range(len(codes_b) - 1, -1, -1):
+        first_b[codes_b[j]] = j
+    for i, c in enumerate(a.tolist()):  # common shingles that are not in the same order
+        if c not in first_a and c in first_b:
+            first_a[c] = (i, first_b[c])
+    pa_, pb = np.array(list(first_a.values()), np.int64).T
+    low = np.minimum(np.searchsorted(x, pa_, "right"), np.searchsorted(y, pb, "right")) - 1
+    high = np.maximum(np.searchsorted(x, pa_), np.searchsorted(y, pb))
+    inside = (low >= 0) & (high < len(x))
+    h = np.zeros((len(x), len(x)), np.int64)
+    np.add.at(h, (low[inside], high[inside]), 1)
+    common = np.cumsum(np.cumsum(h[::-1], axis=0)[::-1], axis=1)
+    sizes = 0
+    for codes, at in ((a, x), (b, y)):
+        length = at[None, :] - at[:, None] + 1
+        own = length if len(np.unique(codes)) == len(codes) else _distinct(codes)[np.ix_(at, at)]
+        sizes = sizes + own + np.maximum(0, LEAST - length)
+    upper = np.triu(np.ones(common.shape, bool))
+    return bool((upper & (common * sum(LIKENESS) >= LIKENESS[0] * sizes)).any())
+
+
+class Surroundings:
+    """Surroundings of one node, compared with each other. Shingles are hashed for those alone whose equal words do not decide."""
+
+    #: Equal words that make a near-duplicate whatever is beside them; more on one side need not be counted.
+    ENOUGH = COMMON + SHINGLE - 1
+
+    def __init__(self, words: np.ndarray):
+        far = self.ENOUGH - SHINGLE
+        self.words, self.known = words, {}
+        self.left = np.ascontiguousarray(words[:, REACH - far : REACH][:, ::-1])
+        self.right = np.ascontiguousarray(words[:, REACH + SHINGLE : REACH + SHINGLE + far])
+
+    def codes(self, i: int) -> tuple[np.ndarray, frozenset]:
+        if i not in self.known:
+            own = shingle_codes(self.words[i : i + 1])[0]
+            self.known[i] = own, frozenset(own[own > 0].tolist())
+        return self.known[i]
+
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of the others hold a near-duplicate of a passage of i, with RUN equal words about the node."""
+        run = SHINGLE
+        for side in (self.left, self.right):
+            run = run + _steps((side[others] == side[i]) & (side[i] > 0))
+        found = run >= self.ENOUGH
+        for k in np.flatnonzero((run >= RUN) & ~found).tolist():
+            (a, in_a), (b, in_b) = self.codes(i), self.codes(int(others[k]))
+            found[k] = len(in_a & in_b) >= COMMON and alike(a, b)
+        return found
 
 
 def reduced(around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Surroundings -> hashes in two lanes of each PASSAGE words that hold the node with one word left out, and which word (-1: the first or last)."""
-    words = around.astype(np.uint64)
+    words = around[REACH - SIDE : REACH + SHINGLE + SIDE].astype(np.uint64)
     known = np.concatenate(([0], np.cumsum(words > 0)))
     starts = np.arange(0, SIDE + 1)
     starts = starts[known[starts + PASSAGE] - known[starts] == PASSAGE]
@@ -308,12 +415,13 @@ def _compared(rows: DataFrame, key: str) -> DataFrame:
             """Links that join what near-duplicates join; what is joined already is not compared."""
             names, group = np.unique(np.array(labels, np.int64), return_inverse=True)
             m = np.frombuffer(b"".join(arounds), np.uint32).reshape(len(labels), -1)
+            all_ = Surroundings(m)
             root, found = np.arange(len(names)), []
             for i in range(len(labels) - 1):
                 others = i + 1 + np.flatnonzero(root[group[i + 1 :]] != root[group[i]])
                 if not len(others):
                     continue
-                for g in np.unique(root[group[others[near(np.broadcast_to(m[i], (len(others), m.shape[1])), m[others])]]]).tolist():
+                for g in np.unique(root[group[others[all_.near(i, others)]]]).tolist():
                     a, c = sorted((int(root[group[i]]), g))
                     found.append((names[c], names[a]))
                     root[root == c] = a
@@ -361,7 +469,7 @@ def _stretches(rows: DataFrame) -> DataFrame:
         for b in batches:
             hashes, labels, codes = [], [], []
             for label, around, code in zip(*(c.to_pylist() for c in b.columns)):
-                words = np.frombuffer(around, np.uint32).astype(np.uint64)[SIDE + SHINGLE - RUN : SIDE + RUN]
+                words = np.frombuffer(around, np.uint32).astype(np.uint64)[REACH + SHINGLE - RUN : REACH + RUN]
                 with np.errstate(over="ignore"):
                     rolls = rolled(words, RUN)
                 whole = np.cumsum(np.concatenate(([0], words == 0)))
@@ -375,6 +483,14 @@ def _stretches(rows: DataFrame) -> DataFrame:
     return rows.select("label", "around", "code").mapInArrow(run, "run long, label long, code long")
 
 
+def _grid(rows: DataFrame, key: str) -> DataFrame:
+    """rows(key, label, around) -> the same with chunk, so that any two rows of a key meet in one chunk: a pair of parts of about CHUNK rows."""
+    sizes = small_or_shuffled(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"), F.countDistinct("label").alias("labels")).where("labels > 1").select(key, "parts"))
+    own = F.pmod(F.xxhash64("around", "label"), F.col("parts"))
+    pair = lambda other: F.least("own", other) * F.col("parts") + F.greatest("own", other)
+    return rows.join(sizes, key).withColumn("own", own).select(key, "label", "around", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), pair)).alias("chunk"))
+
+
 def _left_out(rows: DataFrame) -> DataFrame:
     """rows(label, around) -> (src, dst): labels with near-duplicate surroundings, by hashes with a word left out."""
 
@@ -408,7 +524,10 @@ def linked_texts(texts: DataFrame, paired: int = PAIRED, values: int = BROADCAST
     if not stretches.isEmpty():
         whole = stretches.join(many.select("label", "code", "around").distinct(), ["label", "code"])
         few, many = _by_size(kept(whole, "crowded-surroundings"), "run", paired)
-        ties = ties.unionAll(_compared(few, "run")).unionAll(_left_out(many))
+        ties = cut(ties.unionAll(_compared(few, "run")).unionAll(_left_out(many)))
+        tied = small_or_shuffled(connected_components(ties).select(F.col("node").alias("label"), "component"))
+        apart = many.join(tied, "label", "left").select("run", F.coalesce("component", "label").alias("label"), "around").distinct()
+        ties = ties.unionAll(_compared(_grid(apart, "run"), "run"))
     before = groups.where("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))
     return connected_components(before.unionAll(ties))
 

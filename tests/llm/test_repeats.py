@@ -124,3 +124,73 @@ def test_many_copies(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     monkeypatch.setattr(r._without_copies, "__defaults__", (0,))
     assert {x["doc_id"]: (x["class_id"], x["repeated"]) for x in r.shared_passages(df).collect()} == {**dict.fromkeys(range(5), (0, True)), 5: (5, False), 6: (5, False), 7: (7, False)}
+
+
+def jaccard(a, b):
+    """The largest similarity of the five-word shingles of passages of 50 words or more: all of them."""
+    a, b = ([tuple(x[i : i + 5]) for i in range(len(x) - 4)] for x in (a, b))
+    best = 0.0
+    of_b = [(k, m, set(b[k:m])) for k in range(len(b)) for m in range(k + 46, len(b) + 1)]
+    for i in range(len(a)):
+        for j in range(i + 46, len(a) + 1):
+            s = set(a[i:j])
+            for _, _, o in of_b:
+                c = len(s & o)
+                best = max(best, c / (len(s) + len(o) - c))
+    return best
+
+
+def edited(n, edit):
+    own = [f"w{i}" for i in range(n)]
+    return own, edit(list(own))
+
+
+EDITS = {
+    "two adjacent words replaced": edited(60, lambda w: [*w[:29], "x1", "x2", *w[31:]]),
+    "two words inserted": edited(60, lambda w: [*w[:30], "x1", "x2", *w[30:]]),
+    "six adjacent words replaced": edited(100, lambda w: [*w[:47], *(f"x{i}" for i in range(6)), *w[53:]]),
+    "ten words deleted": edited(100, lambda w: [*w[:45], *w[55:]]),
+    "words 2 and 49 changed": edited(51, lambda w: [w[0], "x1", *w[2:48], "x2", *w[49:]]),
+    "45 equal words": edited(52, lambda w: [*w[:45], *(f"x{i}" for i in range(7))]),
+    "44 equal words": edited(52, lambda w: [*w[:44], *(f"x{i}" for i in range(8))]),
+    "three words replaced": edited(60, lambda w: [*w[:29], "x1", "x2", "x3", *w[32:]]),
+    "two words far apart replaced": edited(60, lambda w: [*w[:20], "x1", *w[21:40], "x2", *w[41:]]),
+}
+
+
+@pytest.mark.parametrize("paired", [r.PAIRED, 0])
+def test_phrases_edited(spark, monkeypatch, paired):
+    """By the definition, with 0 through the steps for crowded passages."""
+    monkeypatch.setattr(r.linked_texts, "__defaults__", (paired, r.BROADCAST_VALUES))
+    rows, wanted = [], {}
+    for n, (a, b) in enumerate(EDITS.values()):
+        for k, words in enumerate((a, b)):
+            rows.append((2 * n + k, " ".join([*(f"l{n}.{k}.{i}" for i in range(30)), *(f"{w}.{n}" for w in words), *(f"r{n}.{k}.{i}" for i in range(30))])))
+        wanted[2 * n] = wanted[2 * n + 1] = 2 * n
+        if list(EDITS)[n] in ("44 equal words", "three words replaced", "two words far apart replaced"):
+            wanted[2 * n + 1] = 2 * n + 1
+    out = {x["doc_id"]: x["class_id"] for x in r.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == wanted
+
+
+def test_alike_is_the_definition():
+    """Against every pair of passages, on random edits and those above."""
+    rng = random.Random(11)
+    pairs = list(EDITS.values())
+    for _ in range(14):
+        words = [f"w{i}" for i in range(rng.randint(52, 62))]
+        other = list(words)
+        for _ in range(rng.randint(1, 2)):
+            at, n = rng.randrange(3, len(other) - 6), rng.randint(0, 3)
+            other[at : at + rng.randint(0, 3)] = [f"x{rng.random()}" for _ in range(n)]
+        pairs.append((words, other))
+    seen = set()
+    for a, b in pairs:
+        if max(len(a), len(b)) > 64:
+            continue
+        number = {w: i + 1 for i, w in enumerate(dict.fromkeys([*a, *b]))}
+        code = lambda x: r.shingle_codes(np.array([[number[w] for w in x]], np.uint32))[0]
+        whole = jaccard(a, b) >= 0.8
+        seen.add(whole)
+        assert r.alike(code(a), code(b)) == whole, (a, b)
+    assert seen == {True, False}
