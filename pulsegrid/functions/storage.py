@@ -10,16 +10,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.contracts import ContractError
+
 #: Keys up to this many may be broadcast (two longs each, about 64 MB hashed); beyond it the join shuffles.
 BROADCAST_KEYS = 500_000
 
 
 def use_shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints that all machines see: the session's spark.checkpoint.dir, or a new local one where that is unset (tests)."""
+    """The folder for checkpoints that all machines see: the session's spark.checkpoint.dir, or a new local one where that is unset and the master is local (tests)."""
     sc = spark.sparkContext
     known = sc._jsc.sc().getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or (known.get() if known.isDefined() else None)
     if not named:
+        if not sc.master.startswith("local"):
+            raise ContractError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="pulsegrid-checkpoints-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not known.isDefined():

@@ -66,9 +66,8 @@ def decision_errors(members: list[int], proposal: object) -> list[str]:
         return ["invalid_proposal_shape"]
     supplied, used, errors = set(members), Counter(), []
     for group in proposal["groups"]:
-        ids, own = group["page_ids"], Counter(group["page_ids"])
-        second = [i for at, i in enumerate(ids) if ids[:at].count(i) == 1]
-        errors += [f"duplicate_page_id:{i}" for i in second]
+        ids, own, seen = group["page_ids"], Counter(group["page_ids"]), set()
+        errors += [f"duplicate_page_id:{i}" for i in ids if i in seen or seen.add(i)]
         if len(own) < 2:
             errors.append(f"accepted_group_has_fewer_than_two_distinct_pages:{group['name']}")
         errors += [f"unknown_page_id:{i}" for i in ids if i not in supplied]
@@ -164,6 +163,15 @@ def adjudicate(members: list[int], ask: Callable[[str, int, dict], object]) -> d
         return closed(members, [f"exhausted_delivery:{e}"]) | {"steps": steps}
 
 
+def _answers(text: str | None) -> dict[str, list]:
+    """Answers by role; broken JSON, or a role that has no list, is an answer that did not arrive."""
+    try:
+        found = json.loads(text or "{}")
+    except (ValueError, RecursionError):
+        return {}
+    return {role: given for role, given in found.items() if isinstance(given, list)} if isinstance(found, dict) else {}
+
+
 RESULT = "cluster_id string, status string, errors array<string>, page_id long, assignment string, group_position int, group_name string, reason string"
 
 
@@ -177,7 +185,7 @@ def adjudicate_clusters(clusters: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for cluster, ids, text in zip(*(c.to_pylist() for c in b.columns)):
-                answers = json.loads(text) if text else {}
+                answers = _answers(text)
 
                 def ask(role: str, attempt: int, _: dict, answers: dict = answers) -> object:
                     given = answers.get(role) or []

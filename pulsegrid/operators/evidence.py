@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError, refuse_rows
+from pulsegrid.functions.storage import cut
 
 MINIMUM_DAYS = 4
 BATCH_TITLES = 50
@@ -149,15 +150,19 @@ def require_no_conflict(merged: DataFrame) -> None:
     refuse_rows(merged.where("conflict"), "page metadata fragments disagree")
 
 
-def resolve_redirects(titles: DataFrame, redirects: DataFrame, most: int = 20) -> DataFrame:
-    """titles(title), redirects(source, target) -> (title, final): the end of each chain, null on a cycle.
+def resolve_redirects(titles: DataFrame, redirects: DataFrame) -> DataFrame:
+    """titles(title), redirects(source, target) -> (title, final): the end of each chain, whatever its length, null on a cycle.
 
-    Jumps double: each round joins the map to itself, so chains of 2^rounds steps settle in that many rounds.
+    Jumps double: each round joins the map to itself, so a chain of n steps settles in log2(n) rounds. A round ends fewer
+    jumps on a source than the one before, unless only what runs into cycles is left; then no title is still on its way.
     """
-    hop = redirects.groupBy("source").agg(F.min("target").alias("target"))
-    for _ in range(max(1, most.bit_length())):
+    hop = cut(redirects.where("source IS NOT NULL").groupBy("source").agg(F.min("target").alias("target")))
+    sources = hop.select(F.col("source").alias("target"))
+    before, on_the_way = None, hop.join(sources, "target", "left_semi").count()
+    while on_the_way and on_the_way != before:
         ahead = hop.select(F.col("source").alias("target"), F.col("target").alias("beyond"))
-        hop = hop.join(ahead, "target", "left").select("source", F.coalesce("beyond", "target").alias("target"))
+        hop = cut(hop.join(ahead, "target", "left").select("source", F.coalesce("beyond", "target").alias("target")))
+        before, on_the_way = on_the_way, hop.join(sources, "target", "left_semi").count()
     resolved = titles.join(hop.withColumnRenamed("source", "title"), "title", "left").select("title", F.coalesce("target", "title").alias("final"))
-    endless = redirects.select(F.col("source").alias("final")).distinct()
+    endless = sources.withColumnRenamed("target", "final")
     return resolved.join(endless.withColumn("on", F.lit(True)), "final", "left").select("title", F.when(F.col("on").isNull(), F.col("final")).alias("final"))

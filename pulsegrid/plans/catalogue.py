@@ -165,9 +165,10 @@ def merge_metadata(s: SparkSession, d: str) -> DataFrame:
 
 
 def redirect_resolution(s: SparkSession, d: str) -> DataFrame:
-    """Documents redirect to a third of their id as long as it is even; odd ones are pages."""
+    """Documents redirect to the one before, in chains of up to 299 hops; every other chain ends in a cycle."""
     ids = data.table(s, d, "documents").select("doc_id")
-    links = ids.where("doc_id > 0 AND doc_id % 2 = 0").select(F.concat(F.lit("d"), "doc_id").alias("source"), F.concat(F.lit("d"), F.floor(F.col("doc_id") / 3)).alias("target"))
+    target = F.when(F.col("doc_id") % 300 > 0, F.col("doc_id") - 1).otherwise(F.col("doc_id") + 1)
+    links = ids.where("doc_id % 300 > 0 OR doc_id DIV 300 % 2 = 1").select(F.concat(F.lit("d"), "doc_id").alias("source"), F.concat(F.lit("d"), target).alias("target"))
     return evidence.resolve_redirects(ids.select(F.concat(F.lit("d"), "doc_id").alias("title")), links)
 
 

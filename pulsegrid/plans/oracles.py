@@ -97,7 +97,9 @@ _PLAIN = {
     "lead_truncate": "SELECT doc_id, substring(text, 1, 600) AS lead FROM documents",
     "category_prefix_strip": "SELECT doc_id, source AS category FROM documents",
     "merge_metadata": "SELECT page_id, canonical_title, lead, array_to_string(list_sort(list_distinct(list_slice(list_append(list_distinct_in_order, source), 1, 4))), ',') AS categories, false AS conflict FROM (SELECT *, list_filter(words, lambda w, i: list_position(words, w) = i) AS list_distinct_in_order FROM page)",
-    "redirect_resolution": "WITH RECURSIVE hop AS (SELECT doc_id AS start, doc_id AS pos FROM documents UNION SELECT start, pos // 3 FROM hop WHERE pos > 0 AND pos % 2 = 0) SELECT concat('d', start) AS title, concat('d', min(pos)) AS final FROM hop GROUP BY start",
+    "redirect_resolution": """WITH RECURSIVE link AS (SELECT doc_id AS source, CASE WHEN doc_id % 300 > 0 THEN doc_id - 1 ELSE doc_id + 1 END AS target FROM documents WHERE doc_id % 300 > 0 OR doc_id // 300 % 2 = 1),
+        hop AS (SELECT doc_id AS start, doc_id AS pos FROM documents UNION SELECT start, target FROM hop JOIN link ON pos = source)
+        SELECT concat('d', start) AS title, 'd' || max(pos) FILTER (pos NOT IN (SELECT source FROM link)) AS final FROM hop GROUP BY start""",
     "category_noise_filter": "SELECT n.page_id, CAST(count(category) AS INTEGER) AS n, coalesce(string_agg(category, chr(31) ORDER BY category), '') AS categories FROM noisy n LEFT JOIN named USING (page_id) GROUP BY ALL",
     "category_df": "SELECT category, df FROM idf",
     "category_idf": "SELECT category, df, round(idf, 6) AS idf FROM idf",

@@ -105,3 +105,9 @@ def test_visible_members(spark, change):
     with pytest.raises(Exception, match="Preliminary Cluster member is invalid"):
         name = change.rsplit(" ", 1)[1]
         a.visible_members(row.withColumn(name, F.expr(change.rsplit(" AS ", 1)[0]))).collect()
+
+
+def test_broken_answers_close_the_cluster(spark):
+    rows = [("c1", [1, 2], "{not json"), ("c2", [3, 4], "[1]"), ("c3", [5, 6], '{"proposer": 7}'), ("c4", [7, 8], None)]
+    out = a.adjudicate_clusters(spark.createDataFrame(rows, "cluster_id string, page_ids array<long>, answers string")).collect()
+    assert {r["page_id"] for r in out} == set(range(1, 9)) and {(r["status"], r["reason"]) for r in out} == {("invalid", "invalid_adjudication")}

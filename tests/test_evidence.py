@@ -103,6 +103,13 @@ def test_redirect_chains_and_cycles(spark):
     assert {r["title"]: r["final"] for r in out.collect()} == {"n0": "n17", "n17": "n17", "a": None, "free": "free"}
 
 
+@pytest.mark.parametrize("hops", [40, 1000])
+def test_long_redirect_chains(spark, hops):
+    links = [(f"n{i}", f"n{i + 1}") for i in range(hops)] + [("a", "b"), ("b", "c"), ("c", "a")] + [(f"t{i}", f"t{i + 1}" if i < 9 else "a") for i in range(10)]
+    out = evidence.resolve_redirects(spark.createDataFrame([("n0",), ("n1",), ("t0",), ("b",)], "title string"), spark.createDataFrame(links, "source string, target string"))
+    assert {r["title"]: r["final"] for r in out.collect()} == {"n0": f"n{hops}", "n1": f"n{hops}", "t0": None, "b": None}
+
+
 def test_batches(spark):
     universe = spark.createDataFrame([(f"t{i:04d}",) for i in range(120)], "article string")
     found = {r["article"]: r["batch"] for r in evidence.metadata_batches(universe).collect()}
