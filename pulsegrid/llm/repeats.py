@@ -1,38 +1,37 @@
 """Substring near-duplicates: documents that hold near-duplicate passages of PASSAGE words or more, found by compact windows.
 
-A compact window of a text's shingle hashes is a node of the Cartesian tree over them: the longest stretch whose
-minimum that node is. Every stretch of RUN words in two texts has one minimum, so two texts with such a stretch in
-common share the node; only nodes whose window spans a whole stretch are kept, about two in every 21 positions.
-
-Two passages of at least 50 words are near-duplicates if the Jaccard similarity of their five-word shingles is at least
-0.8. Common shingles are then at least four times those that only one passage has, and at least 41. A place where
-equal shingles break off costs eight others or more (four in each text, if all it does is to go on elsewhere), so k of
-them leave k + 1 runs with 32 k common shingles or more, 41 for one: the longest run has 21 shingles, which is 25 equal
-words, and both texts have a node there, with no chance involved. (This counts shingles that a passage holds once.) A
-passage that can be parted in two with 46 shingles on each side has a part of that similarity, so REACH words about
-the node are enough. Hence:
-
-1. nodes that several texts share are looked up by hash; texts of equal words count as one from the start;
-2. the 50 words about each such node are hashed: equal ones tie their texts to one group, without pairs;
-3. where 25 equal words hold a node, so do the ten words before it or the ten behind: nodes that texts of different
-   groups share with either go on with the REACH words on both sides, equal surroundings of a group folded: where at most
-   PAIRED surroundings are outside a node's largest group, they are compared with all; where there are more, those that
-   share a stretch of 25 words about it are compared so. Where even such a stretch has more of them, hashes of every 50
-   words with each one word left out tie what they can without pairs, and what is then still apart is compared in a grid
-   of chunks.
-
-Step 2 and the first steps of what is crowded send what grows with the text they look at. The grid is all pairs of the
-chunks of one stretch, and is used only for surroundings that hold one stretch and that nothing before has tied.
-Nothing has a cap. Step 3 skips surroundings of fewer than DISTINCT different words (one word over and over).
-
-Defined results: null and short texts have no passages and form classes of their own; a row without id gives no name
-to a class and takes the smallest id it is linked to (null if there is none); texts with one id are linked through it.
+A passage is PASSAGE words or more; two are near-duplicates if the Jaccard similarity of their five-word shingles (a
+repeated one counts as often as it occurs) is LIKENESS (0.8) or more. Each of eight min-hash functions orders a text's shingles. A compact window of one function is a
+node of the Cartesian tree over that order: the longest stretch whose minimum the node is, so all sequences inside
+that hold the node have the same min-hash. Only windows that span WIDTH shingles (a passage's least) matter.
+
+1. Texts of equal words count as one from the start (a digest in two lanes).
+2. In each text the windows of two functions are joined as intervals: a cell is what the two windows have in common,
+   that is, all sequences with one pair of min-hashes. The eight functions make four such joins. Passages that agree in
+   five of the eight min-hashes agree in both of some join, whatever the five are; those of similarity 0.8 share a cell
+   with 98 % probability at a single place (more where they are longer), equal ones always.
+3. Cells that several texts have are looked up by their two shingles. Where the PASSAGE words about a cell are equal too
+   (a hash of them beside that of the cell), their texts are tied, without pairs.
+4. Cells that texts not yet tied share are verified on the words: REACH words on both sides, from which the best
+   passages are found by their longest common subsequence of shingles. (A passage that can be parted in two with WIDTH
+   shingles on each side has a part of that similarity, so REACH is enough.) Before any two are compared, shingles that
+   only one group has are set aside, surroundings with too few others dropped, and equal ones folded; so a line
+   that very many texts hold among different words costs what it holds. A cell of more than LOCAL surroundings has this done by a
+   distributed count; what is left of it is compared in a grid of chunks. Nothing that is joined already is compared.
+
+Nothing has a cap, and no text reaches the driver; the shared cells do where they are few (BROADCAST_VALUES).
+
+Defined results: null and short texts have no passages and form classes of their own; class_id is the smallest id among
+the linked rows, whatever rows without id or with repeated ids lie between (null if none has an id); rows with one id
+are separate texts.
 """
 
 from __future__ import annotations
 
 import bisect
+import re
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,500 +40,616 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.storage import BROADCAST_KEYS, cut, kept, small_or_shuffled
-from pulsegrid.llm.common import FOLD_BYTES
 from pulsegrid.operators.graph import connected_components
 
 SHINGLE, PASSAGE = 5, 50
-RUN = PASSAGE // 2
-#: Words on either side of a node that a passage of PASSAGE words can hold.
-SIDE = PASSAGE - SHINGLE
 #: Shingles of the shortest passage, and how many of them two such passages of LIKENESS (as a ratio) share at least.
-LEAST = PASSAGE - SHINGLE + 1
+WIDTH = PASSAGE - SHINGLE + 1
 LIKENESS = (4, 5)
-COMMON = -(-2 * LEAST * LIKENESS[0] // (LIKENESS[0] + LIKENESS[1]))
-#: Words kept on either side of a node: 92 shingles and a gap of a quarter of all.
-REACH = 128
-PAIRED, DISTINCT, CHUNK = 1024, 8, 4096
-#: Bits of a node's place in its text.
-PLACE = 24
+COMMON = -(-2 * WIDTH * LIKENESS[0] // (LIKENESS[0] + LIKENESS[1]))
+#: Words kept on either side of a cell's centre.
+REACH = 2 * WIDTH
+#: Odd factors: each orders the (mixed) shingles in its own way. Two neighbours are joined.
+FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64)) for k in range(8)]
+JOINS = [(0, 1), (2, 3), (4, 5), (6, 7)]
+#: Surroundings of a cell that one task holds, and the parts of larger ones.
+LOCAL, CHUNK = 16_384, 4_096
+#: Tasks that the cells of one smallest label may meet in.
+SPREAD = 4
+#: Rounds of setting aside before more than so many surroundings are compared.
+PEELED, FEW = 2, 64
+#: Words looked at together, which bounds memory; bits of a place among them; bytes split together, and of short texts together.
+BLOCK, PLACE, SPLIT, TOGETHER = 1 << 14, 24, 1 << 20, 1 << 16
 #: Shared values are broadcast up to this many (16 MB); beyond it they are joined.
 BROADCAST_VALUES = 2_000_000
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class _Hashes(dict):
-    """Hashes of the words seen lately, at most MOST of them."""
-
-    MOST = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_hash_of = _Hashes()
-
-
-def word_hashes(text: bytes | None) -> np.ndarray:
-    """A 64-bit hash of every word (A-Z lowered, split at ASCII blanks)."""
-    tokens = (text or b"").translate(FOLD_BYTES).split()
-    return np.fromiter(map(_hash_of.__getitem__, tokens), np.uint64, len(tokens))
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
     return x ^ x >> np.uint64(31)
 
 
-#: Powers of an odd base and of its inverse, modulo 2^64, as many as the longest text so far has needed.
-_grown = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers_to(n: int) -> list[np.ndarray]:
-    if len(_grown[0]) < n:
-        for i, base in enumerate((int(_B1), pow(int(_B1), -1, 1 << 64))):
-            factors = np.full(max(n, 1 << 15), base, np.uint64)
-            factors[0] = 1
-            _grown[i] = np.cumprod(factors, dtype=np.uint64)
-    return _grown
-
-
-def summed(words: np.ndarray) -> np.ndarray:
-    """Running sums from which stretches of any length are hashed."""
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * _powers_to(len(words))[1][: len(words)], dtype=np.uint64)))
-
-
-def hashed(sums: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    """A hash of the n words from each start on, whatever comes before."""
-    return _mixed((sums[starts + n] - sums[starts]) * _powers_to(len(sums))[0][starts])
-
-
-def rolled(words: np.ndarray, n: int) -> np.ndarray:
-    """A hash of every n words in a row."""
-    return hashed(summed(words), np.arange(max(0, len(words) - n + 1)), n)
-
+#: Bytes as they are hashed: blanks to 0, A-Z lowered, the zero byte to one that no text has.
+_BYTES = bytes(0 if x == 32 or 9 <= x <= 13 else 0xFE if x == 0 else x + 32 if 65 <= x <= 90 else x for x in range(256))
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
-def spanning_nodes(values: np.ndarray, width: int) -> np.ndarray:
-    """Positions of the Cartesian tree's nodes whose compact window has at least width values; of equal values the first is the parent.
 
-    They are the first minima of all stretches of width values, got from running minima of blocks of that width. A
-    value is compared by its high bits and, where these are equal, by its place.
-    """
-    if len(values) > 1 << PLACE:  # longer than any place: in overlapping parts
-        step = (1 << PLACE) - width + 1
-        parts = [spanning_nodes(values[at : at + (1 << PLACE)], width) + at for at in range(0, len(values) - width + 1, step)]
-        return np.unique(np.concatenate(parts))
-    n = len(values) - width + 1
+def _powers(base: int) -> np.ndarray:
+    factors = np.full(SPLIT + 1, base, np.uint64)
+    factors[0] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(factors, dtype=np.uint64)
+
+
+_UP, _DOWN = _powers(int(_B1)), _powers(pow(int(_B1), -1, 1 << 64))
+
+
+def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """At most SPLIT bytes -> (a 64-bit hash, not zero, of every word; where it starts). Words are hashed together, as polynomials got from running sums."""
+    codes = np.frombuffer(data.translate(_BYTES), np.uint8)
+    inside = np.empty(len(codes) + 2, np.int8)
+    inside[0] = inside[-1] = 0
+    np.not_equal(codes, 0, out=inside[1:-1], casting="unsafe")
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * _DOWN[: len(codes)], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * _UP[starts]) | np.uint64(1), starts
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of at most SPLIT bytes that end at blanks; a longer word is cut."""
+    at = 0
+    while len(text) - at > SPLIT:
+        part = text[at : at + SPLIT]
+        last = len(part) - 1 - max(0, next((m.start() for m in _BLANK.finditer(part[::-1])), 0))
+        yield part[: last + 1]
+        at += last + 1
+    yield text[at:]
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts -> (a hash of every word, the texts in a row; bounds of the texts)."""
+    words, counts, n = [], np.zeros(len(texts) + 1, np.int64), 0
+    while n < len(texts):
+        first, size = n, 0
+        while n < len(texts) and (n == first or size + len(texts[n] or b"") < TOGETHER):
+            size += len(texts[n] or b"") + 1
+            n += 1
+        if size > TOGETHER:  # one long text
+            found = [_hashed(p)[0] for p in _parts(texts[first])]
+            counts[n] = sum(map(len, found))
+            words += found
+            continue
+        found, starts = _hashed(b" ".join(t or b"" for t in texts[first:n]))
+        ends = np.cumsum([len(t or b"") + 1 for t in texts[first:n]])
+        counts[first + 1 : n + 1] = np.diff(np.searchsorted(starts, ends), prepend=0)
+        words.append(found)
+    return (np.concatenate(words) if words else np.empty(0, np.uint64)), np.cumsum(counts)
+
+
+def shingle_codes(words: np.ndarray) -> np.ndarray:
+    """Words (the last axis) -> a hash of the shingle at every place, 0 where it holds a 0 (a place beyond the text)."""
+    n = words.shape[-1] - SHINGLE + 1
     if n <= 0:
-        return np.empty(0, np.int64)
-    blocks = -(-len(values) // width)
-    padded = np.full(blocks * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(values)] = values & np.uint64((1 << 64) - (1 << PLACE)) | np.arange(len(values), dtype=np.uint64)
-    grid = padded.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    least = np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & np.uint64((1 << PLACE) - 1)
-    return np.unique(least).astype(np.int64)
-
+        return np.zeros((*words.shape[:-1], 0), np.uint64)
+    code, whole = np.zeros((*words.shape[:-1], n), np.uint64), np.ones((*words.shape[:-1], n), bool)
+    for k in range(SHINGLE):
+        word = words[..., k : k + n]
+        code = code * _B1 + word
+        whole &= word > 0
+    return np.where(whole, _mixed(code) | np.uint64(1), np.uint64(0))
 
-def found_nodes(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Running sums of the words, and values and positions of the shingles whose compact windows span RUN words."""
-    sums = summed(word_hashes(text))
-    shingles = hashed(sums, np.arange(max(0, len(sums) - SHINGLE)), SHINGLE)
-    at = spanning_nodes(shingles, RUN - SHINGLE + 1)
-    return sums, shingles[at], at
 
+def first_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """For every stretch of width values the place of its first minimum: the node of the Cartesian tree whose compact window holds the stretch.
 
-def described(text: bytes | None, one: int, shared: np.ndarray | None) -> tuple[np.ndarray, ...]:
-    """(position, value, centre, left, right) of the nodes whose value is shared (None: of all): hashes of the PASSAGE words about the node and of ten words before and behind it.
-
-    Where the text has no such words, the hash is one that no other text has.
+    A value is compared by its high bits and, where these are equal, by its place.
     """
-    sums, values, at = found_nodes(text)
-    if shared is not None and len(at):
-        i = np.minimum(np.searchsorted(shared, values), max(0, len(shared) - 1))
-        own = shared[i] == values if len(shared) else np.zeros(len(at), bool)
-        values, at = values[own], at[own]
-    lone = _mixed(np.uint64(one & 0xFFFFFFFFFFFFFFFF) * _B2 + at.astype(np.uint64) * _B1)
-    n, half = len(sums) - 1, (RUN - SHINGLE) // 2
-
-    def about(starts: np.ndarray, length: int) -> np.ndarray:
-        inside = (starts >= 0) & (starts + length <= n)
-        out = lone.copy()
-        out[inside] = hashed(sums, starts[inside], length)
-        return out
-
-    return at.view(np.uint64), values, about(np.clip(at - SIDE // 2, 0, max(0, n - PASSAGE)), PASSAGE), about(at - half, SHINGLE + half), about(at, SHINGLE + half)
-
-
-def surroundings(text: bytes | None, positions: list[int]) -> list[tuple[int, bytes]]:
-    """(value, words) of each node: 32 bits of each word's hash from REACH before its shingle to REACH behind, 0 beyond the text's ends."""
-    words = word_hashes(text)
-    if len(words) < PASSAGE:
-        return []
-    values = rolled(words, SHINGLE).view(np.int64)
-    short = np.zeros(len(words) + 2 * REACH, np.uint32)
-    short[REACH : REACH + len(words)] = (words >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    out = []
-    for p in positions:
-        around = short[p : p + 2 * REACH + SHINGLE]
-        if len(np.unique(around[around > 0])) >= DISTINCT:
-            out.append((int(values[p]), around.tobytes()))
-    return out
-
+    least = values & np.uint64((1 << 64) - (1 << PLACE)) | np.arange(len(values), dtype=np.uint64)
+    span = 1
+    while 2 * span <= width:
+        least = np.minimum(least[:-span], least[span:]) if len(least) > span else least[:0]
+        span *= 2
+    rest = width - span
+    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    return (least & np.uint64((1 << PLACE) - 1)).astype(np.int64)
 
-def _steps(equal: np.ndarray) -> np.ndarray:
-    """How many columns from the first on are true."""
-    return np.where(equal.all(axis=1), equal.shape[1], equal.argmin(axis=1)) if equal.shape[1] else np.zeros(len(equal), np.int64)
 
+def cells(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of texts in a row (text i from bounds[i] to bounds[i + 1]) -> (key, centre) of the cells: what windows of two functions have in common.
 
-def shingle_codes(around: np.ndarray) -> np.ndarray:
-    """Surroundings (rows of words) -> a hash of the shingle at every place, 0 where it reaches beyond the text."""
-    n = around.shape[1] - SHINGLE + 1
-    code, whole = np.zeros((len(around), n), np.uint64), np.ones((len(around), n), bool)
-    with np.errstate(over="ignore"):
-        for k in range(SHINGLE):
-            word = around[:, k : k + n]
-            code = _mixed(code * _B1 + word.astype(np.uint64) + _B2)
-            whole &= word > 0
-    return np.where(whole, code | np.uint64(1), np.uint64(0))
-
-
-def _spans(at: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
-    """[i, j] -> how many of the items are at j or before and at i or behind, less those whose former place (-1: none) is there too."""
-    h = np.zeros((n, n), np.int64)
-    np.add.at(h, (at, at), 1)
-    again = before >= 0
-    np.add.at(h, (before[again], at[again]), -1)
-    return np.cumsum(np.cumsum(h[::-1], axis=0)[::-1], axis=1)
-
-
-def _distinct(codes: np.ndarray) -> np.ndarray:
-    """[i, j] -> different codes from i to j."""
-    last: dict[int, int] = {}
-    before = np.empty(len(codes), np.int64)
-    for i, c in enumerate(codes.tolist()):
-        before[i] = last.get(c, -1)
-        last[c] = i
-    return _spans(np.arange(len(codes)), before, len(codes))
-
-
-def _chain(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    A passage of PASSAGE words lies in one window of each function, and so in one cell of each join; cells are found where
+    the pair of minima changes from one passage to the next, or its place moves on (a line over and over).
+    """
+    end = np.repeat(bounds[1:], np.diff(bounds))
+    whole = np.arange(len(words)) + PASSAGE <= end
+    fresh = np.zeros(len(words) + 1, bool)
+    fresh[bounds] = True
+    keys, centres = [], []
+    for at in range(0, len(words) - PASSAGE + 1, BLOCK):
+        part = words[at : at + BLOCK + PASSAGE - 1]
+        code = shingle_codes(part)
+        nodes = [first_minima(code * f, WIDTH) for f in FACTORS]
+        least = [code[x] for x in nodes]
+        n = len(nodes[0])
+        for band, (i, j) in enumerate(JOINS):
+            changed = fresh[at : at + n].copy()
+            changed[0] = True
+            near = nodes[i] + nodes[j] >> 6
+            changed[1:] |= (least[i][1:] != least[i][:-1]) | (least[j][1:] != least[j][:-1]) | (near[1:] != near[:-1])
+            new = np.flatnonzero(changed & whole[at : at + n])
+            a, b = nodes[i][new], nodes[j][new]
+            keys.append(_mixed(_mixed(code[a] + np.uint64(band)) * _B1 + code[b] * _B2))
+            centres.append((a + b >> 1) + at)
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(keys), np.concatenate(centres)
+
+
+def about(words: np.ndarray, start: np.ndarray, end: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """A hash of the PASSAGE words about each centre, within its text from start to end."""
+    first = np.clip(centre - (PASSAGE - SHINGLE) // 2, start, end - PASSAGE)
+    out = np.zeros(len(first), np.uint64)
+    for k in range(PASSAGE):
+        out = out * _B2 + words[first + k]
+    return _mixed(out)
+
+
+def surroundings(words: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The words from REACH before each centre's shingle to REACH behind, 0 beyond the text's ends."""
+    wide = np.zeros(len(words) + 2 * REACH + SHINGLE, np.uint64)
+    wide[REACH : REACH + len(words)] = words
+    return wide[np.asarray(centres, np.int64)[:, None] + np.arange(2 * REACH + SHINGLE)]
+
+
+def _chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The longest common subsequence of two rows of codes, as places."""
-    where: dict[int, list[int]] = {}
-    for j, c in enumerate(b):
-        where.setdefault(c, []).append(j)
-    ends, links, last = [], [], []
-    for i, c in enumerate(a):
-        for j in reversed(where.get(c, ())):
-            k = bisect.bisect_left(ends, j)
-            links.append((i, j, last[k - 1] if k else -1))
-            if k == len(ends):
-                ends.append(j)
-                last.append(len(links) - 1)
-            else:
-                ends[k], last[k] = j, len(links) - 1
-    out, at = [], last[-1] if last else -1
-    while at >= 0:
-        i, j, at = links[at]
-        out.append((i, j))
-    return out[::-1]
+    if len(a) == len(np.unique(a)) and len(b) == len(np.unique(b)):  # a longest rising row of places
+        where = dict(zip(b.tolist(), range(len(b))))
+        ends, tails, links = [], [], []
+        for i, c in enumerate(a.tolist()):
+            if (j := where.get(c)) is not None:
+                k = bisect.bisect_left(ends, j)
+                links.append((i, j, tails[k - 1] if k else -1))
+                ends[k : k + 1], tails[k : k + 1] = [j], [len(links) - 1]
+        out, at = [], tails[-1] if tails else -1
+        while at >= 0:
+            i, j, at = links[at]
+            out.append((i, j))
+        return np.array(out[::-1], np.int64).reshape(-1, 2)
+    same = a[:, None] == b
+    length = np.zeros((len(a) + 1, len(b) + 1), np.int32)
+    for i in range(len(a)):
+        np.maximum.accumulate(np.maximum(length[i, 1:], (length[i, :-1] + 1) * same[i]), out=length[i + 1, 1:])
+    out, i, j = [], len(a), len(b)
+    rows = length.tolist()
+    while i and j:
+        if rows[i][j] == rows[i - 1][j]:
+            i -= 1
+        elif rows[i][j] == rows[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return np.array(out[::-1], np.int64).reshape(-1, 2)
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two rows of shingle codes hold passages of PASSAGE words or more, from one common shingle to another, with a Jaccard similarity of LIKENESS.
 
-    A passage too short is made longer by shingles that count as its own alone.
+    Repeated shingles count as often as they occur. Common ones are those of the longest common subsequence, and those
+    both rows have once, in whatever order. A passage too short is made longer by shingles that count as its own alone.
     """
     a, b = a[a > 0], b[b > 0]
-    if len(np.intersect1d(a, b)) < COMMON:
+    own_a, own_b = np.isin(a, b), np.isin(b, a)
+    chain = _chain(a[own_a], b[own_b])
+    if not len(chain):
         return False
-    chain = np.array(_chain(a.tolist(), b.tolist()), np.int64)
-    x, y = chain[:, 0], chain[:, 1]
-    first_a, first_b = {}, {}
-    for (i, j) in chain.tolist():
-        first_a.setdefault(int(a[i]), (i, j))
-    codes_b = b.tolist()
-    for j in range(len(codes_b) - 1, -1, -1):
-        first_b[codes_b[j]] = j
-    for i, c in enumerate(a.tolist()):  # common shingles that are not in the same order
-        if c not in first_a and c in first_b:
-            first_a[c] = (i, first_b[c])
-    pa_, pb = np.array(list(first_a.values()), np.int64).T
-    low = np.minimum(np.searchsorted(x, pa_, "right"), np.searchsorted(y, pb, "right")) - 1
-    high = np.maximum(np.searchsorted(x, pa_), np.searchsorted(y, pb))
+    x, y = np.flatnonzero(own_a)[chain[:, 0]], np.flatnonzero(own_b)[chain[:, 1]]
+    chain = np.stack((x, y), axis=1)
+    once = [dict(zip(*(c.tolist() for c in (codes[first[n == 1]], first[n == 1])))) for codes in (a, b) for _, first, n in [np.unique(codes, return_index=True, return_counts=True)]]
+    ordered = set(a[x].tolist())
+    moved = np.array([(i, once[1][c]) for c, i in once[0].items() if c not in ordered and c in once[1]], np.int64).reshape(-1, 2)
+    pairs = np.concatenate((chain, moved))
+    low = np.minimum(np.searchsorted(x, pairs[:, 0], "right"), np.searchsorted(y, pairs[:, 1], "right")) - 1
+    high = np.maximum(np.searchsorted(x, pairs[:, 0]), np.searchsorted(y, pairs[:, 1]))
     inside = (low >= 0) & (high < len(x))
     h = np.zeros((len(x), len(x)), np.int64)
     np.add.at(h, (low[inside], high[inside]), 1)
     common = np.cumsum(np.cumsum(h[::-1], axis=0)[::-1], axis=1)
-    sizes = 0
-    for codes, at in ((a, x), (b, y)):
-        length = at[None, :] - at[:, None] + 1
-        own = length if len(np.unique(codes)) == len(codes) else _distinct(codes)[np.ix_(at, at)]
-        sizes = sizes + own + np.maximum(0, LEAST - length)
-    upper = np.triu(np.ones(common.shape, bool))
-    return bool((upper & (common * sum(LIKENESS) >= LIKENESS[0] * sizes)).any())
-
-
-class Surroundings:
-    """Surroundings of one node, compared with each other. Shingles are hashed for those alone whose equal words do not decide."""
-
-    #: Equal words that make a near-duplicate whatever is beside them; more on one side need not be counted.
-    ENOUGH = COMMON + SHINGLE - 1
-
-    def __init__(self, words: np.ndarray):
-        far = self.ENOUGH - SHINGLE
-        self.words, self.known = words, {}
-        self.left = np.ascontiguousarray(words[:, REACH - far : REACH][:, ::-1])
-        self.right = np.ascontiguousarray(words[:, REACH + SHINGLE : REACH + SHINGLE + far])
-
-    def codes(self, i: int) -> tuple[np.ndarray, frozenset]:
-        if i not in self.known:
-            own = shingle_codes(self.words[i : i + 1])[0]
-            self.known[i] = own, frozenset(own[own > 0].tolist())
-        return self.known[i]
-
-    def near(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Which of the others hold a near-duplicate of a passage of i, with RUN equal words about the node."""
-        run = SHINGLE
-        for side in (self.left, self.right):
-            run = run + _steps((side[others] == side[i]) & (side[i] > 0))
-        found = run >= self.ENOUGH
-        for k in np.flatnonzero((run >= RUN) & ~found).tolist():
-            (a, in_a), (b, in_b) = self.codes(i), self.codes(int(others[k]))
-            found[k] = len(in_a & in_b) >= COMMON and alike(a, b)
-        return found
+    sizes = sum(np.maximum(at[None, :] - at[:, None] + 1, WIDTH) for at in (x, y))
+    return bool((np.triu(np.ones(common.shape, bool)) & (common * sum(LIKENESS) >= LIKENESS[0] * sizes)).any())
+
+
+def _first_places(codes: np.ndarray) -> np.ndarray:
+    """[row, i] -> 1 + the first place of the row that has the code at i."""
+    order = np.argsort(codes, axis=1, kind="stable")
+    ranked = np.take_along_axis(codes, order, axis=1)
+    new = np.ones(codes.shape, bool)
+    new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+    first = np.maximum.accumulate(np.where(new, np.arange(codes.shape[1]), 0), axis=1)
+    out = np.empty(codes.shape, np.uint64)
+    np.put_along_axis(out, order, (np.take_along_axis(order, first, axis=1) + 1).astype(np.uint64), axis=1)
+    return out
 
 
-def reduced(around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Surroundings -> hashes in two lanes of each PASSAGE words that hold the node with one word left out, and which word (-1: the first or last)."""
-    words = around[REACH - SIDE : REACH + SHINGLE + SIDE].astype(np.uint64)
-    known = np.concatenate(([0], np.cumsum(words > 0)))
-    starts = np.arange(0, SIDE + 1)
-    starts = starts[known[starts + PASSAGE] - known[starts] == PASSAGE]
-    window = words[starts[:, None] + np.arange(PASSAGE)]
-    lanes = []
-    for base in (_B1, _B2):
-        terms = window * _powers(base)
-        summed = np.cumsum(terms, axis=1, dtype=np.uint64)
-        before, behind = summed - terms, summed[:, -1:] - summed  # words before the one left out stand one place lower
-        lanes.append(_mixed(_over(before, base) + behind).reshape(-1))
-    place = np.tile(np.arange(PASSAGE), len(starts))
-    return lanes[0], lanes[1], np.where((place == 0) | (place == PASSAGE - 1), -1, place)
+def _masked(codes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Codes with those that are not common replaced by the place where the row has them first: what the row has alone, whatever it is."""
+    return np.where(common | (codes == 0), codes, _first_places(codes))
 
 
-def _powers(base: np.uint64) -> np.ndarray:
-    """base to the powers PASSAGE - 1 .. 0."""
-    return np.array([pow(int(base), PASSAGE - 1 - k, 1 << 64) for k in range(PASSAGE)], np.uint64)
+#: Codes up to here are places.
+_PLACES = np.uint64(2 * REACH + SHINGLE + 1)
 
 
-def _over(x: np.ndarray, base: np.uint64) -> np.ndarray:
-    """x divided by the (odd) base, modulo 2^64."""
-    return x * np.uint64(pow(int(base), -1, 1 << 64))
+def _dense(common: np.ndarray, share: tuple[int, int], surplus: int) -> np.ndarray:
+    """Which places lie in a stretch of WIDTH or more about the centre whose common places times share[1] less all its places times share[0] make surplus."""
+    n = common.shape[1]
+    sums = np.zeros((len(common), n + 1), np.int32)
+    np.cumsum(common * np.int32(share[1]) - np.int32(share[0]), axis=1, out=sums[:, 1:])
+    best = np.maximum.accumulate(sums[:, ::-1], axis=1)[:, ::-1]  # the largest sum from a place on
+    starts = np.arange(REACH + 1)
+    need = sums[:, starts] + surplus
+    good = best[:, np.maximum(starts + WIDTH, REACH + 1)] >= need
+    least = np.where(good, need, np.iinfo(np.int32).max).min(axis=1)
+    last = (best >= least[:, None]).sum(axis=1) - 1  # the farthest end
+    place = np.arange(n)
+    return good.any(axis=1)[:, None] & (place >= good.argmax(axis=1)[:, None]) & (place < last[:, None])
 
 
-def _rows(df: DataFrame, each: Callable[[bytes | None, int], tuple[np.ndarray, ...]], names: list[str]) -> DataFrame:
-    """df(id, text) -> (id, *names): the rows that each(text, id) gives for every text."""
-    schema = "id long, " + ", ".join(f"{n} long" for n in names)
+def _viable(common: np.ndarray) -> np.ndarray:
+    """common, less what cannot be in a near-duplicate passage that holds the cell: of n common shingles and two passages of a and b, n must be LIKENESS of a, and (4 / 9 for 0.8) of a + b with b >= WIDTH."""
+    out = np.zeros(common.shape, bool)
+    some = np.flatnonzero(common.sum(axis=1) >= COMMON)
+    part = common[some]
+    out[some] = part & _dense(part, (LIKENESS[0], sum(LIKENESS)), LIKENESS[0] * WIDTH) & _dense(part, LIKENESS, 0)
+    return out
+
+
+def _shared(codes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which codes another label has too, and how many of a row's at most are common with a row of another label."""
+    width, shape = codes.shape[1], codes.shape
+    flat, label, row = codes.reshape(-1), np.repeat(labels, width), np.repeat(np.arange(len(codes)), width)
+    order = np.lexsort((row, label, flat))
+    flat, label, row = flat[order], label[order], row[order]
+
+    def starts(*columns: np.ndarray) -> np.ndarray:
+        new = np.ones(len(columns[0]), bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        return np.flatnonzero(new)
+
+    in_row = starts(flat, label, row)
+    times = np.diff(np.concatenate((in_row, [len(flat)])))
+    flat, label, row = flat[in_row], label[in_row], row[in_row]
+    in_label = starts(flat, label)
+    most = np.maximum.reduceat(times, in_label)
+    at_label = np.repeat(np.arange(len(in_label)), np.diff(np.concatenate((in_label, [len(flat)]))))
+    in_code = starts(flat[in_label])
+    at_code = np.repeat(np.arange(len(in_code)), np.diff(np.concatenate((in_code, [len(in_label)]))))
+    rank = np.lexsort((-most, at_code))  # each code's labels by how often a row of theirs has it
+    first, second = rank[in_code], np.minimum(in_code + 1, len(rank) - 1)
+    beyond = np.where(at_code[rank[second]] == np.arange(len(in_code)), most[rank[second]], 0)
+    others = np.where(np.arange(len(in_label)) == first[at_code], beyond[at_code], most[first][at_code])[at_label]
+    others = np.where(flat >= _PLACES, others, 0)
+    known = np.empty(shape[0] * width, bool)
+    known[order] = np.repeat(others > 0, times)
+    return known.reshape(shape), np.bincount(row, np.minimum(times, others), shape[0])
+
+
+def peeled(codes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Surroundings of a cell -> what can be near a passage of another label: codes that one label alone has are set aside, rows without a passage of others dropped, equal rows folded."""
+    for _ in range(PEELED):  # what a further round would drop is compared instead
+        if not len(codes):
+            break
+        common, at_most = _shared(codes, labels)
+        common = _viable(common & (at_most >= COMMON)[:, None])
+        alive = common.any(axis=1)
+        codes, common, labels = codes[alive], common[alive], labels[alive]
+        if not len(codes):
+            break
+        rows = np.ascontiguousarray(np.concatenate((labels.astype(np.int64).view(np.uint64)[:, None], _masked(codes, common)), axis=1))
+        _, first = np.unique(rows.view(np.dtype((np.void, rows.shape[1] * 8))).reshape(-1), return_index=True)
+        codes, labels = rows[first, 1:], labels[first]
+    return codes, labels
+
+
+def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every COMMON shingles in a row: equal ones are a near-duplicate whatever is beside them."""
+    real = np.zeros((len(codes), codes.shape[1] + 1), np.int32)
+    np.cumsum(codes >= _PLACES, axis=1, out=real[:, 1:])
+    row, start = np.nonzero(real[:, COMMON:] - real[:, :-COMMON] == COMMON)
+    sums = np.zeros(real.shape, np.uint64)
+    np.cumsum(codes * _DOWN[: codes.shape[1]], axis=1, out=sums[:, 1:])
+    return row, _mixed((sums[row, start + COMMON] - sums[row, start]) * _UP[start])
+
+
+def _in_step(codes: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Which rows have passages about the cell that are near those of one at the same places."""
+    same = (codes == one) & (one >= _PLACES)
+    return _dense(same, (2 * LIKENESS[0], sum(LIKENESS)), 0).any(axis=1)
+
+
+def joined(codes: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
+    """Surroundings of a cell -> pairs of labels that join what near-duplicate passages join; what is joined already is not compared.
+
+    The label with the most rows comes last, so its rows are compared with those of others alone.
+    """
+    if len(codes) > FEW:
+        codes, labels = peeled(codes, labels)
+    names, group, size = np.unique(labels, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return []
+    root, found = np.arange(len(names)), []
+
+    def tie(a: int, c: int) -> None:
+        a, c = sorted((int(root[a]), int(root[c])))
+        if a != c:
+            found.append((int(names[c]), int(names[a])))
+            root[root == c] = a
+
+    row, run = _runs(codes)
+    _, first, which = np.unique(run, return_index=True, return_inverse=True)
+    for a, c in np.unique(np.stack((group[row[first]][which], group[row])), axis=1).T.tolist():
+        tie(a, c)
+    if (root == root[0]).all():
+        return found
+    order = np.lexsort((group, size[group]))
+    codes, group = codes[order], group[order]
+    known, dense = np.unique(codes, return_inverse=True)
+    dense = dense.reshape(codes.shape)
+    shingle = known >= _PLACES
+    n = len(codes)
+    pairs, times = np.unique(dense.reshape(-1) * n + np.repeat(np.arange(n), codes.shape[1]), return_counts=True)  # (code, row) and how often
+    code, row = pairs // n, pairs % n
+    starts = np.searchsorted(code, np.arange(len(known) + 1))
+    def in_common(i: int) -> np.ndarray:
+        """How many shingles the row has in common with each row, repeats counted."""
+        mine, often = np.unique(dense[i], return_counts=True)
+        mine, often = mine[shingle[mine]], often[shingle[mine]]
+        size = starts[mine + 1] - starts[mine]
+        at = np.repeat(starts[mine] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return np.bincount(row[at], np.minimum(times[at], np.repeat(often, size)), n)
+
+    for i in range(len(group) - size.max()):
+        others = i + 1 + np.flatnonzero(root[group[i + 1 :]] != root[group[i]])
+        if not len(others):
+            continue
+        others = others[in_common(i)[others] >= COMMON]
+        for j in others[_in_step(codes[others], codes[i])].tolist():
+            tie(group[i], group[j])
+        others = others[root[group[others]] != root[group[i]]]
+        if not len(others):
+            continue
+        own = np.zeros(len(known), bool)
+        own[dense[i]] = True
+        own &= shingle
+        shared = own[dense[others]]
+        viable = _viable(shared).any(axis=1)
+        others, shared = others[viable], shared[viable]
+        answers: dict[bytes, bool] = {}
+        for j, other in zip(others.tolist(), _masked(codes[others], shared)):
+            if root[group[j]] != root[group[i]]:
+                if (k := other.tobytes()) not in answers:
+                    answers[k] = bool(_viable(np.isin(codes[i], other)[None] & own[dense[i]]).any()) and alike(codes[i], np.where((other > 0) & (other < _PLACES), other + _PLACES, other))
+                if answers[k]:
+                    tie(group[i], group[j])
+    return found
+
+
+def _texts_in_parts(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
+    """A batch(id, text, ...) in parts of about SPLIT bytes or one text: (ids, words in a row, bounds, which rows)."""
+    ids, at, held, size = np.asarray(b[0], np.int64), 0, [], 0
+    for i in range(b.num_rows):
+        held.append(b[1][i].as_py())
+        size += len(held[-1] or b"")
+        if size >= SPLIT or i + 1 == b.num_rows:
+            yield ids[at : i + 1], *word_hashes(held), slice(at, i + 1)
+            at, held, size = i + 1, [], 0
+
+
+def _each(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """df, its texts in parts -> the columns that work(ids, words, bounds, batch, rows) gives for every part."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held, size = [], 0
-            for i, (one, t) in enumerate(zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist())):
+            b = b.set_column(1, "text", b[1].cast(pa.binary()))
+            for ids, words, bounds, rows in _texts_in_parts(b):
                 with np.errstate(over="ignore"):
-                    got = each(t, one)
-                held.append((np.full(len(got[0]), one, np.int64), *(g.view(np.int64) for g in got)))
-                size += len(got[0])
-                if size > 200_000 or i + 1 == b.num_rows:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*held)], ["id", *names])
-                    held, size = [], 0
+                    yield pa.record_batch([pa.array(c) for c in work(ids, words, bounds, b, rows)], names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _cell_keys(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, *_: object) -> tuple[np.ndarray, ...]:
+    keys, centres = cells(words, bounds)
+    owner = np.searchsorted(bounds, centres, "right") - 1
+    return ids[owner], keys.view(np.int64)
 
-    return df.select("id", "text").mapInArrow(run, schema)
 
+def _cell_places(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, shared: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    keys, centres = cells(words, bounds)
+    if shared is not None and len(keys):
+        i = np.minimum(np.searchsorted(shared, keys), max(0, len(shared) - 1))
+        own = shared[i] == keys if len(shared) else np.zeros(len(keys), bool)
+        keys, centres = keys[own], centres[own]
+    owner = np.searchsorted(bounds, centres, "right") - 1
+    return ids[owner], keys.view(np.int64), centres - bounds[owner], about(words, bounds[owner], bounds[owner + 1], centres).view(np.int64)
 
-def shared_nodes(texts: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:
-    """(id, at, value, centre, left, right) of the nodes whose value several texts have."""
-    one_each = _rows(texts, lambda t, _: (np.unique(found_nodes(t)[1]),), ["value"])
-    several = cut(one_each.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("value"))
-    names = ["at", "value", "centre", "left", "right"]
+
+def shared_cells(texts: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:
+    """texts(id, text) -> (id, key, at, words) of the cells that several texts have: its hash, its place, a hash of the words about it."""
+    one_each = _each(texts, _cell_keys, "id long, key long")
+    several = cut(one_each.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("key"))
+    schema = "id long, key long, at long, words long"
     if several.count() <= most:
-        values = np.sort(np.asarray(several.toArrow()["value"], np.int64).view(np.uint64))
+        values = np.sort(np.asarray(several.toArrow()["key"], np.int64).view(np.uint64))
         sent = texts.sparkSession.sparkContext.broadcast(values)
-        return kept(_rows(texts, lambda t, one: described(t, one, sent.value), names), "shared-nodes")
-    return kept(_rows(texts, lambda t, one: described(t, one, None), names).join(several, "value", "left_semi"), "shared-nodes")
+        return kept(_each(texts, lambda i, w, b, *_: _cell_places(i, w, b, sent.value), schema), "shared-cells")
+    return kept(_each(texts, lambda i, w, b, *_: _cell_places(i, w, b, None), schema).join(several, "key", "left_semi"), "shared-cells")
 
 
 def _tied(keyed: DataFrame, key: list[str]) -> DataFrame:
-    """keyed(key, label, id) -> (src, dst): every id to the smallest of its key, where the labels differ."""
-    least = keyed.groupBy(*key).agg(F.min("id").alias("dst"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select(*key, "dst")
+    """keyed(key, id) -> (src, dst): every id to the smallest of its key."""
+    least = keyed.groupBy(*key).agg(F.min("id").alias("dst"), F.max("id").alias("last")).where("dst <> last").drop("last")
     return keyed.join(small_or_shuffled(least), key).where("id <> dst").select(F.col("id").alias("src"), "dst").distinct()
 
 
-def _shared(keyed: DataFrame, key: str) -> DataFrame:
+def _apart(keyed: DataFrame) -> DataFrame:
     """The rows of keyed(key, label, ...) whose key several labels have."""
-    several = keyed.groupBy(key).agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select(key)
-    return keyed.join(small_or_shuffled(several), key, "left_semi")
+    several = keyed.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
+    return keyed.join(small_or_shuffled(several), "key", "left_semi")
 
 
 def _looked_up(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """places(id, at) -> (id, text, at list): positions of a text gathered beside it. Few ids are broadcast to spare the other texts the way."""
-    gathered = cut(places.groupBy("id").agg(F.array_sort(F.collect_set("at")).alias("at")))
+    """places(id, key, at) -> (key, id, around): the words about each place. Few ids are broadcast to spare the other texts the way."""
+    gathered = cut(places.groupBy("id").agg(F.collect_set(F.struct("at", "key")).alias("places")))
     ids = small_or_shuffled(gathered.select("id"))
-    return texts.join(ids, "id", "left_semi").join(gathered, "id")
-
 
-def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows(id, ...) with label: the group of the text, or the text itself. groups comes from small_or_shuffled."""
-    return rows.join(groups, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    def work(texts_ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, b: pa.RecordBatch, rows: slice) -> tuple:
+        keys, owners, arounds = [], [], []
+        for i, listed in enumerate(b[2].slice(rows.start, rows.stop - rows.start).to_pylist()):
+            around = surroundings(words[bounds[i] : bounds[i + 1]], [p["at"] for p in listed])
+            keys += [p["key"] for p in listed]
+            owners += [int(texts_ids[i])] * len(listed)
+            arounds += [a.tobytes() for a in around]
+        return np.array(keys, np.int64), np.array(owners, np.int64), pa.array(arounds, pa.binary())
 
+    found = texts.join(ids, "id", "left_semi").join(gathered, "id").select("id", "text", "places")
+    return _each(found, work, "key long, id long, around binary")
 
-_AROUND = "value long, around binary"
 
+def _codes(arounds: list[bytes]) -> np.ndarray:
+    """Surroundings as words, or as codes already, -> codes."""
+    rows = np.frombuffer(b"".join(arounds), np.uint64).reshape(len(arounds), -1)
+    with np.errstate(over="ignore"):
+        return shingle_codes(rows) if rows.shape[1] == 2 * REACH + SHINGLE else rows
 
-def _surroundings(looked_up: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for one, text, at in zip(b[0].to_pylist(), b[1].cast(pa.binary()).to_pylist(), b[2].to_pylist()):
-                with np.errstate(over="ignore"):
-                    found = surroundings(text, at)
-                yield pa.record_batch([pa.array([one] * len(found), pa.int64()), pa.array([v for v, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], ["id", "value", "around"])
-
-    return looked_up.select("id", "text", "at").mapInArrow(run, "id long, " + _AROUND)
 
+def _compared(rows: DataFrame) -> DataFrame:
+    """rows(key, chunk, label, around) -> (src, dst): labels with near-duplicate surroundings of one key and chunk.
 
-def _compared(rows: DataFrame, key: str) -> DataFrame:
-    """rows(key, chunk, label, around) from _by_size -> (src, dst): labels with near-duplicate surroundings."""
+    Cells with the same smallest label meet in the same few tasks, where labels that one cell has joined are not compared for the next.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key_, labels, arounds = None, [], []
-
-        def pairs() -> tuple[np.ndarray, np.ndarray]:
-            """Links that join what near-duplicates join; what is joined already is not compared."""
-            names, group = np.unique(np.array(labels, np.int64), return_inverse=True)
-            m = np.frombuffer(b"".join(arounds), np.uint32).reshape(len(labels), -1)
-            all_ = Surroundings(m)
-            root, found = np.arange(len(names)), []
-            for i in range(len(labels) - 1):
-                others = i + 1 + np.flatnonzero(root[group[i + 1 :]] != root[group[i]])
-                if not len(others):
-                    continue
-                for g in np.unique(root[group[others[all_.near(i, others)]]]).tolist():
-                    a, c = sorted((int(root[group[i]]), g))
-                    found.append((names[c], names[a]))
-                    root[root == c] = a
-            return np.array(found, np.int64).reshape(-1, 2).T
+        at, labels, arounds = None, [], []
+        roots: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := roots.get(x, x)) != x:
+                roots[x] = roots.get(up, up)
+                x = up
+            return x
+
+        def pairs() -> list[tuple[int, int]]:
+            now = [root(x) for x in labels]
+            if len(set(now)) < 2:
+                return []
+            with np.errstate(over="ignore"):
+                found = joined(_codes(arounds), np.array(now, np.int64))
+            for c, a in found:
+                c, a = root(c), root(a)
+                roots[max(a, c)] = min(a, c)
+            return found
 
         for b in batches:
             out = []
             for *k, label, around in zip(*(c.to_pylist() for c in b.columns)):
-                if k != key_:
-                    if len(labels) > 1:
-                        out.append(pairs())
-                    key_, labels, arounds = k, [], []
+                if k != at:
+                    out += pairs()
+                    at, labels, arounds = k, [], []
                 labels.append(label)
                 arounds.append(around)
-            if out:
-                src, dst = np.concatenate(out, axis=1)
-                yield pa.record_batch([pa.array(src), pa.array(dst)], ["src", "dst"])
-        if len(labels) > 1:
-            src, dst = pairs()
-            yield pa.record_batch([pa.array(src), pa.array(dst)], ["src", "dst"])
+            yield pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["src", "dst"])
+        out = pairs()
+        yield pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["src", "dst"])
 
-    return rows.select(key, "chunk", "label", "around").repartition(key, "chunk").sortWithinPartitions(key, "chunk").mapInArrow(run, "src long, dst long").distinct()
+    homes = small_or_shuffled(rows.groupBy("key").agg(F.min("label").alias("home")))
+    placed = rows.join(homes, "key").withColumn("spread", F.pmod(F.xxhash64("key", "chunk"), F.lit(SPREAD)))
+    return placed.repartition("home", "spread").sortWithinPartitions("home", "key", "chunk").select("key", "chunk", "label", "around").mapInArrow(run, "src long, dst long").distinct()
 
 
-def _by_size(rows: DataFrame, key: str, paired: int) -> tuple[DataFrame, DataFrame]:
-    """rows of the keys that can be compared in pairs, with chunk, and the rows of the others.
+def _peeled(rows: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:
+    """rows(key, label, around) of crowded keys -> the same as codes, without what only one label of a key has: see peeled, by a count over all machines."""
+    rows = kept(rows.select("key", "label", "around", F.monotonically_increasing_id().alias("row")), "crowded")
 
-    A key's largest group need not be compared with itself, so what counts is how many surroundings are outside it: at
-    most paired of them meet the largest group in chunks of CHUNK, each in a task of its own.
-    """
-    each = rows.groupBy(key, "label").agg(F.count(F.lit(1)).alias("n"))
-    facts = each.groupBy(key).agg(F.sum("n").alias("total"), F.max(F.struct("n", "label")).alias("bulk"))
-    facts = small_or_shuffled(facts.select(key, "bulk", (F.col("total") - F.col("bulk.n") > paired).alias("crowded")))
-    known = rows.join(facts, key)
-    last = F.floor((F.col("bulk.n") - 1) / CHUNK)
-    chunks = F.when(F.col("label") == F.col("bulk.label"), F.array(F.pmod(F.xxhash64("around"), last + 1))).otherwise(F.sequence(F.lit(0).cast("long"), last))
-    few = known.where("NOT crowded").select(key, "label", "around", F.explode(chunks).alias("chunk"))
-    return few, known.where("crowded").drop("bulk", "crowded")
+    def marks(key: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return _mixed(codes + _mixed(key.view(np.uint64) * _B2)[:, None]).view(np.int64)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                codes = _codes(part["around"].to_pylist())
+                n, place = codes.shape[1], np.broadcast_to(np.arange(codes.shape[1]), codes.shape)[codes > 0]
+                which = np.repeat(np.arange(len(codes)), n).reshape(codes.shape)[codes > 0]
+                yield pa.record_batch([pa.array(np.asarray(part["row"])[which]), pa.array(place), pa.array(marks(np.asarray(part["key"], np.int64), codes)[codes > 0]), pa.array(np.asarray(part["label"])[which])], ["row", "place", "mark", "label"])
+
+    def reduced(batches: Iterator[pa.RecordBatch], chosen: Callable) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                codes = _codes(part["around"].to_pylist())
+                common = _viable(chosen(part, codes) & (codes > 0))
+                alive = common.any(axis=1)
+                masked = _masked(codes[alive], common[alive])
+                yield pa.record_batch([part["key"].filter(pa.array(alive)), part["label"].filter(pa.array(alive)), pa.array([m.tobytes() for m in masked], pa.binary())], ["key", "label", "around"])
+
+    every = rows.mapInArrow(listed, "row long, place long, mark long, label long")
+    several = cut(every.groupBy("mark").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("mark"))
+    if several.count() <= most:
+        sent = rows.sparkSession.sparkContext.broadcast(np.sort(np.asarray(several.toArrow()["mark"], np.int64)))
 
+        def known(part: pa.RecordBatch, codes: np.ndarray) -> np.ndarray:
+            found = marks(np.asarray(part["key"], np.int64), codes)
+            return sent.value[np.minimum(np.searchsorted(sent.value, found), len(sent.value) - 1)] == found if len(sent.value) else np.zeros(codes.shape, bool)
 
-def _stretches(rows: DataFrame) -> DataFrame:
-    """rows(label, around) -> (run, label, code): a hash of each stretch of RUN words about the node, and one of the surroundings."""
+        out = rows.mapInArrow(lambda batches: reduced(batches, known), "key long, label long, around binary")
+    else:
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            hashes, labels, codes = [], [], []
-            for label, around, code in zip(*(c.to_pylist() for c in b.columns)):
-                words = np.frombuffer(around, np.uint32).astype(np.uint64)[REACH + SHINGLE - RUN : REACH + RUN]
-                with np.errstate(over="ignore"):
-                    rolls = rolled(words, RUN)
-                whole = np.cumsum(np.concatenate(([0], words == 0)))
-                rolls = rolls[whole[RUN:] == whole[:-RUN]]
-                hashes.append(rolls.view(np.int64))
-                labels.append(np.full(len(rolls), label, np.int64))
-                codes.append(np.full(len(rolls), code, np.int64))
-            if hashes:
-                yield pa.record_batch([pa.array(np.concatenate(c)) for c in (hashes, labels, codes)], ["run", "label", "code"])
+        def placed(part: pa.RecordBatch, codes: np.ndarray) -> np.ndarray:
+            common = np.zeros(codes.shape, bool)
+            for i, places in enumerate(part["places"].to_pylist()):
+                common[i, places] = True
+            return common
 
-    return rows.select("label", "around", "code").mapInArrow(run, "run long, label long, code long")
+        places = every.join(several, "mark", "left_semi").groupBy("row").agg(F.collect_list("place").alias("places"))
+        out = rows.join(places, "row").mapInArrow(lambda batches: reduced(batches, placed), "key long, label long, around binary")
+    return kept(out.distinct(), "crowded-in-common")
 
 
-def _grid(rows: DataFrame, key: str) -> DataFrame:
+def _grid(rows: DataFrame) -> DataFrame:
     """rows(key, label, around) -> the same with chunk, so that any two rows of a key meet in one chunk: a pair of parts of about CHUNK rows."""
-    sizes = small_or_shuffled(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"), F.countDistinct("label").alias("labels")).where("labels > 1").select(key, "parts"))
+    sizes = small_or_shuffled(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key", "parts"))
     own = F.pmod(F.xxhash64("around", "label"), F.col("parts"))
     pair = lambda other: F.least("own", other) * F.col("parts") + F.greatest("own", other)
-    return rows.join(sizes, key).withColumn("own", own).select(key, "label", "around", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), pair)).alias("chunk"))
+    return rows.join(sizes, "key").withColumn("own", own).select("key", "label", "around", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), pair)).alias("chunk"))
 
 
-def _left_out(rows: DataFrame) -> DataFrame:
-    """rows(label, around) -> (src, dst): labels with near-duplicate surroundings, by hashes with a word left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for label, around in zip(*(c.to_pylist() for c in b.columns)):
-                with np.errstate(over="ignore"):
-                    k1, k2, place = reduced(np.frombuffer(around, np.uint32))
-                yield pa.record_batch([pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(place), pa.array(np.full(len(k1), label, np.int64))], ["k1", "k2", "place", "label"])
-
-    keys = kept(rows.select("label", "around").distinct().mapInArrow(run, "k1 long, k2 long, place long, label long"), "words-left-out")
-    changed = _tied(keys.withColumn("id", F.col("label")), ["k1", "k2", "place"])
-    plain = keys.where("place = -1").groupBy("k1", "k2").agg(F.lit(1).alias("one")).select("k1", "k2")
-    added = _tied(keys.join(plain, ["k1", "k2"], "left_semi").withColumn("id", F.col("label")), ["k1", "k2"])
-    return changed.unionAll(added)
-
-
-def linked_texts(texts: DataFrame, paired: int = PAIRED, values: int = BROADCAST_VALUES) -> DataFrame:
+def linked_texts(texts: DataFrame, local: int = LOCAL, values: int = BROADCAST_VALUES) -> DataFrame:
     """texts(id, text) -> (node, component) of the texts that share a passage with another."""
-    places = shared_nodes(texts, values)
-    passages = ["centre", "left", "right"]
-    groups = cut(connected_components(_tied(places.select("id", *passages).withColumn("label", F.col("id")), passages)))
+    places = shared_cells(texts, values)
+    groups = cut(connected_components(_tied(places, ["key", "words"])))
     known = small_or_shuffled(groups.select(F.col("node").alias("id"), "component"))
-    labelled = _labelled(places.select("id", "at", "left", "right"), known)
-    rest = cut(_shared(labelled, "left").select("id", "at").unionByName(_shared(labelled, "right").select("id", "at")).distinct())
-    around = _labelled(_surroundings(_looked_up(texts, rest)), known).groupBy("value", "label", "around").agg(F.xxhash64("around").alias("code"))
-    around = _shared(kept(around, "surroundings"), "value")
-    few, many = _by_size(around, "value", paired)
-    ties = _compared(few, "value")
-    stretches = cut(_shared(_stretches(many).distinct(), "run").select("run", "label", "code"))
-    if not stretches.isEmpty():
-        whole = stretches.join(many.select("label", "code", "around").distinct(), ["label", "code"])
-        few, many = _by_size(kept(whole, "crowded-surroundings"), "run", paired)
-        ties = cut(ties.unionAll(_compared(few, "run")).unionAll(_left_out(many)))
-        tied = small_or_shuffled(connected_components(ties).select(F.col("node").alias("label"), "component"))
-        apart = many.join(tied, "label", "left").select("run", F.coalesce("component", "label").alias("label"), "around").distinct()
-        ties = ties.unionAll(_compared(_grid(apart, "run"), "run"))
+    labelled = lambda rows: rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    rest = cut(_apart(labelled(places.select("id", "key", "at"))).select("id", "key", "at"))
+    around = kept(labelled(_looked_up(texts, rest)).select("key", "label", "around").distinct(), "surroundings")
+    sizes = small_or_shuffled(around.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > local).select("key"))
+    ties = _compared(around.join(sizes, "key", "left_anti").withColumn("chunk", F.lit(0)))
+    if not sizes.isEmpty():
+        ties = cut(ties).unionAll(_compared(_grid(_peeled(around.join(sizes, "key", "left_semi"), values))))
     before = groups.where("node <> component").select(F.col("node").alias("src"), F.col("component").alias("dst"))
     return connected_components(before.unionAll(ties))
 
 
-def _without_copies(texts: DataFrame, ids: DataFrame, keepers: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
-    """texts without the ids that name only copies of texts with smaller ids. Beyond most such ids the filter takes a shuffle; as the result is read several times, it is then kept as a table."""
-    gone = cut(ids.where("id IS NOT NULL").distinct().join(keepers, "id", "left_anti"))
+def _without_copies(texts: DataFrame, folded: DataFrame, ids: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """texts of the ids of folded alone. Beyond most ids of copies the filter takes a shuffle; as the result is read several times, it is then kept as a table."""
+    gone = cut(ids.join(folded, "id", "left_anti"))
     if gone.count() <= most:
         return texts.join(F.broadcast(gone), "id", "left_anti")
     return kept(texts.join(gone, "id", "left_anti"), "different-texts")
@@ -543,25 +658,20 @@ def _without_copies(texts: DataFrame, ids: DataFrame, keepers: DataFrame, most:
 def shared_passages(documents: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, n_words, repeated) of every row: class_id is the smallest id that shared passages reach, repeated whether another row is in the class.
 
-    Rows of equal words are folded first, under the smallest id, by a digest of the words in two lanes.
+    Every row gets a number of its own beside its id, under which it is searched. Rows of equal words are folded first,
+    under the smallest number, by a digest of the words in two lanes.
     """
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = []
-            for t in b[1].cast(pa.binary()).to_pylist():
-                words = (t or b"").translate(FOLD_BYTES).split()
-                joined = b" ".join(words)
-                got.append((xxhash.xxh64_intdigest(joined, 1) - (1 << 63), xxhash.xxh64_intdigest(joined, 2) - (1 << 63), len(words)))
-            yield pa.record_batch([b[0], *(pa.array([g[i] for g in got], pa.int64()) for i in range(3))], ["doc_id", "d1", "d2", "n_words"])
-
-    plain = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = cut(plain.mapInArrow(digest, "doc_id long, d1 long, d2 long, n_words long"))
-    folded = rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n"))
-    folded = cut(folded)
-    once = _without_copies(plain.withColumnRenamed("doc_id", "id").where("id IS NOT NULL"), rows.select(F.col("doc_id").alias("id")), folded.select("id"))
-    connected = linked_texts(once)
-    sizes = connected.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    found = connected.join(sizes, "component")
-    named = folded.join(found.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", F.coalesce("component", "id").alias("class_id"), ((F.col("n") >= PASSAGE) & ((F.col("copies") > 1) | F.col("members").isNotNull())).alias("repeated"))
+    def digest(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, b: pa.RecordBatch, rows: slice) -> tuple:
+        lanes = [[xxhash.xxh64_intdigest(words[i:j].tobytes(), seed) - (1 << 63) for i, j in pairwise(bounds)] for seed in (1, 2)]
+        return ids, b[2].slice(rows.start, len(ids)), *lanes, np.diff(bounds)
+
+    plain = kept(documents.select(F.monotonically_increasing_id().alias("id"), F.col(text).alias("text"), F.col(id_col).alias("doc_id")), "numbered-texts")
+    rows = cut(_each(plain, digest, f"id long, doc_id {plain.schema['doc_id'].dataType.simpleString()}, d1 long, d2 long, n_words long"))
+    folded = cut(rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n")))
+    connected = linked_texts(_without_copies(plain.select("id", "text"), folded.select("id"), rows.select("id")))
+    classes = folded.join(connected.withColumnRenamed("node", "id"), "id", "left")
+    least = classes.where("component IS NOT NULL").groupBy("component").agg(F.min("own").alias("least"))
+    linked = F.col("component").isNotNull()
+    named = classes.join(least, "component", "left").select("d1", "d2", F.when(linked, F.col("least")).otherwise(F.col("own")).alias("class_id"), ((F.col("n") >= PASSAGE) & ((F.col("copies") > 1) | linked)).alias("repeated"))
     return rows.join(named, ["d1", "d2"]).select("doc_id", "class_id", "n_words", "repeated")

@@ -1,4 +1,4 @@
-"""Shared passages against a search by all words left out."""
+"""Shared passages against their definition."""
 
 import random
 
@@ -13,20 +13,41 @@ def test_nodes_are_the_first_minima():
     for _ in range(300):
         n, width = int(rng.integers(0, 80)), int(rng.integers(1, 25))
         values = rng.integers(0, int(rng.integers(1, 60)) + 1, n).astype(np.uint64) << np.uint64(30)
-        assert r.spanning_nodes(values, width).tolist() == sorted({i + int(np.argmin(values[i : i + width])) for i in range(n - width + 1)})
+        assert r.first_minima(values, width).tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(n - width + 1)]
 
 
-def test_nodes_of_a_very_long_text(monkeypatch):
-    values = np.random.default_rng(2).integers(0, 1 << 62, 5000).astype(np.uint64) << np.uint64(1)
-    whole = r.spanning_nodes(values, 21).tolist()
-    monkeypatch.setattr(r, "PLACE", 8)
-    assert r.spanning_nodes(values, 21).tolist() == whole
-
-
-def test_hashes_do_not_depend_on_the_place():
-    words = np.random.default_rng(3).integers(0, 1 << 62, 100).astype(np.uint64)
+def test_cells_are_the_pairs_of_minima(monkeypatch):
+    """Every passage of PASSAGE words has the cell of its two minima, near its places, whatever the blocks and the texts beside it."""
+    monkeypatch.setattr(r, "BLOCK", 64)
+    rng = random.Random(4)
+    texts = [" ".join(f"v{rng.randrange(60)}" for _ in range(n)).encode() for n in (0, 49, 50, 51, 130, 300)] + [b"the " * 200]
     with np.errstate(over="ignore"):
-        assert r.rolled(words, 7)[30] == r.rolled(words[30:37], 7)[0] and len(r.rolled(words[:6], 7)) == 0
+        words, bounds = r.word_hashes(texts)
+        keys, centres = r.cells(words, bounds)
+        found = {(int(np.searchsorted(bounds, c, "right")) - 1, int(k)) for k, c in zip(keys, centres)}
+        wanted = set()
+        for i, text in enumerate(texts):
+            alone = r.word_hashes([text])[0]
+            for p in range(len(alone) - r.PASSAGE + 1):
+                code = r.shingle_codes(alone[p : p + r.PASSAGE])
+                least = np.array([code[np.argmin(code * f & np.uint64((1 << 64) - (1 << r.PLACE)))] for f in r.FACTORS])
+                wanted |= {(i, int(r._mixed(r._mixed(least[x : x + 1] + np.uint64(n)) * r._B1 + least[y : y + 1] * r._B2)[0])) for n, (x, y) in enumerate(r.JOINS)}
+    assert found == wanted and sum(i == 6 for i, _ in found) == 4
+
+
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch):
+    texts = [b"The quick\tbrown\x0bFOX", b"fox THE \x00 quick", None, b"", b" \n ", "Ünï the ﬁ".encode(), b"a " * 100 + b"the"]
+    words, bounds = r.word_hashes(texts)
+    split = [(t or b"").translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split() for t in texts]
+    assert np.diff(bounds).tolist() == list(map(len, split))
+    by_word = {}
+    for w, h in zip((w for t in split for w in t), words.tolist()):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    monkeypatch.setattr(r, "TOGETHER", 16)
+    monkeypatch.setattr(r, "SPLIT", 60)
+    again, there = r.word_hashes(texts)
+    assert again.tolist() == words.tolist() and there.tolist() == bounds.tolist()
 
 
 def corpus():
@@ -82,9 +103,9 @@ def classes(docs):
     return [find(i) for i in range(len(docs))]
 
 
-@pytest.mark.parametrize("paired,values", [(r.PAIRED, r.BROADCAST_VALUES), (1, r.BROADCAST_VALUES), (3, 0)])
-def test_classes(spark, monkeypatch, paired, values):
-    monkeypatch.setattr(r.linked_texts, "__defaults__", (paired, values))
+@pytest.mark.parametrize("local,values", [(r.LOCAL, r.BROADCAST_VALUES), (1, r.BROADCAST_VALUES), (0, 0)])
+def test_classes(spark, monkeypatch, local, values):
+    monkeypatch.setattr(r.linked_texts, "__defaults__", (local, values))
     docs = corpus()
     rows = [(i, " ".join(d).upper() if i == 3 else "\n".join(d)) for i, d in enumerate(docs)] + [(60, None), (61, "")]
     out = {x["doc_id"]: x for x in r.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -105,6 +126,8 @@ def test_crowded_passage(spark, monkeypatch):
         own[rng.randrange(60)] = f"edit{i}"
         docs.append(para(5) + own + para(5))
     monkeypatch.setattr(r.linked_texts, "__defaults__", (4, r.BROADCAST_VALUES))
+    monkeypatch.setattr(r, "CHUNK", 3)
+    monkeypatch.setattr(r, "FEW", 3)
     out = {x["doc_id"]: x["class_id"] for x in r.shared_passages(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")).collect()}
     assert [out[i] for i in range(len(docs))] == classes(docs)
 
@@ -126,6 +149,24 @@ def test_many_copies(spark, monkeypatch):
     assert {x["doc_id"]: (x["class_id"], x["repeated"]) for x in r.shared_passages(df).collect()} == {**dict.fromkeys(range(5), (0, True)), 5: (5, False), 6: (5, False), 7: (7, False)}
 
 
+def test_few_different_words(spark):
+    """Repeated shingles count as often as they occur, so texts over seven words are found like any other."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(7)}" for _ in range(60)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:30], "w9", *base[31:]])), (3, " ".join(["the"] * 80)), (4, " ".join(["the"] * 55 + ["end"])), (5, " ".join(f"w{rng.randrange(7)}" for _ in range(60)))]
+    out = {x["doc_id"]: x["class_id"] for x in r.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
+
+
+def test_links_through_rows_without_or_with_one_id(spark):
+    rng = random.Random(9)
+    para = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    p1, p2, p3 = para(80), para(80), para(80)
+    rows = [(9, p1 + para(9)), (None, para(9) + p1 + para(9) + p2), (4, p2 + para(5)), (7, p3), (7, para(60)), (None, p3 + para(3)), (None, para(70)), (1 << 62, para(55))]
+    out = r.shared_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    assert sorted((str(x["doc_id"]), str(x["class_id"]), x["repeated"]) for x in out) == sorted([("9", "4", True), ("None", "4", True), ("4", "4", True), ("7", "7", True), ("7", "7", False), ("None", "7", True), ("None", "None", False), (str(1 << 62), str(1 << 62), False)])
+
+
 def jaccard(a, b):
     """The largest similarity of the five-word shingles of passages of 50 words or more: all of them."""
     a, b = ([tuple(x[i : i + 5]) for i in range(len(x) - 4)] for x in (a, b))
@@ -158,10 +199,10 @@ EDITS = {
 }
 
 
-@pytest.mark.parametrize("paired", [r.PAIRED, 0])
-def test_phrases_edited(spark, monkeypatch, paired):
+@pytest.mark.parametrize("local", [r.LOCAL, 0])
+def test_phrases_edited(spark, monkeypatch, local):
     """By the definition, with 0 through the steps for crowded passages."""
-    monkeypatch.setattr(r.linked_texts, "__defaults__", (paired, r.BROADCAST_VALUES))
+    monkeypatch.setattr(r.linked_texts, "__defaults__", (local, r.BROADCAST_VALUES))
     rows, wanted = [], {}
     for n, (a, b) in enumerate(EDITS.values()):
         for k, words in enumerate((a, b)):
@@ -189,7 +230,7 @@ def test_alike_is_the_definition():
         if max(len(a), len(b)) > 64:
             continue
         number = {w: i + 1 for i, w in enumerate(dict.fromkeys([*a, *b]))}
-        code = lambda x: r.shingle_codes(np.array([[number[w] for w in x]], np.uint32))[0]
+        code = lambda x: r.shingle_codes(np.array([number[w] for w in x], np.uint64))
         whole = jaccard(a, b) >= 0.8
         seen.add(whole)
         assert r.alike(code(a), code(b)) == whole, (a, b)
