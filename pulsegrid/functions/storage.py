@@ -14,6 +14,8 @@ from pulsegrid.contracts import ContractError
 
 #: Keys up to this many may be broadcast (two longs each, about 64 MB hashed); beyond it the join shuffles.
 BROADCAST_KEYS = 500_000
+#: A key of more rows than this is joined by a broadcast of what is known of it, so that its rows stay where they are.
+HEAVY = 1_000_000
 
 
 def use_shared_dir(spark: SparkSession) -> str:
@@ -51,3 +53,16 @@ def small_or_shuffled(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame
     """keys (kept, counted) with a broadcast hint if they are no more than limit; else as they are, for a shuffled join."""
     kept = cut(keys)
     return F.broadcast(kept) if kept.count() <= limit else kept
+
+
+def joined_to_facts(rows: DataFrame, facts: DataFrame, on: str | list[str], weight: str, heavy: int = HEAVY) -> DataFrame:
+    """rows joined to facts (kept by the caller), one for each value of on, that say in weight how many of the rows have it.
+
+    Values of more than heavy rows would each meet in one task: their facts, at most one in heavy rows, are broadcast instead.
+    """
+    on = [on] if isinstance(on, str) else on
+    most = facts.where(F.col(weight) > heavy)
+    if most.isEmpty():
+        return rows.join(facts, on)
+    few = rows.join(F.broadcast(most.select(*on)), on, "left_anti").join(facts.where(F.col(weight) <= heavy), on)
+    return few.unionByName(rows.join(F.broadcast(most), on))

@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.storage import cut
+from pulsegrid.functions.storage import cut, joined_to_facts
 
 #: Edges up to this many (160 kB) are joined in one task, which spares small graphs the rounds.
 FEW_EDGES = 10_000
+#: At most so many nodes have their smallest neighbour broadcast: those with the most edges.
+CENTRES = 100_000
 #: Rounds halve the depth of what is left, so this many suffice for any graph that fits a cluster.
 MOST_ROUNDS = 60
 
@@ -21,17 +23,17 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, heavy: int) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest of the node and its neighbours."""
     both = _both_ways(edges)
-    least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
-    return both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
+    least = cut(both.groupBy("src").agg(F.min("dst").alias("m"), F.count(F.lit(1)).alias("n")).select("src", F.least("src", "m").alias("m"), "n"))
+    return joined_to_facts(both.where("dst > src"), least, "src", "n", heavy).select(F.col("dst").alias("src"), F.col("m").alias("dst"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, heavy: int) -> DataFrame:
     """A node (src > dst) and all its smaller neighbours are tied to the smallest of them."""
-    least = edges.groupBy("src").agg(F.min("dst").alias("m"))
-    moved = edges.join(least, "src").where("dst <> m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
+    least = cut(edges.groupBy("src").agg(F.min("dst").alias("m"), F.count(F.lit(1)).alias("n")))
+    moved = joined_to_facts(edges, least, "src", "n", heavy).where("dst <> m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
     return moved.unionByName(least.select("src", F.col("m").alias("dst")))
 
 
@@ -62,17 +64,18 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
     """edges -> (node, component), for the nodes that have an edge; component is the smallest node reachable.
 
     Large-star and small-star steps alternate until the edges are stars around the smallest nodes; minima are
-    aggregated before they are joined back, so a node with very many neighbours is split like any skewed join key.
+    aggregated before they are joined back, and those of nodes with very many neighbours are broadcast, so that no task gets all their edges.
     Each round is kept in the checkpoint folder, its edges sorted out without duplicates. Edges with a null end, and
     loops from a node to itself (which then only names itself), carry no link. No edges: an empty result. Nodes are longs.
     """
     pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL")
     state = cut(pairs.where("src <> dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
-    if state.count() <= few_edges:
+    if (count := state.count()) <= few_edges:
         return _in_one_task(state)
+    heavy = max(1000, 2 * count // CENTRES)
     seen = None
     for _ in range(MOST_ROUNDS):
-        state = cut(_small_star(_large_star(state)).distinct())
+        state = cut(_small_star(cut(_large_star(state, heavy)), heavy).distinct())
         now = state.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)")), F.lit(0))).first()
         if now == seen:
             break

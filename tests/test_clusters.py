@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError
+from pulsegrid.functions.storage import joined_to_facts
 from pulsegrid.operators import categories, clusters, similarity
 from pulsegrid.operators.graph import connected_components
 
@@ -105,6 +106,22 @@ def test_components_of_chains_stars_and_loops(spark, few):
     assert connected_components(spark.createDataFrame([], "src long, dst long"), few_edges=few).count() == 0
 
 
+def test_components_with_a_centre_of_many_edges(spark):
+    """Centres beyond the bound have their smallest neighbour broadcast."""
+    edges = [(5000, j) for j in range(10_000, 11_500)] + [(j, j + 5000) for j in range(10_000, 10_100)] + [(3, 15_000), (4, 20_000)]
+    out = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long"), few_edges=0).collect()}
+    assert out == {3: 3, 4: 4, 20_000: 4, 5000: 3} | {j: 3 for j in range(10_000, 11_500)} | {j: 3 for j in range(15_000, 15_100)}
+
+
+@pytest.mark.parametrize("heavy", [2, 100])
+def test_facts_of_heavy_keys_are_broadcast(spark, heavy):
+    rows = spark.createDataFrame([(i % 3 if i % 4 else None, i) for i in range(20)], "k long, v long")
+    facts = rows.where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("m")).where("k > 0")
+    out = joined_to_facts(rows, facts, "k", "n", heavy).select("k", "v", "n", "m").collect()
+    wanted = [(i % 3, i) for i in range(20) if i % 4 and i % 3]
+    assert sorted((r["k"], r["v"]) for r in out) == sorted(wanted) and all(r["n"] == sum(k == r["k"] for k, _ in wanted) for r in out)
+
+
 def test_bytes_are_those_of_compact_json(spark):
     import json
 
