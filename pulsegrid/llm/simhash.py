@@ -10,8 +10,8 @@ Equal fingerprints are folded to one before any join, links leave a bucket as a
 found by distributed star joins. Nothing about single documents reaches the driver.
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero, linked like any other; one
-or two words make one shingle; a row without doc_id keeps its fingerprint, gives no name to a component, and gets the
-component of its fingerprint (null if no document with an id has it); rows with one doc_id are separate texts of it.
+or two words make one shingle; a row without doc_id keeps its fingerprint, gives no name to a component, links others like
+any row, and gets the smallest id of its component (null if that has none); rows with one doc_id are separate texts of it.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.storage import cut, small_or_shuffled
+from pulsegrid.functions.storage import cut, joined_to_facts, small_or_shuffled
 from pulsegrid.llm.common import FOLD_BYTES
 from pulsegrid.operators.graph import connected_components
 
@@ -65,14 +65,18 @@ def fingerprint(text: bytes | None, k: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(documents: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp) of every row, fp a signed long."""
+    """(id, mark, fp) of every row: mark a hash of the text, which tells rows of one id apart, fp a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([b[0], pa.array([fingerprint(t, k) for t in b[1].cast(pa.binary()).to_pylist()], pa.int64())], ["id", "fp"])
+            yield pa.record_batch([b[0], b[1], pa.array([fingerprint(t, k) for t in b[2].cast(pa.binary()).to_pylist()], pa.int64())], ["id", "mark", "fp"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    return documents.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return documents.select(F.col(id_col).alias("id"), marked(F.col(text)).alias("mark"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, mark long, fp long")
+
+
+def marked(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _coarse_keys(fp: Column) -> Column:
@@ -165,13 +169,17 @@ def fingerprint_links(reps: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS, hot: int = HOT) -> DataFrame:
-    """(id, fp, component) of every row; component is the smallest id that links reach. Ids are longs."""
+    """(id, mark, fp, component) of every row; component is the smallest id that links reach, also those through rows without id. Ids are longs.
+
+    The graph is one of fingerprints; which id a component has is looked up afterwards.
+    """
     prints = cut(fingerprints(documents, id_col, text, k))
-    reps = prints.groupBy("fp").agg(F.min("id").alias("rep"))
-    reps = cut(reps)
-    found = connected_components(fingerprint_links(reps.where("rep IS NOT NULL"), hot))
-    named = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component"))
-    return prints.join(named, "fp").select("id", "fp", "component")
+    reps = cut(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")))
+    found = cut(connected_components(fingerprint_links(reps.select("fp", F.col("fp").alias("rep")), hot)))
+    placed = reps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+    names = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("name"))
+    named = cut(placed.join(names, "component", "left").select("fp", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("name")).alias("component"), "rows"))
+    return joined_to_facts(prints, named, "fp", "rows").select("id", "mark", "fp", "component")
 
 
 def near_duplicate_report(documents: DataFrame) -> DataFrame:
@@ -180,6 +188,9 @@ def near_duplicate_report(documents: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """documents without those whose component has a smaller doc_id. Rows without doc_id, and all rows of the kept id, stay."""
-    gone = near_duplicates(documents).where("id <> component").select(F.col("id").alias("doc_id"))
-    return documents.join(gone, "doc_id", "left_anti")
+    """documents without the rows whose component has a smaller doc_id. Rows without doc_id, and all rows of the kept id in the component, stay.
+
+    Rows of one doc_id with different texts are told apart by a hash of the text.
+    """
+    gone = small_or_shuffled(near_duplicates(documents).where("id <> component").select(F.col("id").alias("gone"), "mark"))
+    return documents.join(gone, (documents["doc_id"] == gone["gone"]) & (marked(documents["text"]) == gone["mark"]), "left_anti")

@@ -104,3 +104,19 @@ def test_awkward_rows(awkward, nothing):
     assert {by[i]["fingerprint"] for i in (3, 4, 5)} == {"0" * 16} and {by[i]["component_id"] for i in (3, 4, 5)} == {3}
     kept = s.keep_one(awkward)
     assert kept.columns == awkward.columns and {r["doc_id"] for r in kept.collect()} == {-5, 1, 3, 6, 7, None}
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    """What only one row has is kept, whatever other rows of its id are."""
+    rng = random.Random(2)
+    a, b = (" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(2))
+    docs = spark.createDataFrame([(1, a), (5, a), (5, b), (None, b)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in s.keep_one(docs).collect()) == sorted([(1, a), (5, b), (0, b)])
+
+
+def test_links_through_a_row_without_id(spark, monkeypatch):
+    """Two fingerprints that meet only through one of a row without id."""
+    monkeypatch.setattr(s, "fingerprints", lambda documents, *_: documents.select(s.F.col("doc_id").alias("id"), s.F.lit(0).cast("long").alias("mark"), s.F.col("text").cast("long").alias("fp")))
+    docs = spark.createDataFrame([(8, str(0)), (None, str(0b111)), (6, str(0b111111)), (None, str(1 << 40)), (3, str(1 << 50 | 0xFFFF00))], "doc_id long, text string")
+    out = {r["fp"]: r["component"] for r in s.near_duplicates(docs).collect()}
+    assert out == {0: 6, 0b111: 6, 0b111111: 6, 1 << 40: 6, 1 << 50 | 0xFFFF00: 3}
