@@ -4,8 +4,9 @@ Words are runs of digits, letters a-z (after lowering A-Z) and anything beyond A
 window of WINDOW consecutive words, or one window of all its words where it has fewer. A document word is hit if it
 lies in any occurrence of a window. A window's polynomial hash only proposes; the words themselves decide.
 
-The benchmark is read in blocks of at most BLOCK_WORDS words. Every block is broadcast and scanned by a pass of its
-own over the same rows, so the size of a broadcast is bounded whatever the benchmark's size.
+The benchmark is read in blocks of about BLOCK_WORDS words, parts of an item if it is longer. Every block is broadcast
+and scanned by a pass of its own, whose result is kept as a table before the next is sent: the driver holds two blocks
+and an executor one, whatever the benchmark's size. One pass, and no table, where one block holds the benchmark.
 
 Defined results: null texts have no words; items without an id or without words are ignored; all rows are kept and
 answered for, also those with a null or repeated doc_id; an empty benchmark hits nothing.
@@ -22,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.functions.storage import kept
 from pulsegrid.llm.common import LOWER, UPPER
 
 WINDOW = 10
@@ -90,11 +92,13 @@ def _blocks(benchmark: DataFrame, n: int, most: int) -> Iterator[Windows]:
     block, size = Windows(n), 0
     for item, text in benchmark.select(F.col("item_id").cast("string"), F.col("text")).where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
         found = words(text.encode())
-        if size and size + len(found) > most:
-            yield block.close()
-            block, size = Windows(n), 0
-        size += len(found)
-        block.add(item, found)
+        for at in range(0, max(1, len(found) - n + 1), most):  # a long item's windows go into several blocks
+            part = found[at : at + most + n - 1]
+            if size and size + len(part) > most:
+                yield block.close()
+                block, size = Windows(n), 0
+            size += len(part)
+            block.add(item, part)
     if size:
         yield block.close()
 
@@ -109,8 +113,11 @@ def scan(documents: DataFrame, benchmark: DataFrame, text: str = "text", n: int
     """documents with n_words, hit_runs (first word and the one after the last, for each run of hit words) and hit_items (sorted)."""
     out = documents.withColumns({"n_words": F.lit(None).cast("long"), "hit_runs": F.lit(None).cast("array<array<long>>"), "hit_items": F.lit(None).cast("array<string>")})
     at = documents.columns.index(text)
-    for block in list(_blocks(benchmark, n, block_words)) or [Windows(n).close()]:
+    blocks = _blocks(benchmark, n, block_words)
+    block = next(blocks, None) or Windows(n).close()
+    while block:
         sent = documents.sparkSession.sparkContext.broadcast((block.ids, block.items, block.hashes))
+        block = next(blocks, None)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             windows = Windows(n)
@@ -130,6 +137,9 @@ def scan(documents: DataFrame, benchmark: DataFrame, text: str = "text", n: int
                 yield pa.RecordBatch.from_arrays([*b.columns[:-3], *own], schema=b.schema)
 
         out = out.mapInArrow(run, out.schema)
+        if block:
+            out = kept(out, "scanned")
+            sent.destroy()
     return out
 
 
