@@ -1,17 +1,18 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs, written and trained in numpy.
 
-A word enters as a hashed word vector beside the mean and the strongest of its hashed character-trigram vectors. Two
+A word enters as a hashed word vector beside the mean of its hashed character-trigram vectors and fixed log-odds. Two
 gated recurrent layers, one each way, read a window of WIDTH words; attention pools their states into one logit.
 Windows start every WIDTH / 2 words, so all overlapping windows of the whole text are read; the text's logit is that
 of its most toxic window, put on the scale of probabilities by a logistic fit.
 
 Training is on labelled rows only: at most about SAMPLE_POSITIVE and SAMPLE_NEGATIVE of them, chosen by a hash (all
-of them where there are fewer), so the driver holds a bounded sample however large the corpus is. One half sets
-the starting weights of the vectors (smoothed log-odds), the other half trains the network, on the windows that decide its
-texts, chosen again with the network of the round before. Language, source and id never enter a score.
+of them where there are fewer), so the driver holds a bounded sample however large the corpus is. Beside the trained vectors,
+the smoothed log-odds of the word and of its strongest runs of three and five characters enter; in training each of FOLDS
+folds sees the log-odds that the other rows give, and so does the logistic fit. The network is trained on the windows that
+decide its texts, chosen again with the network of the round before. Language, source and id never enter a score.
 
 Defined results: null and empty texts get the score of an empty window; labels of texts that do not exist, null
-labels and repeated labels of one id (the largest counts) are no problem; without labels of both kinds every score is
+labels and repeated labels of one id (the largest counts), and repeated ids (the smallest text is learned) are no problem; without labels of both kinds every score is
 the smoothed share of toxic labels.
 """
 
@@ -32,9 +33,12 @@ SAMPLE_POSITIVE, SAMPLE_NEGATIVE = 4000, 6000
 THRESHOLD = 0.3
 WIDTH, STRIDE = 32, 16
 HIDDEN, VECTOR, ATTENTION = 8, 8, 8
-#: Hash buckets of words and of character trigrams.
-BUCKETS = 1 << 16
-ROUNDS, EPOCHS, BATCH, RATE = 2, 3, 256, 0.01
+#: Hash buckets of words and of runs of characters; those of their trained vectors.
+BITS, FIVE = 18, 5
+BUCKETS, TRAINED = 1 << BITS, 1 << 14
+#: Rows of one fold see the log-odds that the others give.
+FOLDS = 4
+ROUNDS, EPOCHS, BATCH, RATE, SLOW = 2, 2, 256, 0.01, 0.05
 SEED = 20240131
 #: Words scored at once, and so the memory of a task, are about this many.
 TOGETHER = 1 << 17
@@ -44,17 +48,21 @@ def _segments(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(lengths)[:-1]))
 
 
-def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words -> word bucket of each, trigram buckets of all, number of trigrams of each. A word's trigrams include its ends, so there are as many as bytes."""
-    raw = np.frombuffer(b"<" + b"><".join(words) + b">", np.uint8).astype(np.uint32)
+def word_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words -> bucket of each, buckets of all their trigrams and of all their runs of FIVE bytes, bytes of each.
+
+    A word stands between two marks (and FIVE - 3 blanks more behind it), so it has as many of either as it has bytes.
+    """
+    raw = np.frombuffer(b"<" + b">  <".join(words) + b">  ", np.uint8).astype(np.uint32)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
+    at = np.arange(lengths.sum()) + 4 * np.repeat(np.arange(len(words)), lengths)
     mixed = (raw[:-2] * np.uint32(0x01000193) ^ raw[1:-1]) * np.uint32(0x85EBCA6B) ^ raw[2:] * np.uint32(0xC2B2AE35)
-    at = np.arange(lengths.sum()) + 2 * np.repeat(np.arange(len(words)), lengths)
-    grams = mixed[at]
-    grams = ((grams ^ grams >> np.uint32(15)) * np.uint32(0x2C1B3C6D)) >> np.uint32(16)
+    five = (mixed[at] * np.uint32(0x9E3779B1) ^ raw[at + 3]) * np.uint32(0x85EBCA77) ^ raw[at + 4] * np.uint32(0x27D4EB2F)
+    grams, five = ((x ^ x >> np.uint32(15)) * np.uint32(0x2C1B3C6D) for x in (mixed[at], five))
     weight = np.arange(1, len(at) + 1, dtype=np.uint32) - np.repeat(_segments(lengths), lengths).astype(np.uint32)
     whole = np.add.reduceat((mixed[at] ^ mixed[at] >> np.uint32(13)) * (np.uint32(2) * weight * weight + np.uint32(1)), _segments(lengths), dtype=np.uint32)
-    return ((whole ^ whole >> np.uint32(16)) * np.uint32(0x45D9F3B) >> np.uint32(16)).astype(np.int64), grams.astype(np.int64), lengths
+    whole = (whole ^ whole >> np.uint32(16)) * np.uint32(0x45D9F3B)
+    return *((x >> np.uint32(32 - BITS)).astype(np.int64) for x in (whole, grams, five)), lengths
 
 
 class Texts:
@@ -87,29 +95,30 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Network:
     """Weights, the pass forward and the pass back."""
 
-    inputs = 2 * VECTOR + 1
+    inputs = 2 * VECTOR + 3
 
-    def __init__(self, rng: np.random.Generator, word_odds: np.ndarray, gram_odds: np.ndarray):
+    def __init__(self, rng: np.random.Generator, odds: list[np.ndarray]):
         draw = lambda *shape: (rng.standard_normal(shape) / math.sqrt(shape[0])).astype(np.float32)
-        self.gram_odds = gram_odds.astype(np.float32)
-        self.p = {"word": (0.05 * rng.standard_normal((BUCKETS, VECTOR))).astype(np.float32), "gram": (0.05 * rng.standard_normal((BUCKETS, VECTOR))).astype(np.float32)}
-        self.p["word"][:, 0], self.p["gram"][:, 0] = word_odds, gram_odds
+        self.odds = odds
+        self.p = {k: (0.02 * rng.standard_normal((TRAINED, VECTOR))).astype(np.float32) for k in ("word", "gram")}
         for way in "fb":
             self.p |= {f"in_{way}": draw(self.inputs, 3 * HIDDEN), f"b_{way}": np.zeros(3 * HIDDEN, np.float32), f"u_{way}": draw(HIDDEN, 3 * HIDDEN)}
         self.p |= {"att": draw(2 * HIDDEN, ATTENTION), "att_v": draw(ATTENTION, 1), "out": draw(2 * HIDDEN, 1), "out_b": np.full(1, -1.0, np.float32)}
         self.scale = (1.0, 0.0)
 
-    def vectors(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        """A row for each word, after a row of zeros for places beyond the end."""
+    def vectors(self, words: list[bytes], odds: list[np.ndarray] | None = None) -> tuple[np.ndarray, tuple]:
+        """A row for each word, after a row of zeros for places beyond the end: its vector, the mean of its trigrams', and the log-odds of the word and of its strongest trigram and run of five."""
         out = np.zeros((len(words) + 1, self.inputs), np.float32)
         if not words:
             return out, (None, None, None)
-        word, grams, lengths = word_buckets(words)
-        out[1:, :VECTOR] = self.p["word"][word]
+        (word, grams, five, lengths), odds = word_buckets(words), odds or self.odds
         at = _segments(lengths)
-        out[1:, VECTOR:-1] = np.add.reduceat(self.p["gram"][grams], at) / lengths[:, None]
-        out[1:, -1] = np.maximum.reduceat(self.gram_odds[grams], at)
-        return out, (word, grams, lengths)
+        out[1:, :VECTOR] = self.p["word"][word % TRAINED]
+        out[1:, VECTOR:-3] = np.add.reduceat(self.p["gram"][grams % TRAINED], at) / lengths[:, None]
+        out[1:, -3] = odds[0][word]
+        out[1:, -2] = np.maximum.reduceat(odds[1][grams], at)
+        out[1:, -1] = np.maximum.reduceat(odds[2][five], at)
+        return out, (word % TRAINED, grams % TRAINED, lengths)
 
     def forward(self, vectors: np.ndarray, windows: np.ndarray, mask: np.ndarray, keep: bool = False):
         p, n = self.p, len(windows)
@@ -168,19 +177,25 @@ class Network:
         g["word"], g["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
         if word is not None:
             np.add.at(g["word"], word, d_vectors[1:, :VECTOR])
-            np.add.at(g["gram"], grams, np.repeat(d_vectors[1:, VECTOR:-1] / lengths[:, None], lengths, axis=0))
+            np.add.at(g["gram"], grams, np.repeat(d_vectors[1:, VECTOR:-3] / lengths[:, None], lengths, axis=0))
         return g
 
-    def logits(self, texts: list[bytes | None]) -> np.ndarray:
-        """The logit of each text's most toxic window, and which window it is."""
+    def logits(self, texts: list[bytes | None], odds: list[np.ndarray] | None = None) -> np.ndarray:
+        """The logit of each text's most toxic window."""
         batch = Texts(texts)
-        scores = self.forward(self.vectors(batch.words)[0], batch.windows, batch.mask)
-        return np.maximum.reduceat(scores, batch.bounds)
+        return np.maximum.reduceat(self.forward(self.vectors(batch.words, odds)[0], batch.windows, batch.mask), batch.bounds)
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        """Probabilities, a bounded number of words at a time (a very long text goes alone, in windows)."""
+        """Probabilities, a bounded number of words at a time: a long text goes alone, in parts that begin where windows do, with its maximum so far."""
         out, part, size = [], [], 0
         for t in texts:
+            if len(t or b"") > 6 * TOGETHER:
+                found = split_words(t)
+                out += [self.logits(part)] if part else []
+                parts = range(0, max(1, len(found) - STRIDE), TOGETHER)
+                out.append(np.array([max(float(self.logits([b" ".join(found[at : at + TOGETHER + STRIDE])])[0]) for at in parts)]))
+                part, size = [], 0
+                continue
             part.append(t)
             size += len(t or b"") // 6 + 1
             if size >= TOGETHER:
@@ -192,16 +207,25 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.scale[0] * x.astype(np.float64) + self.scale[1], -30, 30)))
 
 
-def _log_odds(buckets_of: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Smoothed log-odds of each bucket's presence in toxic against other texts, shrunk where it is seldom seen."""
-    seen = np.zeros((2, BUCKETS))
-    for own, y in zip(buckets_of, toxic):
-        seen[int(y), own] += 1
-    n = np.maximum(1, np.bincount(toxic.astype(int), minlength=2))
+def _log_odds(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Smoothed log-odds of each bucket's presence in toxic against other texts, from how many of the n of each kind have it, shrunk where it is seldom seen."""
     odds = np.log((seen[1] + 0.5) / (n[1] + 1)) - np.log((seen[0] + 0.5) / (n[0] + 1))
     return (odds * seen.sum(axis=0) / (seen.sum(axis=0) + 4)).astype(np.float32)
 
 
+def _counted(texts: list[bytes], toxic: np.ndarray, fold: np.ndarray) -> tuple[list[list[np.ndarray]], list[np.ndarray]]:
+    """Log-odds of words, trigrams and runs of five as each fold sees them, from the rows of the others, and those from all rows."""
+    seen = np.zeros((3, FOLDS, 2, BUCKETS), np.int32)
+    n = np.zeros((FOLDS, 2), np.int64)
+    for text, y, f in zip(texts, toxic.astype(int).tolist(), fold.tolist()):
+        n[f, y] += 1
+        if own := sorted(set(split_words(text))):
+            for k, buckets in enumerate(word_buckets(own)[:3]):
+                seen[k, f, y, np.unique(buckets)] += 1
+    every, rows = seen.sum(axis=1), n.sum(axis=0)
+    return [[_log_odds(every[k] - seen[k, f], rows - n[f]) for k in range(3)] for f in range(FOLDS)], [_log_odds(every[k], rows) for k in range(3)]
+
+
 class Constant:
     def __init__(self, share: float):
         self.share = share
@@ -216,44 +240,37 @@ def train(texts: list[bytes], toxic: list[int], weights: list[float], seed: int
     if not 2 <= y.sum() <= len(y) - 2:
         return Constant(float(((y * w).sum() + 0.5) / (w.sum() + 1)))
     rng = np.random.default_rng(seed)
-    order = np.concatenate([rng.permutation(np.flatnonzero(y == v)) for v in (0, 1)])
-    first, second = order[::2], order[1::2]
-    words_of, grams_of = [], []
-    for i in first:
-        own = sorted(set(split_words(texts[i])))
-        a, b = word_buckets(own)[:2] if own else (np.zeros(0, int), np.zeros(0, int))
-        words_of.append(np.unique(a).astype(np.int32))
-        grams_of.append(np.unique(b).astype(np.int32))
-    net = Network(rng, _log_odds(words_of, y[first]), _log_odds(grams_of, y[first]))
-    del words_of, grams_of
+    fold = np.empty(len(y), np.int64)
+    for v in (0, 1):
+        own = rng.permutation(np.flatnonzero(y == v))
+        fold[own] = np.arange(len(own)) % FOLDS
+    folds, all_ = _counted(texts, y, fold)
+    net = Network(rng, all_)
     moments: dict = {}
     step = 0
-    for round_ in range(ROUNDS + 1):
-        # the windows that decide: at first those with the strongest single word or trigram
-        rows = []
-        for at in range(0, len(second), 64):
-            own = second[at : at + 64]
-            batch = Texts([texts[i] for i in own])
-            vectors, _ = net.vectors(batch.words)
-            if round_:
-                strength = net.forward(vectors, batch.windows, batch.mask)
-            else:
-                per_word = np.maximum(vectors[:, 0], vectors[:, -1])
+    for round_ in range(ROUNDS):
+        rows: list[list[tuple]] = [[] for _ in range(FOLDS)]  # the windows that decide: at first those with the strongest log-odds
+        for f in range(FOLDS):
+            mine = np.flatnonzero(fold == f)
+            for at in range(0, len(mine), 64):
+                own = mine[at : at + 64]
+                batch = Texts([texts[i] for i in own])
+                vectors, _ = net.vectors(batch.words, folds[f])
+                per_word = vectors[:, -3:].max(axis=1)
                 per_word[0] = -9
-                strength = per_word[batch.windows].max(axis=1)
-            for k, i in enumerate(own):
-                a, b = batch.bounds[k], batch.bounds[k + 1] if k + 1 < len(own) else len(batch.owner)
-                chosen = {a + int(np.argmax(strength[a:b]))} | ({int(rng.integers(a, b))} if not y[i] else set())
-                rows += [([batch.words[x - 1] for x in batch.windows[c] if x], y[i], w[i] / len(chosen)) for c in chosen]
-        if round_ == ROUNDS:
-            break
+                strength = net.forward(vectors, batch.windows, batch.mask) if round_ else per_word[batch.windows].max(axis=1)
+                for k, i in enumerate(own):
+                    a, b = batch.bounds[k], batch.bounds[k + 1] if k + 1 < len(own) else len(batch.owner)
+                    chosen = {a + int(np.argmax(strength[a:b]))} | ({int(rng.integers(a, b))} if not y[i] else set())
+                    rows[f] += [([batch.words[x - 1] for x in batch.windows[c] if x], y[i], w[i] / len(chosen)) for c in chosen]
         for _ in range(EPOCHS):
-            for at in range(0, len(order := rng.permutation(len(rows))), BATCH):
-                part = [rows[i] for i in order[at : at + BATCH]]
+            parts = [(f, order[at : at + BATCH]) for f in range(FOLDS) for order in [rng.permutation(len(rows[f]))] for at in range(0, len(order), BATCH)]
+            for at in rng.permutation(len(parts)):
+                f, chosen = parts[at]
+                part = [rows[f][i] for i in chosen]
                 batch = Texts([b" ".join(r[0]) for r in part])
-                first_of = batch.bounds
-                vectors, parts = net.vectors(batch.words)
-                g = net.gradients(vectors, parts, batch.windows[first_of], batch.mask[first_of], np.array([r[1] for r in part]), np.array([r[2] for r in part]))
+                vectors, buckets = net.vectors(batch.words, folds[f])
+                g = net.gradients(vectors, buckets, batch.windows[batch.bounds], batch.mask[batch.bounds], np.array([r[1] for r in part]), np.array([r[2] for r in part]))
                 step += 1
                 for k, v in g.items():
                     m, s = moments.setdefault(k, (np.zeros_like(net.p[k]), np.zeros_like(net.p[k])))
@@ -261,9 +278,14 @@ def train(texts: list[bytes], toxic: list[int], weights: list[float], seed: int
                     m += 0.1 * v
                     s *= 0.99
                     s += 0.01 * v * v
-                    net.p[k] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
-    x = np.concatenate([net.logits([texts[i] for i in second[at : at + 64]]) for at in range(0, len(second), 64)]).astype(float)
-    net.scale = _logistic(x, y[second], w[second])
+                    rate = RATE * (SLOW if k in ("word", "gram") else 1)
+                    net.p[k] -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-7)
+    x = np.empty(len(y))
+    for f in range(FOLDS):
+        mine = np.flatnonzero(fold == f)
+        for at in range(0, len(mine), 64):
+            x[mine[at : at + 64]] = net.logits([texts[i] for i in mine[at : at + 64]], folds[f])
+    net.scale = _logistic(x, y, w)
     return net
 
 
@@ -291,7 +313,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Network | Constant:
     rate = {v: min(1.0, most / max(1, count.get(v, 0))) for v, most in ((1, SAMPLE_POSITIVE), (0, SAMPLE_NEGATIVE))}
     chosen = usable.where(unit_interval(F.col("doc_id").cast("string"), seed="labelled") < F.when(F.col("y") == 1, rate[1]).otherwise(rate[0]))
     # about SAMPLE_POSITIVE + SAMPLE_NEGATIVE rows, which bounds the broadcast and what the driver holds
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").collect()
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.coalesce(F.min("text"), F.lit("")).alias("text")).collect()
     rows = sorted((r["doc_id"], r["text"].encode(), r["y"]) for r in rows)
     return train([t for _, t, _ in rows], [y for _, _, y in rows], [1 / rate[y] for _, _, y in rows])
 

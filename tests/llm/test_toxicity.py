@@ -10,7 +10,7 @@ from pulsegrid.llm import toxicity as t
 
 def test_gradients():
     rng = np.random.default_rng(0)
-    net = t.Network(rng, rng.standard_normal(t.BUCKETS), rng.standard_normal(t.BUCKETS))
+    net = t.Network(rng, [rng.standard_normal(t.BUCKETS) for _ in range(3)])
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     batch = t.Texts([b"some words here", b"", b"other words " * 12])
     first = batch.bounds
@@ -76,3 +76,80 @@ def test_report(spark, awkward, nothing):
     assert odd.count() == awkward.count() and t.report(nothing, labels).count() == 0
     kept = t.reject(awkward, labels.limit(0))
     assert kept.columns == awkward.columns and kept.count() in (0, awkward.count())
+
+
+def plain_logit(net, text):
+    """Every window by itself, word by word, gate by gate."""
+    words = t.split_words(text)
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    best = -np.inf
+    for start in range(0, max(1, len(words) - t.STRIDE), t.STRIDE):
+        rows = []
+        for w in words[start : start + t.WIDTH]:
+            word, grams, five, _ = t.word_buckets([w])
+            rows.append(np.concatenate((net.p["word"][word[0] % t.TRAINED], net.p["gram"][grams % t.TRAINED].mean(axis=0), [net.odds[0][word[0]], net.odds[1][grams].max(), net.odds[2][five].max()])))
+        ways = []
+        for way in "fb":
+            h, trail = np.zeros(t.HIDDEN), []
+            for x in rows if way == "f" else rows[::-1]:
+                i, u = x @ net.p[f"in_{way}"] + net.p[f"b_{way}"], h @ net.p[f"u_{way}"]
+                z, r = (sig(i[k * t.HIDDEN : (k + 1) * t.HIDDEN] + u[k * t.HIDDEN : (k + 1) * t.HIDDEN]) for k in (0, 1))
+                new = np.tanh(i[2 * t.HIDDEN :] + r * u[2 * t.HIDDEN :])
+                h = new + z * (h - new)
+                trail.append(h)
+            ways.append(trail if way == "f" else trail[::-1])
+        pooled = np.zeros(2 * t.HIDDEN)
+        if rows:
+            states = np.concatenate([np.array(x) for x in ways], axis=1)
+            e = np.exp(np.tanh(states @ net.p["att"]) @ net.p["att_v"][:, 0])
+            pooled = (e / e.sum()) @ states
+        best = max(best, float(pooled @ net.p["out"][:, 0] + net.p["out_b"][0]))
+    return 1 / (1 + np.exp(-(net.scale[0] * best + net.scale[1])))
+
+
+def test_scores_against_a_plain_network(monkeypatch):
+    """Also in the parts of long texts."""
+    learn = corpus(200, 5)
+    net = t.train([x.encode() for x, _ in learn], [y for _, y in learn], [1.0] * len(learn))
+    texts = [x.encode() for x, _ in corpus(12, 6)] + [None, b"", b"one", b"ends < > zorq1 " * 30]
+    wanted = [plain_logit(net, x) for x in texts]
+    assert net.scores(texts) == pytest.approx(wanted, abs=1e-4)
+    monkeypatch.setattr(t, "TOGETHER", 2 * t.STRIDE)
+    assert net.scores(texts) == pytest.approx(wanted, abs=1e-4)
+
+
+def test_repeated_labelled_ids(spark):
+    """A labelled id of many rows is learned once."""
+    learn = corpus(60, 7)
+    docs = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(learn)] + [(1, learn[1][0])] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(learn)], "doc_id long, toxic int")
+    assert (t.fit(docs, labels).scores([b"zorq5 the"]) == t.fit(docs.distinct(), labels).scores([b"zorq5 the"])).all()
+
+
+def test_held_out_rows_of_the_test_data():
+    """No worse than the strongest word's log-odds, and most toxic rows found at the fixed threshold."""
+    import zlib
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    docs, labels = (pq.read_table(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    text, toxic = dict(zip(docs["doc_id"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist())), dict(zip(labels["doc_id"].to_pylist(), labels["toxic"].to_pylist()))
+    ids = sorted(i for i in toxic if i in text and toxic[i] is not None)
+    judged = [i for i in ids if zlib.crc32(str(i).encode()) % 4 == 2]
+    learned = sorted(set(ids) - set(judged))
+    net = t.train([text[i] or b"" for i in learned], [toxic[i] for i in learned], [1.0] * len(learned))
+    y = np.array([toxic[i] for i in judged])
+    n = np.bincount([toxic[i] for i in learned], minlength=2)
+    seen = {}
+    for i in learned:
+        for w in set(t.split_words(text[i])):
+            seen.setdefault(w, [0, 0])[toxic[i]] += 1
+    odds = {w: (np.log((b + 0.5) / (n[1] + 1)) - np.log((a + 0.5) / (n[0] + 1))) * (a + b) / (a + b + 4) for w, (a, b) in seen.items()}
+
+    def area(x):
+        return np.mean([(x[y == 1] > v).mean() + 0.5 * (x[y == 1] == v).mean() for v in x[y == 0]])
+
+    score = net.scores([text[i] for i in judged])
+    plain = np.array([max((odds[w] for w in set(t.split_words(text[i])) if w in odds), default=-9) for i in judged])
+    assert area(score) >= max(0.93, area(plain) - 0.005) and (score[y == 1] >= t.THRESHOLD).mean() > 0.8 and (score[y == 0] >= t.THRESHOLD).mean() < 0.04
