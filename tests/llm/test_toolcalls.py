@@ -1,6 +1,7 @@
 """Tool calls: linking, order, validation, canonical JSON."""
 
 import json
+import random
 
 import pytest
 
@@ -89,3 +90,38 @@ def test_plain_dialogue(spark, small):
 def test_odd_rows(spark):
     odd = spark.createDataFrame([(1, 0, "user", None, "own"), (1, 0, "user", None, "own"), (None, None, None, "", "own"), (2, 0, "user", "x " * 50_000, "own")], SCHEMA + ", status string")
     assert t.report(odd).count() == 4 and t.report(odd.limit(0)).count() == 0
+
+
+def test_json_that_cannot_be_walked_or_written(spark):
+    deep = "[" * 3000 + "]" * 3000
+    rows = [(1, 0, "assistant", '{"tool_calls": [{"id": "a", "name": "search", "arguments": {"query": ' + deep + "}}]}"), (1, 1, "tool", '{"tool_call_id": "a", "content": ' + deep + "}"),
+            (2, 0, "assistant", '{"tool_calls": [{"id": "b", "name": "search", "arguments": {"query": "x", "limit": ' + "9" * 400 + "}}]}"),
+            (3, 0, "assistant", '{"tool_calls": [{"id": "c\\ud800", "name": "search\\udfff", "arguments": {"query": "\\ud800"}, "depends_on": ["\\ud801"]}]}'), (3, 1, "tool", '{"tool_call_id": "c\\ud800", "content": "\\ud800x"}')]
+    out = linked(spark, rows)
+    kinds = {(r["conv_id"], r["turn"]): (r["kind"], r["status"]) for r in out}
+    assert kinds == {(1, 0): ("message", "message"), (1, 1): ("message", "message"), (2, 0): ("call", "unanswered"), (3, 0): ("call", "linked"), (3, 1): ("result", "linked")}
+    assert all(json.loads(r["json"]) for r in out)
+
+
+@pytest.mark.parametrize("most", [t.ONE_TASK, 0])
+def test_levels_against_the_longest_chain(spark, most):
+    rng = random.Random(6)
+    rows, wanted = [], {}
+    for conv in (None, 1, 2):
+        needs = {i: sorted(rng.sample(range(i), min(i, rng.randrange(3)))) for i in range(30)}
+        needs[30], needs[31], needs[32] = [31], [30], [99]
+        needs[33] = [3, 32]
+        level = {}
+        for i in range(30):
+            level[i] = 1 + max((level[k] for k in needs[i]), default=-1)
+        wanted |= {(conv, str(i)): n for i, n in level.items()}
+        rows += [(conv, str(i), [str(k) for k in n]) for i, n in needs.items()]
+    found = t.levels(spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>"), most).collect()
+    assert len(found) == len(wanted) and {(r["conv_id"], r["call_id"]): r["level"] for r in found} == wanted
+
+
+def test_real_calls_stay_as_they_are(spark):
+    rows = [(1, 0, "user", "hello"), (1, 1, "assistant", call(("a", "search", {"query": "x"}))), (1, 2, "tool", result("a", 1)), (1, 3, "assistant", "there"), (2, 0, "user", "one"), (2, 1, "assistant", "two"), (2, 2, "user", "three"), (2, 3, "assistant", "four")]
+    out = {(r["conv_id"], r["turn"]): (r["kind"], r["call_id"], r["status"], r["level"]) for r in t.report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out == {(1, 0): ("call", "turn-1", "unanswered", 0), (1, 1): ("call", "a", "linked", 0), (1, 2): ("result", "a", "linked", 0), (1, 3): ("result", "turn-3", "orphan", None),
+                   (2, 0): ("call", "turn-1", "linked", 0), (2, 1): ("result", "turn-1", "linked", 0), (2, 2): ("call", "turn-3", "linked", 1), (2, 3): ("result", "turn-3", "linked", 1)}
