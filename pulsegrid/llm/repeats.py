@@ -54,6 +54,8 @@ FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64)) for k in range
 JOINS = [(0, 1), (2, 3), (4, 5), (6, 7)]
 #: Surroundings of a cell that one task holds, and the parts of larger ones.
 LOCAL, CHUNK = 16_384, 4_096
+#: Cells of so few surroundings are compared many at a time.
+TOGETHER_ROWS = 16
 #: Tasks that the cells of one smallest label may meet in.
 SPREAD = 4
 #: Rounds of setting aside before more than so many surroundings are compared.
@@ -254,6 +256,8 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     ordered = set(a[x].tolist())
     moved = np.array([(i, once[1][c]) for c, i in once[0].items() if c not in ordered and c in once[1]], np.int64).reshape(-1, 2)
     pairs = np.concatenate((chain, moved))
+    if len(pairs) < COMMON:
+        return False
     low = np.minimum(np.searchsorted(x, pairs[:, 0], "right"), np.searchsorted(y, pairs[:, 1], "right")) - 1
     high = np.maximum(np.searchsorted(x, pairs[:, 0]), np.searchsorted(y, pairs[:, 1]))
     inside = (low >= 0) & (high < len(x))
@@ -439,6 +443,38 @@ def joined(codes: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
     return found
 
 
+def _codes_in_both(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of codes, pair by pair -> which codes of a row its partner has too."""
+    both = np.concatenate((a, b), axis=1)
+    width, place = a.shape[1], np.arange(both.shape[1])
+    order = np.argsort(both, axis=1, kind="stable")  # of equal codes those of a come first
+    ranked = np.take_along_axis(both, order, axis=1)
+    new = np.ones((len(a), both.shape[1] + 1), bool)
+    new[:, 1:-1] = ranked[:, 1:] != ranked[:, :-1]
+    first = np.maximum.accumulate(np.where(new[:, :-1], place, 0), axis=1)
+    last = np.minimum.accumulate(np.where(new[:, 1:], place, len(place))[:, ::-1], axis=1)[:, ::-1]
+    shared = (np.take_along_axis(order, first, axis=1) < width) & (np.take_along_axis(order, last, axis=1) >= width) & (ranked >= _PLACES)
+    out = np.empty(both.shape, bool)
+    np.put_along_axis(out, order, shared, axis=1)
+    return out[:, :width], out[:, width:]
+
+
+def joined_pairs(codes: np.ndarray, labels: np.ndarray, pairs: np.ndarray, root: Callable[[int], int], tie: Callable[[int, int], None]) -> None:
+    """Pairs of surroundings, those of many cells together: tie(labels) where they are near, unless root has them joined already."""
+    for at in range(0, len(pairs), 1024):
+        i, j = pairs[at : at + 1024].T
+        a, b = codes[i], codes[j]
+        sure = _dense((a == b) & (a >= _PLACES), (2 * LIKENESS[0], sum(LIKENESS)), 0).any(axis=1)
+        for x, y in zip(labels[i[sure]].tolist(), labels[j[sure]].tolist()):
+            tie(x, y)
+        open_ = np.flatnonzero(~sure & np.array([root(x) != root(y) for x, y in zip(labels[i].tolist(), labels[j].tolist())], bool))
+        in_a, in_b = _codes_in_both(a[open_], b[open_])
+        maybe = open_[_viable(in_a).any(axis=1) & _viable(in_b).any(axis=1)]
+        for x, y, k in zip(labels[i[maybe]].tolist(), labels[j[maybe]].tolist(), maybe.tolist()):
+            if root(x) != root(y) and alike(a[k], np.where((b[k] > 0) & (b[k] < _PLACES), b[k] + _PLACES, b[k])):
+                tie(x, y)
+
+
 def _texts_in_parts(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
     """A batch(id, text, ...) in parts of about SPLIT bytes or one text: (ids, words in a row, bounds, which rows)."""
     ids, at, held, size = np.asarray(b[0], np.int64), 0, [], 0
@@ -470,16 +506,21 @@ def _cell_keys(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, *_: objec
     return ids[owner], keys.view(np.int64)
 
 
-def _cell_places(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, shared: np.ndarray | None) -> tuple[np.ndarray, ...]:
+def _cell_places(ids: np.ndarray, words: np.ndarray, bounds: np.ndarray, shared: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, ...]:
     keys, centres = cells(words, bounds)
-    if shared is not None and len(keys):
-        i = np.minimum(np.searchsorted(shared, keys), max(0, len(shared) - 1))
-        own = shared[i] == keys if len(shared) else np.zeros(len(keys), bool)
+    if shared is not None:
+        values, high = shared
+        own = np.flatnonzero(high[keys >> _HIGH])  # few of the others get past their high bits
+        own = own[values[np.minimum(np.searchsorted(values, keys[own]), len(values) - 1)] == keys[own]] if len(own) else own
         keys, centres = keys[own], centres[own]
     owner = np.searchsorted(bounds, centres, "right") - 1
     return ids[owner], keys.view(np.int64), centres - bounds[owner], about(words, bounds[owner], bounds[owner + 1], centres).view(np.int64)
 
 
+#: What is shifted off a value for a table of its high bits (16 MB).
+_HIGH = np.uint64(40)
+
+
 def shared_cells(texts: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:
     """texts(id, text) -> (id, key, at, words) of the cells that several texts have: its hash, its place, a hash of the words about it."""
     one_each = _each(texts, _cell_keys, "id long, key long")
@@ -487,7 +528,9 @@ def shared_cells(texts: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:
     schema = "id long, key long, at long, words long"
     if several.count() <= most:
         values = np.sort(np.asarray(several.toArrow()["key"], np.int64).view(np.uint64))
-        sent = texts.sparkSession.sparkContext.broadcast(values)
+        high = np.zeros(1 << 64 - int(_HIGH), bool)
+        high[values >> _HIGH] = True
+        sent = texts.sparkSession.sparkContext.broadcast((values, high))
         return kept(_each(texts, lambda i, w, b, *_: _cell_places(i, w, b, sent.value), schema), "shared-cells")
     return kept(_each(texts, lambda i, w, b, *_: _cell_places(i, w, b, None), schema).join(several, "key", "left_semi"), "shared-cells")
 
@@ -536,8 +579,9 @@ def _compared(rows: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, labels, arounds = None, [], []
         roots: dict[int, int] = {}
+        found: list[tuple[int, int]] = []
+        at, rows, small, pairs = None, {}, [], []
 
         def root(x: int) -> int:
             while (up := roots.get(x, x)) != x:
@@ -545,28 +589,51 @@ def _compared(rows: DataFrame) -> DataFrame:
                 x = up
             return x
 
-        def pairs() -> list[tuple[int, int]]:
-            now = [root(x) for x in labels]
-            if len(set(now)) < 2:
-                return []
+        def tie(x: int, y: int) -> None:
+            x, y = root(x), root(y)
+            if x != y:
+                roots[max(x, y)] = min(x, y)
+                found.append((max(x, y), min(x, y)))
+
+        def together() -> None:
+            """The cells of few surroundings so far."""
+            if pairs:
+                with np.errstate(over="ignore"):
+                    joined_pairs(_codes([a for _, a in small]), np.array([x for x, _ in small], np.int64), np.array(pairs, np.int64), root, tie)
+            small.clear()
+            pairs.clear()
+
+        def one_cell() -> None:
+            now = list(dict.fromkeys((root(x), a) for x, a in rows))
+            if len({x for x, _ in now}) < 2:
+                return
+            if len(now) <= TOGETHER_ROWS:
+                first = len(small)
+                small.extend(now)
+                pairs.extend((first + i, first + j) for j in range(len(now)) for i in range(j) if now[i][0] != now[j][0])
+                if len(pairs) >= 4096:
+                    together()
+                return
+            together()
             with np.errstate(over="ignore"):
-                found = joined(_codes(arounds), np.array(now, np.int64))
-            for c, a in found:
-                c, a = root(c), root(a)
-                roots[max(a, c)] = min(a, c)
-            return found
+                for x, y in joined(_codes([a for _, a in now]), np.array([root(x) for x, _ in now], np.int64)):
+                    tie(x, y)
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)]
+            found.clear()
+            return pa.record_batch(columns, ["src", "dst"])
 
         for b in batches:
-            out = []
             for *k, label, around in zip(*(c.to_pylist() for c in b.columns)):
                 if k != at:
-                    out += pairs()
-                    at, labels, arounds = k, [], []
-                labels.append(label)
-                arounds.append(around)
-            yield pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["src", "dst"])
-        out = pairs()
-        yield pa.record_batch([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["src", "dst"])
+                    one_cell()
+                    at, rows = k, {}
+                rows[label, around] = None
+            yield out()
+        one_cell()
+        together()
+        yield out()
 
     homes = small_or_shuffled(rows.groupBy("key").agg(F.min("label").alias("home")))
     placed = rows.join(homes, "key").withColumn("spread", F.pmod(F.xxhash64("key", "chunk"), F.lit(SPREAD)))
@@ -575,7 +642,7 @@ def _compared(rows: DataFrame) -> DataFrame:
 
 def _peeled(rows: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:
     """rows(key, label, around) of crowded keys -> the same as codes, without what only one label of a key has: see peeled, by a count over all machines."""
-    rows = kept(rows.select("key", "label", "around", F.monotonically_increasing_id().alias("row")), "crowded")
+    rows = kept(rows.select("key", "label", "around").distinct().select("*", F.monotonically_increasing_id().alias("row")), "crowded")
 
     def marks(key: np.ndarray, codes: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -638,7 +705,7 @@ def linked_texts(texts: DataFrame, local: int = LOCAL, values: int = BROADCAST_V
     known = small_or_shuffled(groups.select(F.col("node").alias("id"), "component"))
     labelled = lambda rows: rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     rest = cut(_apart(labelled(places.select("id", "key", "at"))).select("id", "key", "at"))
-    around = kept(labelled(_looked_up(texts, rest)).select("key", "label", "around").distinct(), "surroundings")
+    around = kept(labelled(_looked_up(texts, rest)).select("key", "label", "around"), "surroundings")
     sizes = small_or_shuffled(around.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > local).select("key"))
     ties = _compared(around.join(sizes, "key", "left_anti").withColumn("chunk", F.lit(0)))
     if not sizes.isEmpty():
