@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.storage import cut, joined_to_facts
 
-#: Edges up to this many (160 kB) are joined in one task, which spares small graphs the rounds.
-FEW_EDGES = 10_000
+#: Edges up to this many (8 MB) are joined in one task, which spares small graphs the rounds.
+FEW_EDGES = 500_000
 #: At most so many nodes have their smallest neighbour broadcast: those with the most edges.
 CENTRES = 100_000
 #: Rounds halve the depth of what is left, so this many suffice for any graph that fits a cluster.
@@ -38,7 +38,7 @@ def _small_star(edges: DataFrame, heavy: int) -> DataFrame:
 
 
 def _in_one_task(edges: DataFrame) -> DataFrame:
-    """The same for few edges: every node takes the smallest label over its edges until none changes."""
+    """The same for few edges: the label of either end takes the smaller label until none changes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -50,9 +50,10 @@ def _in_one_task(edges: DataFrame) -> DataFrame:
         label = np.arange(len(nodes))
         while True:
             before, least = label.copy(), np.minimum(label[a], label[b])
-            np.minimum.at(label, a, least)
-            np.minimum.at(label, b, least)
-            label = label[label]
+            for own in (label[a], label[b]):
+                np.minimum.at(label, own, least)
+            while not np.array_equal(up := label[label], label):
+                label = up
             if np.array_equal(before, label):
                 break
         yield pa.record_batch([pa.array(nodes), pa.array(nodes[label])], ["node", "component"])
