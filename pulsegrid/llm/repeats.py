@@ -468,11 +468,21 @@ def joined_pairs(codes: np.ndarray, labels: np.ndarray, pairs: np.ndarray, root:
         for x, y in zip(labels[i[sure]].tolist(), labels[j[sure]].tolist()):
             tie(x, y)
         open_ = np.flatnonzero(~sure & np.array([root(x) != root(y) for x, y in zip(labels[i].tolist(), labels[j].tolist())], bool))
-        in_a, in_b = _codes_in_both(a[open_], b[open_])
-        maybe = open_[_viable(in_a).any(axis=1) & _viable(in_b).any(axis=1)]
-        for x, y, k in zip(labels[i[maybe]].tolist(), labels[j[maybe]].tolist(), maybe.tolist()):
-            if root(x) != root(y) and alike(a[k], np.where((b[k] > 0) & (b[k] < _PLACES), b[k] + _PLACES, b[k])):
-                tie(x, y)
+        a, b, x, y = a[open_], b[open_], labels[i[open_]], labels[j[open_]]
+        for _ in range(3):  # what is common only outside the places that can be in a passage does not count
+            in_a, in_b = (_viable(c) for c in _codes_in_both(a, b))
+            maybe = in_a.any(axis=1) & in_b.any(axis=1)
+            in_a, in_b, a, b, x, y = (c[maybe] for c in (in_a, in_b, a, b, x, y))
+            a, b = _within(a, in_a), _within(b, in_b)
+        for one, other, k, m in zip(x.tolist(), y.tolist(), a, b):
+            if root(one) != root(other) and alike(k, np.where((m > 0) & (m < _PLACES), m + _PLACES, m)):
+                tie(one, other)
+
+
+def _within(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Codes from each row's first place to its last, 0 beyond."""
+    inside = np.maximum.accumulate(places, axis=1) & np.maximum.accumulate(places[:, ::-1], axis=1)[:, ::-1]
+    return np.where(inside, codes, 0)
 
 
 def _texts_in_parts(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
