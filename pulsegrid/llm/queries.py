@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fillmiddle, fingerprints, htmltext, mixing, pitman_yor, repeats, sharding, simhash, toolcalls, toxicity
+from pulsegrid.llm import decontaminate, fillmiddle, fingerprints, htmltext, lexical, mixing, pitman_yor, repeats, sharding, simhash, toolcalls, toxicity
 from pulsegrid.llm.common import table
 
 
@@ -50,13 +50,17 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.shared_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fillmiddle.report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_linked_tool_calls, op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages, op13_fill_in_middle)}
+    return {f.__name__: f for f in (op1_linked_tool_calls, op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages, op12_ranked_search, op13_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_linked_tool_calls": toolcalls.ORACLE, "op5_mixture_sample": mixing.ORACLE, "op6_stratified_shards": sharding.ORACLE, "op8_benchmark_decontamination": decontaminate.ORACLE, "op13_fill_in_middle": fillmiddle.ORACLE}
+    return {"op1_linked_tool_calls": toolcalls.ORACLE, "op5_mixture_sample": mixing.ORACLE, "op6_stratified_shards": sharding.ORACLE, "op8_benchmark_decontamination": decontaminate.ORACLE, "op12_ranked_search": lexical.ORACLE, "op13_fill_in_middle": fillmiddle.ORACLE}
