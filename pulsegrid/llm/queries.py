@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import decontaminate, fillmiddle, fingerprints, htmltext, lexical, mixing, pitman_yor, repeats, sharding, simhash, toolcalls, toxicity
+from pulsegrid.llm import decontaminate, fillmiddle, fingerprints, htmltext, lexical, minhash, mixing, pitman_yor, repeats, sharding, simhash, toolcalls, toxicity
 from pulsegrid.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.shared_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,7 +63,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_linked_tool_calls, op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages, op12_ranked_search, op13_fill_in_middle)}
+    return {f.__name__: f for f in (op1_linked_tool_calls, op2_document_fingerprints, op3_pitman_yor_scores, op4_toxicity, op5_mixture_sample, op6_stratified_shards, op7_visible_text, op8_benchmark_decontamination, op9_simhash_near_duplicates, op10_shared_passages, op11_minhash_near_duplicates, op12_ranked_search, op13_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
