@@ -7,14 +7,13 @@ band and a band's values a bucket; two sets of similarity 0.8 share a bucket wit
 which leaves out fewer than one pair in a million, and more similar ones far fewer.
 
 Equal sets are folded to one node before any of this. Candidates are the edges of stars: every member of a bucket with
-the bucket's smallest node. They are verified on the full sets in three rounds, each of which only looks at what the
-rounds before have not joined:
+the bucket's smallest node. A star cannot see two members that are alike though their centre is like neither; the members
+(but for the centre) of a bucket that still lie in different components are therefore indexed under the rarest fifth of
+their shingles: two sets of similarity 0.8 share one of those, whatever the order, so a common passage brings no pairs
+and no link of a bucket is lost.
 
-1. every node with the smallest centre it has,
-2. all other edges of the stars,
-3. what a star cannot see, as two members may be alike though their centre is like neither: nodes of buckets whose
-   members still lie in different components. They are indexed under the rarest fifth of their shingles: two sets of
-   similarity 0.8 share one of those, whatever the order, so a common passage brings no pairs and no link is lost.
+Either kind of pairs is verified on the full sets in waves, each of which takes the likeliest pair of every node and leaves out
+what the waves before have joined.
 
 Confirmed edges become components by distributed star joins. Sets travel only for nodes that have an edge to verify.
 
@@ -41,6 +40,10 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 60, 7
 #: Least Jaccard similarity, in hundredths.
 SIMILAR = 80
+#: Waves of one pair for each node before all pairs that are left are verified.
+WAVES = 2
+#: Longs of a set's parity.
+PARITY = 8
 #: Bytes of a text whose words are hashed at once.
 PART = 1 << 20
 
@@ -85,23 +88,28 @@ class Signatures:
     def __init__(self, bands: int = BANDS, rows: int = ROWS):
         self.bands, self.rows, self.bins = bands, rows, bands * rows
         self.edges = np.array([(b << 64) // self.bins for b in range(self.bins)], np.uint64)
-        self.tries = 4 * self.bins
+        #: The bins that an empty bin looks at, in order, as far as most sets need them.
+        self.order = np.stack([self._order(attempt, np.arange(self.bins)) for attempt in range(2 * self.bins)], axis=1)
 
     def _order(self, attempt: int, bins: np.ndarray) -> np.ndarray:
         """The bin that an empty bin looks at in an attempt: the same for every set, another for every bin and attempt."""
-        return (mixed(bins.astype(np.uint64) << np.uint64(32) | np.uint64(attempt + 1)) % np.uint64(self.bins)).astype(np.int64)
+        return (mixed(bins.astype(np.uint64) << np.uint64(32) | np.uint64(attempt + 1)) % np.uint64(self.bins)).astype(np.int32)
 
     def values(self, hashes: np.ndarray) -> np.ndarray:
         first = np.searchsorted(hashes, self.edges)
-        after = np.append(first[1:], len(hashes))
-        filled = first < after
+        filled = first < np.append(first[1:], len(hashes))
         value = hashes[np.minimum(first, len(hashes) - 1)]
-        left, attempt = np.flatnonzero(~filled), 0
+        left, attempt, wide = np.flatnonzero(~filled), 0, 8
         while len(left):
-            looked = self._order(attempt, left)
-            hit = filled[looked]
-            value[left[hit]] = value[looked[hit]]
-            left, attempt = left[~hit], attempt + 1
+            if attempt < self.order.shape[1]:
+                looked = self.order[left, attempt : attempt + wide]
+            else:
+                looked = np.stack([self._order(attempt + i, left) for i in range(wide)], axis=1)
+            found = filled[looked]
+            at = found.argmax(axis=1)
+            hit = found[np.arange(len(left)), at]
+            value[left[hit]] = value[looked[hit, at[hit]]]
+            left, attempt, wide = left[~hit], attempt + looked.shape[1], 2 * wide
         return value
 
     def keys(self, hashes: np.ndarray) -> np.ndarray:
@@ -150,32 +158,40 @@ def folded(prints: DataFrame) -> DataFrame:
 
 
 def stars(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (src: a bucket's smallest node, dst: another member), and (key, node) of the buckets with more than two."""
+    """Edges (src: a bucket's smallest node, dst: another member, shared: their buckets), and (key, node) of the buckets with more than two."""
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     buckets = cut(keyed.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last"), F.count(F.lit(1)).alias("members")).where("members > 1"))
     larger = buckets.where("members > 2")
     inside = kept(joined_to_facts(keyed, small_or_shuffled(larger), "key", "members").where("node <> centre").select("key", "node", "centre"), "buckets")
     edges = buckets.where("members = 2").select(F.col("centre").alias("src"), F.col("last").alias("dst")).unionAll(inside.select(F.col("centre").alias("src"), F.col("node").alias("dst")))
-    return cut(edges.distinct()), inside
+    return cut(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("shared"))), inside
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """PARITY longs whose bits say whether an even or odd number of hashes fall on them: two sets differ in no fewer hashes than their parities in bits."""
+    odd = np.bincount((hashes % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def full_sets(documents: DataFrame, nodes: DataFrame, wanted: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """(node, hashes) of the wanted nodes, from their texts. Kept as a table."""
+    """(node, hashes, parity) of the wanted nodes, from their texts. Kept as a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held, at = [], 0
+            held, size, at = [], 0, 0
             for i, t in enumerate(b[1].cast(pa.binary())):
-                held.append(shingle_set(t.as_py(), k).view(np.int64))
-                if sum(map(len, held[-256:])) > PART or len(held) == 256 or i + 1 == b.num_rows:
+                held.append(shingle_set(t.as_py(), k))
+                size += len(held[-1])
+                if size > PART or i + 1 == b.num_rows:
                     ends = np.concatenate(([0], np.cumsum([len(x) for x in held]))).astype(np.int32)
-                    yield pa.record_batch([b[0].slice(at, len(held)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held)))], ["node", "hashes"])
-                    held, at = [], i + 1
+                    odd = np.concatenate([parities(x) for x in held])
+                    yield pa.record_batch([b[0].slice(at, len(held)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held).view(np.int64))), pa.ListArray.from_arrays(pa.array(np.arange(len(held) + 1, dtype=np.int32) * PARITY), pa.array(odd))], ["node", "hashes", "parity"])
+                    held, size, at = [], 0, i + 1
 
     of = small_or_shuffled(nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("own"), F.col("t1").alias("m1"), F.col("t2").alias("m2")))
     told = documents.select(F.col(id_col).alias("id"), *marks(F.col(text)), F.col(text).cast("string").alias("text"))
     found = told.join(of, (F.col("t1") == F.col("m1")) & (F.col("t2") == F.col("m2")) & F.col("id").eqNullSafe(F.col("own"))).select("node", "text")
-    return kept(found.mapInArrow(run, "node long, hashes array<long>").dropDuplicates(["node"]), "sets")
+    return kept(found.mapInArrow(run, "node long, hashes array<long>, parity array<long>").dropDuplicates(["node"]), "sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -189,11 +205,32 @@ def _labelled(rows: DataFrame, node: str, labels: DataFrame, name: str) -> DataF
     return rows.join(labels.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
 
+def joined_up(pairs: DataFrame, sets: DataFrame, similar: int, sure: DataFrame | None = None, waves: int = WAVES) -> tuple[DataFrame, DataFrame]:
+    """Confirmed edges with sure, and their (node, component), once pairs (src, dst, shared) are verified. A wave verifies the likeliest pair of every dst; pairs whose ends are joined by then need no verifying."""
+    labels = None if sure is None else cut(connected_components(sure))
+    for wave in range(waves + 1):
+        if labels is not None:
+            pairs = cut(_labelled(_labelled(pairs, "src", labels, "one"), "dst", labels, "other").where("one <> other").select("src", "dst", "shared"))
+        chosen = pairs if wave == waves else cut(pairs.groupBy("dst").agg(F.max_by("src", F.struct("shared", "src")).alias("src")).select("src", "dst"))
+        if chosen.isEmpty():
+            break
+        if wave < waves:
+            pairs = pairs.join(chosen, ["src", "dst"], "left_anti")
+        found = verified(chosen.select("src", "dst"), sets, similar)
+        sure = found if sure is None else sure.unionAll(found)
+        labels = cut(connected_components(sure))
+    if labels is None:
+        sure = pairs.select("src", "dst").limit(0)
+        labels = cut(connected_components(sure))
+    return sure, labels
+
+
 def rare_shingle_pairs(opened: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """opened (node, label) -> pairs of nodes of different labels, all that can be similar among them.
+    """opened (node, label) -> pairs (src, dst, shared) of nodes of different labels, all that can be similar among them.
 
     A node's shingles are ordered by how many opened nodes have them, rarest first. Similar sets share one of the first
-    n - ceil(n * similar / 100) + 1 of either, and from that shingle on both have enough left for what they must share.
+    n - ceil(n * similar / 100) + 1 of either, from that shingle on both have enough left for what they must share, and
+    their parities differ in no more bits than the sets may in shingles.
     """
     rows = kept(opened.join(sets, "node").select("node", "label", F.size("hashes").cast("long").alias("n"), F.explode("hashes").alias("h")), "shingles")
     often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("one"), F.max("label").alias("other")).where("df > 1")
@@ -201,27 +238,24 @@ def rare_shingle_pairs(opened: DataFrame, sets: DataFrame, similar: int) -> Data
     alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))  # these come before all shared ones
     placed = shared.withColumn("place", alone + F.row_number().over(Window.partitionBy("node").orderBy("df", "h")))
     first = placed.where(f"place <= n - ceil(n * {similar} / 100.0) + 1 AND one <> other").select("h", "node", "label", "n", "place")
-    a, b = (first.select("h", *(F.col(c).alias(f"{x}_{c}") for c in ("node", "label", "n", "place"))) for x in "ab")
+    first = joined_to_facts(first, cut(first.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where("many > 1")), "h", "many").select("h", "node", "label", "n", "place")
+    first = first.join(sets.select("node", *(F.col("parity")[i].alias(f"p{i}") for i in range(PARITY))), "node")
+    a, b = (first.select("h", *(F.col(c).alias(f"{x}_{c}") for c in first.columns if c != "h")) for x in "ab")
     must = F.ceil((F.col("a_n") + F.col("b_n")) * similar / (100.0 + similar))
     can = 1 + F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    return a.join(b, "h").where("a_node < b_node AND a_label <> b_label").where(can >= must).select(F.col("a_node").alias("src"), F.col("b_node").alias("dst")).distinct()
+    apart = sum((F.bit_count(F.col(f"a_p{i}").bitwiseXOR(F.col(f"b_p{i}"))) for i in range(PARITY)), F.lit(0))
+    return a.join(b, "h").where("a_node < b_node AND a_label <> b_label").where((can >= must) & (apart <= F.col("a_n") + F.col("b_n") - 2 * must)).select(F.col("a_node").alias("src"), F.col("b_node").alias("dst")).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def links(documents: DataFrame, nodes: DataFrame, id_col: str, text: str, k: int, similar: int) -> DataFrame:
     """(node, component) of the nodes that are linked with another."""
     edges, inside = stars(nodes)
     sets = full_sets(documents, nodes, edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct(), id_col, text, k)
-    first = edges.groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst")
-    sure = verified(first, sets, similar)
-    labels = cut(connected_components(sure))
-    rest = _labelled(_labelled(edges.join(first, ["src", "dst"], "left_anti"), "src", labels, "one"), "dst", labels, "other")
-    sure = sure.unionAll(verified(rest.where("one <> other").select("src", "dst"), sets, similar))
-    labels = cut(connected_components(sure))
+    sure, labels = joined_up(edges, sets, similar)
     members = cut(_labelled(inside.select("key", "node"), "node", labels, "label"))
     split = cut(members.groupBy("key").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count(F.lit(1)).alias("members")).where("one <> other").select("key", "members"))
     opened = joined_to_facts(members, split, "key", "members").select("node", "label").distinct()
-    more = verified(rare_shingle_pairs(opened, sets, similar), sets, similar)
-    return labels if more.isEmpty() else cut(connected_components(sure.unionAll(more)))
+    return joined_up(cut(rare_shingle_pairs(opened, sets, similar)), sets, similar, sure)[1]
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS, similar: int = SIMILAR, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
