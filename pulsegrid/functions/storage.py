@@ -49,6 +49,43 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str) -> tuple:
+    """The path and its file system, in whatever store Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, store = _at(spark, path)
+    return store.exists(where)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of one small file."""
+    where, store = _at(spark, path)
+    stream = store.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = True) -> None:
+    """One small file that holds all of text or stays as it was; without replace an existing one is an error."""
+    where, store = _at(spark, path)
+    part, _ = _at(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    stream = store.create(part, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if replace:
+        store.delete(where, False)
+    if store.exists(where) or not store.rename(part, where):
+        store.delete(part, False)
+        raise ContractError(f"{path.rpartition('/')[2]} exists")
+
+
 def small_or_shuffled(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
     """keys (kept, counted) with a broadcast hint if they are no more than limit; else as they are, for a shuffled join."""
     kept = cut(keys)
