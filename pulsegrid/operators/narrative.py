@@ -88,3 +88,45 @@ def first_valid(attempts: DataFrame, most: int = ATTEMPTS) -> DataFrame:
     good = narrative_validation(attempts).where((F.size("errors") == 0) & (F.col("attempt") <= most))
     order = Window.partitionBy("cluster_id").orderBy("attempt")
     return good.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("cluster_id", "attempt", "narrative")
+
+
+RECORD = f"cluster_id string, attempt int, delivery_status string, validation_status string, errors array<string>, narrative {NARRATIVE}"
+
+
+def attempt_records(given: DataFrame, most: int = ATTEMPTS) -> DataFrame:
+    """given(cluster_id, attempt, source_name, direction, output, delivery_error) -> what is kept of each attempt, up to the first valid one.
+
+    output is JSON. An attempt that did not arrive is not validated; one that arrived has the errors that validation finds.
+    """
+    arrived = F.col("delivery_error").isNull()
+    checked = narrative_validation(given.where(F.col("attempt") <= most).withColumn("narrative", F.from_json("output", NARRATIVE)))
+    status = F.when(~arrived, "not_run").when(F.size("errors") == 0, "valid").otherwise("invalid")
+    kept = checked.select("cluster_id", F.col("attempt").cast("int").alias("attempt"), F.when(arrived, "delivered").otherwise("error").alias("delivery_status"), status.alias("validation_status"), F.when(arrived, F.col("errors")).otherwise(F.array("delivery_error")).alias("errors"), F.when(arrived, F.col("narrative")).alias("narrative"))
+    before = Window.partitionBy("cluster_id").orderBy("attempt").rowsBetween(Window.unboundedPreceding, -1)
+    return kept.withColumn("over", F.coalesce(F.max(F.col("validation_status") == "valid").over(before), F.lit(False))).where("NOT over").drop("over")
+
+
+def attempt_faults(attempts: DataFrame, facts: DataFrame, published: DataFrame, most: int = ATTEMPTS) -> DataFrame:
+    """(cluster_id, fault) of the attempts (RECORD) that do not lead to what is published (cluster_id, narrative), given facts(cluster_id, source_name, direction).
+
+    Attempts are numbered from 1 without gaps; every delivered one is validated again against the facts, whatever its
+    record says; the last one alone is valid, and it is what is published.
+    """
+    joined = attempts.withColumnRenamed("errors", "told").join(facts.select("cluster_id", "source_name", "direction"), "cluster_id", "left")
+    again = narrative_validation(joined)
+    delivered = (F.col("delivery_status") == "delivered") & (F.col("validation_status") == F.when(F.size("errors") == 0, "valid").otherwise("invalid")) & F.col("told").eqNullSafe(F.col("errors"))
+    lost = (F.col("delivery_status") == "error") & (F.col("validation_status") == "not_run") & F.col("narrative").isNull() & (F.size("told") > 0)
+    judged = again.withColumn("fine", F.coalesce(delivered | lost, F.lit(False))).withColumn("valid", F.coalesce(F.col("validation_status") == "valid", F.lit(False)))
+    whole = judged.groupBy("cluster_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("attempt").alias("first"), F.max("attempt").alias("last"), F.countDistinct("attempt").alias("different"), F.count_if(~F.col("fine")).alias("wrong"), F.count_if("valid").alias("valid"),
+        F.max_by("valid", "attempt").alias("ends_valid"), F.max_by("narrative", "attempt").alias("narrative"),
+    )
+    shown = published.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("shown"), F.first("narrative").alias("out"))
+    known = facts.select("cluster_id", F.lit(True).alias("known"))
+    fault = (
+        F.when(F.col("known").isNull(), "unknown cluster").when(F.col("n").isNull(), "no attempts").when(~F.coalesce(F.col("shown") == 1, F.lit(False)), "not published once")
+        .when(~F.coalesce((F.col("first") == 1) & (F.col("last") == F.col("n")) & (F.col("different") == F.col("n")) & (F.col("n") <= most), F.lit(False)), "attempts are not numbered")
+        .when(F.col("wrong") > 0, "an attempt is not what validation finds").when((F.col("valid") != 1) | ~F.col("ends_valid"), "not the last attempt alone is valid")
+        .when(~F.col("narrative").eqNullSafe(F.col("out")), "another narrative is published")
+    )
+    return known.join(whole, "cluster_id", "full").join(shown, "cluster_id", "full").select("cluster_id", fault.alias("fault")).where("fault IS NOT NULL")

@@ -1,19 +1,27 @@
-"""A whole run from landed documents: evidence, formation, adjudication, portfolio, publication."""
+"""A whole run from landed documents: evidence, formation, adjudication, portfolio, cross-checks, publication.
+
+Every stage is kept as an artifact beside the published folder and made from the ones before it. A run that was
+stopped is started again with the same words: finished stages are verified and read, the reviewed clusters and
+narrated trends that were committed are verified and not asked for again, and the rest goes on from there.
+"""
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.contracts import ContractError, review_cap
+from pulsegrid.contracts import ContractError, review_cap, safe_identifier
 from pulsegrid.functions.storage import cut
-from pulsegrid.operators import adjudication, categories, clusters, evidence, narrative, publish, similarity, traffic
+from pulsegrid.operators import adjudication, categories, clusters, crosscheck, evidence, ledger, narrative, publish, similarity, traffic
 from pulsegrid.sources import files
 
 STAGES = ("evidence", "formation", "adjudication", "portfolio")
+#: Units of review or narration that are committed together.
+BATCH = 64
 
 
 def gather_evidence(spark: SparkSession, fixture: str, as_of: str, project: str) -> dict[str, DataFrame]:
@@ -33,53 +41,130 @@ def gather_evidence(spark: SparkSession, fixture: str, as_of: str, project: str)
     return {"days": days, "cutoffs": evidence.daily_cutoffs(records, days), "pages": cut(kept), "observations": evidence.page_observations(own, resolved), "exclusions": evidence.exclusion_map(evidence.exclusion_counts(resolved, records, project))}
 
 
-def form_clusters(pages: DataFrame, embeddings: DataFrame, threshold: float = similarity.THRESHOLD, cap: int | str = clusters.REVIEW_CAP, most: int = clusters.MAX_INPUT) -> tuple[DataFrame, DataFrame]:
-    """pages, embeddings(text, vector) -> (ranked clusters for review with cluster_id, selected pages)."""
+def form_clusters(pages: DataFrame, embeddings: DataFrame, threshold: float = similarity.THRESHOLD, cap: int | str = clusters.REVIEW_CAP, most: int = clusters.MAX_INPUT) -> dict[str, DataFrame]:
+    """pages, embeddings(text, vector) -> ranked clusters for review with cluster_id, their members, all selected pages, and counts."""
     chosen = cut(categories.select_categories(pages))
     texts = categories.representations(chosen)
     part = lambda c, name: files.frozen_embeddings(texts.select("page_id", F.col(c).alias("text")), embeddings).withColumnRenamed("vector", name)
     vectors = part("content_text", "content").join(part("category_text", "category"), "page_id")
     edges = cut(similarity.similarity_edges(vectors, threshold))
-    members = clusters.reviewable(clusters.component_members(vectors, edges))
-    parts = cut(clusters.subdivide_components(members, edges, chosen, threshold, most))
-    ranked = clusters.assign_ids(clusters.rank_clusters(clusters.preliminary_clusters(parts, vectors)))
-    return cut(clusters.review_cap(ranked, review_cap(cap))), chosen
+    every = cut(clusters.component_members(vectors, edges))
+    parts = cut(clusters.subdivide_components(clusters.reviewable(every), edges, chosen, threshold, most))
+    eligible = cut(clusters.preliminary_clusters(parts, vectors))
+    review = cut(clusters.review_cap(clusters.assign_ids(clusters.rank_clusters(eligible)), review_cap(cap)))
+    members = review.select("cluster_id", F.explode("page_ids").alias("page_id")).join(chosen.select("page_id", "canonical_title", "lead", "selected_categories"), "page_id")
+    return {"clusters": review, "members": members, "selected": chosen.select("page_id"), "counts": clusters.formation_counts(every, parts, eligible, review_cap(cap))}
+
+
+def _given(*columns: str) -> Column:
+    return ledger.row_digest(list(columns)).alias("given")
+
+
+def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, batch: int = BATCH) -> dict[str, DataFrame]:
+    """review(rank, cluster_id, page_ids), script(page_ids, answers) -> where every page ends; clusters already committed are not asked about again."""
+    asked = cut(review.select(F.col("rank").cast("long").alias("sequence"), F.col("cluster_id").alias("unit"), "page_ids").join(script, "page_ids", "left").withColumn("given", _given("page_ids", "answers")))
+
+    def work(units: DataFrame) -> DataFrame:
+        ends = adjudication.adjudicate_clusters(units.select(F.col("unit").alias("cluster_id"), "page_ids", "answers"))
+        body = F.to_json(F.array_sort(F.collect_list(F.struct(*ends.columns))), {"ignoreNullFields": "false"})
+        return units.select("sequence", "unit").join(ends.groupBy(F.col("cluster_id").alias("unit")).agg(body.alias("body")), "unit")  # a cluster fits one reader
+
+    done = book.complete(asked, work, batch)
+    decided = cut(done.select(F.explode(F.from_json("body", f"array<struct<{adjudication.RESULT}>>")).alias("x")).select("x.*"))
+    adjudication.require_partition(review.select("cluster_id", F.explode("page_ids").alias("page_id")), decided)
+    return {"decided": decided, "final": adjudication.final_clusters(decided), "counts": adjudication.adjudication_counts(decided)}
+
+
+def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int = BATCH) -> dict[str, DataFrame]:
+    """items(rank, cluster_id, source_name, direction), told(cluster_id, attempt, output, delivery_error) -> attempts, and the narrative of every item."""
+    lists = told.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("attempt", "output", "delivery_error"))).alias("told"))  # a few attempts
+    asked = cut(items.join(lists, "cluster_id", "left").select(F.col("rank").cast("long").alias("sequence"), F.col("cluster_id").alias("unit"), "source_name", "direction", "told").withColumn("given", _given("source_name", "direction", "told")))
+
+    def work(units: DataFrame) -> DataFrame:
+        given = units.select(F.col("unit").alias("cluster_id"), "source_name", "direction", F.explode("told").alias("t")).select("cluster_id", "source_name", "direction", "t.*")
+        kept = narrative.attempt_records(given)
+        body = F.to_json(F.array_sort(F.collect_list(F.struct("attempt", *(c for c in kept.columns if c != "attempt")))), {"ignoreNullFields": "false"})
+        found = units.select("sequence", "unit").join(kept.groupBy(F.col("cluster_id").alias("unit")).agg(body.alias("body"), F.max("validation_status").alias("best")), "unit", "left")
+        if not found.where("best IS NULL OR best <> 'valid'").isEmpty():
+            raise ContractError("narrative attempts exhausted")
+        return found
+
+    done = book.complete(asked, work, batch)
+    attempts = cut(done.select(F.explode(F.from_json("body", f"array<struct<{narrative.RECORD}>>")).alias("x")).select("x.*"))
+    return {"attempts": attempts, "narratives": attempts.where("validation_status = 'valid'").select("cluster_id", "attempt", "narrative")}
+
 
+class Run:
+    """The stages of one run in its working folder."""
 
-def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_of: str, project: str = "en.wikipedia", threshold: float = similarity.THRESHOLD, cap: int | str = clusters.REVIEW_CAP) -> Path:
+    def __init__(self, spark: SparkSession, inputs: dict[str, str], work: str, run_id: str, as_of: str, project: str, threshold: float, cap: int | str, batch: int):
+        self.spark, self.inputs, self.work, self.run_id, self.as_of, self.batch = spark, inputs, work, run_id, as_of, batch
+        self.project, self.threshold, self.cap = project, threshold, cap
+        self.prints = {n: tuple(ledger.table_fingerprint(spark.read.text(p, wholetext=True)).first())[1] for n, p in sorted(inputs.items())}
+        self.made: dict[str, str] = {}
+
+    def stage(self, name: str, configuration: dict, make: Callable[[str], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        """The stage's tables: read and verified if they are finished, else made and kept."""
+        folder, known = f"{self.work}/{name}", dict(self.made)
+        arguments = (self.spark, folder, self.run_id, name, configuration, known)
+        if (found := ledger.read_stage(*arguments)) is None:
+            ledger.write_stage(*arguments, make(fingerprint_of(configuration, known)))
+            found = ledger.read_stage(*arguments)
+        self.made[name] = found[0]["fingerprint"]
+        return found[1]
+
+    def stages(self) -> dict[str, dict[str, DataFrame]]:
+        e = self.stage("evidence", {"input": self.prints["evidence"], "as_of": self.as_of, "project": self.project}, lambda _: gather_evidence(self.spark, self.inputs["evidence"], self.as_of, self.project))
+        f = self.stage("formation", {"input": self.prints["embeddings"], "threshold": self.threshold, "cap": str(self.cap)}, lambda _: form_clusters(e["pages"], files.embedding_document(self.spark, self.inputs["embeddings"]), self.threshold, self.cap))
+
+        def adjudicated(own: str) -> dict[str, DataFrame]:
+            found = review_clusters(f["clusters"], files.decision_document(self.spark, self.inputs["decisions"]), self.book("adjudication", own), self.batch)
+            members = found["final"].select(F.col("final_cluster_id").alias("cluster_id"), F.explode("page_ids").alias("page_id"))
+            return found | {"final_members": members.join(f["members"].drop("cluster_id"), "page_id")}
+
+        a = self.stage("adjudication", {"input": self.prints["decisions"]}, adjudicated)
+
+        def portfolio(own: str) -> dict[str, DataFrame]:
+            members = a["final_members"].select("cluster_id", "page_id")
+            seen = cut(traffic.attach_cluster_traffic(members, e["days"], e["cutoffs"], e["observations"], e["pages"]))
+            names = a["final"].select(F.col("final_cluster_id").alias("cluster_id"), F.col("group_name").alias("source_name"))
+            items = cut(traffic.portfolio_items(traffic.rank_portfolio(seen), members).join(names, "cluster_id"))
+            return {"traffic": seen, "items": items} | narrate(items, files.narrative_document(self.spark, self.inputs["narratives"]), self.book("portfolio", own), self.batch)
+
+        return {"evidence": e, "formation": f, "adjudication": a, "portfolio": self.stage("portfolio", {"input": self.prints["narratives"]}, portfolio)}
+
+    def book(self, name: str, own: str) -> ledger.Ledger:
+        return ledger.Ledger(self.spark, f"{self.work}/{name}/units", self.run_id, own)
+
+
+def fingerprint_of(configuration: dict, upstream: dict[str, str]) -> str:
+    return publish.fingerprint({"configuration": configuration, "upstream": upstream})
+
+
+def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_of: str, project: str = "en.wikipedia", threshold: float = similarity.THRESHOLD, cap: int | str = clusters.REVIEW_CAP, batch: int = BATCH) -> Path:
     """inputs names the evidence, embeddings, decisions and narratives documents; the published folder is returned.
 
-    A run that was published already is verified and returned; one with another configuration under its id is refused.
+    A run that was published already is verified and returned; one with another configuration under its id is refused;
+    one that was stopped goes on behind what it had committed.
     """
     folder = Path(out)
-    publish.same_configuration(folder / f"{run_id}.config.json", {"inputs": {k: publish.fingerprint(Path(v).read_text()) for k, v in sorted(inputs.items())}, "as_of": as_of, "project": project, "threshold": threshold, "cap": str(cap)})
+    now = Run(spark, inputs, f"{out.rstrip('/')}/.stages/{safe_identifier(run_id, 'run_id')}", run_id, as_of, project, threshold, cap, batch)
+    publish.same_configuration(folder / f"{run_id}.config.json", {"inputs": now.prints, "as_of": as_of, "project": project, "threshold": threshold, "cap": str(cap)})
     if (folder / run_id).exists():
         publish.verify(folder / run_id)
         return folder / run_id
-    found = gather_evidence(spark, inputs["evidence"], as_of, project)
-    vectors = spark.createDataFrame(list(json.loads(Path(inputs["embeddings"]).read_text())["embeddings"].items()), "text string, vector array<double>")
-    review, chosen = form_clusters(found["pages"], vectors, threshold, cap)
-    script = {tuple(sorted(c["page_ids"])): json.dumps(c["responses"]) for c in json.loads(Path(inputs["decisions"]).read_text())["clusters"]}
-    scripted = spark.createDataFrame([(list(k), v) for k, v in script.items()], "page_ids array<bigint>, answers string")
-    decided = cut(adjudication.adjudicate_clusters(review.select("cluster_id", "page_ids").join(scripted, "page_ids", "left")))
-    adjudication.require_partition(review.select("cluster_id", F.explode("page_ids").alias("page_id")), decided)
-    final = cut(adjudication.final_clusters(decided))
-    members = final.select(F.col("final_cluster_id").alias("cluster_id"), F.explode("page_ids").alias("page_id"))
-    ranked = cut(traffic.rank_portfolio(traffic.attach_cluster_traffic(members, found["days"], found["cutoffs"], found["observations"], found["pages"])))
-    items = traffic.portfolio_items(ranked, members).join(final.select(F.col("final_cluster_id").alias("cluster_id"), F.col("group_name").alias("source_name")), "cluster_id")
-    told = [(c["cluster_id"], n, json.dumps(a)) for c in json.loads(Path(inputs["narratives"]).read_text())["clusters"] for n, a in enumerate(c["responses"], start=1) if set(a) != {"delivery_error"}]
-    attempts = spark.createDataFrame(told, "cluster_id string, attempt int, output string").select("cluster_id", "attempt", F.from_json("output", narrative.NARRATIVE).alias("narrative"))
-    narrated = narrative.first_valid(attempts.join(items.select("cluster_id", "source_name", "direction"), "cluster_id"))
-    if items.join(narrated, "cluster_id", "left_anti").count():
-        raise ContractError("narrative attempts exhausted")
-    rows = items.join(narrated.drop("attempt"), "cluster_id").orderBy("rank").toJSON().collect()  # ten rows
+    stages = now.stages()
+    crosscheck.gate(spark, stages, as_of, f"{now.work}/faults")
+    e, f, a, p = (stages[n] for n in STAGES)
+    rows = p["items"].join(p["narratives"].drop("attempt"), "cluster_id").orderBy("rank").toJSON().collect()  # ten rows
     portfolio = {"run_id": run_id, "as_of": as_of, "trends": [json.loads(r) for r in rows]}
     audit = {
         "run_id": run_id,
-        "semantic_fingerprint": publish.semantic_fingerprint(found["pages"]).first()["fingerprint"],
-        "coverage": {r["window"]: r["successful_days"] for r in evidence.coverage(found["days"]).collect()},
-        "exclusions": json.loads(found["exclusions"].toJSON().first()),
-        "adjudication": adjudication.adjudication_counts(decided).first().asDict(),
-        "selected_pages": chosen.count(),
+        "stages": now.made,
+        "semantic_fingerprint": publish.semantic_fingerprint(e["pages"]).first()["fingerprint"],
+        "coverage": {r["window"]: r["successful_days"] for r in evidence.coverage(e["days"]).collect()},
+        "exclusions": json.loads(e["exclusions"].toJSON().first()),
+        "adjudication": a["counts"].first().asDict(),
+        "selected_pages": f["selected"].count(),
     }
     return publish.publish(folder, run_id, {"portfolio.json": portfolio, "audit.json": audit})

@@ -52,3 +52,27 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     if df.isEmpty():
         raise ContractError(message)
     return df
+
+
+def _document(spark: SparkSession, path: str, shape: str) -> DataFrame:
+    """The fields of one JSON document."""
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", shape, {"mode": "FAILFAST"}).alias("d")).select("d.*")
+
+
+def embedding_document(spark: SparkSession, path: str) -> DataFrame:
+    """(text, vector) of a document of frozen embeddings."""
+    return _document(spark, path, "embeddings map<string,array<double>>").select(F.explode("embeddings").alias("text", "vector"))
+
+
+def decision_document(spark: SparkSession, path: str) -> DataFrame:
+    """(page_ids, answers) of scripted decisions: the pages of a cluster, and each role's answers by attempt as JSON."""
+    each = _document(spark, path, "clusters array<struct<page_ids:array<bigint>,responses:string>>").select(F.explode("clusters").alias("c"))
+    return each.select(F.array_sort("c.page_ids").alias("page_ids"), F.col("c.responses").alias("answers"))
+
+
+def narrative_document(spark: SparkSession, path: str) -> DataFrame:
+    """(cluster_id, attempt, output, delivery_error) of scripted narratives."""
+    each = _document(spark, path, "clusters array<struct<cluster_id:string,responses:array<string>>>").select(F.explode("clusters").alias("c"))
+    tries = each.select("c.cluster_id", F.posexplode("c.responses").alias("at", "output"))
+    lost = F.when(F.size(F.json_object_keys("output")) == 1, F.get_json_object("output", "$.delivery_error"))
+    return tries.select("cluster_id", (F.col("at") + 1).cast("int").alias("attempt"), F.when(lost.isNull(), F.col("output")).alias("output"), lost.alias("delivery_error"))
