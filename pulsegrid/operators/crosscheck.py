@@ -6,6 +6,7 @@ what is missing, unknown, repeated or different on either side is found wherever
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -49,8 +50,8 @@ def id_sequence_faults(rows: DataFrame, column: str, prefix: str) -> DataFrame:
     return wrong.unionAll(traffic.repeated_keys(rows, column).select(column, F.lit("repeated").alias("fault")))
 
 
-def faults(stages: dict[str, Tables], as_of: str) -> DataFrame:
-    """(check, key, fault) over the tables of evidence, formation, adjudication and portfolio."""
+def faults(stages: dict[str, Tables], as_of: str, only: Collection[str] = CHECKS) -> DataFrame:
+    """(check, key, fault) over the tables of evidence, formation, adjudication and portfolio, by all checks or only some."""
     e, f, a, p = (stages[n] for n in ("evidence", "formation", "adjudication", "portfolio"))
     spark = e["days"].sparkSession
     source = f["clusters"].select("cluster_id", F.explode("page_ids").alias("page_id"))
@@ -60,21 +61,21 @@ def faults(stages: dict[str, Tables], as_of: str) -> DataFrame:
     items = traffic.portfolio_items(traffic.rank_portfolio(recomputed), members).join(finals.select(F.col("final_cluster_id").alias("cluster_id"), F.col("group_name").alias("source_name")), "cluster_id")
     own_fields = f["members"].select("page_id", "canonical_title", "lead", "selected_categories")
     found = [
-        _told("run facts", differences(e["days"].select("date", "window"), evidence.nominal_days(spark, as_of).select("date", "window"), "date"), "key"),
-        _told("formation evidence", publish.formation_faults(f["members"], e["pages"]), "page_id"),
-        _told("formation members", differences(f["members"].select("cluster_id", "page_id"), source, "page_id"), "key"),
-        _told("formation counts", formation_count_faults(f["counts"], f["clusters"]), F.lit(None)),
-        _told("preliminary ids", id_sequence_faults(f["clusters"], "cluster_id", "preliminary-cluster-"), "cluster_id"),
-        _told("terminal provenance", adjudication.terminal_partition(source, a["decided"]).where("NOT exact"), "cluster_id", F.lit("no exact partition")),
-        _told("final clusters", differences(a["final"], finals, "final_cluster_id"), "key"),
-        _told("member evidence", publish.member_faults(a["final_members"].select("page_id", "canonical_title", "lead", "selected_categories"), own_fields), "page_id"),
-        _told("member evidence", differences(a["final_members"].select("cluster_id", "page_id"), members, "page_id"), "key"),
-        _told("adjudication counts", differences(a["counts"], adjudication.adjudication_counts(a["decided"]), "reviewed_clusters"), "key"),
-        _told("traffic", differences(p["traffic"], recomputed, "cluster_id"), "key"),
-        _told("portfolio", differences(p["items"], items, "rank"), "key"),
-        _told("narratives", narrative.attempt_faults(p["attempts"], items, p["narratives"]), "cluster_id"),
+        ("run facts", differences(e["days"].select("date", "window"), evidence.nominal_days(spark, as_of).select("date", "window"), "date"), "key"),
+        ("formation evidence", publish.formation_faults(f["members"], e["pages"]), "page_id"),
+        ("formation members", differences(f["members"].select("cluster_id", "page_id"), source, "page_id"), "key"),
+        ("formation counts", formation_count_faults(f["counts"], f["clusters"]), F.lit(None)),
+        ("preliminary ids", id_sequence_faults(f["clusters"], "cluster_id", "preliminary-cluster-"), "cluster_id"),
+        ("terminal provenance", adjudication.terminal_partition(source, a["decided"]).where("NOT exact"), "cluster_id", F.lit("no exact partition")),
+        ("final clusters", differences(a["final"], finals, "final_cluster_id"), "key"),
+        ("member evidence", publish.member_faults(a["final_members"].select("page_id", "canonical_title", "lead", "selected_categories"), own_fields), "page_id"),
+        ("member evidence", differences(a["final_members"].select("cluster_id", "page_id"), members, "page_id"), "key"),
+        ("adjudication counts", differences(a["counts"], adjudication.adjudication_counts(a["decided"]), "reviewed_clusters"), "key"),
+        ("traffic", differences(p["traffic"], recomputed, "cluster_id"), "key"),
+        ("portfolio", differences(p["items"], items, "rank"), "key"),
+        ("narratives", narrative.attempt_faults(p["attempts"], items, p["narratives"]), "cluster_id"),
     ]
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, (_told(*f) for f in found if f[0] in only))
 
 
 def gate(spark: SparkSession, stages: dict[str, Tables], as_of: str, folder: str) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ARTIFACT_VERSION, ContractError, safe_identifier
+from pulsegrid.functions.digests import tree_root
 
 # Keys that no published document may hold.
 FORBIDDEN_KEYS = ("api_key", "authorization", "chain_of_thought", "database_url", "hidden_reasoning", "password", "secret", "token")
@@ -27,14 +28,12 @@ def fingerprint(value: object) -> str:
 
 
 def semantic_fingerprint(pages: DataFrame) -> DataFrame:
-    """One row: the fingerprint of pages(page_id, canonical_title, lead, categories) in (id, title) order, categories sorted and distinct.
+    """One row: the fingerprint of pages(page_id, canonical_title, lead, categories), in any order, categories sorted and distinct.
 
-    The bytes are those of canonical JSON, so a Python reader gets the same. The whole document is one value: it is meant for a stage's pages, not for a corpus.
+    A page's bytes are those of canonical JSON; the pages meet in a tree of digests, so no task holds them all.
     """
     record = F.to_json(F.struct("canonical_title", F.array_sort(F.array_distinct("categories")).alias("categories"), "lead", "page_id"), {"ignoreNullFields": "false"})
-    ordered = F.array_sort(F.collect_list(F.struct("page_id", "canonical_title", record.alias("json"))))
-    text = F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda x: x["json"]), ","), F.lit("]"))
-    return pages.agg(F.concat(F.lit("sha256:"), F.sha2(F.encode(text, "UTF-8"), 256)).alias("fingerprint"), F.count(F.lit(1)).alias("n_pages"))
+    return tree_root(pages.select(F.sha2(record, 256).alias("digest"))).select("fingerprint", F.col("n").alias("n_pages"))
 
 
 def formation_faults(members: DataFrame, pages: DataFrame) -> DataFrame:

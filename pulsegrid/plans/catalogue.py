@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.storage import cut
-from pulsegrid.operators import adjudication, categories, clusters, evidence, narrative, publish, similarity, traffic
+from pulsegrid.functions import digests
+from pulsegrid.functions.storage import cut, use_shared_dir
+from pulsegrid.operators import adjudication, categories, clusters, evidence, ledger, narrative, publish, similarity, traffic
 from pulsegrid.sources import testdata as data
 from pulsegrid.streaming import events
 
@@ -386,6 +388,19 @@ def narrative_validation(s: SparkSession, d: str) -> DataFrame:
     return narrative.narrative_validation(told).select("cluster_id", F.array_join("errors", ";").alias("errors"))
 
 
+def narrative_revalidation(s: SparkSession, d: str) -> DataFrame:
+    """Two attempts for every trend, the first with a claim that is not allowed; four of five records are changed afterwards."""
+    fields = lambda summary: F.to_json(F.struct("name", summary.alias("summary"), "commercial_interpretation", "brand_categories", "buying_power_rating", "buying_power_rationale"))
+    rank = F.regexp_extract("cluster_id", "([0-9]+)$", 1).cast("int") % 5
+    told = _narrated(s, d).withColumn("t", F.explode(F.array(F.struct(F.lit(1).alias("attempt"), fields(F.concat("summary", F.lit(" Views doubled because of fans."))).alias("output")), F.struct(F.lit(2).alias("attempt"), fields(F.col("summary")).alias("output")))))
+    given = cut(told.select("cluster_id", F.col("t.attempt").alias("attempt"), F.col("name").alias("source_name"), "direction", F.col("t.output").alias("output"), F.lit(None).cast("string").alias("delivery_error")))
+    kept = cut(narrative.attempt_records(given))
+    first = F.col("attempt") == 1
+    changed = kept.withColumn("errors", F.when(first & (rank == 1), F.array(F.lit("none"))).otherwise(F.col("errors"))).withColumn("attempt", F.when(~first & (rank == 2), 3).otherwise(F.col("attempt"))).where(~(~first & (rank == 3)))
+    shown = kept.where("validation_status = 'valid'").select("cluster_id", "narrative").withColumn("narrative", F.when(rank == 4, F.col("narrative").withField("name", F.lit("another"))).otherwise(F.col("narrative")))
+    return narrative.attempt_faults(changed, given.select("cluster_id", "source_name", "direction").distinct(), shown)
+
+
 # publication and events
 
 
@@ -393,6 +408,26 @@ def semantic_fingerprint(s: SparkSession, d: str) -> DataFrame:
     return publish.semantic_fingerprint(data.pages(s, d))
 
 
+def stage_artifact_scan(s: SparkSession, d: str) -> DataFrame:
+    """Two tables kept as a stage's artifact, verified on the way back."""
+    given = {"documents": data.table(s, d, "documents").select("doc_id", "lang", "source"), "labels": data.table(s, d, "labels").select("doc_id", "quality", "toxic")}
+    folder = f"{use_shared_dir(s).rstrip('/')}/artifact-{uuid.uuid4().hex}"
+    ledger.write_stage(s, folder, "scan", "tables", {}, {}, given)
+    _, tables = ledger.read_stage(s, folder, "scan", "tables", {}, {})
+    one = [digests.table_fingerprint(df).select(F.lit(name).alias("name"), F.col("n").alias("n_rows"), "fingerprint") for name, df in tables.items()]
+    return one[0].unionAll(one[1])
+
+
+def ledger_resume(s: SparkSession, d: str) -> DataFrame:
+    """Days of events as units of a ledger, in two starts: the second begins behind what the first committed."""
+    e = data.table(s, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
+    units = cut(e.select((F.datediff("day", F.min("day").over(Window.partitionBy(F.lit(0)))) + 1).cast("long").alias("sequence"), F.col("day").cast("string").alias("unit"), digests.row_digest(["day", "n"]).alias("given"), "n", "users"))  # a row for each day
+    book = ledger.Ledger(s, f"{use_shared_dir(s).rstrip('/')}/ledger-{uuid.uuid4().hex}", "days", "one")
+    work = lambda df: df.select("sequence", F.concat_ws("/", "n", "users").alias("body"))
+    book.complete(units.where("sequence <= 10"), work, 8)
+    return book.complete(units, work, 8).select("sequence", "unit", "body")
+
+
 def xstage_formation(s: SparkSession, d: str) -> DataFrame:
     """Members whose titles were changed for every tenth page, and one unknown category for every seventh."""
     chosen = categories.select_categories(data.pages(s, d))
@@ -456,8 +491,8 @@ def queries() -> dict[str, Query]:
         scan_embeddings, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, subdivide_components, pack_members,
         decision_validation, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
         censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
-        narrative_templates, narrative_validation,
-        semantic_fingerprint, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_global_sequence, event_public_message, event_daily_counts,
+        narrative_templates, narrative_validation, narrative_revalidation,
+        semantic_fingerprint, stage_artifact_scan, ledger_resume, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_global_sequence, event_public_message, event_daily_counts,
     )
     return {f.__name__: f for f in own}
 

@@ -79,7 +79,23 @@ _WINDOW = "SELECT cluster_id, \"window\", successful_days, observed_total, obser
 _RECORD = "octet_length(encode(concat('{\"page_id\":', page_id, ',\"canonical_title\":', to_json(canonical_title), ',\"lead\":', to_json(lead), ',\"selected_categories\":[]}')))"
 _SUMMARY = "CASE WHEN direction = 'sudden_growth' THEN concat('Attention to ', name, ' topics was suddenly trending in the supplied comparison.') ELSE concat('Attention to ', name, ' topics ', CASE WHEN direction = 'robust_growth' THEN 'rose' ELSE 'declined' END, ' in the supplied comparison.') END"
 
+
+
+def _root(name: str, digests: str) -> str:
+    """SQL of one row (root, n): the tree over a query's digests, as functions.digests has it."""
+    level = lambda below, digits: f"SELECT substr(node, 1, {digits}) AS node, substr(node, 1, {digits}) || ':' || sha256(string_agg(line, ',' ORDER BY line)) AS line, sum(n) AS n FROM {below} GROUP BY ALL"
+    lines = f"SELECT digest AS node, digest || ':' || count(*) AS line, count(*) AS n FROM ({digests}) GROUP BY digest"
+    inner = level(f"({level(f'({lines})', 6).replace('GROUP BY ALL', 'GROUP BY substr(node, 1, 6)')})", 3).replace("GROUP BY ALL", "GROUP BY substr(node, 1, 3)")
+    return f"SELECT '{name}' AS name, CAST(sum(n) AS BIGINT) AS n_rows, 'sha256:' || sha256(string_agg(line, ',' ORDER BY line)) AS fingerprint FROM ({inner})"
+
+
+_PAGE_DIGEST = "SELECT sha256(CAST(to_json({'canonical_title': canonical_title, 'categories': list_sort(list_distinct(list_append(words, source))), 'lead': lead, 'page_id': page_id}) AS VARCHAR)) AS digest FROM page"
+
 _PLAIN = {
+    "semantic_fingerprint": f"SELECT fingerprint, n_rows AS n_pages FROM ({_root('pages', _PAGE_DIGEST)})",
+    "stage_artifact_scan": _root("documents", "SELECT sha256(CAST(to_json({'doc_id': doc_id, 'lang': lang, 'source': source}) AS VARCHAR)) AS digest FROM documents") + " UNION ALL " + _root("labels", "SELECT sha256(CAST(to_json({'doc_id': doc_id, 'quality': quality, 'toxic': toxic}) AS VARCHAR)) AS digest FROM labels"),
+    "ledger_resume": "SELECT CAST(ts AS DATE) - min(CAST(min(ts) AS DATE)) OVER () + 1 AS sequence, CAST(CAST(ts AS DATE) AS VARCHAR) AS unit, concat(count(*), '/', count(DISTINCT user_id)) AS body FROM events GROUP BY CAST(ts AS DATE)",
+    "narrative_revalidation": "SELECT cluster_id, CASE CAST(substr(cluster_id, 9) AS INTEGER) % 5 WHEN 1 THEN 'an attempt is not what validation finds' WHEN 2 THEN 'attempts are not numbered' WHEN 3 THEN 'not the last attempt alone is valid' ELSE 'another narrative is published' END AS fault FROM items WHERE CAST(substr(cluster_id, 9) AS INTEGER) % 5 > 0",
     "scan_raw_daily": "SELECT * FROM raw",
     "filter_project": f"SELECT * FROM raw WHERE project = '{PROJECT}'",
     "nominal_days": "SELECT * FROM nominal",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError, review_cap, safe_identifier
+from pulsegrid.functions import digests
 from pulsegrid.functions.storage import cut
 from pulsegrid.operators import adjudication, categories, clusters, crosscheck, evidence, ledger, narrative, publish, similarity, traffic
 from pulsegrid.sources import files
@@ -57,7 +58,7 @@ def form_clusters(pages: DataFrame, embeddings: DataFrame, threshold: float = si
 
 
 def _given(*columns: str) -> Column:
-    return ledger.row_digest(list(columns)).alias("given")
+    return digests.row_digest(list(columns)).alias("given")
 
 
 def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, batch: int = BATCH) -> dict[str, DataFrame]:
@@ -100,7 +101,7 @@ class Run:
     def __init__(self, spark: SparkSession, inputs: dict[str, str], work: str, run_id: str, as_of: str, project: str, threshold: float, cap: int | str, batch: int):
         self.spark, self.inputs, self.work, self.run_id, self.as_of, self.batch = spark, inputs, work, run_id, as_of, batch
         self.project, self.threshold, self.cap = project, threshold, cap
-        self.prints = {n: tuple(ledger.table_fingerprint(spark.read.text(p, wholetext=True)).first())[1] for n, p in sorted(inputs.items())}
+        self.prints = {n: tuple(digests.table_fingerprint(spark.read.text(p, wholetext=True)).first())[1] for n, p in sorted(inputs.items())}
         self.made: dict[str, str] = {}
 
     def stage(self, name: str, configuration: dict, make: Callable[[str], dict[str, DataFrame]]) -> dict[str, DataFrame]:

@@ -7,13 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError
+from pulsegrid.functions import digests
 from pulsegrid.operators import ledger as x
 
 CONFIGURATION = "sha256:one"
 
 
 def root(df):
-    return tuple(x.table_fingerprint(df).first())
+    return tuple(digests.table_fingerprint(df).first())
 
 
 def test_fingerprint_is_of_the_rows(spark):

@@ -1,5 +1,6 @@
 """Narratives, publication and events."""
 
+import hashlib
 import json
 
 import pytest
@@ -38,10 +39,17 @@ def test_form_comes_first(spark):
 
 
 def test_fingerprint_is_that_of_canonical_json(spark):
+    """The tree by hand: digests of the pages' canonical JSON under prefixes of six, three and no digits."""
     pages = [{"page_id": 2, "canonical_title": "B", "lead": 'q"\n', "categories": ["y", "x"]}, {"page_id": 1, "canonical_title": "Ä", "lead": "", "categories": []}]
-    df = spark.createDataFrame([(p["page_id"], p["canonical_title"], p["lead"], [*p["categories"], *p["categories"]]) for p in pages], "page_id long, canonical_title string, lead string, categories array<string>")
-    same = [{**p, "categories": sorted(p["categories"])} for p in reversed(pages)]
-    assert publish.semantic_fingerprint(df).first()["fingerprint"] == publish.fingerprint(same)
+    rows = [(p["page_id"], p["canonical_title"], p["lead"], [*p["categories"], *p["categories"]]) for p in [*pages, pages[0]]]
+    df = spark.createDataFrame(rows, "page_id long, canonical_title string, lead string, categories array<string>")
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    leaves = [(sha(publish.canonical_json({**p, "categories": sorted(p["categories"])})), n) for p, n in zip(pages, (2, 1))]
+    nodes = [(d, f"{d}:{n}") for d, n in leaves]
+    for digits in (6, 3):
+        names = sorted({d[:digits] for d, _ in nodes})
+        nodes = [(x, x + ":" + sha(",".join(sorted(line for d, line in nodes if d.startswith(x))))) for x in names]
+    assert tuple(publish.semantic_fingerprint(df).first()) == ("sha256:" + sha(",".join(sorted(line for _, line in nodes))), 3)
 
 
 def test_publication(tmp_path):
