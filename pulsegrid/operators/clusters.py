@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError
 from pulsegrid.functions.storage import cut
-from pulsegrid.operators.graph import connected_components
+from pulsegrid.operators.graph import connected_components, spanning_forest
 from pulsegrid.operators.similarity import THRESHOLD, cohesion
 
 MAX_INPUT, PROMPT, STEP = 16_384, 2_048, 0.02
@@ -97,11 +97,12 @@ def split_part(ids: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray,
 def subdivide_components(members: DataFrame, edges: DataFrame, pages: DataFrame, threshold: float = THRESHOLD, most: int = MAX_INPUT, prompt: int = PROMPT, step: float = STEP, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """members(page_id, component) -> (page_id, component, cluster, subdivision_threshold): components that fit stay whole, the others are cut at ever stricter thresholds.
 
-    cluster is the smallest page id of the part. Parts of very many edges are first cut by distributed rounds.
+    cluster is the smallest page id of the part. What is connected at any threshold is so by the maximum spanning forest,
+    so a part of n pages keeps n - 1 edges, also where all its pages are equal. Parts of very many edges are first cut by distributed rounds.
     """
     sized = members.join(pages.select("page_id", record_bytes().cast("long").alias("bytes")), "page_id")
     state = cut(sized.select("page_id", "component", "bytes", F.col("component").alias("part"), F.lit(float(threshold)).alias("at"), F.lit(None).cast("double").alias("subdivision_threshold")))
-    inner = edges
+    inner = cut(spanning_forest(edges))
     while True:
         used = state.groupBy("part").agg((F.sum("bytes") + F.count(F.lit(1)) + 1 + prompt).alias("tokens"))
         large = used.where(F.col("tokens") > most).select("part")

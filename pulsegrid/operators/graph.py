@@ -1,8 +1,9 @@
-"""Connected components of an undirected graph, by alternating star joins."""
+"""Connected components of an undirected graph, by alternating star joins; maximum spanning forests, by rounds of components."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -85,3 +86,81 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
         raise RuntimeError(f"components did not settle within {MOST_ROUNDS} rounds")
     nodes = state.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     return nodes.unionByName(state.select(F.col("dst").alias("node"), F.col("dst").alias("component")).distinct())
+
+
+def _strongest_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Positions of the edges a-b of the maximum spanning forest; among equal weights the smaller (a, b) goes first."""
+    _, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    first, second = at.reshape(2, -1)
+    parent, taken = list(range(int(at.max()) + 1 if len(at) else 0)), []
+    for e in np.lexsort((b, a, -weight)).tolist():
+        x, y = int(first[e]), int(second[e])
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[x] = y
+            taken.append(e)
+    return np.array(taken, np.int64)
+
+
+def _forests(edges: DataFrame, most: int) -> DataFrame:
+    """Each task's edges without those that its own edges make needless; it holds twice most at a time. What a part does not need, the whole does not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        for b in batches:
+            held = [np.concatenate((h, np.asarray(c))) for h, c in zip(held, b.columns)]
+            if len(held[0]) > 2 * most:
+                taken = _strongest_forest(*held)
+                held = [h[taken] for h in held]
+                if len(taken) > most:  # a forest that large goes on as it is
+                    yield pa.record_batch([pa.array(h) for h in held], ["src", "dst", "weight"])
+                    held = [h[:0] for h in held]
+        taken = _strongest_forest(*held)
+        yield pa.record_batch([pa.array(h[taken]) for h in held], ["src", "dst", "weight"])
+
+    return edges.mapInArrow(run, "src long, dst long, weight double")
+
+
+def spanning_forest(edges: DataFrame, weight: str = "similarity", few_edges: int = FEW_EDGES) -> DataFrame:
+    """edges(src, dst, weight) -> (src, dst, weight), src < dst: the maximum spanning forest, n - 1 edges for a component of n nodes.
+
+    Its edges at or above any weight connect what all edges at or above it connect. Equal weights are ordered by (src,
+    dst), so the forest is one and the same in any order of rows. Tasks first drop what their own edges make needless;
+    what is left beyond few_edges is joined in rounds: every component takes its strongest edge to another, components
+    are found over what was taken, and of the edges between two of them the strongest is kept.
+    """
+    ends = edges.where(f"src IS NOT NULL AND dst IS NOT NULL AND src <> dst AND `{weight}` IS NOT NULL").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), F.col(weight).cast("double").alias("weight"))
+    state = cut(_forests(ends, few_edges))
+    found = []
+    labels = None
+    while state.count() > few_edges:
+        one = state if labels is not None else state.withColumns({"a": F.col("src"), "b": F.col("dst")})
+        both = one.select("a", "src", "dst", "weight").unionAll(one.select(F.col("b").alias("a"), "src", "dst", "weight"))
+        best = F.max_by(F.struct("src", "dst", "weight"), F.struct("weight", -F.col("src"), -F.col("dst"))).alias("e")
+        taken = cut(both.groupBy("a").agg(best).select("e.*").distinct())
+        found.append(taken)
+        labels = cut(connected_components(found[0] if len(found) == 1 else cut(reduce(DataFrame.unionAll, found))))
+        name = lambda rows, node, out: rows.join(labels.select(F.col("node").alias(node), F.col("component").alias(out)), node, "left").withColumn(out, F.coalesce(out, node))
+        moved = name(name(state.select("src", "dst", "weight"), "src", "x"), "dst", "y").where("x <> y").select("src", "dst", "weight", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        state = cut(moved.groupBy("a", "b").agg(best).select("a", "b", "e.*"))
+    last = state if labels is not None else state.withColumns({"a": F.col("src"), "b": F.col("dst")})
+    return reduce(DataFrame.unionAll, [*found, _kept_between(last)]).withColumnRenamed("weight", weight)
+
+
+def _kept_between(state: DataFrame) -> DataFrame:
+    """The forest's edges among few edges (a, b, src, dst, weight) between components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches([b.cast(schema) for b in batches], schema)
+        a, b, src, dst, weight = (np.asarray(held[c]) for c in ("a", "b", "src", "dst", "weight"))
+        order = np.lexsort((dst, src, -weight))
+        place = np.empty(len(order))
+        place[order] = np.arange(len(order))
+        taken = _strongest_forest(a, b, -place)  # the order of the weights and ends of the edges themselves
+        yield pa.record_batch([pa.array(src[taken]), pa.array(dst[taken]), pa.array(weight[taken])], ["src", "dst", "weight"])
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("src", pa.int64()), ("dst", pa.int64()), ("weight", pa.float64())])
+    return state.select("a", "b", "src", "dst", "weight").coalesce(1).mapInArrow(run, "src long, dst long, weight double")

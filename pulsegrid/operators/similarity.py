@@ -1,8 +1,8 @@
-"""Blended vector similarity: safe normalisation, and all pairs at or above a threshold by blocks of a grid."""
+"""Blended vector similarity: safe normalisation, and all pairs at or above a threshold, pruned by distances to pivots."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import checked
+from pulsegrid.functions.storage import cut, joined_to_facts, kept
 
 CONTENT_WEIGHT, CATEGORY_WEIGHT = 0.7, 0.3
 THRESHOLD = 0.76
 #: Vectors of one block; a task holds two blocks.
 BLOCK = 4096
+#: Pivots at most: they are broadcast, and known to the driver one by one.
+PIVOTS = 4096
+#: Visits handed on at once.
+VISITS = 8192
+#: What rounding may add to a distance.
+SLACK = 1e-6
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -46,35 +53,118 @@ def blended(vectors: DataFrame) -> DataFrame:
     return vectors.select("page_id", F.concat(part("content", CONTENT_WEIGHT), part("category", CATEGORY_WEIGHT)).alias("v"))
 
 
-def similarity_edges(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(src, dst, similarity) of all pairs src < dst at or above the threshold (inclusive, to 1e-12).
+def _cell_sizes(rows: DataFrame, most: int, *more: Column) -> dict[int, tuple]:
+    """cell -> (rows, ...): one row for each pivot, of which there are most at most."""
+    return {r[0]: tuple(r[1:]) for r in rows.groupBy("cell").agg(F.count(F.lit(1)), *more).limit(most).collect()}
 
-    Every vector goes to one of B blocks by its hash and is sent to the B tasks of the grid that pair its block with
-    another, so a task holds two blocks whatever the number of vectors; only edges leave it.
+
+def _placed(units: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """units with the cell of the nearest pivot and the distance to it, kept as a table."""
+    shared = units.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                far = _distances(_matrix(b["v"], b.num_rows), shared.value)
+                cell = far.argmin(axis=1)
+                yield pa.record_batch([b["page_id"], b["v"], pa.array(cell.astype(np.int32)), pa.array(far[np.arange(len(cell)), cell])], ["page_id", "v", "cell", "away"])
+
+    return kept(units.select("page_id", "v").mapInArrow(run, "page_id long, v array<double>, cell int, away double"), "placed")
+
+
+def _visits(placed: DataFrame, pivots: np.ndarray, reach: np.ndarray) -> DataFrame:
+    """(page_id, v, cell) of the later cells in which something may lie within the vector's reach, kept as a table."""
+    shared = placed.sparkSession.sparkContext.broadcast((pivots, reach))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, most = shared.value
+        for b in batches:
+            if b.num_rows:
+                near = _distances(_matrix(b["v"], b.num_rows), centres) <= most
+                near &= np.arange(len(centres)) > np.asarray(b["cell"])[:, None]
+                row, cell = np.nonzero(near)
+                for at in range(0, len(row), VISITS):
+                    some = pa.array(row[at : at + VISITS])
+                    yield pa.record_batch([b["page_id"].take(some), b["v"].take(some), pa.array(cell[at : at + VISITS].astype(np.int32))], ["page_id", "v", "cell"])
+
+    return kept(placed.select("page_id", "v", "cell").mapInArrow(run, "page_id long, v array<double>, cell int"), "visits")
+
+
+def _matrix(column: pa.Array, rows: int) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(rows, -1)
+
+
+def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (v @ pivots.T)))
+
+
+def unit_pairs(units: DataFrame, threshold: float, block: int = BLOCK, pivots: int | None = None) -> DataFrame:
+    """(src, dst, similarity) of all pairs src < dst of unit vectors (page_id, v) whose product is the threshold or more (inclusive, to 1e-12).
+
+    Each vector belongs to the cell of its nearest pivot (one in block vectors, PIVOTS at most, drawn by hash). Products
+    of the threshold or more are distances of sqrt(2 - 2 threshold) or less, so a vector has to visit another cell only if
+    that cell's radius and this distance together reach from the pivot to the vector: what triangles rule out is never
+    sent. Each pair of cells is looked at from the later one. A cell or its visitors beyond block vectors are split, and
+    every split meets every other, so a task holds two blocks however the vectors are heaped.
     """
-    units = blended(vectors)
-    n = vectors.count()
-    blocks = max(1, -(-n // block))
-    b = F.pmod(F.xxhash64("page_id"), F.lit(blocks)).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.struct(F.least(F.col("b"), o).alias("i"), F.greatest(F.col("b"), o).alias("j")))
-    placed = units.withColumn("b", b).withColumn("cell", F.explode(pairs)).select("cell.i", "cell.j", "b", "page_id", "v")
+    units = kept(units.select("page_id", "v"), "units")
+    n = units.count()
+    chosen = units.orderBy(F.xxhash64("page_id"), "page_id").limit(pivots or min(PIVOTS, max(1, -(-n // block)))).select("v").collect()  # at most PIVOTS vectors
+    if not chosen:
+        return units.sparkSession.createDataFrame([], "src long, dst long, similarity double")
+    centres = np.array([r["v"] for r in chosen])
+    placed = _placed(units, centres)
+    sizes = _cell_sizes(placed, len(centres), F.max("away"))
+    radius = np.array([sizes.get(i, (0, -np.inf))[1] for i in range(len(centres))])
+    visits = _visits(placed, centres, radius + np.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK)
+    visitors = _cell_sizes(visits, len(centres))
+    parts = lambda counts, i: -(-counts.get(i, (0,))[0] // block)
+    split = F.broadcast(units.sparkSession.createDataFrame([(i, max(1, parts(sizes, i)), parts(visitors, i)) for i in range(len(centres))], "cell int, own int, other int"))  # a row for each pivot
+    own, other = F.col("own"), F.col("other")
+    part = lambda n: F.pmod(F.xxhash64("page_id"), n).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    among = F.transform(upto(own), lambda o: F.struct(F.lit(True).alias("within"), F.least(part(own), o).alias("i"), F.greatest(part(own), o).alias("j")))
+    host = F.transform(upto(other), lambda q: F.struct(F.lit(False).alias("within"), q.alias("i"), part(own).alias("j")))
+    guest = F.transform(upto(own), lambda o: F.struct(F.lit(False).alias("within"), part(other).alias("i"), o.alias("j")))
+    hosts = placed.join(split, "cell").select("cell", part(own).alias("b"), F.lit(False).alias("guest"), "page_id", "v", F.explode(F.when(other > 0, F.concat(among, host)).otherwise(among)).alias("t"))
+    guests = visits.join(split, "cell").select("cell", part(other).alias("b"), F.lit(True).alias("guest"), "page_id", "v", F.explode(guest).alias("t"))
+    tasks = hosts.unionAll(guests).select("cell", "t.*", "b", "guest", "page_id", "v")
 
     def products(cell: pa.Table) -> pa.Table:
-        ids, owner = np.asarray(cell["page_id"]), np.asarray(cell["b"])
-        v = np.asarray(cell["v"].combine_chunks().flatten()).reshape(len(ids), -1)
-        i, j = owner == cell["i"][0].as_py(), owner == cell["j"][0].as_py()
-        out = []
-        for at in range(0, int(i.sum()), 1024):  # rows at once
-            rows = np.flatnonzero(i)[at : at + 1024]
-            product = np.clip(v[rows] @ v[j].T, -1, 1)
+        ids, within = np.asarray(cell["page_id"]), cell["within"][0].as_py()
+        v, b, guests = _matrix(cell["v"].combine_chunks(), len(ids)), np.asarray(cell["b"]), np.asarray(cell["guest"])
+        first, second = (b == cell["i"][0].as_py(), b == cell["j"][0].as_py()) if within else (guests, ~guests)
+        same, out = within and cell["i"][0] == cell["j"][0], []
+        for at in range(0, int(first.sum()), 1024):  # rows at once
+            rows = np.flatnonzero(first)[at : at + 1024]
+            product = np.clip(v[rows] @ v[second].T, -1, 1)
             a, c = np.nonzero(product >= threshold - 1e-12)
-            left, right = ids[rows][a], ids[j][c]
-            keep = left < right if cell["i"][0] == cell["j"][0] else np.ones(len(a), bool)
+            left, right = ids[rows][a], ids[second][c]
+            keep = left < right if same else np.ones(len(a), bool)
             out.append((np.minimum(left, right)[keep], np.maximum(left, right)[keep], product[a, c][keep]))
         src, dst, s = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
         return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64()), "similarity": pa.array(s, pa.float64())})
 
-    return placed.groupBy("i", "j").applyInArrow(products, "src long, dst long, similarity double")
+    return tasks.groupBy("cell", "within", "i", "j").applyInArrow(products, "src long, dst long, similarity double")
+
+
+def similarity_edges(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, pivots: int | None = None) -> DataFrame:
+    """(src, dst, similarity) of all pairs src < dst at or above the threshold (inclusive, to 1e-12)."""
+    return unit_pairs(blended(vectors), threshold, block, pivots)
+
+
+def similarity_links(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, pivots: int | None = None) -> DataFrame:
+    """Edges that connect what similarity_edges connects, and at every stricter threshold too, without all pairs of equal vectors.
+
+    Equal vectors are one: n of them give the n - 1 edges of a star, and only their smallest page meets the others. The
+    product of a vector with its equal is 1.
+    """
+    units = blended(vectors)
+    folded = cut(units.groupBy("v").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("many")))
+    pairs = unit_pairs(folded.select("page_id", "v"), threshold, block, pivots)
+    several = folded.where("many > 1").select(F.col("page_id").alias("src"), "v", "many")
+    stars = joined_to_facts(units, several, "v", "many").where("page_id <> src").select("src", F.col("page_id").alias("dst"), F.lit(1.0).alias("similarity"))
+    return pairs.unionAll(stars) if threshold - 1e-12 <= 1.0 else pairs
 
 
 def cohesion(members: DataFrame, vectors: DataFrame) -> DataFrame:

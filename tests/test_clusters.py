@@ -1,12 +1,13 @@
 """Categories, similarity, components, subdivision and ranking on small fixtures."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError
 from pulsegrid.functions.storage import joined_to_facts
 from pulsegrid.operators import categories, clusters, similarity
-from pulsegrid.operators.graph import connected_components
+from pulsegrid.operators.graph import connected_components, spanning_forest
 
 PAGES = "page_id long, canonical_title string, lead string, categories array<string>"
 
@@ -141,3 +142,81 @@ def test_caps_and_ids():
     for bad in ("", ".", "..", "a/b"):
         with pytest.raises(ContractError):
             safe_identifier(bad, "run_id")
+
+
+def heaped(spark, seed, many, dims=6):
+    """Vectors in narrow heaps, one of them much larger, with equal ones among them; and the similarity of all pairs."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, dims))
+    content = np.array([centres[0 if rng.random() < 0.4 else rng.integers(12)] + rng.normal(size=dims) * rng.choice((0, 0.05, 0.3)) for _ in range(many)])
+    kind = np.eye(3)[rng.integers(3, size=many)]
+    unit = content / np.linalg.norm(content, axis=1, keepdims=True)
+    return vectors(spark, [(int(i), content[i].tolist(), kind[i].tolist()) for i in range(many)]), 0.7 * unit @ unit.T + 0.3 * kind @ kind.T
+
+
+@pytest.mark.parametrize("bounds", [{}, {"block": 40}, {"block": 40, "pivots": 30}, {"pivots": 1}, {"block": 7, "pivots": 3}])
+def test_pruned_pairs_are_all_pairs(spark, bounds):
+    v, s = heaped(spark, 1, 300)
+    for threshold in (0.5, 0.76, 0.95):
+        found = {(r["src"], r["dst"]): r["similarity"] for r in similarity.similarity_edges(v, threshold, **bounds).collect()}
+        must = {(i, j): s[i, j] for i in range(300) for j in range(i + 1, 300) if s[i, j] >= threshold - 1e-9}
+        assert found.keys() == must.keys() and all(abs(found[k] - must[k]) < 1e-9 for k in must)
+
+
+def test_far_cells_do_not_meet(spark):
+    v, s = heaped(spark, 2, 300)
+    units = similarity.blended(v)
+    sent = []
+    for threshold in (0.95, -1.0):
+        centres = np.array([r["v"] for r in units.orderBy(F.xxhash64("page_id")).limit(30).collect()])
+        placed = similarity._placed(units, centres)
+        radius = similarity._cell_sizes(placed, 30, F.max("away"))
+        reach = np.array([radius.get(i, (0, -np.inf))[1] for i in range(30)]) + np.sqrt(2 - 2 * threshold)
+        sent.append(similarity._visits(placed, centres, reach).count())
+    assert sent[0] < 0.4 * sent[1]
+
+
+def test_links_of_equal_vectors(spark):
+    rows = [(i, [1.0, 2.0], [1.0, 0.0]) for i in range(50, 0, -1)] + [(60, [1.0, 2.1], [1.0, 0.0]), (61, [1.0, 2.1], [1.0, 0.0]), (70, [-1.0, 0.0], [0.0, 1.0])]
+    v = vectors(spark, rows)
+    links = similarity.similarity_links(v, 0.9).collect()
+    assert len(links) == 49 + 1 + 1
+    found = connected_components(similarity.similarity_links(v, 0.9)).collect()
+    assert {r["node"]: r["component"] for r in found} == {i: 1 for i in [*range(1, 51), 60, 61]}
+    assert similarity.similarity_edges(vectors(spark, []), 0.9).count() == 0 and similarity.similarity_links(vectors(spark, []), 0.9).count() == 0
+
+
+def strongest(edges):
+    """Kruskal over (weight down, src, dst)."""
+    parent, taken = {}, set()
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for w, a, b in sorted((-w, min(a, b), max(a, b)) for a, b, w in edges if a != b):
+        if find(a) != find(b):
+            parent[find(a)] = find(b)
+            taken.add((a, b, -w))
+    return taken
+
+
+@pytest.mark.parametrize("few", [500_000, 20, 1])
+def test_spanning_forest(spark, few):
+    rng = np.random.default_rng(few)
+    edges = [(int(a), int(b), float(w)) for a, b, w in zip(rng.integers(60, size=400), rng.integers(60, size=400) + 40 * (rng.random(400) < 0.2), rng.choice((0.5, 0.6, 0.7, 0.7, 1.0), 400))]
+    df = spark.createDataFrame(edges, "src long, dst long, similarity double").repartition(5)
+    found = [tuple(r) for r in spanning_forest(df, few_edges=few).collect()]
+    assert set(found) == strongest(edges) and len(set(found)) == len(found)
+    assert spanning_forest(df.limit(0), few_edges=few).count() == 0
+
+
+def test_equal_pages_keep_few_edges(spark):
+    v = vectors(spark, [(i, [1.0, 0.0], [1.0, 0.0]) for i in range(1, 61)])
+    edges = similarity.similarity_edges(v, 0.9)
+    assert edges.count() == 60 * 59 / 2 and spanning_forest(edges).count() == 59
+    pages = selected(spark, range(1, 61))
+    parts = [clusters.subdivide_components(clusters.component_members(v, e), e, pages, 0.9, 300, 0) for e in (edges, similarity.similarity_links(v, 0.9))]
+    a, b = (sorted(tuple(r) for r in p.collect()) for p in parts)
+    assert a == b and len({r[2] for r in a}) > 1 and {r[3] for r in a} == {1.0}
