@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import digests
 from pulsegrid.functions.storage import cut, use_shared_dir
-from pulsegrid.operators import adjudication, categories, clusters, evidence, ledger, narrative, publish, similarity, traffic
+from pulsegrid.operators import adjudication, categories, clusters, evidence, graph, ledger, narrative, publish, similarity, traffic
 from pulsegrid.sources import testdata as data
 from pulsegrid.streaming import events
 
 Query = Callable[[SparkSession, str], DataFrame]
 THRESHOLD = 0.5
-GUARD = 3000
+GUARD = 4500
 CLUSTERS = 50
 
 
@@ -56,7 +56,8 @@ def _edges(s: SparkSession, d: str) -> DataFrame:
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
     """Pages with selected categories, for those that have a vector."""
-    return data.pages(s, d).join(data.vectors(s, d).select("page_id"), "page_id", "left_semi").select("page_id", "canonical_title", "lead", F.array().cast("array<string>").alias("selected_categories"))
+    own = categories.select_categories(_noisy(s, d)).join(data.vectors(s, d).select("page_id"), "page_id", "left_semi")
+    return own.select("page_id", "canonical_title", "lead", "selected_categories")
 
 
 def _components(s: SparkSession, d: str) -> DataFrame:
@@ -246,13 +247,17 @@ def review_cap(s: SparkSession, d: str) -> DataFrame:
 
 def formation_counts(s: SparkSession, d: str) -> DataFrame:
     m = cut(_components(s, d))
-    parts = clusters.reviewable(m).select("page_id", "component", F.col("component").alias("cluster"), F.lit(None).cast("double").alias("subdivision_threshold"))
+    parts = cut(_parts(s, d))
     return clusters.formation_counts(m, parts, clusters.preliminary_clusters(parts, data.vectors(s, d)))
 
 
+def spanning_forest(s: SparkSession, d: str) -> DataFrame:
+    return _rounded(graph.spanning_forest(_edges(s, d)), "similarity")
+
+
 def _parts(s: SparkSession, d: str) -> DataFrame:
     m = clusters.reviewable(_components(s, d))
-    return clusters.subdivide_components(m, _edges(s, d), _pages(s, d), THRESHOLD, GUARD, 0)
+    return clusters.subdivide_components(m, _edges(s, d), _pages(s, d), THRESHOLD, GUARD)
 
 
 def subdivide_components(s: SparkSession, d: str) -> DataFrame:
@@ -260,7 +265,7 @@ def subdivide_components(s: SparkSession, d: str) -> DataFrame:
 
 
 def pack_members(s: SparkSession, d: str) -> DataFrame:
-    return clusters.pack_members(clusters.reviewable(_components(s, d)), _pages(s, d), GUARD, 0)
+    return clusters.pack_members(clusters.reviewable(_components(s, d)), _pages(s, d), GUARD)
 
 
 # adjudication
@@ -488,7 +493,7 @@ def queries() -> dict[str, Query]:
     own = (
         scan_raw_daily, filter_project, nominal_days, guard_consecutive_days, daily_cutoffs, coverage, coverage_gate, candidate_universe, metadata_batches, exclusion_reason, canonicalize, exclusion_counts, canonical_pages, page_observations, lead_truncate, category_prefix_strip, merge_metadata, redirect_resolution,
         category_noise_filter, category_df, category_idf, select_categories, representations,
-        scan_embeddings, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, subdivide_components, pack_members,
+        scan_embeddings, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, spanning_forest, subdivide_components, pack_members,
         decision_validation, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
         censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
         narrative_templates, narrative_validation, narrative_revalidation,

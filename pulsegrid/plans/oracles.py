@@ -6,7 +6,8 @@ import re
 
 from pulsegrid.operators.categories import NOISE_PATTERNS
 from pulsegrid.operators.evidence import TECHNICAL_NAMESPACES
-from pulsegrid.plans.catalogue import CLUSTERS, THRESHOLD
+from pulsegrid.operators.clusters import PROMPT, STEP
+from pulsegrid.plans.catalogue import CLUSTERS, GUARD, THRESHOLD
 from pulsegrid.sources.testdata import AS_OF, PROJECT, TOP_N, UNAVAILABLE_DAYS
 
 _NAMES = ", ".join(f"'{n}'" for n in TECHNICAL_NAMESPACES)
@@ -41,6 +42,7 @@ STEPS = {
     "idf": "SELECT category, count(*) AS df, ln((SELECT count(*) FROM noisy) / count(*)) AS idf FROM named GROUP BY category",
     "best": "SELECT page_id, category, row_number() OVER (PARTITION BY page_id ORDER BY idf DESC, category) AS place FROM named JOIN idf USING (category) QUALIFY place <= 5",
     "lists": "SELECT n.page_id, n.canonical_title, n.lead, coalesce(string_agg(category, chr(31) ORDER BY place), '') AS selected, coalesce(string_agg(category, ' | ' ORDER BY place), '(none)') AS shown FROM noisy n LEFT JOIN best b ON b.page_id = n.page_id GROUP BY ALL",
+    "sized": "SELECT page_id, canonical_title, lead, categories, octet_length(encode(concat('{\"page_id\":', page_id, ',\"canonical_title\":', to_json(canonical_title), ',\"lead\":', to_json(lead), ',\"selected_categories\":[', listed, ']}'))) AS bytes FROM (SELECT n.page_id, n.canonical_title, n.lead, coalesce(string_agg(category, ',' ORDER BY place), '') AS categories, coalesce(string_agg(CAST(to_json(category) AS VARCHAR), ',' ORDER BY place), '') AS listed FROM noisy n LEFT JOIN best b ON b.page_id = n.page_id GROUP BY ALL)",
     "vec": "SELECT vec_id AS page_id, embedding::DOUBLE[] AS v, label FROM embeddings",
     "pairs": "SELECT a.page_id AS src, b.page_id AS dst, 0.7 * list_cosine_similarity(a.v, b.v) + 0.3 * (a.label = b.label)::INT AS similarity FROM vec a JOIN vec b ON a.page_id < b.page_id",
     "edges": f"SELECT * FROM pairs WHERE similarity >= {THRESHOLD}",
@@ -54,6 +56,17 @@ STEPS = {
     "each": "SELECT r.cluster_id, r.rank, p.page_id, coalesce(l.toxic, 0) = 1 AS toxic FROM (SELECT cluster_id, rank, unnest(page_ids) AS page_id FROM review) p JOIN review r USING (cluster_id, rank) LEFT JOIN labels l ON l.doc_id = p.page_id",
     "decided": "SELECT *, CASE WHEN count(*) FILTER (WHERE NOT toxic) OVER (PARTITION BY cluster_id) >= 2 AND NOT toxic THEN 'accepted' ELSE 'rejected' END AS assignment FROM each",
 }
+#: Steps after the others: parts of components at ever stricter thresholds, by the closure of the edges of every level.
+_PARTS = f"""levels AS (SELECT 0 AS l, {THRESHOLD}::DOUBLE AS thr UNION ALL SELECT l + 1, least(1.0::DOUBLE, thr + {STEP}::DOUBLE) FROM levels WHERE thr < 1.0),
+ways AS (SELECT l, src AS a, dst AS b FROM levels JOIN edges ON similarity >= thr UNION ALL SELECT l, dst, src FROM levels JOIN edges ON similarity >= thr),
+closed AS (SELECT l, a, b FROM ways UNION SELECT c.l, c.a, w.b FROM closed c JOIN ways w ON w.l = c.l AND w.a = c.b),
+leveled AS (SELECT l, thr, k.page_id, k.component, least(k.page_id, coalesce((SELECT min(b) FROM closed c WHERE c.l = levels.l AND c.a = k.page_id), k.page_id)) AS part FROM kept k CROSS JOIN levels),
+fitting AS (SELECT *, {PROMPT} + 2 + sum(bytes) OVER (PARTITION BY l, part) + count(*) OVER (PARTITION BY l, part) - 1 <= {GUARD} AS fits FROM leveled JOIN sized USING (page_id)),
+whole AS (SELECT page_id, component, arg_min(part, l) AS cluster, CASE WHEN min(l) > 0 THEN min(thr) END AS subdivision_threshold FROM fitting WHERE fits GROUP BY page_id, component),
+queue AS (SELECT page_id, component, part, bytes, row_number() OVER (PARTITION BY part ORDER BY page_id) AS n FROM fitting WHERE l = (SELECT max(l) FROM levels) AND page_id NOT IN (SELECT page_id FROM whole)),
+packed AS (SELECT part, n, page_id, component, page_id AS cluster, {PROMPT} + 2 + bytes AS used FROM queue WHERE n = 1
+  UNION ALL SELECT q.part, q.n, q.page_id, q.component, CASE WHEN used + q.bytes + 1 <= {GUARD} THEN p.cluster ELSE q.page_id END, CASE WHEN used + q.bytes + 1 <= {GUARD} THEN used + q.bytes + 1 ELSE {PROMPT} + 2 + q.bytes END FROM packed p JOIN queue q ON q.part = p.part AND q.n = p.n + 1),
+parts AS (SELECT * FROM whole UNION ALL SELECT page_id, component, cluster, 1.0::DOUBLE FROM packed)"""
 _RECURSIVE = "reach AS (SELECT a, b FROM twoway UNION SELECT r.a, e.b FROM reach r JOIN twoway e ON e.a = r.b)"
 
 
@@ -76,7 +89,6 @@ def _with(sql: str) -> str:
 
 
 _WINDOW = "SELECT cluster_id, \"window\", successful_days, observed_total, observed_page_days, minimum_total, maximum_total, round(observed_total * 7.0::DOUBLE / successful_days, 6) AS seven_day_equivalent, round(minimum_total * 7.0::DOUBLE / successful_days, 6) AS minimum, round(maximum_total * 7.0::DOUBLE / successful_days, 6) AS maximum FROM sums"
-_RECORD = "octet_length(encode(concat('{\"page_id\":', page_id, ',\"canonical_title\":', to_json(canonical_title), ',\"lead\":', to_json(lead), ',\"selected_categories\":[]}')))"
 _SUMMARY = "CASE WHEN direction = 'sudden_growth' THEN concat('Attention to ', name, ' topics was suddenly trending in the supplied comparison.') ELSE concat('Attention to ', name, ' topics ', CASE WHEN direction = 'robust_growth' THEN 'rose' ELSE 'declined' END, ' in the supplied comparison.') END"
 
 
@@ -126,16 +138,15 @@ _PLAIN = {
     "similarity_edges": "SELECT src, dst, round(similarity, 6) AS similarity FROM edges",
     "connected_components": "SELECT * FROM components",
     "cluster_cohesion": "SELECT component AS cluster, count(*) AS size, round(min(cohesion), 6) AS cohesion FROM components LEFT JOIN cohesions ON cluster = component GROUP BY component",
-    "token_estimate": f"SELECT component, count(*) AS n, CAST(sum({_RECORD}) + count(*) - 1 + 2 + 2048 AS BIGINT) AS tokens FROM kept JOIN page USING (page_id) GROUP BY component",
+    "token_estimate": f"SELECT component, count(*) AS n, CAST(sum(bytes) + count(*) - 1 + 2 + {PROMPT} AS BIGINT) AS tokens FROM kept JOIN sized USING (page_id) GROUP BY component",
     "preliminary_clusters": "SELECT component, size, round(cohesion, 6) AS cohesion, array_to_string(page_ids, ',') AS page_ids FROM groups JOIN cohesions ON cluster = component",
     "rank_clusters": "SELECT CAST(rank AS INTEGER) AS rank, cluster_id, size, array_to_string(page_ids, ',') AS page_ids FROM review",
     "review_cap": "SELECT CAST(rank AS INTEGER) AS rank, cluster_id FROM review WHERE rank <= 10",
-    "formation_counts": "SELECT count(*) AS components, count(*) FILTER (WHERE n = 1) AS singleton_components, 0::BIGINT AS subdivided_components, 0::BIGINT AS subdivisions, count(*) FILTER (WHERE n > 1) AS eligible_clusters, 0::BIGINT AS singleton_subdivisions, least(10, count(*) FILTER (WHERE n > 1)) AS selected_clusters, greatest(0, count(*) FILTER (WHERE n > 1) - 10) AS omitted_clusters FROM (SELECT component, count(*) AS n FROM components GROUP BY component)",
     "decision_validation": "SELECT cluster_id, 'valid' AS status, page_id, assignment, CASE WHEN assignment = 'rejected' THEN 'toxic' END AS reason FROM decided",
     "terminal_partition": "SELECT cluster_id, 0::BIGINT AS missing, 0::BIGINT AS unknown, 0::BIGINT AS repeated, true AS exact FROM review",
     "adjudication_counts": "SELECT count(DISTINCT cluster_id) AS reviewed_clusters, count(*) FILTER (WHERE assignment = 'accepted') AS accepted_pages, count(*) FILTER (WHERE assignment = 'rejected') AS rejected_pages, count(DISTINCT cluster_id) FILTER (WHERE assignment = 'accepted') AS final_clusters FROM decided",
     "assign_cluster_ids": "SELECT format('final-audience-cluster-{:04d}', row_number() OVER (ORDER BY cluster_id)) AS final_cluster_id, cluster_id, page_ids FROM (SELECT cluster_id, string_agg(page_id, ',' ORDER BY page_id) AS page_ids FROM decided WHERE assignment = 'accepted' GROUP BY cluster_id)",
-    "model_visible_members": "SELECT cluster_id, page_id, canonical_title, lead, '' AS selected_categories FROM each JOIN page USING (page_id)",
+    "model_visible_members": "SELECT cluster_id, page_id, canonical_title, lead, categories AS selected_categories FROM each JOIN sized USING (page_id)",
     "censored_grid": "SELECT * FROM grid",
     "window_traffic": _WINDOW,
     "window_traffic_grid": _WINDOW,
@@ -162,4 +173,28 @@ _PLAIN = {
     "revision_validation": "SELECT cluster_id, 'invalid' AS status, string_agg(concat('omitted_page_id:', page_id), ',' ORDER BY page_id) OVER (PARTITION BY cluster_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS errors, page_id, 'rejected' AS assignment, 'invalid_adjudication' AS reason FROM each",
     "critique_validation": "SELECT cluster_id, 'invalid' AS status, 'invalid_critique' AS errors, page_id, 'invalid_adjudication' AS reason FROM each",
 }
-ORACLES = {name: sql if sql.startswith("WITH") else _with(sql) for name, sql in _PLAIN.items()}
+_BY_LEVELS = {
+    "subdivide_components": "SELECT * FROM parts",
+    "formation_counts": """SELECT a.*, b.*, c.*, least(10, eligible_clusters) AS selected_clusters, greatest(0, eligible_clusters - 10) AS omitted_clusters FROM
+        (SELECT count(*) AS components, count(*) FILTER (WHERE n = 1) AS singleton_components FROM (SELECT component, count(*) AS n FROM components GROUP BY component)) a,
+        (SELECT count(DISTINCT component) AS subdivided_components, count(DISTINCT cluster) AS subdivisions FROM parts WHERE subdivision_threshold IS NOT NULL) b,
+        (SELECT count(*) AS eligible_clusters, count(*) FILTER (WHERE n = 1) AS singleton_subdivisions FROM (SELECT cluster, count(*) AS n FROM parts GROUP BY cluster)) c""",
+    "pack_members": f"""SELECT page_id, component, CAST(pack AS INTEGER) AS pack FROM lined""",
+    "spanning_forest": "SELECT src, dst, round(similarity, 6) AS similarity FROM ordered e WHERE NOT EXISTS (SELECT 1 FROM paths p WHERE p.place = e.place AND p.b = e.dst)",
+}
+#: Every component's pages in a line, packed one after another.
+_LINED = f"""line AS (SELECT component, page_id, bytes, row_number() OVER (PARTITION BY component ORDER BY page_id) AS n FROM kept JOIN sized USING (page_id)),
+lined AS (SELECT component, n, page_id, 0 AS pack, {PROMPT} + 2 + bytes AS used FROM line WHERE n = 1
+  UNION ALL SELECT q.component, q.n, q.page_id, CASE WHEN used + q.bytes + 1 <= {GUARD} THEN p.pack ELSE p.pack + 1 END, CASE WHEN used + q.bytes + 1 <= {GUARD} THEN used + q.bytes + 1 ELSE {PROMPT} + 2 + q.bytes END FROM lined p JOIN line q ON q.component = p.component AND q.n = p.n + 1)"""
+#: Where an edge's first end leads by stronger edges alone; one that leads to its second end is not of the forest.
+_PATHS = """ordered AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, src, dst) AS place FROM edges),
+paths AS (SELECT place, src AS b FROM ordered UNION SELECT p.place, CASE WHEN o.src = p.b THEN o.dst ELSE o.src END FROM paths p JOIN ordered o ON o.place < p.place AND p.b IN (o.src, o.dst))"""
+
+
+def _by_levels(name: str, sql: str) -> str:
+    more = _PATHS if name == "spanning_forest" else _LINED if name == "pack_members" else _PARTS
+    head = _with("SELECT 1 FROM components JOIN kept USING (page_id) JOIN sized USING (page_id) JOIN edges ON true").rpartition("\n")[0]
+    return f"{head},\n{more}\n{sql}"
+
+
+ORACLES = {name: sql if sql.startswith("WITH") else _with(sql) for name, sql in _PLAIN.items()} | {name: _by_levels(name, sql) for name, sql in _BY_LEVELS.items()}
