@@ -229,3 +229,18 @@ def terminal_partition(source: DataFrame, decided: DataFrame) -> DataFrame:
 def require_partition(source: DataFrame, decided: DataFrame) -> None:
     if not terminal_partition(source, decided).where("NOT exact").isEmpty():
         raise ContractError("adjudication does not partition its source cluster")
+
+
+def retry_delay(error_type: Column, status_code: Column, message: Column, retry_after: Column, attempt: Column, jitter: Column) -> Column:
+    """Seconds to wait before a rate-limited answer is asked for again, null for any other error.
+
+    The provider's header counts first, then the delay its message names, then doubling from one second to thirty with
+    a jitter in [0, 1) of a quarter second.
+    """
+    limited = F.coalesce(error_type == "RateLimitError", F.lit(False)) | F.coalesce(status_code == 429, F.lit(False)) | F.coalesce(F.contains(message, F.lit("Error code: 429")), F.lit(False))
+    asked = F.when(F.rlike(retry_after, F.lit(r"^\s*[+-]?[0-9]+(\.[0-9]*)?([eE][+-]?[0-9]{1,2})?\s*$")), F.trim(retry_after)).cast("double")
+    named = r"(?i)try again in\s+([0-9]+(?:\.[0-9]+)?)\s*(ms|s)\b"
+    value = F.nullif(F.regexp_extract(message, named, 1), F.lit("")).cast("double")
+    told = F.when(F.lower(F.regexp_extract(message, named, 2)) == "ms", value / 1000).otherwise(value) + 0.1
+    doubled = F.least(F.pow(F.lit(2.0), attempt - 1), F.lit(30.0)) + 0.25 * jitter
+    return F.when(limited, F.coalesce(F.when(asked.isNotNull(), F.greatest(asked, F.lit(0.0)) + 0.1), told, doubled))

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError
+from pulsegrid.functions.ordering import best, placed
 from pulsegrid.functions.storage import cut
 from pulsegrid.operators.graph import connected_components, spanning_forest
 from pulsegrid.operators.similarity import THRESHOLD, cohesion
@@ -156,10 +157,11 @@ def preliminary_clusters(parts: DataFrame, vectors: DataFrame) -> DataFrame:
     return lists.join(cohesion(parts.select("cluster", "page_id"), vectors), "cluster")
 
 
-def rank_clusters(clusters: DataFrame) -> DataFrame:
-    """clusters with rank: cohesion (to 12 digits, so that the order of a sum does not matter) down, null last, size down, page ids up. Clusters are the reviewable few; one window ranks them."""
-    order = Window.orderBy(F.round("cohesion", 12).desc_nulls_last(), F.col("size").desc(), "page_ids")
-    return clusters.withColumn("rank", F.row_number().over(order))
+def rank_clusters(clusters: DataFrame, cap: int | None = None) -> DataFrame:
+    """clusters with rank: cohesion (to 12 digits, so that the order of a sum does not matter) down, null last, size down, page ids up; only the first cap if one is given."""
+    order = F.round("cohesion", 12).desc_nulls_last(), F.col("size").desc(), F.col("page_ids").asc()
+    ranked = placed(clusters, *order) if cap is None else best(clusters, cap, *order)
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def review_cap(ranked: DataFrame, cap: int | None = REVIEW_CAP) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.contracts import ContractError, refuse_rows
+from pulsegrid.functions.ordering import placed
 from pulsegrid.functions.storage import cut
 
 MINIMUM_DAYS = 4
@@ -62,15 +63,8 @@ def candidate_universe(records: DataFrame) -> DataFrame:
 
 
 def metadata_batches(universe: DataFrame, size: int = BATCH_TITLES) -> DataFrame:
-    """(article, batch): batches of size titles in title order.
-
-    The rank is distributed: titles are cut into ranges of their leading characters, ranked inside, and offset by the count before.
-    """
-    lead = F.substring("article", 1, 3)
-    sizes = universe.groupBy(lead.alias("lead")).agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select("lead", F.coalesce(F.sum("n").over(Window.orderBy("lead").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inside = universe.select("article", lead.alias("lead"), F.row_number().over(Window.partitionBy(lead).orderBy("article")).alias("r"))
-    return inside.join(before, "lead").select("article", F.floor((F.col("before") + F.col("r") - 1) / size).cast("long").alias("batch"))
+    """(article, batch): batches of size titles in title order."""
+    return placed(universe.select("article"), "article").select("article", F.floor((F.col("rank") - 1) / size).cast("long").alias("batch"))
 
 
 def _trimmed(text: Column) -> Column:

@@ -474,6 +474,23 @@ def event_sequence_check(s: SparkSession, d: str) -> DataFrame:
     return events.sequence_check(e)
 
 
+def event_guard(s: SparkSession, d: str) -> DataFrame:
+    """Events of a type as a run, some of them broken in shape, some numbered behind their time."""
+    n = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    e = data.table(s, d, "events").select("event_id", F.col("event_type").alias("run_id"), n.alias("n"), F.when(F.col("event_id") % 31 == 0, None).otherwise(F.col("ts").cast("timestamp")).alias("timestamp"), F.when(F.col("event_id") % 37 == 0, "other").otherwise("info").alias("level"))
+    shaped = e.select(F.lit("1.0").alias("schema_version"), "run_id", F.when(F.col("event_id") % 41 == 0, F.col("n") - 5).otherwise(F.col("n")).cast("long").alias("sequence"), "timestamp", F.lit("stage").alias("module"), F.lit("load").alias("operation"), "level", F.col("event_id").cast("string").alias("message"), F.lit(None).cast("struct<current:long,total:long>").alias("progress"), F.lit(None).cast("string").alias("_broken"))
+    return events.guarded(shaped).select("run_id", "sequence", F.col("message").cast("long").alias("event_id"), "fault")
+
+
+def retry_delay(s: SparkSession, d: str) -> DataFrame:
+    """Errors made of events: limited ones with a header, with a delay in their message, or with neither."""
+    kind = F.col("event_id") % 4
+    message = F.when(kind == 1, F.concat(F.lit("Error code: 429, please try again in "), F.col("event_id") % 900, F.lit("ms"))).when(kind == 2, F.lit("Error code: 429")).otherwise(F.lit("broken"))
+    e = data.table(s, d, "events").select("event_id", F.when(kind == 0, "RateLimitError").otherwise("Error").alias("type"), message.alias("message"), F.when(kind == 0, (F.col("event_id") % 60).cast("string")).alias("header"), (F.col("event_id") % 7 + 1).alias("attempt"))
+    delay = adjudication.retry_delay(F.col("type"), F.lit(None).cast("int"), F.col("message"), F.col("header"), F.col("attempt"), F.lit(0.0))
+    return _rounded(e.select("event_id", delay.alias("delay")), "delay")
+
+
 def event_global_sequence(s: SparkSession, d: str) -> DataFrame:
     e = data.table(s, d, "events").select(F.to_date("ts").cast("string").alias("run_id"), F.col("event_type").alias("stage"), F.col("event_id").alias("sequence"))
     return events.global_sequence(e, F.col("stage"))
@@ -497,7 +514,7 @@ def queries() -> dict[str, Query]:
         decision_validation, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
         censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
         narrative_templates, narrative_validation, narrative_revalidation,
-        semantic_fingerprint, stage_artifact_scan, ledger_resume, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_global_sequence, event_public_message, event_daily_counts,
+        semantic_fingerprint, stage_artifact_scan, ledger_resume, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_guard, retry_delay, event_global_sequence, event_public_message, event_daily_counts,
     )
     return {f.__name__: f for f in own}
 

@@ -106,6 +106,10 @@ _PAGE_DIGEST = "SELECT sha256(CAST(to_json({'canonical_title': canonical_title,
 _PLAIN = {
     "semantic_fingerprint": f"SELECT fingerprint, n_rows AS n_pages FROM ({_root('pages', _PAGE_DIGEST)})",
     "stage_artifact_scan": _root("documents", "SELECT sha256(CAST(to_json({'doc_id': doc_id, 'lang': lang, 'source': source}) AS VARCHAR)) AS digest FROM documents") + " UNION ALL " + _root("labels", "SELECT sha256(CAST(to_json({'doc_id': doc_id, 'quality': quality, 'toxic': toxic}) AS VARCHAR)) AS digest FROM labels"),
+    "event_guard": """WITH e AS (SELECT event_id, event_type AS run_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - CASE WHEN event_id % 41 = 0 THEN 5 ELSE 0 END AS sequence, CASE WHEN event_id % 31 > 0 THEN ts END AS at_, event_id % 37 = 0 AS other FROM events),
+        f AS (SELECT *, CASE WHEN at_ IS NULL THEN 'timestamp' WHEN sequence < 1 THEN 'sequence' WHEN other THEN 'level' END AS shape FROM e)
+        SELECT run_id, sequence, event_id, coalesce(shape, CASE WHEN sequence <= max(CASE WHEN shape IS NULL THEN sequence END) OVER (PARTITION BY run_id ORDER BY at_ NULLS FIRST, sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 'order' END) AS fault FROM f""",
+    "retry_delay": "SELECT event_id, round(CASE event_id % 4 WHEN 0 THEN event_id % 60 + 0.1 WHEN 1 THEN (event_id % 900) / 1000.0 + 0.1 WHEN 2 THEN least(pow(2, event_id % 7), 30) END::DOUBLE, 6) AS delay FROM events",
     "ledger_resume": "SELECT CAST(ts AS DATE) - min(CAST(min(ts) AS DATE)) OVER () + 1 AS sequence, CAST(CAST(ts AS DATE) AS VARCHAR) AS unit, concat(count(*), '/', count(DISTINCT user_id)) AS body FROM events GROUP BY CAST(ts AS DATE)",
     "narrative_revalidation": "SELECT cluster_id, CASE CAST(substr(cluster_id, 9) AS INTEGER) % 5 WHEN 1 THEN 'an attempt is not what validation finds' WHEN 2 THEN 'attempts are not numbered' WHEN 3 THEN 'not the last attempt alone is valid' ELSE 'another narrative is published' END AS fault FROM items WHERE CAST(substr(cluster_id, 9) AS INTEGER) % 5 > 0",
     "scan_raw_daily": "SELECT * FROM raw",

@@ -52,7 +52,7 @@ def form_clusters(pages: DataFrame, embeddings: DataFrame, threshold: float = si
     every = cut(clusters.component_members(vectors, edges))
     parts = cut(clusters.subdivide_components(clusters.reviewable(every), edges, chosen, threshold, most))
     eligible = cut(clusters.preliminary_clusters(parts, vectors))
-    review = cut(clusters.review_cap(clusters.assign_ids(clusters.rank_clusters(eligible)), review_cap(cap)))
+    review = cut(clusters.assign_ids(clusters.rank_clusters(eligible, review_cap(cap))))
     members = review.select("cluster_id", F.explode("page_ids").alias("page_id")).join(chosen.select("page_id", "canonical_title", "lead", "selected_categories"), "page_id")
     return {"clusters": review, "members": members, "selected": chosen.select("page_id"), "counts": clusters.formation_counts(every, parts, eligible, review_cap(cap))}
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
+
+from pulsegrid.contracts import EVENT_VERSION
 
 EVENT_SCHEMA = "schema_version string, run_id string, sequence long, timestamp timestamp, module string, operation string, level string, message string, progress struct<current:long,total:long>, _broken string"
 # What a level is called in public.
@@ -53,3 +59,44 @@ def public_message(module: Column, operation: Column, level: Column) -> Column:
 def daily_counts(events: DataFrame, late: str = "1 day") -> DataFrame:
     """(day, module, n) of a stream or batch of events, for events up to late behind the newest."""
     return events.withWatermark("timestamp", late).groupBy(F.window("timestamp", "1 day").alias("day"), "module").agg(F.count(F.lit(1)).alias("n")).select(F.to_date("day.start").alias("day"), "module", "n")
+
+
+def shape_fault(expected_run: Column | None = None) -> Column:
+    """Why an event of EVENT_SCHEMA has no proper shape; null for one that has."""
+    identifier = lambda c: F.coalesce(F.rlike(c, F.lit(_IDENTIFIER)), F.lit(False))
+    bounds = F.col("progress.current").isNotNull() & F.col("progress.total").isNotNull() & (F.col("progress.current") >= 0) & (F.col("progress.current") <= F.col("progress.total"))
+    other_run = F.lit(False) if expected_run is None else ~F.col("run_id").eqNullSafe(expected_run)
+    return (
+        F.when(F.col("_broken").isNotNull(), "no event").when(~F.col("schema_version").eqNullSafe(F.lit(EVENT_VERSION)), "version").when(F.col("run_id").isNull() | other_run, "run").when(F.col("timestamp").isNull(), "timestamp")
+        .when(F.col("sequence").isNull() | (F.col("sequence") < 1), "sequence").when(~identifier(F.col("module")) | ~identifier(F.col("operation")), "identifier")
+        .when(~F.coalesce(F.col("level").isin(*LEVELS), F.lit(False)), "level").when(F.col("message").isNull(), "message").when(F.col("progress").isNotNull() & ~F.coalesce(bounds, F.lit(False)), "progress")
+    )
+
+
+def guarded(events: DataFrame, expected_run: Column | None = None) -> DataFrame:
+    """(run_id, sequence, timestamp, module, operation, level, message, fault): events with what is wrong with each, null if nothing is.
+
+    A run's numbers must go up in the order of its time stamps; only events of proper shape count for that, and a number
+    that does not exceed all before it has the fault "order". A stream keeps a run's last number as state, so it goes on
+    after a restart where it was, and tells the same faults as the batch, if its files arrive in the order of time.
+    """
+    fields = ("run_id", "sequence", "timestamp", "module", "operation", "level", "message")
+    shaped = events.withColumn("fault", shape_fault(expected_run)).select(*fields, "fault")
+    if not events.isStreaming:
+        before = Window.partitionBy("run_id").orderBy("timestamp", "sequence").rowsBetween(Window.unboundedPreceding, -1)
+        last = F.max(F.when(F.col("fault").isNull(), F.col("sequence"))).over(before)
+        return shaped.withColumn("fault", F.coalesce("fault", F.when(F.col("sequence") <= last, "order")))
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(parts)).sort_values(["timestamp", "sequence"], kind="stable", na_position="first")
+        (last,), faults = state.getOption or (0,), []
+        for sequence, fault in zip(rows["sequence"], rows["fault"]):
+            if fault is None and sequence <= last:
+                fault = "order"
+            elif fault is None:
+                last = int(sequence)
+            faults.append(fault)
+        state.update((last,))
+        yield rows.assign(fault=faults)
+
+    return shaped.groupBy("run_id").applyInPandasWithState(step, shaped.schema, "last long", "append", "NoTimeout")
