@@ -18,9 +18,13 @@ TECHNICAL_NAMESPACES = ("category", "draft", "file", "help", "media", "mediawiki
 
 def nominal_days(spark: SparkSession, as_of: str) -> DataFrame:
     """(date, window): the seven days from as_of - 15 are previous, the seven from as_of - 8 current."""
-    day = F.lit(as_of).cast("date")
-    dates = spark.range(1).select(F.explode(F.sequence(F.date_sub(day, 15), F.date_sub(day, 2))).alias("date"))
-    return dates.select("date", F.when(F.col("date") <= F.date_sub(day, 9), "previous").otherwise("current").alias("window"))
+    return days_before(spark.range(1).select(F.lit(as_of).cast("date").alias("as_of")))
+
+
+def days_before(newest: DataFrame) -> DataFrame:
+    """(date, window) of the fortnight before the one as_of of newest."""
+    dates = newest.select("as_of", F.explode(F.sequence(F.date_sub("as_of", 15), F.date_sub("as_of", 2))).alias("date"))
+    return dates.select("date", F.when(F.col("date") <= F.date_sub("as_of", 9), "previous").otherwise("current").alias("window"))
 
 
 def consecutive_days(days: DataFrame) -> DataFrame:

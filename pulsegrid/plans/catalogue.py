@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import digests
 from pulsegrid.functions.storage import cut, use_shared_dir
 from pulsegrid.operators import adjudication, categories, clusters, evidence, graph, ledger, narrative, publish, similarity, traffic
+from pulsegrid.sources import metadata
 from pulsegrid.sources import testdata as data
 from pulsegrid.streaming import events
 
@@ -102,12 +103,20 @@ def filter_project(s: SparkSession, d: str) -> DataFrame:
     return evidence.filter_project(data.raw_daily(s, d), data.PROJECT)
 
 
+def _seen_days(s: SparkSession, d: str) -> DataFrame:
+    """The fortnight before the day after the last event; a day counts as unavailable without events, or with a number of them that five divides."""
+    counts = data.table(s, d, "events").groupBy(F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    days = evidence.days_before(counts.agg(F.date_add(F.max("date"), 1).alias("as_of")))
+    return days.join(counts, "date", "left").select("date", "window", F.when(F.col("n") % 5 > 0, "successful").otherwise("unavailable").alias("status"))
+
+
 def nominal_days(s: SparkSession, d: str) -> DataFrame:
-    return evidence.nominal_days(s, data.AS_OF)
+    return _seen_days(s, d).select("date", "window")
 
 
 def guard_consecutive_days(s: SparkSession, d: str) -> DataFrame:
-    return evidence.consecutive_days(evidence.nominal_days(s, data.AS_OF))
+    """Over the successful days alone, so that there are gaps."""
+    return evidence.consecutive_days(_seen_days(s, d).where("status = 'successful'"))
 
 
 def daily_cutoffs(s: SparkSession, d: str) -> DataFrame:
@@ -115,11 +124,11 @@ def daily_cutoffs(s: SparkSession, d: str) -> DataFrame:
 
 
 def coverage(s: SparkSession, d: str) -> DataFrame:
-    return evidence.coverage(data.days(s))
+    return evidence.coverage(_seen_days(s, d))
 
 
 def coverage_gate(s: SparkSession, d: str) -> DataFrame:
-    return evidence.coverage_gate(data.days(s))
+    return evidence.coverage_gate(_seen_days(s, d))
 
 
 def candidate_universe(s: SparkSession, d: str) -> DataFrame:
@@ -167,6 +176,24 @@ def merge_metadata(s: SparkSession, d: str) -> DataFrame:
     return evidence.merge_metadata(parts).withColumn("categories", F.array_join("categories", ","))
 
 
+def landed_metadata(s: SparkSession, d: str) -> DataFrame:
+    """Documents as pages of landed responses in two steps: leads first, categories second; some titles redirect, some are missing."""
+    page = data.table(s, d, "documents").select("doc_id", F.col("text").substr(1, 700).alias("extract"), "source", F.concat(F.lit("D"), "doc_id").alias("normal"))
+    kind = F.col("doc_id") % 10
+    title = F.when(kind == 3, F.concat(F.lit("Doc "), "doc_id")).otherwise(F.col("normal"))
+    steps = page.withColumn("step", F.explode(F.array(F.lit(0), F.lit(1)))).select("step", F.floor(F.col("doc_id") / 50).alias("batch"), F.concat(F.lit("d"), "doc_id").alias("alias"), "normal", title.alias("title"), "doc_id", (kind == 7).alias("missing"), F.when(F.col("step") == 0, F.col("extract")).alias("extract"), F.when(F.col("step") == 1, F.array(F.struct(F.concat(F.lit("Category:"), "source").alias("title")))).alias("categories"))
+    asked = steps.groupBy("batch", "step").agg(  # fifty titles
+        F.collect_list("alias").alias("titles"), F.collect_list(F.struct(F.col("alias").alias("from"), F.when(F.col("missing"), F.col("alias")).otherwise(F.col("normal")).alias("to"))).alias("normalized"),
+        F.collect_list(F.when(F.col("title") != F.col("normal"), F.struct(F.col("normal").alias("from"), F.col("title").alias("to")))).alias("redirects"),
+        F.collect_list(F.struct(F.when(~F.col("missing"), F.col("doc_id")).alias("pageid"), F.when(F.col("missing"), F.col("alias")).otherwise(F.col("title")).alias("title"), F.when(F.col("missing"), True).alias("missing"), F.when(~F.col("missing"), F.col("extract")).alias("extract"), "categories")).alias("pages"),
+    )
+    folder = f"{use_shared_dir(s).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    asked.select("batch", "step", "titles", F.struct(F.struct("normalized", "redirects", "pages").alias("query"), F.when(F.col("step") == 0, F.create_map(F.lit("clcontinue"), F.lit("1"))).alias("continue")).alias("response")).write.json(folder)
+    landed = metadata.read_responses(s, folder)
+    merged = evidence.merge_metadata(metadata.fragments(landed)).drop("conflict")
+    return metadata.aliases(landed).join(merged, "page_id", "left").select("alias", "page_id", "canonical_title", "lead", F.array_join("categories", ",").alias("categories"))
+
+
 def redirect_resolution(s: SparkSession, d: str) -> DataFrame:
     """Documents redirect to the one before, in chains of up to 299 hops; every other chain ends in a cycle."""
     ids = data.table(s, d, "documents").select("doc_id")
@@ -276,8 +303,23 @@ def decision_validation(s: SparkSession, d: str) -> DataFrame:
 
 
 def terminal_partition(s: SparkSession, d: str) -> DataFrame:
+    """Ends of which every eleventh page's is lost, every thirteenth's comes twice, and every seventeenth has one in another cluster."""
     source = _ranked(s, d).select("cluster_id", F.explode("page_ids").alias("page_id"))
-    return adjudication.terminal_partition(source, _decided(s, d))
+    ends = cut(_decided(s, d).select("cluster_id", "page_id"))
+    other = ends.where("page_id % 17 = 0").select(F.lit("elsewhere").alias("cluster_id"), "page_id")
+    return adjudication.terminal_partition(source, ends.where("page_id % 11 > 0").unionAll(ends.where("page_id % 13 = 0")).unionAll(other))
+
+
+def decision_faults(s: SparkSession, d: str) -> DataFrame:
+    """Proposals with a stranger, a page left out, a page twice, or no proper form, by the page that leads the cluster."""
+    first = F.element_at("page_ids", 1)
+    kind, rest = first % 4, F.slice("page_ids", 2, 1000000)
+    ids = F.when(kind == 0, F.array_append("page_ids", F.lit(-1).cast("long"))).when(kind == 1, rest).otherwise(F.array_append("page_ids", first))
+    groups = F.array(F.struct(F.lit("all").alias("name"), ids.alias("page_ids"), F.lit("alike").alias("rationale")))
+    proposal = F.when(kind == 3, F.to_json(F.struct(groups.alias("groups")))).otherwise(F.to_json(F.struct(groups.alias("groups"), F.array().cast("array<struct<page_id:long,reason:string>>").alias("rejected"))))
+    answers = F.concat(F.lit('{"proposer":['), proposal, F.lit('],"critic":[{"approved":false,"challenges":[{"dimension":"naming","message":"vague","page_ids":['), first, F.lit('],"required_action":"revise"}]}],"reviser":['), proposal, F.lit("]}"))
+    out = adjudication.adjudicate_clusters(_ranked(s, d).where("size > 2").select("cluster_id", "page_ids", answers.alias("answers")))
+    return out.select("cluster_id", "status", F.array_join("errors", ",").alias("errors"), "page_id", "assignment")
 
 
 def adjudication_counts(s: SparkSession, d: str) -> DataFrame:
@@ -508,10 +550,10 @@ def event_daily_counts(s: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        scan_raw_daily, filter_project, nominal_days, guard_consecutive_days, daily_cutoffs, coverage, coverage_gate, candidate_universe, metadata_batches, exclusion_reason, canonicalize, exclusion_counts, canonical_pages, page_observations, lead_truncate, category_prefix_strip, merge_metadata, redirect_resolution,
+        scan_raw_daily, filter_project, nominal_days, guard_consecutive_days, daily_cutoffs, coverage, coverage_gate, candidate_universe, metadata_batches, exclusion_reason, canonicalize, exclusion_counts, canonical_pages, page_observations, lead_truncate, category_prefix_strip, merge_metadata, landed_metadata, redirect_resolution,
         category_noise_filter, category_df, category_idf, select_categories, representations,
         scan_embeddings, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, spanning_forest, subdivide_components, pack_members,
-        decision_validation, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
+        decision_validation, decision_faults, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
         censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
         narrative_templates, narrative_validation, narrative_revalidation,
         semantic_fingerprint, stage_artifact_scan, ledger_resume, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_guard, retry_delay, event_global_sequence, event_public_message, event_daily_counts,

@@ -19,6 +19,8 @@ STEPS = {
     "raw": f"SELECT date, project, article, CAST(((c + 99) // 100) * 100 AS BIGINT) AS views_ceil FROM daily QUALIFY row_number() OVER (PARTITION BY date ORDER BY ((c + 99) // 100) DESC, article, project) <= {TOP_N}",
     "nominal": f"SELECT CAST(d AS DATE) AS date, CASE WHEN CAST(d AS DATE) <= DATE '{AS_OF}' - 9 THEN 'previous' ELSE 'current' END AS \"window\" FROM generate_series(DATE '{AS_OF}' - 15, DATE '{AS_OF}' - 2, INTERVAL 1 DAY) t(d)",
     "days": f"SELECT date, \"window\", CASE WHEN date IN ({_OFF}) THEN 'unavailable' ELSE 'successful' END AS status FROM nominal",
+    "counted": "SELECT CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY ALL",
+    "seen": "SELECT CAST(d AS DATE) AS date, CASE WHEN CAST(d AS DATE) <= newest - 8 THEN 'previous' ELSE 'current' END AS \"window\", CASE WHEN n % 5 > 0 THEN 'successful' ELSE 'unavailable' END AS status FROM (SELECT max(date) AS newest, unnest(generate_series(max(date) - 14, max(date) - 1, INTERVAL 1 DAY)) AS d FROM counted) LEFT JOIN counted ON date = CAST(d AS DATE)",
     "ok": "SELECT date, \"window\" FROM days WHERE status = 'successful'",
     "records": "SELECT raw.* FROM raw WHERE date IN (SELECT date FROM ok)",
     "own": f"SELECT * FROM records WHERE project = '{PROJECT}'",
@@ -114,11 +116,11 @@ _PLAIN = {
     "narrative_revalidation": "SELECT cluster_id, CASE CAST(substr(cluster_id, 9) AS INTEGER) % 5 WHEN 1 THEN 'an attempt is not what validation finds' WHEN 2 THEN 'attempts are not numbered' WHEN 3 THEN 'not the last attempt alone is valid' ELSE 'another narrative is published' END AS fault FROM items WHERE CAST(substr(cluster_id, 9) AS INTEGER) % 5 > 0",
     "scan_raw_daily": "SELECT * FROM raw",
     "filter_project": f"SELECT * FROM raw WHERE project = '{PROJECT}'",
-    "nominal_days": "SELECT * FROM nominal",
-    "guard_consecutive_days": "SELECT count(*) AS n_days, count(*) = 14 AND max(date) - min(date) = 13 AND count(DISTINCT date) = 14 AS consecutive FROM nominal",
+    "nominal_days": "SELECT date, \"window\" FROM seen",
+    "guard_consecutive_days": "SELECT count(*) AS n_days, count(*) = 14 AND max(date) - min(date) = 13 AND count(DISTINCT date) = 14 AS consecutive FROM seen WHERE status = 'successful'",
     "daily_cutoffs": "SELECT * FROM cutoffs",
-    "coverage": "SELECT \"window\", count(*) FILTER (WHERE status = 'successful') AS successful_days FROM days GROUP BY ALL",
-    "coverage_gate": "SELECT \"window\", count(*) FILTER (WHERE status = 'successful') AS successful_days, count(*) FILTER (WHERE status = 'successful') >= 4 AS accepted FROM days GROUP BY ALL",
+    "coverage": "SELECT \"window\", count(*) FILTER (WHERE status = 'successful') AS successful_days FROM seen GROUP BY ALL",
+    "coverage_gate": "SELECT \"window\", count(*) FILTER (WHERE status = 'successful') AS successful_days, count(*) FILTER (WHERE status = 'successful') >= 4 AS accepted FROM seen GROUP BY ALL",
     "candidate_universe": "SELECT * FROM universe",
     "metadata_batches": "SELECT article, (row_number() OVER (ORDER BY article) - 1) // 50 AS batch FROM universe",
     "exclusion_reason": "SELECT page_id, excluded AS reason FROM reasons",
@@ -147,7 +149,9 @@ _PLAIN = {
     "rank_clusters": "SELECT CAST(rank AS INTEGER) AS rank, cluster_id, size, array_to_string(page_ids, ',') AS page_ids FROM review",
     "review_cap": "SELECT CAST(rank AS INTEGER) AS rank, cluster_id FROM review WHERE rank <= 10",
     "decision_validation": "SELECT cluster_id, 'valid' AS status, page_id, assignment, CASE WHEN assignment = 'rejected' THEN 'toxic' END AS reason FROM decided",
-    "terminal_partition": "SELECT cluster_id, 0::BIGINT AS missing, 0::BIGINT AS unknown, 0::BIGINT AS repeated, true AS exact FROM review",
+    "terminal_partition": "SELECT cluster_id, count(*) FILTER (WHERE page_id % 11 = 0 AND page_id % 13 > 0) AS missing, 0::BIGINT AS unknown, count(*) FILTER (WHERE page_id % 13 = 0 AND page_id % 11 > 0) AS repeated, count(*) FILTER (WHERE (page_id % 11 = 0) <> (page_id % 13 = 0)) = 0 AS exact FROM each GROUP BY cluster_id UNION ALL SELECT 'elsewhere', 0, count(*), 0, false FROM each WHERE page_id % 17 = 0 HAVING count(*) > 0",
+    "decision_faults": "SELECT cluster_id, 'invalid' AS status, CASE page_ids[1] % 4 WHEN 0 THEN 'unknown_page_id:-1' WHEN 1 THEN concat('omitted_page_id:', page_ids[1]) WHEN 2 THEN concat('duplicate_page_id:', page_ids[1], ',multiply_assigned_page_id:', page_ids[1]) ELSE 'invalid_proposal_shape' END AS errors, unnest(page_ids) AS page_id, 'rejected' AS assignment FROM review WHERE size > 2",
+    "landed_metadata": "SELECT concat('d', doc_id) AS alias, CASE WHEN doc_id % 10 <> 7 THEN doc_id END AS page_id, CASE WHEN doc_id % 10 <> 7 THEN CASE WHEN doc_id % 10 = 3 THEN concat('Doc ', doc_id) ELSE concat('D', doc_id) END END AS canonical_title, CASE WHEN doc_id % 10 <> 7 THEN substring(text, 1, 600) END AS lead, CASE WHEN doc_id % 10 <> 7 THEN source END AS categories FROM documents",
     "adjudication_counts": "SELECT count(DISTINCT cluster_id) AS reviewed_clusters, count(*) FILTER (WHERE assignment = 'accepted') AS accepted_pages, count(*) FILTER (WHERE assignment = 'rejected') AS rejected_pages, count(DISTINCT cluster_id) FILTER (WHERE assignment = 'accepted') AS final_clusters FROM decided",
     "assign_cluster_ids": "SELECT format('final-audience-cluster-{:04d}', row_number() OVER (ORDER BY cluster_id)) AS final_cluster_id, cluster_id, page_ids FROM (SELECT cluster_id, string_agg(page_id, ',' ORDER BY page_id) AS page_ids FROM decided WHERE assignment = 'accepted' GROUP BY cluster_id)",
     "model_visible_members": "SELECT cluster_id, page_id, canonical_title, lead, categories AS selected_categories FROM each JOIN sized USING (page_id)",
