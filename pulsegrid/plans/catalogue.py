@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import digests
 from pulsegrid.functions.storage import cut, use_shared_dir
-from pulsegrid.operators import adjudication, categories, clusters, evidence, graph, ledger, narrative, publish, similarity, traffic
+from pulsegrid.operators import adjudication, categories, clusters, embedding, evidence, graph, ledger, narrative, publish, similarity, traffic
 from pulsegrid.sources import metadata
 from pulsegrid.sources import testdata as data
 from pulsegrid.streaming import events
@@ -238,6 +238,16 @@ def scan_embeddings(s: SparkSession, d: str) -> DataFrame:
     return data.vectors(s, d).select("page_id", F.size("content").alias("n"), F.round(F.aggregate("content", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
 
 
+def embed_texts(s: SparkSession, d: str) -> DataFrame:
+    """Documents' texts encoded in the run, half of them before the rest: the letters a and z, all letters, and how many texts the second call had to encode."""
+    docs = data.table(s, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    store = f"{use_shared_dir(s).rstrip('/')}/embeddings-{uuid.uuid4().hex}"
+    embedding.embed(docs.where("doc_id % 2 = 0"), store, "letters", embedding.letter_counts)
+    found, encoded = embedding.embed(docs, store, "letters", embedding.letter_counts)
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x).cast("long")
+    return docs.join(found, "text").select("doc_id", F.element_at("vector", 1).cast("long").alias("a"), F.element_at("vector", 26).cast("long").alias("z"), total.alias("letters"), F.lit(encoded).cast("long").alias("encoded"))
+
+
 def normalize_embeddings(s: SparkSession, d: str) -> DataFrame:
     unit = data.vectors(s, d).select("page_id", similarity.normalized(F.col("content")).alias("v"))
     return unit.select("page_id", F.round(F.element_at("v", 1), 6).alias("first"), F.round(F.element_at("v", 64), 6).alias("last"))
@@ -552,7 +562,7 @@ def queries() -> dict[str, Query]:
     own = (
         scan_raw_daily, filter_project, nominal_days, guard_consecutive_days, daily_cutoffs, coverage, coverage_gate, candidate_universe, metadata_batches, exclusion_reason, canonicalize, exclusion_counts, canonical_pages, page_observations, lead_truncate, category_prefix_strip, merge_metadata, landed_metadata, redirect_resolution,
         category_noise_filter, category_df, category_idf, select_categories, representations,
-        scan_embeddings, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, spanning_forest, subdivide_components, pack_members,
+        scan_embeddings, embed_texts, normalize_embeddings, similarity_edges, connected_components, cluster_cohesion, token_estimate, preliminary_clusters, rank_clusters, review_cap, formation_counts, spanning_forest, subdivide_components, pack_members,
         decision_validation, decision_faults, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
         censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
         narrative_templates, narrative_validation, narrative_revalidation,

@@ -140,6 +140,7 @@ _PLAIN = {
     "select_categories": "SELECT page_id, selected AS selected_categories FROM lists",
     "representations": "SELECT page_id, concat('Title: ', canonical_title, chr(10), 'Lead: ', lead) AS content_text, concat('Selected Categories: ', shown) AS category_text FROM lists",
     "scan_embeddings": "SELECT page_id, CAST(len(v) AS INTEGER) AS n, round(list_sum(v), 6) AS total FROM vec",
+    "embed_texts": "SELECT doc_id, length(text) - length(replace(replace(text, 'a', ''), 'A', '')) AS a, length(text) - length(replace(replace(text, 'z', ''), 'Z', '')) AS z, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters, (SELECT count(DISTINCT t) FROM (SELECT coalesce(text, '') AS t FROM documents) WHERE t NOT IN (SELECT coalesce(text, '') FROM documents WHERE doc_id % 2 = 0)) AS encoded FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)",
     "normalize_embeddings": "SELECT page_id, round(v[1] / sqrt(list_inner_product(v, v)), 6) AS first, round(v[64] / sqrt(list_inner_product(v, v)), 6) AS last FROM vec",
     "similarity_edges": "SELECT src, dst, round(similarity, 6) AS similarity FROM edges",
     "connected_components": "SELECT * FROM components",
