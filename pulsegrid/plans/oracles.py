@@ -7,6 +7,7 @@ import re
 from pulsegrid.operators.categories import NOISE_PATTERNS
 from pulsegrid.operators.evidence import TECHNICAL_NAMESPACES
 from pulsegrid.operators.clusters import PROMPT, STEP
+from pulsegrid.operators.narrative import INVENTED_TRAFFIC, PROHIBITED
 from pulsegrid.plans.catalogue import CLUSTERS, GUARD, THRESHOLD
 from pulsegrid.sources.testdata import AS_OF, PROJECT, TOP_N, UNAVAILABLE_DAYS
 
@@ -182,6 +183,12 @@ _PLAIN = {
     "revision_validation": "SELECT cluster_id, 'invalid' AS status, string_agg(concat('omitted_page_id:', page_id), ',' ORDER BY page_id) OVER (PARTITION BY cluster_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS errors, page_id, 'rejected' AS assignment, 'invalid_adjudication' AS reason FROM each",
     "critique_validation": "SELECT cluster_id, 'invalid' AS status, 'invalid_critique' AS errors, page_id, 'invalid_adjudication' AS reason FROM each",
 }
+_CLAIMS = ", ".join(f"CASE WHEN regexp_matches(told, '{pattern}', 'i') THEN '{name}' END" for name, pattern in [*((f"prohibited {k} claim", v) for k, v in PROHIBITED.items()), ("prohibited invented traffic claim", INVENTED_TRAFFIC)])
+_PLAIN["narrative_validation"] = f"""SELECT cluster_id, array_to_string(list_filter([{_CLAIMS}, CASE WHEN given <> summary THEN 'summary is outside the bounded narrative template' END], lambda x: x IS NOT NULL), ';') AS errors
+    FROM (SELECT cluster_id, summary, given, replace(concat_ws(' ', name, given, commercial_interpretation, 'Retail Travel', buying_power_rating, buying_power_rationale), name, '') AS told
+    FROM (SELECT *, CASE WHEN buying_power_rating = 'high' THEN concat(summary, ' Views doubled because of fans.') ELSE summary END AS given FROM ({_PLAIN["narrative_templates"]})))"""
+_PLAIN["portfolio_cards"] = """SELECT CAST(rank AS INTEGER) AS rank, cluster_id, CASE direction WHEN 'robust_shrinking' THEN 'Shrinking' WHEN 'robust_growth' THEN 'Growing' ELSE 'Suddenly trending' END AS heading,
+    CASE WHEN percentage_change IS NULL THEN 'new' ELSE printf('%+.1f%%', round(percentage_change, 1)) END AS change, concat(CAST(round(coverage_current * 100) AS INTEGER), '%') AS coverage FROM items"""
 _BY_LEVELS = {
     "subdivide_components": "SELECT * FROM parts",
     "formation_counts": """SELECT a.*, b.*, c.*, least(10, eligible_clusters) AS selected_clusters, greatest(0, eligible_clusters - 10) AS omitted_clusters FROM
