@@ -13,8 +13,9 @@ that hold the node have the same min-hash. Only windows that span WIDTH shingles
 3. Cells that several texts have are looked up by their two shingles. Where the PASSAGE words about a cell are equal too
    (a hash of them beside that of the cell), their texts are tied, without pairs.
 4. Cells that texts not yet tied share are verified on the words: REACH words on both sides, from which the best
-   passages are found by their longest common subsequence of shingles. (A passage that can be parted in two with WIDTH
-   shingles on each side has a part of that similarity, so REACH is enough.) Before any two are compared, shingles that
+   passages are found: by their longest common subsequence of shingles, then by all common shingles in whatever order.
+   (A passage that can be parted in two with WIDTH shingles on each side, each with its counterpart, has a part of that
+   similarity, so REACH is enough; sentences that changed places are seen where they lie within REACH of the cell.) Before any two are compared, shingles that
    only one group has are set aside, surroundings with too few others dropped, and equal ones folded; so a line
    that very many texts hold among different words costs what it holds. A cell of more than LOCAL surroundings has this done by a
    distributed count; what is left of it is compared in a grid of chunks. Nothing that is joined already is compared.
@@ -239,11 +240,54 @@ def _chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(out[::-1], np.int64).reshape(-1, 2)
 
 
+def _left_over(a: np.ndarray, b: np.ndarray, chain: np.ndarray) -> np.ndarray:
+    """Places of equal codes that the chain leaves, each used once: a code's first place in a with its first in b, and so on."""
+    places = []
+    for codes, used in ((a, chain[:, 0]), (b, chain[:, 1])):
+        free = np.setdiff1d(np.arange(len(codes)), used)
+        free = free[np.argsort(codes[free], kind="stable")]
+        own = codes[free]
+        nth = np.arange(len(own)) - np.searchsorted(own, own)
+        places.append(dict(zip(zip(own.tolist(), nth.tolist()), free.tolist())))
+    return np.array([(i, places[1][k]) for k, i in places[0].items() if k in places[1]], np.int64).reshape(-1, 2)
+
+
+def _in_any_order(pairs: np.ndarray) -> bool:
+    """Whether a stretch of a and one of b, each of WIDTH places or more, hold enough of the pairs of places (a, b), wherever they stand in the two.
+
+    A stretch of a begins and ends at a pair and must be able to reach LIKENESS by its own pairs. For all that are left
+    at once, the pairs are taken in the order of b: the best stretch of b up to each is found from running sums.
+    """
+    n, share, whole = len(pairs), LIKENESS[0], sum(LIKENESS)
+    x, y = np.sort(pairs[:, 0]), pairs[np.argsort(pairs[:, 1]), 1]
+    rank = np.searchsorted(x, pairs[np.argsort(pairs[:, 1]), 0])
+    size = np.maximum(x[None, :] - x[:, None] + 1, WIDTH)
+    most = np.arange(n)[None, :] - np.arange(n)[:, None] + 1
+    first, last = np.nonzero((most * LIKENESS[1] >= share * size) & (most * whole >= share * (size + WIDTH)))
+    if not len(first):
+        return False
+    cost = share * size[first, last].astype(np.int32)
+    counts = np.zeros((n + 1, len(first)), np.int16)
+    np.cumsum((first <= rank[:, None]) & (rank[:, None] <= last), axis=0, dtype=np.int16, out=counts[1:])
+    near = np.searchsorted(y, y - WIDTH + 1)  # the first pair of b that is less than WIDTH before
+    best, at = np.full(len(first), np.iinfo(np.int16).min, np.int32), 0
+    for e in range(n):
+        while at < near[e]:
+            np.maximum(best, share * y[at] - whole * counts[at].astype(np.int32), out=best)
+            at += 1
+        here = whole * counts[e + 1].astype(np.int32)
+        short = here - whole * counts[near[e]].astype(np.int32) - share * WIDTH
+        if (np.maximum(short, here + best - share * (y[e] + 1)) >= cost).any():
+            return True
+    return False
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two rows of shingle codes hold passages of PASSAGE words or more, from one common shingle to another, with a Jaccard similarity of LIKENESS.
 
-    Repeated shingles count as often as they occur. Common ones are those of the longest common subsequence, and those
-    both rows have once, in whatever order. A passage too short is made longer by shingles that count as its own alone.
+    Repeated shingles count as often as they occur. Common ones are those of the longest common subsequence and, in
+    whatever order, what both rows have beside it: passages whose sentences changed places are found too. A passage too
+    short is made longer by shingles that count as its own alone.
     """
     a, b = a[a > 0], b[b > 0]
     own_a, own_b = np.isin(a, b), np.isin(b, a)
@@ -252,9 +296,7 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
         return False
     x, y = np.flatnonzero(own_a)[chain[:, 0]], np.flatnonzero(own_b)[chain[:, 1]]
     chain = np.stack((x, y), axis=1)
-    once = [dict(zip(*(c.tolist() for c in (codes[first[n == 1]], first[n == 1])))) for codes in (a, b) for _, first, n in [np.unique(codes, return_index=True, return_counts=True)]]
-    ordered = set(a[x].tolist())
-    moved = np.array([(i, once[1][c]) for c, i in once[0].items() if c not in ordered and c in once[1]], np.int64).reshape(-1, 2)
+    moved = _left_over(a, b, chain)
     pairs = np.concatenate((chain, moved))
     if len(pairs) < COMMON:
         return False
@@ -265,7 +307,9 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     np.add.at(h, (low[inside], high[inside]), 1)
     common = np.cumsum(np.cumsum(h[::-1], axis=0)[::-1], axis=1)
     sizes = sum(np.maximum(at[None, :] - at[:, None] + 1, WIDTH) for at in (x, y))
-    return bool((np.triu(np.ones(common.shape, bool)) & (common * sum(LIKENESS) >= LIKENESS[0] * sizes)).any())
+    if (np.triu(np.ones(common.shape, bool)) & (common * sum(LIKENESS) >= LIKENESS[0] * sizes)).any():
+        return True
+    return len(moved) > 0 and _in_any_order(pairs)
 
 
 def _first_places(codes: np.ndarray) -> np.ndarray:

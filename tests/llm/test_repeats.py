@@ -1,6 +1,7 @@
 """Shared passages against their definition."""
 
 import random
+from itertools import pairwise
 
 import numpy as np
 import pytest
@@ -196,6 +197,9 @@ EDITS = {
     "44 equal words": edited(52, lambda w: [*w[:44], *(f"x{i}" for i in range(8))]),
     "three words replaced": edited(60, lambda w: [*w[:29], "x1", "x2", "x3", *w[32:]]),
     "two words far apart replaced": edited(60, lambda w: [*w[:20], "x1", *w[21:40], "x2", *w[41:]]),
+    "two sentences swapped": edited(60, lambda w: w[30:] + w[:30]),
+    "the first two of three sentences swapped": edited(120, lambda w: w[40:80] + w[:40] + w[80:]),
+    "four sentences reversed": edited(60, lambda w: w[45:] + w[30:45] + w[15:30] + w[:15]),
 }
 
 
@@ -208,7 +212,7 @@ def test_phrases_edited(spark, monkeypatch, local):
         for k, words in enumerate((a, b)):
             rows.append((2 * n + k, " ".join([*(f"l{n}.{k}.{i}" for i in range(30)), *(f"{w}.{n}" for w in words), *(f"r{n}.{k}.{i}" for i in range(30))])))
         wanted[2 * n] = wanted[2 * n + 1] = 2 * n
-        if list(EDITS)[n] in ("44 equal words", "three words replaced", "two words far apart replaced"):
+        if list(EDITS)[n] in ("44 equal words", "three words replaced", "two words far apart replaced", "four sentences reversed"):
             wanted[2 * n + 1] = 2 * n + 1
     out = {x["doc_id"]: x["class_id"] for x in r.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == wanted
@@ -225,6 +229,14 @@ def test_alike_is_the_definition():
             at, n = rng.randrange(3, len(other) - 6), rng.randint(0, 3)
             other[at : at + rng.randint(0, 3)] = [f"x{rng.random()}" for _ in range(n)]
         pairs.append((words, other))
+    for n in (1, 1, 1, 2, 2):  # sentences that changed places, one word edited in some
+        words = [f"w{i}" for i in range(rng.randint(58, 63))]
+        at = [0, *sorted(rng.sample(range(6, 56), n)), len(words)]
+        parts = [words[i:k] for i, k in pairwise(at)]
+        rng.shuffle(parts)
+        other = [w for p in parts[::-1] for w in p]
+        other[rng.randrange(len(other))] += rng.choice(["", "x"])
+        pairs.append((words, other))
     seen = set()
     for a, b in pairs:
         if max(len(a), len(b)) > 64:
