@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
         from pulsegrid.plans.run import run
 
         inputs = {k: getattr(a, k) for k in ("evidence", "embeddings", "decisions", "narratives")}
-        print(run(spark, inputs, a.out, a.run_id, a.as_of, a.project, a.threshold, a.review_cap))
+        print(run(spark, inputs, a.out, a.run_id, a.as_of, a.project, a.threshold, a.review_cap, lines=sys.stderr))
         return 0
     except ContractError as e:
         print(e, file=sys.stderr)

@@ -95,12 +95,12 @@ class Ledger:
             found = rows if found is None else found.unionAll(rows)
         return self.spark.createDataFrame([], UNIT) if found is None else found
 
-    def complete(self, units: DataFrame, work: Callable[[DataFrame], DataFrame], batch: int) -> DataFrame:
+    def complete(self, units: DataFrame, work: Callable[[DataFrame], DataFrame], batch: int, told: Callable[[int, int], object] = lambda done, total: None) -> DataFrame:
         """units (sequence from 1, unit, given, ...) -> (sequence, unit, given, body) of all of them.
 
         given is a digest of what the unit is made from. Units of the verified prefix are not worked on again; they must
         be those asked for now. work gets the units of one batch and returns (sequence, body). A batch is committed
-        before the next begins.
+        before the next begins; told is called with how many are committed and how many there are.
         """
         done = self.prefix()
         asked = units.select("sequence", F.col("unit").alias("unit_now"), F.col("given").alias("given_now"))
@@ -111,7 +111,8 @@ class Ledger:
         total = units.agg(F.coalesce(F.max("sequence"), F.lit(0))).first()[0]
         for first in range(last + 1, total + 1, batch):
             own = units.where(F.col("sequence").between(first, min(total, first + batch - 1)))
-            self.append(own.select("sequence", "unit", "given").join(work(own).select("sequence", "body"), "sequence"))
+            n = self.append(own.select("sequence", "unit", "given").join(work(own).select("sequence", "body"), "sequence"))
+            told(first + n - 1, total)
         return self.prefix()
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.functions import digests
 from pulsegrid.functions.storage import cut, use_shared_dir
 from pulsegrid.operators import adjudication, categories, clusters, embedding, evidence, graph, ledger, narrative, publish, similarity, traffic
-from pulsegrid.sources import metadata
+from pulsegrid.sources import artifacts, metadata
 from pulsegrid.sources import testdata as data
 from pulsegrid.streaming import events
 
@@ -475,6 +475,32 @@ def stage_artifact_scan(s: SparkSession, d: str) -> DataFrame:
     return one[0].unionAll(one[1])
 
 
+def _evidence(s: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The tables of evidence over users as pages."""
+    resolved = cut(_resolved(s, d))
+    texts = data.pages(s, d).select("page_id", "lead", F.array_distinct("categories").alias("categories"))
+    counts = evidence.exclusion_counts(resolved, data.successful_records(s, d), data.PROJECT)
+    own = evidence.filter_project(data.successful_records(s, d), data.PROJECT)
+    return {"days": data.days(s), "cutoffs": _cutoffs(s, d), "pages": evidence.canonical_pages(resolved).join(texts, "page_id"), "observations": evidence.page_observations(own, resolved), "exclusions": evidence.exclusion_map(counts)}
+
+
+def evidence_artifact_scan(s: SparkSession, d: str) -> DataFrame:
+    """Evidence kept as a run's artifact and read again: aliases, days and counts of every page."""
+    folder = f"{use_shared_dir(s).rstrip('/')}/evidence-{uuid.uuid4().hex}"
+    ledger.write_stage(s, folder, "scan", "evidence", {}, {}, _evidence(s, d))
+    _, found = artifacts.read_evidence(s, folder, "scan")
+    seen = found["observations"].groupBy("page_id").agg(F.count(F.lit(1)).alias("n_days"), F.sum("views_ceil").alias("views"))
+    return found["pages"].select("page_id", "canonical_title", F.size("aliases").alias("n_aliases")).join(seen, "page_id", "left")
+
+
+def evidence_faults(s: SparkSession, d: str) -> DataFrame:
+    """Evidence with empty titles and long leads, days from nowhere and counts below zero, and cutoffs that are missing."""
+    found, turn, day = _evidence(s, d), F.col("page_id") % 7, F.col("page_id") % 11
+    pages = found["pages"].withColumn("canonical_title", F.when(turn == 0, "").otherwise(F.col("canonical_title"))).withColumn("lead", F.when(turn == 1, F.rpad("lead", F.lit(601), F.lit("x"))).otherwise(F.col("lead")))
+    seen = found["observations"].withColumn("views_ceil", F.when(day == 0, -F.col("views_ceil")).otherwise(F.col("views_ceil"))).withColumn("date", F.when(day == 1, F.date_add("date", 30)).otherwise(F.col("date")))
+    return artifacts.evidence_faults(found | {"pages": pages, "observations": seen, "cutoffs": found["cutoffs"].where(F.day("date") % 2 == 1)})
+
+
 def ledger_resume(s: SparkSession, d: str) -> DataFrame:
     """Days of events as units of a ledger, in two starts: the second begins behind what the first committed."""
     e = data.table(s, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
@@ -566,7 +592,7 @@ def queries() -> dict[str, Query]:
         decision_validation, decision_faults, terminal_partition, adjudication_counts, assign_cluster_ids, revision_validation, critique_validation, model_visible_members,
         censored_grid, window_traffic, window_traffic_grid, classify_direction, impact_score, qualify, rank_portfolio, portfolio_items, portfolio_cards, validate_membership, validate_observation_dates, validate_cutoffs, validate_duplicates,
         narrative_templates, narrative_validation, narrative_revalidation,
-        semantic_fingerprint, stage_artifact_scan, ledger_resume, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_guard, retry_delay, event_global_sequence, event_public_message, event_daily_counts,
+        semantic_fingerprint, stage_artifact_scan, evidence_artifact_scan, evidence_faults, ledger_resume, xstage_formation, xstage_members, xstage_traffic, xstage_portfolio, xstage_ids, audit_redaction, event_sequence_check, event_guard, retry_delay, event_global_sequence, event_public_message, event_daily_counts,
     )
     return {f.__name__: f for f in own}
 

@@ -128,6 +128,10 @@ _PLAIN = {
     "canonicalize": "SELECT * FROM resolved",
     "exclusion_counts": f"SELECT reason, count(*) AS n FROM resolved WHERE reason IS NOT NULL GROUP BY ALL UNION ALL SELECT 'other_project', count(*) FILTER (WHERE project <> '{PROJECT}') FROM records",
     "canonical_pages": "SELECT page_id, canonical_title, string_agg(DISTINCT article, ',' ORDER BY article) AS aliases FROM resolved WHERE reason IS NULL GROUP BY ALL",
+    "evidence_artifact_scan": "SELECT p.*, n_days, views FROM (SELECT page_id, canonical_title, count(DISTINCT article) AS n_aliases FROM resolved WHERE reason IS NULL GROUP BY ALL) p LEFT JOIN (SELECT page_id, count(DISTINCT date) AS n_days, CAST(sum(views_ceil) AS BIGINT) AS views FROM own JOIN resolved USING (article) WHERE reason IS NULL GROUP BY ALL) USING (page_id)",
+    "evidence_faults": """SELECT 'pages' AS part, CAST(page_id AS VARCHAR) AS "key", CASE page_id % 7 WHEN 0 THEN 'title' ELSE 'lead' END AS fault FROM (SELECT DISTINCT page_id FROM resolved WHERE reason IS NULL) WHERE page_id % 7 < 2
+        UNION ALL SELECT 'observations', concat(page_id, '/', date + CASE page_id % 11 WHEN 1 THEN 30 ELSE 0 END), CASE page_id % 11 WHEN 0 THEN 'views' ELSE 'day' END FROM (SELECT DISTINCT page_id, date FROM own JOIN resolved USING (article) WHERE reason IS NULL) WHERE page_id % 11 < 2
+        UNION ALL SELECT 'cutoffs', CAST(date AS VARCHAR), 'missing' FROM ok WHERE day(date) % 2 = 0""",
     "page_observations": "SELECT page_id, date, CAST(sum(views_ceil) AS BIGINT) AS views_ceil FROM own JOIN resolved USING (article) WHERE reason IS NULL GROUP BY ALL",
     "lead_truncate": "SELECT doc_id, substring(text, 1, 600) AS lead FROM documents",
     "category_prefix_strip": "SELECT doc_id, source AS category FROM documents",

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from pathlib import Path
+from typing import TextIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from pulsegrid.contracts import ContractError, review_cap, safe_identifier
 from pulsegrid.functions import digests
 from pulsegrid.functions.storage import cut
 from pulsegrid.operators import adjudication, categories, clusters, crosscheck, evidence, ledger, narrative, publish, similarity, traffic
-from pulsegrid.sources import files
+from pulsegrid.sources import artifacts, files
+from pulsegrid.streaming.progress import ProgressLog
 
 STAGES = ("evidence", "formation", "adjudication", "portfolio")
 #: Units of review or narration that are committed together.
@@ -61,7 +63,7 @@ def _given(*columns: str) -> Column:
     return digests.row_digest(list(columns)).alias("given")
 
 
-def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, batch: int = BATCH) -> dict[str, DataFrame]:
+def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, batch: int = BATCH, told: Callable[[int, int], object] = lambda done, total: None) -> dict[str, DataFrame]:
     """review(rank, cluster_id, page_ids), script(page_ids, answers) -> where every page ends; clusters already committed are not asked about again."""
     asked = cut(review.select(F.col("rank").cast("long").alias("sequence"), F.col("cluster_id").alias("unit"), "page_ids").join(script, "page_ids", "left").withColumn("given", _given("page_ids", "answers")))
 
@@ -70,13 +72,13 @@ def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, b
         body = F.to_json(F.array_sort(F.collect_list(F.struct(*ends.columns))), {"ignoreNullFields": "false"})
         return units.select("sequence", "unit").join(ends.groupBy(F.col("cluster_id").alias("unit")).agg(body.alias("body")), "unit")  # a cluster fits one reader
 
-    done = book.complete(asked, work, batch)
+    done = book.complete(asked, work, batch, told)
     decided = cut(done.select(F.explode(F.from_json("body", f"array<struct<{adjudication.RESULT}>>")).alias("x")).select("x.*"))
     adjudication.require_partition(review.select("cluster_id", F.explode("page_ids").alias("page_id")), decided)
     return {"decided": decided, "final": adjudication.final_clusters(decided), "counts": adjudication.adjudication_counts(decided)}
 
 
-def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int = BATCH) -> dict[str, DataFrame]:
+def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int = BATCH, told: Callable[[int, int], object] = lambda done, total: None) -> dict[str, DataFrame]:
     """items(rank, cluster_id, source_name, direction), told(cluster_id, attempt, output, delivery_error) -> attempts, and the narrative of every item."""
     lists = told.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("attempt", "output", "delivery_error"))).alias("told"))  # a few attempts
     asked = cut(items.join(lists, "cluster_id", "left").select(F.col("rank").cast("long").alias("sequence"), F.col("cluster_id").alias("unit"), "source_name", "direction", "told").withColumn("given", _given("source_name", "direction", "told")))
@@ -90,7 +92,7 @@ def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int =
             raise ContractError("narrative attempts exhausted")
         return found
 
-    done = book.complete(asked, work, batch)
+    done = book.complete(asked, work, batch, told)
     attempts = cut(done.select(F.explode(F.from_json("body", f"array<struct<{narrative.RECORD}>>")).alias("x")).select("x.*"))
     return {"attempts": attempts, "narratives": attempts.where("validation_status = 'valid'").select("cluster_id", "attempt", "narrative")}
 
@@ -98,28 +100,34 @@ def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int =
 class Run:
     """The stages of one run in its working folder."""
 
-    def __init__(self, spark: SparkSession, inputs: dict[str, str], work: str, run_id: str, as_of: str, project: str, threshold: float, cap: int | str, batch: int):
+    def __init__(self, spark: SparkSession, inputs: dict[str, str], work: str, run_id: str, as_of: str, project: str, threshold: float, cap: int | str, batch: int, lines: TextIO | None = None):
         self.spark, self.inputs, self.work, self.run_id, self.as_of, self.batch = spark, inputs, work, run_id, as_of, batch
         self.project, self.threshold, self.cap = project, threshold, cap
         self.prints = {n: tuple(digests.table_fingerprint(spark.read.text(p, wholetext=True)).first())[1] for n, p in sorted(inputs.items())}
         self.made: dict[str, str] = {}
+        self.log = ProgressLog(spark, f"{work}/progress", run_id, lines)
 
     def stage(self, name: str, configuration: dict, make: Callable[[str], dict[str, DataFrame]]) -> dict[str, DataFrame]:
         """The stage's tables: read and verified if they are finished, else made and kept."""
         folder, known = f"{self.work}/{name}", dict(self.made)
         arguments = (self.spark, folder, self.run_id, name, configuration, known)
         if (found := ledger.read_stage(*arguments)) is None:
+            self.log.emit(name, "start", f"{name} is made")
             ledger.write_stage(*arguments, make(fingerprint_of(configuration, known)))
             found = ledger.read_stage(*arguments)
+            self.log.emit(name, "complete", f"{name} is kept")
+        else:
+            self.log.emit(name, "resume", f"{name} was kept before")
         self.made[name] = found[0]["fingerprint"]
         return found[1]
 
     def stages(self) -> dict[str, dict[str, DataFrame]]:
         e = self.stage("evidence", {"input": self.prints["evidence"], "as_of": self.as_of, "project": self.project}, lambda _: gather_evidence(self.spark, self.inputs["evidence"], self.as_of, self.project))
+        artifacts.require_evidence(e)
         f = self.stage("formation", {"input": self.prints["embeddings"], "threshold": self.threshold, "cap": str(self.cap)}, lambda _: form_clusters(e["pages"], files.embedding_document(self.spark, self.inputs["embeddings"]), self.threshold, self.cap))
 
         def adjudicated(own: str) -> dict[str, DataFrame]:
-            found = review_clusters(f["clusters"], files.decision_document(self.spark, self.inputs["decisions"]), self.book("adjudication", own), self.batch)
+            found = review_clusters(f["clusters"], files.decision_document(self.spark, self.inputs["decisions"]), self.book("adjudication", own), self.batch, self.told("adjudication", "review"))
             members = found["final"].select(F.col("final_cluster_id").alias("cluster_id"), F.explode("page_ids").alias("page_id"))
             return found | {"final_members": members.join(f["members"].drop("cluster_id"), "page_id")}
 
@@ -130,10 +138,13 @@ class Run:
             seen = cut(traffic.attach_cluster_traffic(members, e["days"], e["cutoffs"], e["observations"], e["pages"]))
             names = a["final"].select(F.col("final_cluster_id").alias("cluster_id"), F.col("group_name").alias("source_name"))
             items = cut(traffic.portfolio_items(traffic.rank_portfolio(seen), members).join(names, "cluster_id"))
-            return {"traffic": seen, "items": items} | narrate(items, files.narrative_document(self.spark, self.inputs["narratives"]), self.book("portfolio", own), self.batch)
+            return {"traffic": seen, "items": items} | narrate(items, files.narrative_document(self.spark, self.inputs["narratives"]), self.book("portfolio", own), self.batch, self.told("portfolio", "narrate"))
 
         return {"evidence": e, "formation": f, "adjudication": a, "portfolio": self.stage("portfolio", {"input": self.prints["narratives"]}, portfolio)}
 
+    def told(self, module: str, operation: str) -> Callable[[int, int], object]:
+        return lambda done, total: self.log.emit(module, operation, "units are committed", progress=(done, total))
+
     def book(self, name: str, own: str) -> ledger.Ledger:
         return ledger.Ledger(self.spark, f"{self.work}/{name}/units", self.run_id, own)
 
@@ -142,20 +153,21 @@ def fingerprint_of(configuration: dict, upstream: dict[str, str]) -> str:
     return publish.fingerprint({"configuration": configuration, "upstream": upstream})
 
 
-def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_of: str, project: str = "en.wikipedia", threshold: float = similarity.THRESHOLD, cap: int | str = clusters.REVIEW_CAP, batch: int = BATCH) -> Path:
+def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_of: str, project: str = "en.wikipedia", threshold: float = similarity.THRESHOLD, cap: int | str = clusters.REVIEW_CAP, batch: int = BATCH, lines: TextIO | None = None) -> Path:
     """inputs names the evidence, embeddings, decisions and narratives documents; the published folder is returned.
 
     A run that was published already is verified and returned; one with another configuration under its id is refused;
-    one that was stopped goes on behind what it had committed.
+    one that was stopped goes on behind what it had committed. Progress is told as events beside the stages, and as lines where wanted.
     """
     folder = Path(out)
-    now = Run(spark, inputs, f"{out.rstrip('/')}/.stages/{safe_identifier(run_id, 'run_id')}", run_id, as_of, project, threshold, cap, batch)
+    now = Run(spark, inputs, f"{out.rstrip('/')}/.stages/{safe_identifier(run_id, 'run_id')}", run_id, as_of, project, threshold, cap, batch, lines)
     publish.same_configuration(folder / f"{run_id}.config.json", {"inputs": now.prints, "as_of": as_of, "project": project, "threshold": threshold, "cap": str(cap)})
     if (folder / run_id).exists():
         publish.verify(folder / run_id)
         return folder / run_id
     stages = now.stages()
     crosscheck.gate(spark, stages, as_of, f"{now.work}/faults")
+    now.log.emit("publication", "check", "the stages agree")
     e, f, a, p = (stages[n] for n in STAGES)
     rows = p["items"].join(p["narratives"].drop("attempt"), "cluster_id").orderBy("rank").toJSON().collect()  # ten rows
     portfolio = {"run_id": run_id, "as_of": as_of, "trends": [json.loads(r) for r in rows]}
@@ -168,4 +180,6 @@ def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_o
         "adjudication": a["counts"].first().asDict(),
         "selected_pages": f["selected"].count(),
     }
-    return publish.publish(folder, run_id, {"portfolio.json": portfolio, "audit.json": audit})
+    published = publish.publish(folder, run_id, {"portfolio.json": portfolio, "audit.json": audit})
+    now.log.emit("publication", "complete", "the run is published")
+    return published
