@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pulsegrid.contracts import ARTIFACT_VERSION, ContractError, safe_identifier
 from pulsegrid.functions.digests import tree_root
 
+PRODUCT_VERSION = "1.0"
 # Keys that no published document may hold.
 FORBIDDEN_KEYS = ("api_key", "authorization", "chain_of_thought", "database_url", "hidden_reasoning", "password", "secret", "token")
 
@@ -122,11 +123,11 @@ def read_artifact(path: str | Path, run_id: str, stage: str) -> object:
     return document["payload"]
 
 
-def publish(folder: str | Path, run_id: str, documents: dict[str, object]) -> Path:
-    """folder/run_id with the documents and a manifest of their hashes and sizes, put in place by one rename; folder/latest points to it."""
+def publish(folder: str | Path, run_id: str, documents: dict[str, object], facts: dict[str, object] | None = None) -> Path:
+    """folder/run_id with the documents and a manifest of their hashes and sizes and of the facts, put in place by one rename; folder/latest points to it."""
     folder = Path(folder)
     final, part = folder / safe_identifier(run_id, "run_id"), folder / f".{run_id}.{uuid.uuid4().hex}"
-    ensure_safe(list(documents.values()))
+    ensure_safe([*documents.values(), facts])
     if final.exists():
         verify(final)
         return final
@@ -137,7 +138,7 @@ def publish(folder: str | Path, run_id: str, documents: dict[str, object]) -> Pa
             text = canonical_json(value) + "\n"
             write_atomic(part / name, text)
             files[name] = {"sha256": "sha256:" + hashlib.sha256(text.encode()).hexdigest(), "bytes": len(text.encode())}
-        write_atomic(part / "manifest.json", canonical_json({"run_id": run_id, "files": files}) + "\n")
+        write_atomic(part / "manifest.json", canonical_json((facts or {}) | {"run_id": run_id, "files": files}) + "\n")
         os.replace(part, final)
     finally:
         shutil.rmtree(part, ignore_errors=True)

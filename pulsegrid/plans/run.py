@@ -63,7 +63,7 @@ def _given(*columns: str) -> Column:
     return digests.row_digest(list(columns)).alias("given")
 
 
-def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, batch: int = BATCH, told: Callable[[int, int], object] = lambda done, total: None) -> dict[str, DataFrame]:
+def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, batch: int = BATCH, notify: Callable[[int, int], object] = lambda done, total: None) -> dict[str, DataFrame]:
     """review(rank, cluster_id, page_ids), script(page_ids, answers) -> where every page ends; clusters already committed are not asked about again."""
     asked = cut(review.select(F.col("rank").cast("long").alias("sequence"), F.col("cluster_id").alias("unit"), "page_ids").join(script, "page_ids", "left").withColumn("given", _given("page_ids", "answers")))
 
@@ -72,13 +72,13 @@ def review_clusters(review: DataFrame, script: DataFrame, book: ledger.Ledger, b
         body = F.to_json(F.array_sort(F.collect_list(F.struct(*ends.columns))), {"ignoreNullFields": "false"})
         return units.select("sequence", "unit").join(ends.groupBy(F.col("cluster_id").alias("unit")).agg(body.alias("body")), "unit")  # a cluster fits one reader
 
-    done = book.complete(asked, work, batch, told)
+    done = book.complete(asked, work, batch, notify)
     decided = cut(done.select(F.explode(F.from_json("body", f"array<struct<{adjudication.RESULT}>>")).alias("x")).select("x.*"))
     adjudication.require_partition(review.select("cluster_id", F.explode("page_ids").alias("page_id")), decided)
     return {"decided": decided, "final": adjudication.final_clusters(decided), "counts": adjudication.adjudication_counts(decided)}
 
 
-def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int = BATCH, told: Callable[[int, int], object] = lambda done, total: None) -> dict[str, DataFrame]:
+def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int = BATCH, notify: Callable[[int, int], object] = lambda done, total: None) -> dict[str, DataFrame]:
     """items(rank, cluster_id, source_name, direction), told(cluster_id, attempt, output, delivery_error) -> attempts, and the narrative of every item."""
     lists = told.groupBy("cluster_id").agg(F.array_sort(F.collect_list(F.struct("attempt", "output", "delivery_error"))).alias("told"))  # a few attempts
     asked = cut(items.join(lists, "cluster_id", "left").select(F.col("rank").cast("long").alias("sequence"), F.col("cluster_id").alias("unit"), "source_name", "direction", "told").withColumn("given", _given("source_name", "direction", "told")))
@@ -92,7 +92,7 @@ def narrate(items: DataFrame, told: DataFrame, book: ledger.Ledger, batch: int =
             raise ContractError("narrative attempts exhausted")
         return found
 
-    done = book.complete(asked, work, batch, told)
+    done = book.complete(asked, work, batch, notify)
     attempts = cut(done.select(F.explode(F.from_json("body", f"array<struct<{narrative.RECORD}>>")).alias("x")).select("x.*"))
     return {"attempts": attempts, "narratives": attempts.where("validation_status = 'valid'").select("cluster_id", "attempt", "narrative")}
 
@@ -105,6 +105,7 @@ class Run:
         self.project, self.threshold, self.cap = project, threshold, cap
         self.prints = {n: tuple(digests.table_fingerprint(spark.read.text(p, wholetext=True)).first())[1] for n, p in sorted(inputs.items())}
         self.made: dict[str, str] = {}
+        self.configurations: dict[str, dict] = {}
         self.log = ProgressLog(spark, f"{work}/progress", run_id, lines)
 
     def stage(self, name: str, configuration: dict, make: Callable[[str], dict[str, DataFrame]]) -> dict[str, DataFrame]:
@@ -118,7 +119,7 @@ class Run:
             self.log.emit(name, "complete", f"{name} is kept")
         else:
             self.log.emit(name, "resume", f"{name} was kept before")
-        self.made[name] = found[0]["fingerprint"]
+        self.made[name], self.configurations[name] = found[0]["fingerprint"], configuration
         return found[1]
 
     def stages(self) -> dict[str, dict[str, DataFrame]]:
@@ -149,6 +150,13 @@ class Run:
         return ledger.Ledger(self.spark, f"{self.work}/{name}/units", self.run_id, own)
 
 
+def narrative_attempts(attempts: DataFrame) -> list[dict]:
+    """For every item how its narrative came about, without what was answered or what was wrong with it."""
+    each = F.array_sort(F.collect_list(F.struct("attempt", *(c for c in attempts.columns if c not in ("cluster_id", "attempt")))))  # a few attempts
+    told = publish.redacted_attempts(attempts.groupBy("cluster_id").agg(each.alias("attempts")), "attempts", "output", "errors", "narrative")
+    return [json.loads(r) for r in told.orderBy("cluster_id").toJSON().collect()]  # ten rows
+
+
 def fingerprint_of(configuration: dict, upstream: dict[str, str]) -> str:
     return publish.fingerprint({"configuration": configuration, "upstream": upstream})
 
@@ -170,8 +178,11 @@ def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_o
     now.log.emit("publication", "check", "the stages agree")
     e, f, a, p = (stages[n] for n in STAGES)
     rows = p["items"].join(p["narratives"].drop("attempt"), "cluster_id").orderBy("rank").toJSON().collect()  # ten rows
-    portfolio = {"run_id": run_id, "as_of": as_of, "trends": [json.loads(r) for r in rows]}
+    windows = {r["window"]: {"start": r["start"], "end": r["end"]} for r in e["days"].groupBy("window").agg(F.min("date").cast("string").alias("start"), F.max("date").cast("string").alias("end")).collect()}  # two rows
+    product = {"schema_version": publish.PRODUCT_VERSION, "run_id": run_id, "nominal_windows": windows}
+    portfolio = product | {"as_of": as_of, "trends": [json.loads(r) for r in rows], "completion": {"status": "complete", "empty": not rows}}
     audit = {
+        "schema_version": publish.PRODUCT_VERSION,
         "run_id": run_id,
         "stages": now.made,
         "semantic_fingerprint": publish.semantic_fingerprint(e["pages"]).first()["fingerprint"],
@@ -179,7 +190,10 @@ def run(spark: SparkSession, inputs: dict[str, str], out: str, run_id: str, as_o
         "exclusions": json.loads(e["exclusions"].toJSON().first()),
         "adjudication": a["counts"].first().asDict(),
         "selected_pages": f["selected"].count(),
+        "narrative_attempts": narrative_attempts(p["attempts"]),
     }
-    published = publish.publish(folder, run_id, {"portfolio.json": portfolio, "audit.json": audit})
+    integrity = {"algorithm": "sha256", "encoding": "utf-8", "manifest_excludes_self": True}
+    manifest = product | {"as_of": as_of, "configuration_provenance": now.configurations, "modules": now.made, "integrity": integrity, "completion": {"status": "complete"}}
+    published = publish.publish(folder, run_id, {"portfolio.json": portfolio, "audit.json": audit}, manifest)
     now.log.emit("publication", "complete", "the run is published")
     return published

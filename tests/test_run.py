@@ -11,6 +11,7 @@ from pulsegrid.contracts import ContractError
 from pulsegrid.operators import adjudication, crosscheck, narrative, publish
 from pulsegrid.plans import run as plan
 from pulsegrid.plans.run import run
+from pulsegrid.streaming import events
 
 AS_OF = "2026-07-17"
 NAMES = {1: "Gardens", 2: "Kitchens", 3: "Sheds"}
@@ -95,6 +96,25 @@ def test_resumes_where_it_was_killed(spark, inputs, killed):
         run(spark, inputs, out, "run-1", "2026-07-18")
 
 
+def test_progress_of_a_killed_run_is_one_sequence(spark, killed):
+    out, final, _ = killed
+    told = events.guarded(events.read_events(spark, f"{out}/.stages/run-1/progress/events")).orderBy("sequence").collect()
+    assert [r["sequence"] for r in told] == list(range(1, len(told) + 1)) and not any(r["fault"] for r in told)
+    operations = [(r["module"], r["operation"]) for r in told]
+    assert operations.count(("evidence", "resume")) == 2 and operations.count(("adjudication", "review")) == 3 and operations.count(("portfolio", "narrate")) == 2
+    assert operations[-2:] == [("publication", "check"), ("publication", "complete")]
+
+
+def test_product_and_manifest(killed):
+    portfolio, audit, manifest = (json.loads((killed[1] / f"{n}.json").read_text()) for n in ("portfolio", "audit", "manifest"))
+    windows = {"previous": {"start": "2026-07-02", "end": "2026-07-08"}, "current": {"start": "2026-07-09", "end": "2026-07-15"}}
+    assert portfolio["nominal_windows"] == manifest["nominal_windows"] == windows and portfolio["completion"] == {"status": "complete", "empty": False}
+    assert manifest["modules"] == audit["stages"] and set(manifest["configuration_provenance"]) == set(plan.STAGES) and set(manifest["files"]) == {"portfolio.json", "audit.json"}
+    tries = {a["cluster_id"]: a["attempts"] for a in audit["narrative_attempts"]}
+    assert {c: [t["attempt"] for t in a] for c, a in tries.items()} == {f"final-audience-cluster-{k:04d}": [1, 2] for k in (1, 2)}
+    assert not {"output", "errors", "narrative"} & {k for a in tries.values() for t in a for k in t}
+
+
 def test_a_killed_run_gives_what_a_whole_one_gives(spark, inputs, killed, tmp_path):
     whole = run(spark, inputs, str(tmp_path), "run-1", AS_OF)
     for name in ("portfolio.json", "audit.json"):
