@@ -111,3 +111,22 @@ def test_broken_answers_close_the_cluster(spark):
     rows = [("c1", [1, 2], "{not json"), ("c2", [3, 4], "[1]"), ("c3", [5, 6], '{"proposer": 7}'), ("c4", [7, 8], None)]
     out = a.adjudicate_clusters(spark.createDataFrame(rows, "cluster_id string, page_ids array<long>, answers string")).collect()
     assert {r["page_id"] for r in out} == set(range(1, 9)) and {(r["status"], r["reason"]) for r in out} == {("invalid", "invalid_adjudication")}
+
+
+def test_errors_leave_python_once_for_a_cluster(spark):
+    """A closed cluster of many pages has as many errors; a copy of them for each page, in one batch, took gigabytes."""
+    ids = list(range(3000))
+    answers = json.dumps({"proposer": [{"groups": [], "rejected": []}], "critic": [{"approved": False, "challenges": [challenge("brand_safety", (0,), "reject")]}], "reviser": [{"groups": [], "rejected": []}]})
+    held = []
+    out = a.adjudicate_clusters(spark.createDataFrame([("c", ids, answers), ("d", [1, 2], answers)], "cluster_id string, page_ids array<long>, answers string"), lambda e: held.append(e) or F.array_join(e, ","))
+    assert len(held) == 1 and out.columns == [x.split()[0] for x in a.RESULT.split(", ")]
+    found = out.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("page_id").alias("pages"), F.min("errors").alias("least"), F.max("errors").alias("most"), F.max("status").alias("status")).orderBy("cluster_id").collect()
+    assert [(r["n"], r["pages"], r["status"]) for r in found] == [(3000, 3000, "invalid"), (2, 2, "invalid")]
+    assert found[0]["least"] == found[0]["most"] == ",".join(f"omitted_page_id:{i}" for i in ids)
+    assert "Generate inline" in (plan := out._jdf.queryExecution().optimizedPlan().toString()) and plan.index("Generate inline") < plan.index("array_join") < plan.index("MapInArrow")
+
+
+def test_proposed_rejections_of_many_pages():
+    """In proportion to the pages: a look through all members for each took hours."""
+    ids = list(range(200_000))
+    assert a.proposed_rejections(ids, {"rejected": [{"page_id": i, "reason": "x"} for i in reversed(ids)]}) == ids[::-1]
