@@ -220,3 +220,26 @@ def test_equal_pages_keep_few_edges(spark):
     parts = [clusters.subdivide_components(clusters.component_members(v, e), e, pages, 0.9, 300, 0) for e in (edges, similarity.similarity_links(v, 0.9))]
     a, b = (sorted(tuple(r) for r in p.collect()) for p in parts)
     assert a == b and len({r[2] for r in a}) > 1 and {r[3] for r in a} == {1.0}
+
+
+@pytest.mark.parametrize("block", [40, 300])
+def test_vectors_are_kept_once(spark, monkeypatch, block):
+    """However many pairs of blocks a vector is in; copies of it for each of them filled the disks."""
+    from pulsegrid.functions import storage
+
+    held = []
+    for name in ("kept", "cut"):
+        monkeypatch.setattr(similarity, name, lambda df, *a, f=getattr(storage, name): held.append(out := f(df, *a)) or out)
+    v, s = heaped(spark, 3, 300)
+    pairs = similarity.similarity_edges(v, 0.5, block=block)
+    assert pairs.count() == (np.triu(s, 1) >= 0.5).sum()
+    (table,) = held
+    sizes = [len(r["ids"]) // 8 for r in table.collect()]
+    assert sum(sizes) == 300 and max(sizes) <= block and len(sizes) >= -(-300 // block)
+
+
+def test_forests_of_several_tasks_meet_in_fewer(spark):
+    """Tasks that see the same nodes leave as many forests of them; they are thinned again before rounds of joins."""
+    edges = [(i, j, (i * 7 + j * 13) % 17 / 17) for i in range(30) for j in range(i + 1, 30)]
+    df = spark.createDataFrame(edges, "src long, dst long, similarity double").repartition(16)
+    assert {tuple(r) for r in spanning_forest(df, few_edges=100).collect()} == strongest(edges)
