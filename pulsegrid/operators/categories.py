@@ -32,14 +32,18 @@ def inverse_frequency(pages: DataFrame) -> DataFrame:
     return document_frequency(pages).crossJoin(F.broadcast(n)).select("category", "df", F.log(F.col("n") / F.col("df")).alias("idf"))  # one row
 
 
-def select_categories(pages: DataFrame, most: int = KEPT) -> DataFrame:
-    """pages(page_id, canonical_title, lead, selected_categories): the rarest first, ties by name. Pages without any keep an empty list."""
-    each = meaningful(pages).select("page_id", F.explode("categories").alias("category"))
+def select_categories(pages: DataFrame, most: int = KEPT, wanted: DataFrame | None = None) -> DataFrame:
+    """pages(page_id, canonical_title, lead, selected_categories): the rarest first, ties by name. Pages without any keep an empty list.
+
+    Rarity counts all pages; only those of wanted(page_id), if given, are selected for and returned.
+    """
+    own = pages if wanted is None else pages.join(wanted.select("page_id"), "page_id", "left_semi")
+    each = meaningful(own).select("page_id", F.explode("categories").alias("category"))
     order = Window.partitionBy("page_id").orderBy(F.col("idf").desc(), "category")
     best = each.join(inverse_frequency(pages), "category").withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
     lists = best.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "category"))), lambda x: x["category"]).alias("selected_categories"))
     empty = F.array().cast("array<string>")
-    return pages.select("page_id", "canonical_title", "lead").join(lists, "page_id", "left").withColumn("selected_categories", F.coalesce("selected_categories", empty))
+    return own.select("page_id", "canonical_title", "lead").join(lists, "page_id", "left").withColumn("selected_categories", F.coalesce("selected_categories", empty))
 
 
 def representations(selected: DataFrame) -> DataFrame:

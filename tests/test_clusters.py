@@ -243,3 +243,10 @@ def test_forests_of_several_tasks_meet_in_fewer(spark):
     edges = [(i, j, (i * 7 + j * 13) % 17 / 17) for i in range(30) for j in range(i + 1, 30)]
     df = spark.createDataFrame(edges, "src long, dst long, similarity double").repartition(16)
     assert {tuple(r) for r in spanning_forest(df, few_edges=100).collect()} == strongest(edges)
+
+
+def test_categories_of_wanted_pages(spark):
+    rows = [(i, f"Page {i}", "", [f"c{i % 2}", f"d{i % 3}", "all"]) for i in range(1, 10)]
+    pages, wanted = spark.createDataFrame(rows, PAGES), spark.createDataFrame([(2, "x"), (5, "y"), (99, "z")], "page_id long, more string")
+    every = {r["page_id"]: r for r in categories.select_categories(pages).collect()}
+    assert {r["page_id"]: r for r in categories.select_categories(pages, wanted=wanted).collect()} == {i: every[i] for i in (2, 5)}
