@@ -57,8 +57,10 @@ JOINS = [(0, 1), (2, 3), (4, 5), (6, 7)]
 LOCAL, CHUNK = 16_384, 4_096
 #: Cells of so few surroundings are compared many at a time.
 TOGETHER_ROWS = 16
-#: Tasks that the cells of one smallest label may meet in.
-SPREAD = 4
+#: Surroundings after which the cells of one smallest label go to a further task.
+SPREAD = 2_048
+#: Pairs of surroundings looked at together.
+PAIRS = 1_024
 #: Rounds of setting aside before more than so many surroundings are compared.
 PEELED, FEW = 2, 64
 #: Words looked at together, which bounds memory; bits of a place among them; bytes split together, and of short texts together.
@@ -357,6 +359,25 @@ def _viable(common: np.ndarray) -> np.ndarray:
     return out
 
 
+def _shortest(common: np.ndarray) -> np.ndarray:
+    """[row, n - COMMON] -> the places of the shortest stretch, WIDTH at least, that holds n common places."""
+    count = common.sum(axis=1)
+    most = max(COMMON, int(count.max(initial=0)))
+    at = np.argsort(~common, axis=1, kind="stable")[:, :most].astype(np.int32)
+    nth = np.arange(at.shape[1], dtype=np.int32)
+    at = np.where(nth < count[:, None], at, (nth + 1) * (common.shape[1] + 1))  # so far apart that no stretch holds two
+    out = np.full((len(common), common.shape[1] - COMMON + 1), 2 * common.shape[1], np.int32)
+    for n in range(COMMON, most + 1):
+        out[:, n - COMMON] = np.maximum((at[:, n - 1 :] - at[:, : most - n + 1]).min(axis=1) + 1, WIDTH)
+    return out
+
+
+def _close(common_a: np.ndarray, common_b: np.ndarray) -> np.ndarray:
+    """Which pairs of rows can hold passages of LIKENESS, whatever the order: n common shingles stand in n places of either, and in no shorter stretch than the shortest of n."""
+    sizes = _shortest(common_a) + _shortest(common_b)
+    return (sum(LIKENESS) * np.arange(COMMON, COMMON + sizes.shape[1]) >= LIKENESS[0] * sizes).any(axis=1)
+
+
 def _shared(codes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which codes another label has too, and how many of a row's at most are common with a row of another label."""
     width, shape = codes.shape[1], codes.shape
@@ -465,7 +486,8 @@ def joined(codes: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
         others = i + 1 + np.flatnonzero(root[group[i + 1 :]] != root[group[i]])
         if not len(others):
             continue
-        others = others[in_common(i)[others] >= COMMON]
+        often = in_common(i)[others]
+        others = others[np.argsort(-often, kind="stable")[: (often >= COMMON).sum()]]  # the likeliest first: what it ties is not compared
         for j in others[_in_step(codes[others], codes[i])].tolist():
             tie(group[i], group[j])
         others = others[root[group[others]] != root[group[i]]]
@@ -474,16 +496,20 @@ def joined(codes: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
         own = np.zeros(len(known), bool)
         own[dense[i]] = True
         own &= shingle
-        shared = own[dense[others]]
-        viable = _viable(shared).any(axis=1)
-        others, shared = others[viable], shared[viable]
+        others = others[_viable(own[dense[others]]).any(axis=1)]
         answers: dict[bytes, bool] = {}
-        for j, other in zip(others.tolist(), _masked(codes[others], shared)):
-            if root[group[j]] != root[group[i]]:
-                if (k := other.tobytes()) not in answers:
-                    answers[k] = bool(_viable(np.isin(codes[i], other)[None] & own[dense[i]]).any()) and alike(codes[i], np.where((other > 0) & (other < _PLACES), other + _PLACES, other))
-                if answers[k]:
-                    tie(group[i], group[j])
+        for at in range(0, len(others), PAIRS):
+            part = others[at : at + PAIRS]
+            part = part[root[group[part]] != root[group[i]]]
+            mine, shared = _codes_in_both(np.broadcast_to(codes[i], (len(part), codes.shape[1])), codes[part])
+            maybe = _viable(mine).any(axis=1) & _close(mine, shared)
+            part, shared = part[maybe], shared[maybe]
+            for j, other in zip(part.tolist(), _masked(codes[part], shared)):
+                if root[group[j]] != root[group[i]]:
+                    if (k := other.tobytes()) not in answers:
+                        answers[k] = alike(codes[i], np.where((other > 0) & (other < _PLACES), other + _PLACES, other))
+                    if answers[k]:
+                        tie(group[i], group[j])
     return found
 
 
@@ -505,8 +531,8 @@ def _codes_in_both(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def joined_pairs(codes: np.ndarray, labels: np.ndarray, pairs: np.ndarray, root: Callable[[int], int], tie: Callable[[int, int], None]) -> None:
     """Pairs of surroundings, those of many cells together: tie(labels) where they are near, unless root has them joined already."""
-    for at in range(0, len(pairs), 1024):
-        i, j = pairs[at : at + 1024].T
+    for at in range(0, len(pairs), PAIRS):
+        i, j = pairs[at : at + PAIRS].T
         a, b = codes[i], codes[j]
         sure = _dense((a == b) & (a >= _PLACES), (2 * LIKENESS[0], sum(LIKENESS)), 0).any(axis=1)
         for x, y in zip(labels[i[sure]].tolist(), labels[j[sure]].tolist()):
@@ -515,7 +541,7 @@ def joined_pairs(codes: np.ndarray, labels: np.ndarray, pairs: np.ndarray, root:
         a, b, x, y = a[open_], b[open_], labels[i[open_]], labels[j[open_]]
         for _ in range(3):  # what is common only outside the places that can be in a passage does not count
             in_a, in_b = (_viable(c) for c in _codes_in_both(a, b))
-            maybe = in_a.any(axis=1) & in_b.any(axis=1)
+            maybe = in_a.any(axis=1) & in_b.any(axis=1) & _close(in_a, in_b)
             in_a, in_b, a, b, x, y = (c[maybe] for c in (in_a, in_b, a, b, x, y))
             a, b = _within(a, in_a), _within(b, in_b)
         for one, other, k, m in zip(x.tolist(), y.tolist(), a, b):
@@ -626,10 +652,18 @@ def _codes(arounds: list[bytes]) -> np.ndarray:
         return shingle_codes(rows) if rows.shape[1] == 2 * REACH + SHINGLE else rows
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows(key, chunk, label, around) -> the same with home, the smallest label of the key, and spread, which deals the cells of a home to tasks."""
+    homes = small_or_shuffled(rows.groupBy("key").agg(F.min("label").alias("home"), F.count(F.lit(1)).alias("n")))
+    tasks = small_or_shuffled(homes.groupBy("home").agg(F.ceil(F.sum("n") / SPREAD).alias("tasks")).where("tasks > 1"))
+    return rows.join(homes, "key").join(tasks, "home", "left").withColumn("spread", F.when(F.col("n") > SPREAD // 8, F.xxhash64("key", "chunk")).otherwise(F.pmod(F.xxhash64("key", "chunk"), F.coalesce("tasks", F.lit(1)))))
+
+
 def _compared(rows: DataFrame) -> DataFrame:
     """rows(key, chunk, label, around) -> (src, dst): labels with near-duplicate surroundings of one key and chunk.
 
-    Cells with the same smallest label meet in the same few tasks, where labels that one cell has joined are not compared for the next.
+    Cells with the same smallest label meet in the same task, or in one for every SPREAD of their rows, where labels
+    that one cell has joined are not compared for the next. A cell of more than an eighth of that is dealt by itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -689,9 +723,7 @@ def _compared(rows: DataFrame) -> DataFrame:
         together()
         yield out()
 
-    homes = small_or_shuffled(rows.groupBy("key").agg(F.min("label").alias("home")))
-    placed = rows.join(homes, "key").withColumn("spread", F.pmod(F.xxhash64("key", "chunk"), F.lit(SPREAD)))
-    return placed.repartition("home", "spread").sortWithinPartitions("home", "key", "chunk").select("key", "chunk", "label", "around").mapInArrow(run, "src long, dst long").distinct()
+    return _dealt(rows).repartition("home", "spread").sortWithinPartitions("home", "key", "chunk").select("key", "chunk", "label", "around").mapInArrow(run, "src long, dst long").distinct()
 
 
 def _peeled(rows: DataFrame, most: int = BROADCAST_VALUES) -> DataFrame:

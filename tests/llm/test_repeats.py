@@ -247,3 +247,56 @@ def test_alike_is_the_definition():
         seen.add(whole)
         assert r.alike(code(a), code(b)) == whole, (a, b)
     assert seen == {True, False}
+
+
+def crowd(n=60):
+    """Shingle codes of n copies of some words, with words of their own every 18 to 25: near misses, but for the last two."""
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(2 * r.REACH + r.SHINGLE)]
+    rows = []
+    for k in range(n):
+        own, at = list(words), rng.randrange(8)
+        while k < n - 2 and at < len(own):
+            own[at] = f"x{k}.{at}"
+            at += rng.randint(18, 26)
+        rows.append(own)
+    number = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for x in rows for w in x))}
+    with np.errstate(over="ignore"):
+        return r.shingle_codes(np.array([[number[w] for w in x] for x in rows], np.uint64))
+
+
+def test_near_misses_are_told_apart_without_comparing(monkeypatch):
+    """Many texts with something in common cost no comparison each where they cannot be near; all that are near are tied."""
+    codes, calls, alike = crowd(), [], r.alike
+    monkeypatch.setattr(r, "alike", lambda a, b: calls.append(alike(a, b)) or calls[-1])
+    found = r.joined(codes, np.arange(len(codes)))
+    assert (len(codes) - 1, len(codes) - 2) in [tuple(sorted(x, reverse=True)) for x in found]
+    assert sum(not x for x in calls) <= len(codes)
+
+
+def test_close_keeps_all_that_are_alike():
+    rng = random.Random(12)
+    seen = []
+    for _ in range(300):
+        words = [rng.randrange(40) if rng.random() < 0.2 else 100 + i for i in range(2 * r.REACH + r.SHINGLE)]
+        other = list(words)
+        for _ in range(rng.randint(0, 24)):
+            other[rng.randrange(len(other))] = 1000 + rng.randrange(50)
+        if rng.random() < 0.4:
+            at = rng.randrange(len(other))
+            other = other[at:] + other[:at]
+        with np.errstate(over="ignore"):
+            a, b = (r.shingle_codes(np.array([x], np.uint64) + np.uint64(1)) for x in (words, other))
+        seen.append((r.alike(a[0], b[0]), bool(r._close(*r._codes_in_both(a, b))[0])))
+    assert {x for x, _ in seen} == {True, False} and all(close for near, close in seen if near)
+
+
+def test_cells_of_one_label_are_dealt_by_their_size(spark, monkeypatch):
+    """A label that most cells have does not bring them all to the same few tasks."""
+    monkeypatch.setattr(r, "SPREAD", 16)
+    sizes = {key: 40 if key < 8 else 2 for key in range(100)}
+    rows = [(key, 0, k and 1000 * key + k, b"") for key, n in sizes.items() for k in range(n)] + [(200, 0, 5, b""), (200, 0, 6, b"")]
+    dealt = r._dealt(spark.createDataFrame(rows, "key long, chunk int, label long, around binary")).groupBy("home", "spread").count().collect()
+    assert sum(x["count"] for x in dealt) == len(rows)
+    assert len([x for x in dealt if x["home"] == 0]) >= 8 + 16 and [x["count"] for x in dealt if x["home"] == 5] == [2]
+    assert max(x["count"] for x in dealt) == 40
