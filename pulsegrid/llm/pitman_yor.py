@@ -1,20 +1,26 @@
 """A hierarchical Pitman-Yor language model: Chinese-restaurant seating sampled by Gibbs, averaged predictive probabilities.
 
-Every context has a restaurant that serves words; all share one parent restaurant, whose own parent is the base
-measure (half of it for words never seen, the rest even over the known ones). A token's context is the class of the
-word before it, by that word's last three bytes: short frequent words have classes (nearly) of their own, others share
-one by their ending. A context that has not seen a word asks the parent.
+Every word has a restaurant that serves the words after it, and so has the start of a text. A word's restaurant asks the
+restaurant of its class (its last three bytes), that one the root, and the root the base measure (half of it for words
+never seen, the rest even over the known ones). The customers of a class are the tables of its words, those of the
+root the tables of the classes.
 
 Counting is exact over all training texts. The sampler's state is the number of tables of each (context, word). Given
 all else that number has a known law (generalised Stirling numbers), so up to EXACT customers a step draws the
-whole seating of a dish in a restaurant from it; further customers of very frequent words are seated in order,
+whole seating of a dish in a restaurant from it; further customers of very frequent pairs are seated in order,
 in blocks of 1/16 of those before them. Words are spread over the cluster; within a sweep they see the totals of
 the sweep before, and a word's contexts see its parent state of the sweep before, as in approximate distributed
-Gibbs sampling. Random numbers are hashes of (word, context, sweep, step), so neither batches nor retries change a draw,
-and the sweeps are run again from the counts wherever they are needed instead of being stored.
+Gibbs sampling. Random numbers are hashes of (word, context, sweep, step), so neither batches nor retries change a draw.
 
-Scoring joins words, not texts: the FREQUENT most frequent words (a fixed number, so their table is bounded) are
-broadcast as a dense array over contexts, the others' occurrences are joined by word and summed by document.
+Texts are read once (`score`). Tasks send each pair of neighbouring words, with the documents it occurs in, to the bucket
+of its second word. There a word's pairs, its classes and its root dish lie together; what a bucket lacks are its contexts'
+totals. Those of the words in a code book (a fixed number, frequent ones by a sample; it decides how totals travel
+and not what they are) are summed and broadcast, all others are summed by context and joined to the buckets that ask.
+Words are told apart by 64-bit hashes (a clash among a hundred million of them has a probability of 0.0003).
+
+`score_by_classes` is the model without words' own restaurants: classes alone, under the root. Its FREQUENT most frequent
+words (a fixed number, so their table is bounded) are broadcast as a dense array over contexts, the others'
+occurrences are joined by word and summed by document.
 
 Defined results: null texts are empty and consist of the end token alone; a null id is a training row; rows with one
 id are scored each for itself; without training texts (empty table apart, which gives no rows) all words are unknown.
@@ -23,8 +29,10 @@ id are scored each for itself; without training texts (empty table apart, which
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
-from itertools import repeat
+from functools import lru_cache
+from itertools import groupby, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.storage import kept
+from pulsegrid.functions.storage import kept, use_shared_dir
 from pulsegrid.llm.common import FOLD_BYTES
 
 CONTEXTS = 128
@@ -50,6 +58,16 @@ END = b""
 _PAIR = np.dtype([("ctx", "u1"), ("n", "<u4")])
 _OCCURRENCE = np.dtype([("key", "<i8"), ("ctx", "u1")])
 _VALUE = np.dtype([("ctx", "u1"), ("p", "<f4")])
+#: Words whose totals are broadcast, at most (a code is two bytes), and the code of all other words.
+CODES, RARE = 65_534, 0xFFFF
+#: Bytes of text to a bucket of words, about; buckets to a task.
+BUCKET_BYTES, TOGETHER = 2_000_000, 4
+#: An occurrence is two bytes: which of the documents that a task holds, whether it begins a pair's list, whether the document is held out.
+DOCS_HELD = DOC_MASK = 0x3FFF
+BEGINS, HELD = 0x4000, 0x8000
+#: Numbers of a vector that are summed over tasks together.
+SLICE = 1024
+_META = np.dtype([("key", "<i8"), ("id", "<i8"), ("valid", "?"), ("held", "?"), ("n", "<i8")])
 
 
 # tokens and contexts
@@ -192,6 +210,7 @@ def _uniform(h: np.ndarray, ctx: np.ndarray | int, sweep: int, step: int) -> np.
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
+@lru_cache(maxsize=8)
 def log_stirling(d: float, most: int = EXACT) -> np.ndarray:
     """Logs of the generalised Stirling numbers S(c, t) of discount d: the weights of the seatings of c customers at t tables."""
     s = np.full((most + 1, most + 2), -np.inf)
@@ -485,8 +504,8 @@ def fit(texts: DataFrame, frequent: int = FREQUENT) -> tuple[DataFrame, Dense]:
     return model, Dense(state, rows)
 
 
-def score(documents: DataFrame, frequent: int = FREQUENT, held: Column | None = None) -> DataFrame:
-    """documents(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), learned from the rows that are not held out."""
+def score_by_classes(documents: DataFrame, frequent: int = FREQUENT, held: Column | None = None) -> DataFrame:
+    """documents(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) by classes alone, learned from the rows that are not held out."""
     held = held_out(F.col("doc_id")) if held is None else held
     model, dense = fit(documents.where(~held).select("text"), frequent)
     sent = documents.sparkSession.sparkContext.broadcast(dense)
@@ -498,6 +517,516 @@ def score(documents: DataFrame, frequent: int = FREQUENT, held: Column | None =
     return out.drop("key")
 
 
+# words as contexts
+
+
+def word_ids(words: list[bytes]) -> np.ndarray:
+    """A number for each word, whose last seven bits are its class. 0 is the start of a text."""
+    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    return h & ~np.uint64(CONTEXTS - 1) | context_classes(words).astype(np.uint64)
+
+
+def code_book(texts: DataFrame, frequent: int) -> np.ndarray:
+    """The sorted numbers of frequent words, by a bounded sample: how the totals of contexts travel, not what they are."""
+    some = texts.select(F.substring("text", 1, 4000).alias("text")).limit(2000).toArrow()["text"].cast(pa.binary()).to_pylist()
+    words, ids, _, _ = numbered(some)
+    n = np.bincount(ids, minlength=len(words))
+    most = np.argsort(-n, kind="stable")[: min(frequent, CODES)]
+    return np.unique(np.append(word_ids([words[i] for i in most.tolist()]), np.uint64(0)))
+
+
+def _coded(book: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words -> codes, and the numbers of those that have none."""
+    at = np.minimum(np.searchsorted(book, ids), len(book) - 1)
+    known = book[at] == ids
+    return np.where(known, at, RARE).astype(np.uint16), ids[~known]
+
+
+def _decoded(book: np.ndarray, code: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    ids = np.empty(len(code), np.uint64)
+    known = code != RARE
+    ids[known], ids[~known] = book[code[known]], rare
+    return ids
+
+
+MESSAGE = "bucket int, first long, h binary, size binary, code binary, rare binary, docs binary, meta binary"
+MERGED = "bucket int, h binary, nw binary, size binary, code binary, rare binary, c binary, first binary, entries binary, delta binary, docs binary, meta binary"
+
+
+def _row(schema: str, *values) -> pa.RecordBatch:
+    names = [x.split() for x in schema.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    return pa.record_batch([pa.array([v.tobytes() if isinstance(v, np.ndarray) else v], kinds[k]) for (_, k), v in zip(names, values)], [n for n, _ in names])
+
+
+def _messages(sent, buckets: int):
+    """Texts -> for each bucket the pairs that end with its words: how often they occur, and in which documents of the task."""
+
+    def emit(rows: list) -> Iterator[pa.RecordBatch]:
+        book, first = sent.value, rows[0][0]
+        words, ids, _, lengths = numbered([r[3] for r in rows])
+        held = np.array([r[2] for r in rows], bool)
+        meta = np.zeros(len(rows), _META)
+        meta["key"], meta["held"], meta["n"] = first + np.arange(len(rows)), held, lengths
+        meta["id"], meta["valid"] = [r[1] or 0 for r in rows], [r[1] is not None for r in rows]
+        yield _row(MESSAGE, (first ^ first >> 33) % buckets, first, *[None] * 5, meta)
+        own = word_ids(words)
+        bucket = (own >> np.uint64(20)) % np.uint64(buckets)
+        order = np.lexsort((own, bucket))
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        contexts = np.append(own, np.uint64(0))
+        by_id = np.argsort(contexts)
+        place = np.empty(len(contexts), np.int64)
+        place[by_id] = np.arange(len(contexts))
+        before = np.empty_like(ids)
+        before[1:] = ids[:-1]
+        before[np.append(0, np.cumsum(lengths)[:-1])] = len(words)
+        pair = rank[ids] * len(contexts) + place[before]
+        at = np.argsort(pair, kind="stable")
+        doc = np.repeat((np.arange(len(rows)) | held * HELD).astype(np.uint16), lengths)[at]
+        pair = pair[at]
+        start = np.flatnonzero(np.diff(pair, prepend=-1))
+        doc[start] |= np.uint16(BEGINS)
+        word, context = pair[start] // len(contexts), pair[start] % len(contexts)
+        code, _ = _coded(book, contexts[by_id])
+        cut = np.searchsorted(bucket[order][word], np.arange(buckets + 1, dtype=np.uint64))
+        start = np.append(start, len(pair))
+        for b in np.flatnonzero(np.diff(cut)).tolist():
+            i, j = cut[b], cut[b + 1]
+            w, size = np.unique(word[i:j], return_counts=True)
+            codes = code[context[i:j]]
+            yield _row(MESSAGE, b, first, own[order[w]], size.astype(np.uint32), codes, contexts[by_id[context[i:j][codes == RARE]]], doc[start[i] : start[j]], None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            for r in zip(b["key"].to_pylist(), b["id"].to_pylist(), b["held"].to_pylist(), b["text"].cast(pa.binary()).to_pylist()):
+                if held and (size >= BYTES_HELD or len(held) >= DOCS_HELD or r[0] != held[-1][0] + 1):
+                    yield from emit(held)
+                    held, size = [], 0
+                held.append(r)
+                size += len(r[3] or b"")
+        if held:
+            yield from emit(held)
+
+    return run
+
+
+def _merged(sent):
+    """Messages sorted by bucket -> a row for each bucket: its words and their pairs once each, and where every pair occurs."""
+
+    def whole(bucket: int, rows: list[dict]) -> pa.RecordBatch:
+        meta = b"".join(r["meta"] or b"" for r in rows)
+        rows = [r for r in rows if r["h"] is not None]
+        get = lambda name, kind: np.frombuffer(b"".join(r[name] for r in rows), kind)
+        w, u = np.repeat(get("h", "<u8"), get("size", "<u4")), _decoded(sent.value, get("code", "<u2"), get("rare", "<u8"))
+        at = np.lexsort((u, w))
+        new = np.ones(len(at), bool)
+        new[1:] = (w[at[1:]] != w[at[:-1]]) | (u[at[1:]] != u[at[:-1]])
+        pair = np.empty(len(at), np.int64)
+        pair[at] = np.cumsum(new) - 1
+        docs = get("docs", "<u2")
+        c = np.bincount(pair[np.cumsum(docs & BEGINS > 0) - 1], docs < HELD, int(new.sum())).astype(np.int64)
+        h, size = np.unique(w[at[new]], return_counts=True)
+        nw = np.add.reduceat(c, np.append(0, np.cumsum(size)[:-1])) if len(h) else c
+        code, rare = _coded(sent.value, u[at[new]])
+        entries = np.array([len(r["code"]) // 2 for r in rows], np.uint32)
+        first = np.array([r["first"] for r in rows], np.int64)
+        delta = np.diff(pair, prepend=0).astype(np.int32)
+        return _row(MERGED, bucket, h, nw, size.astype(np.uint32), code, rare, np.minimum(c, 0xFFFFFFFF).astype(np.uint32), first, entries, delta, docs, meta)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, rows = None, []
+        for b in batches:
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                if rows and r["bucket"] != bucket:
+                    yield whole(bucket, rows)
+                    rows = []
+                bucket = r["bucket"]
+                rows.append(r)
+        if rows:
+            yield whole(bucket, rows)
+
+    return run
+
+
+def _dealt(df: DataFrame, name: str, tasks: int) -> DataFrame:
+    """df kept as a table of the shared folder that is dealt by bucket, so that its joins by bucket move no rows of it."""
+    spark = df.sparkSession
+    own = f"{name}_{uuid.uuid4().hex}"
+    path = f"{use_shared_dir(spark).rstrip('/')}/{own}"
+    df.write.bucketBy(tasks, "bucket").option("path", path).option("compression", "zstd").saveAsTable(own)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)  # it is of use to this application alone
+    return spark.table(own)
+
+
+class Bucket:
+    """A bucket's words (numbers h, customers nw) and their pairs: word, context, customers; the pairs of several customers; the (word, class) pairs."""
+
+    def __init__(self, r: dict, book: np.ndarray):
+        get = lambda name, kind: np.frombuffer(r[name], kind)
+        self.h, self.nw = get("h", "<u8"), get("nw", "<i8")
+        self.code = get("code", "<u2")
+        self.u = _decoded(book, self.code, get("rare", "<u8"))
+        self.c = get("c", "<u4").astype(np.int64)
+        self.owner = np.repeat(np.arange(len(self.h)), get("size", "<u4"))
+        dish = self.owner * CONTEXTS + (self.u & np.uint64(CONTEXTS - 1)).astype(np.int64)
+        seen = np.flatnonzero(self.c)
+        known, at = np.unique(dish[seen], return_inverse=True)
+        self.wc_word, self.wc_cls = known // CONTEXTS, known % CONTEXTS
+        self.wc = np.full(len(dish), -1, np.int64)
+        self.wc[seen] = at
+        if len(known):  # also for pairs that were not seen, if another word of the class was
+            near = np.minimum(np.searchsorted(known, dish), len(known) - 1)
+            self.wc = np.where(known[near] == dish, near, -1)
+        self.cls = dish % CONTEXTS
+        self.several = np.flatnonzero(self.c > 1)
+        self.singles = np.bincount(self.wc[self.c == 1], minlength=len(known)).astype(float)
+
+    def customers(self, t: np.ndarray) -> np.ndarray:
+        """Customers of the (word, class) pairs: the tables of the class's words."""
+        return self.singles + np.bincount(self.wc[self.several], t, len(self.singles))
+
+    def excess(self, t: np.ndarray) -> np.ndarray:
+        """Customers beyond one for each table, by pair: what a context's tables are fewer than its customers."""
+        out = np.zeros(len(self.c))
+        out[self.several] = self.c[self.several] - t
+        return out
+
+
+STATE = "bucket int, t binary, ct binary, t0 binary, code binary, code_e binary, rare binary, rare_e binary, sums binary"
+
+
+def _state_row(bucket: int, b: Bucket, t: np.ndarray, ct: np.ndarray, t0: np.ndarray, more: list) -> pa.RecordBatch:
+    """Tables after all sweeps so far (a row of t, ct and t0 for each), and the last sweep's sums for the others."""
+    e, some = b.excess(t[-1]), b.several
+    code, at = np.unique(b.code[some], return_inverse=True)
+    code_e = np.bincount(at, e[some], len(code))
+    rest = some[b.code[some] == RARE]
+    rare, at = np.unique(b.u[rest], return_inverse=True)
+    sums = np.concatenate((np.bincount(b.wc_cls, b.customers(t[-1]), CONTEXTS), np.bincount(b.wc_cls, ct[-1], CONTEXTS), [t0[-1].sum()], more))
+    return _row(STATE, bucket, t.astype(np.uint32), ct.astype(np.uint32), t0.astype(np.uint32), code, code_e, rare, np.bincount(at, e[rest], len(rare)), sums)
+
+
+class Levels:
+    """What all words share: discounts, customers of the coded contexts, and the totals after each sweep so far."""
+
+    def __init__(self, customers: np.ndarray, discounts: tuple[float, float, float], known: int, tokens: int):
+        self.customers, (self.d, self.class_d, self.root_d), self.known, self.tokens = customers, discounts, known, tokens
+        self.excess, self.class_customers, self.class_tables, self.root_tables = [], [], [], []
+
+    def add(self, excess: np.ndarray, sums: np.ndarray) -> None:
+        self.excess.append(excess)
+        self.class_customers.append(sums[:CONTEXTS])
+        self.class_tables.append(sums[CONTEXTS : 2 * CONTEXTS])
+        self.root_tables.append(float(sums[2 * CONTEXTS]))
+
+    def base(self, n: np.ndarray) -> np.ndarray:
+        return np.log10((n + 0.5) / (self.tokens + 0.5 * (self.known + 1)))
+
+    def even(self) -> float:
+        """The base measure of a known word."""
+        return (1 - UNSEEN_SHARE) / max(1, self.known)
+
+    def root(self, nw: np.ndarray, c0: np.ndarray, t0: np.ndarray, s: int) -> np.ndarray:
+        """The root's probabilities: of words never seen together where nw is 0."""
+        base = np.where(nw > 0, self.even(), UNSEEN_SHARE)
+        return (c0 - self.root_d * t0 + (ROOT_STRENGTH + self.root_d * self.root_tables[s]) * base) / (ROOT_STRENGTH + self.class_tables[s].sum())
+
+    def class_back_off(self, s: int) -> np.ndarray:
+        return (STRENGTH + self.class_d * self.class_tables[s]) / (STRENGTH + self.class_customers[s])
+
+    def classes(self, b: Bucket, cc: np.ndarray, ct: np.ndarray, root: np.ndarray, s: int) -> np.ndarray:
+        """The classes' probabilities of the bucket's (word, class) pairs."""
+        return (cc - self.class_d * ct) / (STRENGTH + self.class_customers[s][b.wc_cls]) + self.class_back_off(s)[b.wc_cls] * root[b.wc_word]
+
+
+def _tables_of(r: dict, b: Bucket, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tables of pairs, (word, class) pairs and words: a row for the beginning and each sweep."""
+    t, ct, t0 = (np.frombuffer(r[k], "<u4").astype(float).reshape(rows, n) for k, n in (("t", len(b.several)), ("ct", len(b.wc_word)), ("t0", len(b.h))))
+    return t, ct, t0
+
+
+def _part(u: np.ndarray, parts: int) -> np.ndarray:
+    """Where the totals of contexts are summed."""
+    return (u >> np.uint64(20)) % np.uint64(parts)
+
+
+def _looked_up(r: dict, u: np.ndarray, width: int, parts: int) -> np.ndarray:
+    """The totals that were sent to the bucket for contexts without a code; u names all that it asked for."""
+    if not len(u):
+        return np.zeros((width, 0))
+    ids, at = np.unique(u, return_inverse=True)
+    out = np.empty((width, len(ids)))
+    out[:, np.argsort(_part(ids, parts), kind="stable")] = np.hstack([np.frombuffer(x["totals"], "<u4").reshape(width, -1) for x in r["told"]])
+    return out[:, at]
+
+
+def _seated(b: Bucket, levels: Levels, t: np.ndarray, ct: np.ndarray, t0: np.ndarray, of_context: np.ndarray, s: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One sweep over a bucket; of_context has the tables of the contexts of its pairs of several customers."""
+    c0 = np.bincount(b.wc_word, ct, len(b.h))
+    root = levels.root(b.nw, c0, t0, s)
+    p = levels.classes(b, b.customers(t), ct, root, s)
+    some = b.several
+    open_ = STRENGTH + levels.d * np.maximum(0, of_context - t)
+    with np.errstate(over="ignore"):
+        t = draw_tables(b.c[some].astype(float), open_, p[b.wc[some]], levels.d, log_stirling(levels.d), b.h[b.owner[some]], b.u[some] + np.uint64(1 << 32), s)
+    cc = b.customers(t)
+    open_ = STRENGTH + levels.class_d * np.maximum(0, levels.class_tables[s][b.wc_cls] - ct)
+    ct = draw_tables(cc, open_, root[b.wc_word], levels.class_d, log_stirling(levels.class_d), b.h[b.wc_word], b.wc_cls, s)
+    known = np.flatnonzero(b.nw)
+    c0 = np.bincount(b.wc_word, ct, len(b.h))[known]
+    new = np.zeros(len(b.h))
+    new[known] = draw_tables(c0, np.full(len(known), ROOT_STRENGTH + levels.root_d * max(0.0, levels.root_tables[s] - 1)), np.full(len(known), levels.even()), levels.root_d, log_stirling(levels.root_d), b.h[known], CONTEXTS, s)
+    return t, ct, new
+
+
+def _each(make):
+    """Rows one by one, so that no more than one bucket is unpacked at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                yield from make(b.slice(i, 1).to_pylist()[0])
+
+    return run
+
+
+ASKS = "part int, bucket int, u binary, x binary"
+
+
+def _asks(bucket: int, u: np.ndarray, x: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """For each part a row with its contexts among u (ascending), and what the bucket adds to their totals."""
+    part = _part(u, parts)
+    order = np.argsort(part, kind="stable")
+    which, start = np.unique(part[order], return_index=True)
+    for k, at in zip(which.tolist(), np.split(order, start[1:])):
+        yield _row(ASKS, k, bucket, u[at], np.stack([v[at] for v in x]).astype(np.uint32))
+
+
+def _answers(asks: DataFrame, width: int, parts: int) -> DataFrame:
+    """asks -> (bucket, told): for each part the sums over all rows, in the order in which the bucket asked; bucket -1 only tells."""
+
+    def whole(part: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        ids = [np.frombuffer(r["u"], "<u8") for r in rows]
+        _, at = np.unique(np.concatenate(ids), return_inverse=True)
+        x = np.hstack([np.frombuffer(r["x"], "<u4").reshape(width, -1) for r in rows])
+        sums = np.stack([np.bincount(at, v) for v in x])
+        for r, own in zip(rows, np.split(at, np.cumsum([len(i) for i in ids])[:-1])):
+            if r["bucket"] >= 0:
+                yield _row("bucket int, part int, totals binary", r["bucket"], part, np.minimum(sums[:, own], 0xFFFFFFFF).astype(np.uint32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in groupby((r for b in batches for r in b.to_pylist()), key=lambda r: r["part"]):
+            yield from whole(part, list(rows))
+
+    summed = asks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, "bucket int, part int, totals binary")
+    return summed.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("part", "totals"))).alias("told"))
+
+
+def _sums(df: DataFrame, what) -> np.ndarray:
+    """The sum over tasks of the vectors that what(batch) gives, by slices."""
+    form = "i int, x binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if b.num_rows:
+                own = what(b)
+                total = own if total is None else total + own
+        for i in range(0, 0 if total is None else len(total), SLICE):
+            yield _row(form, i // SLICE, total[i : i + SLICE].astype(np.float64))
+
+    def added(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_row(form, group["i"][0].as_py(), np.sum([np.frombuffer(x) for x in group["x"].to_pylist()], axis=0))])
+
+    rows = sorted((r["i"], bytes(r["x"])) for r in df.mapInArrow(run, form).groupBy("i").applyInArrow(added, form).collect())
+    return np.frombuffer(b"".join(x for _, x in rows))
+
+
+PAIRS = ["bucket", "h", "nw", "size", "code", "rare", "c"]
+
+
+def _sample_words(merged: DataFrame, sent, tasks: int, most: int) -> tuple[Levels, DataFrame]:
+    """The totals after each sweep and the tables of all sweeps; a sweep is one job over the buckets."""
+    size = len(sent.value)
+
+    def begin(r: dict) -> Iterator[pa.RecordBatch]:
+        b = Bucket(r, sent.value)
+        ones, ct, t0 = (np.ones((1, len(x))) for x in (b.several, b.wc_word, b.h))
+        t0[0, b.nw == 0] = 0
+        cc, kinds = b.customers(ones[0]), np.bincount(b.wc_word, minlength=len(b.h))
+        look = [(b.nw > 0).sum(), b.nw.sum(), (b.c == 1).sum(), (b.c == 2).sum(), (cc == 1).sum(), (cc == 2).sum(), (kinds == 1).sum(), (kinds == 2).sum()]
+        yield _state_row(r["bucket"], b, ones, ct, t0, look)
+
+    def totals(b: pa.RecordBatch) -> np.ndarray:
+        parts = []
+        for code, e, sums in zip(b["code"].to_pylist(), b["code_e"].to_pylist(), b["sums"].to_pylist()):
+            known = np.frombuffer(code, "<u2") != RARE
+            parts.append(np.append(np.bincount(np.frombuffer(code, "<u2")[known], np.frombuffer(e, "<f8")[known], size), np.frombuffer(sums, "<f8")))
+        return np.sum(parts, axis=0)
+
+    def customers(b: pa.RecordBatch) -> np.ndarray:
+        parts = zip(b["code"].to_pylist(), b["c"].to_pylist())
+        return np.sum([np.bincount(np.minimum(np.frombuffer(code, "<u2"), size), np.frombuffer(c, "<u4"), size + 1)[:size] for code, c in parts], axis=0)
+
+    def told(r: dict) -> Iterator[pa.RecordBatch]:
+        h, n = np.frombuffer(r["h"], "<u8"), np.frombuffer(r["nw"], "<i8")
+        rest = (n > 1) & (_coded(sent.value, h)[0] == RARE)  # a word's customers as a context: something follows wherever it stands
+        yield from _asks(-1, h[rest], [n[rest], np.zeros(rest.sum())], tasks)
+
+    def asked(r: dict) -> Iterator[pa.RecordBatch]:
+        u = np.frombuffer(r["rare"], "<u8")
+        yield from _asks(r["bucket"], u, [np.zeros(len(u)), np.frombuffer(r["rare_e"], "<f8")], tasks)
+
+    state = _dealt(merged.select(PAIRS).mapInArrow(_each(begin), STATE), "pitman_yor_state", tasks)
+    n, levels = _sums(merged.select("code", "c"), customers), None
+    for s in range(most + 1):
+        now = _sums(state.select("code", "code_e", "sums"), totals)
+        if levels is None:
+            look = now[-8:] if len(now) else np.zeros(8)
+            levels = Levels(n, tuple(_discount(*look[i : i + 2]) for i in (2, 4, 6)), int(look[0]), int(look[1]))
+        if not levels.known:
+            break
+        levels.add(now[:size], now[size:])
+        if s == most:
+            break
+
+        def sweep(r: dict, s: int = s) -> Iterator[pa.RecordBatch]:
+            b = Bucket(r, sent.value)
+            t, ct, t0 = _tables_of(r, b, s + 1)
+            some, code = b.several, b.code[b.several]
+            of_context = np.empty(len(some))
+            known = code != RARE
+            of_context[known] = (levels.customers - levels.excess[s])[code[known]]
+            x = _looked_up(r, b.u[some[~known]], 2, tasks)
+            of_context[~known] = x[0] - x[1]
+            new = _seated(b, levels, t[-1], ct[-1], t0[-1], of_context, s)
+            yield _state_row(r["bucket"], b, *(np.vstack((x, y)) for x, y in zip((t, ct, t0), new)), [])
+
+        asks = state.select("bucket", "rare", "rare_e").mapInArrow(_each(asked), ASKS).union(merged.select("h", "nw").mapInArrow(_each(told), ASKS))
+        joined = merged.select(PAIRS).join(state.select("bucket", "t", "ct", "t0"), "bucket").join(_answers(asks, 2, tasks), "bucket", "left")
+        state = _dealt(joined.mapInArrow(_each(sweep), STATE), "pitman_yor_state", tasks)
+    return levels, state
+
+
+def _predicted(b: Bucket, levels: Levels, tables: tuple, customers: np.ndarray, of_context: np.ndarray, first: int) -> np.ndarray:
+    """Averaged probabilities of a bucket's pairs; of_context has the tables of their contexts, by sample."""
+    total = np.zeros(len(b.c))
+    for i, s in enumerate(range(first, len(levels.root_tables))):
+        t, ct, t0 = (x[s] for x in tables)
+        root = levels.root(b.nw, np.bincount(b.wc_word, ct, len(b.h)), t0, s)
+        p = levels.class_back_off(s)[b.cls] * root[b.owner]
+        have = b.wc >= 0
+        p[have] = levels.classes(b, b.customers(t), ct, root, s)[b.wc[have]]
+        own = np.where(b.c > 0, b.c - levels.d * (b.c - b.excess(t)), 0)  # customers less the discount of each table
+        total += (own + (STRENGTH + levels.d * of_context[i]) * p) / (STRENGTH + customers)
+    return total / max(1, len(levels.root_tables) - first)
+
+
+SUMMED = "key long, id long, held boolean, n_tokens long, n_known long, base double, score double"
+
+
+def _probabilities(r: dict, sent, levels: Levels, parts: int) -> tuple[Bucket, np.ndarray]:
+    """A bucket with its tables and the totals that it asked for -> the probabilities of its pairs."""
+    b, samples = Bucket(r, sent.value), range(BURN_IN + 1, len(levels.root_tables))
+    if not levels.known:  # nothing was learned: all is unseen
+        return b, np.ones(len(b.c))
+    coded = b.code != RARE
+    code = b.code[coded]
+    customers, of_context = np.empty(len(b.c)), np.empty((len(samples), len(b.c)))
+    x = _looked_up(r, b.u[~coded], len(samples) + 1, parts)
+    customers[coded], customers[~coded] = levels.customers[code], x[0]
+    for i, s in enumerate(samples):
+        of_context[i, coded] = levels.customers[code] - levels.excess[s][code]
+        of_context[i, ~coded] = x[0] - x[i + 1]
+    return b, _predicted(b, levels, _tables_of(r, b, len(levels.root_tables)), customers, of_context, samples.start)
+
+
+def _score_buckets(sent, levels: Levels, parts: int):
+    """Buckets with tables and totals -> sums by document over the words of a task, and a row for each document."""
+
+    def sums(r: dict) -> Iterator[tuple[np.ndarray, ...]]:
+        get = lambda name, kind: np.frombuffer(r[name], kind)
+        b, p = _probabilities(r, sent, levels, parts)
+        known, base, logs = (b.nw > 0)[b.owner], levels.base(b.nw)[b.owner], np.log10(p)
+        pair, docs = np.cumsum(get("delta", "<i4"), dtype=np.int64), get("docs", "<u2")
+        start = np.append(np.flatnonzero(docs & BEGINS), len(docs))
+        message = np.append(0, np.cumsum(get("entries", "<u4"), dtype=np.int64))
+        for key, (i, j) in zip(get("first", "<i8").tolist(), pairwise(message.tolist())):
+            own, n = docs[start[i] : start[j]] & DOC_MASK, np.repeat(pair[i:j], np.diff(start[i : j + 1]))
+            have = np.bincount(own)
+            at = np.flatnonzero(have)
+            yield key + at, *(np.bincount(own, x[n])[at] for x in (known, base, logs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        names = [x.split()[0] for x in SUMMED.split(", ")]
+
+        def flush() -> pa.RecordBatch:
+            keys, known, base, score = (np.concatenate(x) for x in zip(*held))
+            keys, at = np.unique(keys, return_inverse=True)
+            known, base, score = (np.bincount(at, x) for x in (known, base, score))
+            none = lambda kind: pa.nulls(len(keys), kind)
+            return pa.record_batch([pa.array(keys), none(pa.int64()), none(pa.bool_()), none(pa.int64()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names)
+
+        for b in batches:
+            for k in range(b.num_rows):
+                r = b.slice(k, 1).to_pylist()[0]
+                m = np.frombuffer(r["meta"], _META)
+                zero = np.zeros(len(m))
+                yield pa.record_batch([pa.array(m["key"]), pa.array(m["id"], mask=~m["valid"]), pa.array(m["held"]), pa.array(m["n"]), pa.array(zero.astype(np.int64)), pa.array(zero), pa.array(zero)], names)
+                for part in sums(r):
+                    held.append(part)
+                    size += len(part[0])
+                    if size >= 1_000_000:
+                        yield flush()
+                        held, size = [], 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _model(documents: DataFrame, frequent: int, held: Column) -> tuple[DataFrame, Levels, object, int]:
+    """Buckets with all that the probabilities of their pairs need (lazy), what all words share, the code book as sent, and the number of parts."""
+    text_bytes = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(2, -(-text_bytes // (BUCKET_BYTES * TOGETHER)))
+    sent = documents.sparkSession.sparkContext.broadcast(code_book(documents, frequent))
+    rows = documents.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("id"), held.alias("held"), "text")
+    messages = rows.mapInArrow(_messages(sent, tasks * TOGETHER), MESSAGE)
+    merged = _dealt(messages.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_merged(sent), MERGED), "pitman_yor_pairs", tasks)
+    levels, state = _sample_words(merged, sent, tasks, BURN_IN + SAMPLES)
+
+    def asked(r: dict) -> Iterator[pa.RecordBatch]:
+        b = Bucket(r, sent.value)
+        rest = np.flatnonzero(b.code == RARE)
+        u, at = np.unique(b.u[rest], return_inverse=True)
+        tables, _, _ = _tables_of(r, b, len(levels.root_tables))
+        yield from _asks(r["bucket"], u, [np.bincount(at, x[rest], len(u)) for x in (b.c, *(b.excess(t) for t in tables[BURN_IN + 1 :]))], tasks)
+
+    tables = state.select("bucket", "t", "ct", "t0")
+    joined = merged.join(tables, "bucket")
+    if levels.known:
+        asks = merged.select(PAIRS).join(tables, "bucket").mapInArrow(_each(asked), ASKS)
+        joined = joined.join(_answers(asks, SAMPLES + 1, tasks), "bucket", "left")
+    return joined, levels, sent, tasks
+
+
+def score(documents: DataFrame, frequent: int = FREQUENT, held: Column | None = None) -> DataFrame:
+    """documents(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), learned from the rows that are not held out.
+
+    frequent bounds the contexts whose totals are broadcast; it changes no result.
+    """
+    joined, levels, sent, parts = _model(documents, frequent, held_out(F.col("doc_id")) if held is None else held)
+    sums = joined.mapInArrow(_score_buckets(sent, levels, parts), SUMMED)
+    out = sums.groupBy("key").agg(F.max("id").alias("doc_id"), F.max("held").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.lit(levels.tokens).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
+    return out.drop("key")
+
+
 def perplexity(scored: DataFrame) -> DataFrame:
     """One row for held-out and one for training texts: tokens and the perplexities of model and base."""
     ppl = lambda c: F.pow(F.lit(10.0), -F.sum(c) / F.sum("n_tokens"))

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import pitman_yor as p
 
@@ -115,3 +116,39 @@ def test_perplexity(spark):
     scored = spark.createDataFrame([(True, 10, -20.0, -10.0), (False, 5, -5.0, -5.0)], "held_out boolean, n_tokens long, base_score double, score double")
     out = {r["held_out"]: (r["perplexity"], r["base_perplexity"]) for r in p.perplexity(scored).collect()}
     assert out[True] == (pytest.approx(10), pytest.approx(100))
+
+
+def test_words_of_one_class_are_contexts_of_their_own(spark):
+    # "xbag" and "ybag" end alike, so that classes alone cannot tell what follows them
+    texts = ["xbag one", "ybag two"] * 40
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, "xbag one"), (101, "xbag two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    (a, b) = p.context_classes([b"xbag", b"ybag"])
+    assert a == b
+    got = lambda f: {r["doc_id"]: r["score"] for r in f(df, held=F.col("doc_id") >= 100).collect()}
+    by_words, by_classes = got(p.score), got(p.score_by_classes)
+    assert by_words[100] > by_words[101] + 0.5
+    assert by_classes[100] == pytest.approx(by_classes[101], abs=0.2)
+
+
+@pytest.mark.parametrize("frequent", [p.FREQUENT, 2])
+def test_word_probabilities_add_up(spark, monkeypatch, frequent):
+    """Known words and all unseen ones together have a probability of one after every word, after new ones and at the start; counts are plain ones."""
+    monkeypatch.setattr(p, "BUCKET_BYTES", 8)
+    texts = ["a b a c a b", "b b a a c", "c d e f a a a", "A b", None] * 3
+    known, contexts = ["", *"abcdef", "never"], ["", *"abcdef", "new"]  # an empty word ends a text, an empty context begins it
+    asked = [f"{c} {w}" for c in contexts for w in known]
+    df = spark.createDataFrame(list(enumerate(texts + asked)), "doc_id long, text string")
+    joined, levels, sent, parts = p._model(df, frequent, F.col("doc_id") >= len(texts))
+    got, counts = {}, {}
+    for r in joined.collect():
+        b, probability = p._probabilities(r.asDict(recursive=True), sent, levels, parts)
+        pairs = list(zip(b.u.tolist(), b.h[b.owner].tolist()))
+        got |= dict(zip(pairs, probability.tolist()))
+        counts |= dict(zip(pairs, b.c.tolist()))
+    number = dict(zip(["", *"abcdef", "never", "new"], p.word_ids([w.encode() for w in ["", *"abcdef", "never", "new"]]).tolist()))
+    for c in contexts:
+        u = number[c] if c else 0
+        assert sum(got[u, number[w]] for w in known) == pytest.approx(1, abs=1e-9)
+    plain = Counter((a, b) for t in texts for a, b in itertools.pairwise([None, *words(t)]))
+    assert {k: n for k, n in counts.items() if n} == {(number[a.decode()] if a is not None else 0, number[b.decode()]): n for (a, b), n in plain.items()}
