@@ -61,13 +61,13 @@ _VALUE = np.dtype([("ctx", "u1"), ("p", "<f4")])
 #: Words whose totals are broadcast, at most (a code is two bytes), and the code of all other words.
 CODES, RARE = 65_534, 0xFFFF
 #: Bytes of text to a bucket of words, about; buckets to a task.
-BUCKET_BYTES, TOGETHER = 2_000_000, 4
+BUCKET_BYTES, TOGETHER = 4_000_000, 2
 #: An occurrence is two bytes: which of the documents that a task holds, whether it begins a pair's list, whether the document is held out.
 DOCS_HELD = DOC_MASK = 0x3FFF
 BEGINS, HELD = 0x4000, 0x8000
 #: Numbers of a vector that are summed over tasks together.
 SLICE = 1024
-_META = np.dtype([("key", "<i8"), ("id", "<i8"), ("valid", "?"), ("held", "?"), ("n", "<i8")])
+_META = np.dtype([("first", "<i8"), ("id", "<i8"), ("valid", "?"), ("held", "?"), ("n", "<i8")])
 
 
 # tokens and contexts
@@ -553,10 +553,15 @@ MESSAGE = "bucket int, first long, h binary, size binary, code binary, rare bina
 MERGED = "bucket int, h binary, nw binary, size binary, code binary, rare binary, c binary, first binary, entries binary, delta binary, docs binary, meta binary"
 
 
-def _row(schema: str, *values) -> pa.RecordBatch:
+def _rows(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     names = [x.split() for x in schema.split(", ")]
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    return pa.record_batch([pa.array([v.tobytes() if isinstance(v, np.ndarray) else v], kinds[k]) for (_, k), v in zip(names, values)], [n for n, _ in names])
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.record_batch([pa.array([v.tobytes() if isinstance(v, np.ndarray) else v for v in c], kinds[k]) for (_, k), c in zip(names, columns)], [n for n, _ in names])
+
+
+def _row(schema: str, *values) -> pa.RecordBatch:
+    return _rows(schema, [values])
 
 
 def _messages(sent, buckets: int):
@@ -567,9 +572,9 @@ def _messages(sent, buckets: int):
         words, ids, _, lengths = numbered([r[3] for r in rows])
         held = np.array([r[2] for r in rows], bool)
         meta = np.zeros(len(rows), _META)
-        meta["key"], meta["held"], meta["n"] = first + np.arange(len(rows)), held, lengths
+        meta["first"], meta["held"], meta["n"] = first, held, lengths
         meta["id"], meta["valid"] = [r[1] or 0 for r in rows], [r[1] is not None for r in rows]
-        yield _row(MESSAGE, (first ^ first >> 33) % buckets, first, *[None] * 5, meta)
+        out = [((first ^ first >> 33) % buckets, first, *[None] * 5, meta)]
         own = word_ids(words)
         bucket = (own >> np.uint64(20)) % np.uint64(buckets)
         order = np.lexsort((own, bucket))
@@ -596,7 +601,8 @@ def _messages(sent, buckets: int):
             i, j = cut[b], cut[b + 1]
             w, size = np.unique(word[i:j], return_counts=True)
             codes = code[context[i:j]]
-            yield _row(MESSAGE, b, first, own[order[w]], size.astype(np.uint32), codes, contexts[by_id[context[i:j][codes == RARE]]], doc[start[i] : start[j]], None)
+            out.append((b, first, own[order[w]], size.astype(np.uint32), codes, contexts[by_id[context[i:j][codes == RARE]]], doc[start[i] : start[j]], None))
+        yield _rows(MESSAGE, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -803,8 +809,7 @@ def _asks(bucket: int, u: np.ndarray, x: list[np.ndarray], parts: int) -> Iterat
     part = _part(u, parts)
     order = np.argsort(part, kind="stable")
     which, start = np.unique(part[order], return_index=True)
-    for k, at in zip(which.tolist(), np.split(order, start[1:])):
-        yield _row(ASKS, k, bucket, u[at], np.stack([v[at] for v in x]).astype(np.uint32))
+    yield _rows(ASKS, [(k, bucket, u[at], np.stack([v[at] for v in x]).astype(np.uint32)) for k, at in zip(which.tolist(), np.split(order, start[1:]))])
 
 
 def _answers(asks: DataFrame, width: int, parts: int) -> DataFrame:
@@ -815,9 +820,8 @@ def _answers(asks: DataFrame, width: int, parts: int) -> DataFrame:
         _, at = np.unique(np.concatenate(ids), return_inverse=True)
         x = np.hstack([np.frombuffer(r["x"], "<u4").reshape(width, -1) for r in rows])
         sums = np.stack([np.bincount(at, v) for v in x])
-        for r, own in zip(rows, np.split(at, np.cumsum([len(i) for i in ids])[:-1])):
-            if r["bucket"] >= 0:
-                yield _row("bucket int, part int, totals binary", r["bucket"], part, np.minimum(sums[:, own], 0xFFFFFFFF).astype(np.uint32))
+        own = zip(rows, np.split(at, np.cumsum([len(i) for i in ids])[:-1]))
+        yield _rows("bucket int, part int, totals binary", [(r["bucket"], part, np.minimum(sums[:, i], 0xFFFFFFFF).astype(np.uint32)) for r, i in own if r["bucket"] >= 0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in groupby((r for b in batches for r in b.to_pylist()), key=lambda r: r["part"]):
@@ -850,7 +854,7 @@ def _sums(df: DataFrame, what) -> np.ndarray:
 PAIRS = ["bucket", "h", "nw", "size", "code", "rare", "c"]
 
 
-def _sample_words(merged: DataFrame, sent, tasks: int, most: int) -> tuple[Levels, DataFrame]:
+def _sample_words(merged: DataFrame, sent, tasks: int, parts: int, most: int) -> tuple[Levels, DataFrame]:
     """The totals after each sweep and the tables of all sweeps; a sweep is one job over the buckets."""
     size = len(sent.value)
 
@@ -876,11 +880,11 @@ def _sample_words(merged: DataFrame, sent, tasks: int, most: int) -> tuple[Level
     def told(r: dict) -> Iterator[pa.RecordBatch]:
         h, n = np.frombuffer(r["h"], "<u8"), np.frombuffer(r["nw"], "<i8")
         rest = (n > 1) & (_coded(sent.value, h)[0] == RARE)  # a word's customers as a context: something follows wherever it stands
-        yield from _asks(-1, h[rest], [n[rest], np.zeros(rest.sum())], tasks)
+        yield from _asks(-1, h[rest], [n[rest], np.zeros(rest.sum())], parts)
 
     def asked(r: dict) -> Iterator[pa.RecordBatch]:
         u = np.frombuffer(r["rare"], "<u8")
-        yield from _asks(r["bucket"], u, [np.zeros(len(u)), np.frombuffer(r["rare_e"], "<f8")], tasks)
+        yield from _asks(r["bucket"], u, [np.zeros(len(u)), np.frombuffer(r["rare_e"], "<f8")], parts)
 
     state = _dealt(merged.select(PAIRS).mapInArrow(_each(begin), STATE), "pitman_yor_state", tasks)
     n, levels = _sums(merged.select("code", "c"), customers), None
@@ -902,13 +906,13 @@ def _sample_words(merged: DataFrame, sent, tasks: int, most: int) -> tuple[Level
             of_context = np.empty(len(some))
             known = code != RARE
             of_context[known] = (levels.customers - levels.excess[s])[code[known]]
-            x = _looked_up(r, b.u[some[~known]], 2, tasks)
+            x = _looked_up(r, b.u[some[~known]], 2, parts)
             of_context[~known] = x[0] - x[1]
             new = _seated(b, levels, t[-1], ct[-1], t0[-1], of_context, s)
             yield _state_row(r["bucket"], b, *(np.vstack((x, y)) for x, y in zip((t, ct, t0), new)), [])
 
         asks = state.select("bucket", "rare", "rare_e").mapInArrow(_each(asked), ASKS).union(merged.select("h", "nw").mapInArrow(_each(told), ASKS))
-        joined = merged.select(PAIRS).join(state.select("bucket", "t", "ct", "t0"), "bucket").join(_answers(asks, 2, tasks), "bucket", "left")
+        joined = merged.select(PAIRS).join(state.select("bucket", "t", "ct", "t0"), "bucket").join(_answers(asks, 2, parts), "bucket", "left")
         state = _dealt(joined.mapInArrow(_each(sweep), STATE), "pitman_yor_state", tasks)
     return levels, state
 
@@ -927,7 +931,8 @@ def _predicted(b: Bucket, levels: Levels, tables: tuple, customers: np.ndarray,
     return total / max(1, len(levels.root_tables) - first)
 
 
-SUMMED = "key long, id long, held boolean, n_tokens long, n_known long, base double, score double"
+SUMMED = "first long, meta binary, sums binary"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _probabilities(r: dict, sent, levels: Levels, parts: int) -> tuple[Bucket, np.ndarray]:
@@ -947,7 +952,7 @@ def _probabilities(r: dict, sent, levels: Levels, parts: int) -> tuple[Bucket, n
 
 
 def _score_buckets(sent, levels: Levels, parts: int):
-    """Buckets with tables and totals -> sums by document over the words of a task, and a row for each document."""
+    """Buckets with tables and totals -> for the documents that a task of `_messages` held together: sums over the words of a task, and once who they are."""
 
     def sums(r: dict) -> Iterator[tuple[np.ndarray, ...]]:
         get = lambda name, kind: np.frombuffer(r[name], kind)
@@ -958,39 +963,52 @@ def _score_buckets(sent, levels: Levels, parts: int):
         message = np.append(0, np.cumsum(get("entries", "<u4"), dtype=np.int64))
         for key, (i, j) in zip(get("first", "<i8").tolist(), pairwise(message.tolist())):
             own, n = docs[start[i] : start[j]] & DOC_MASK, np.repeat(pair[i:j], np.diff(start[i : j + 1]))
-            have = np.bincount(own)
-            at = np.flatnonzero(have)
-            yield key + at, *(np.bincount(own, x[n])[at] for x in (known, base, logs))
+            yield key, np.stack([np.bincount(own, x[n]) for x in (known, base, logs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        names = [x.split()[0] for x in SUMMED.split(", ")]
-
-        def flush() -> pa.RecordBatch:
-            keys, known, base, score = (np.concatenate(x) for x in zip(*held))
-            keys, at = np.unique(keys, return_inverse=True)
-            known, base, score = (np.bincount(at, x) for x in (known, base, score))
-            none = lambda kind: pa.nulls(len(keys), kind)
-            return pa.record_batch([pa.array(keys), none(pa.int64()), none(pa.bool_()), none(pa.int64()), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names)
-
+        held: dict[int, np.ndarray] = {}
+        size = 0
         for b in batches:
             for k in range(b.num_rows):
                 r = b.slice(k, 1).to_pylist()[0]
-                m = np.frombuffer(r["meta"], _META)
-                zero = np.zeros(len(m))
-                yield pa.record_batch([pa.array(m["key"]), pa.array(m["id"], mask=~m["valid"]), pa.array(m["held"]), pa.array(m["n"]), pa.array(zero.astype(np.int64)), pa.array(zero), pa.array(zero)], names)
-                for part in sums(r):
-                    held.append(part)
-                    size += len(part[0])
-                    if size >= 1_000_000:
-                        yield flush()
-                        held, size = [], 0
+                meta = np.frombuffer(r["meta"], _META)
+                for m in np.split(meta, np.flatnonzero(np.diff(meta["first"])) + 1) if len(meta) else []:
+                    yield _row(SUMMED, int(m["first"][0]), m, None)
+                for key, x in sums(r):
+                    before = held.get(key)
+                    size += x.shape[1]
+                    held[key] = x if before is None else _added(before, x)
+                if size >= 1_000_000:
+                    yield _rows(SUMMED, [(k, None, x) for k, x in held.items()])
+                    held, size = {}, 0
         if held:
-            yield flush()
+            yield _rows(SUMMED, [(k, None, x) for k, x in held.items()])
 
     return run
 
 
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two arrays of rows that may differ in length."""
+    if a.shape[1] < b.shape[1]:
+        a, b = b, a
+    a = a.copy()
+    a[:, : b.shape[1]] += b
+    return a
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums sorted by first -> a row for each document."""
+    names = [x.split()[0] for x in SCORED.split(", ")]
+    for _, rows in groupby((r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist()), key=lambda r: r["first"]):
+        meta, total = None, np.zeros((3, 0))
+        for r in rows:
+            if r["meta"] is not None:
+                meta = np.frombuffer(r["meta"], _META)
+            else:
+                total = _added(total, np.frombuffer(r["sums"], "<f8").reshape(3, -1))
+        yield pa.record_batch([pa.array(meta["id"], mask=~meta["valid"]), pa.array(meta["held"]), pa.array(meta["n"]), pa.array(np.rint(total[0]).astype(np.int64)), pa.array(total[1]), pa.array(total[2])], names)
+
+
 def _model(documents: DataFrame, frequent: int, held: Column) -> tuple[DataFrame, Levels, object, int]:
     """Buckets with all that the probabilities of their pairs need (lazy), what all words share, the code book as sent, and the number of parts."""
     text_bytes = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -999,21 +1017,21 @@ def _model(documents: DataFrame, frequent: int, held: Column) -> tuple[DataFrame
     rows = documents.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("id"), held.alias("held"), "text")
     messages = rows.mapInArrow(_messages(sent, tasks * TOGETHER), MESSAGE)
     merged = _dealt(messages.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(_merged(sent), MERGED), "pitman_yor_pairs", tasks)
-    levels, state = _sample_words(merged, sent, tasks, BURN_IN + SAMPLES)
+    levels, state = _sample_words(merged, sent, tasks, parts := -(-tasks // 4), BURN_IN + SAMPLES)
 
     def asked(r: dict) -> Iterator[pa.RecordBatch]:
         b = Bucket(r, sent.value)
         rest = np.flatnonzero(b.code == RARE)
         u, at = np.unique(b.u[rest], return_inverse=True)
         tables, _, _ = _tables_of(r, b, len(levels.root_tables))
-        yield from _asks(r["bucket"], u, [np.bincount(at, x[rest], len(u)) for x in (b.c, *(b.excess(t) for t in tables[BURN_IN + 1 :]))], tasks)
+        yield from _asks(r["bucket"], u, [np.bincount(at, x[rest], len(u)) for x in (b.c, *(b.excess(t) for t in tables[BURN_IN + 1 :]))], parts)
 
     tables = state.select("bucket", "t", "ct", "t0")
     joined = merged.join(tables, "bucket")
     if levels.known:
         asks = merged.select(PAIRS).join(tables, "bucket").mapInArrow(_each(asked), ASKS)
-        joined = joined.join(_answers(asks, SAMPLES + 1, tasks), "bucket", "left")
-    return joined, levels, sent, tasks
+        joined = joined.join(_answers(asks, SAMPLES + 1, parts), "bucket", "left")
+    return joined, levels, sent, parts
 
 
 def score(documents: DataFrame, frequent: int = FREQUENT, held: Column | None = None) -> DataFrame:
@@ -1023,8 +1041,8 @@ def score(documents: DataFrame, frequent: int = FREQUENT, held: Column | None =
     """
     joined, levels, sent, parts = _model(documents, frequent, held_out(F.col("doc_id")) if held is None else held)
     sums = joined.mapInArrow(_score_buckets(sent, levels, parts), SUMMED)
-    out = sums.groupBy("key").agg(F.max("id").alias("doc_id"), F.max("held").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.lit(levels.tokens).cast("long").alias("train_tokens"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
-    return out.drop("key")
+    out = sums.repartition(parts, "first").sortWithinPartitions("first").mapInArrow(_documents, SCORED)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(levels.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
