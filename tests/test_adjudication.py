@@ -130,3 +130,16 @@ def test_proposed_rejections_of_many_pages():
     """In proportion to the pages: a look through all members for each took hours."""
     ids = list(range(200_000))
     assert a.proposed_rejections(ids, {"rejected": [{"page_id": i, "reason": "x"} for i in reversed(ids)]}) == ids[::-1]
+
+
+def test_members_that_errors_are_repeated_for_come_in_pieces(spark):
+    """All rows that come of one row are held at once: 2,000 members with 2,000 errors of 35 characters were 140 MB, 10,000 ended the executor."""
+    ids = list(range(10**18, 10**18 + 2000))
+    given = [("a", ids, '{"proposer":[{"groups":[],"rejected":[]}],"critic":[{"approved":true,"challenges":[]}],"reviser":[{"groups":[],"rejected":[]}]}'), ("b", ids[:2], None)]
+    df = spark.createDataFrame(given, "cluster_id string, page_ids array<long>, answers string")
+    pieces = a.adjudicate_clusters(df, lambda e: F.struct(F.monotonically_increasing_id().alias("piece"), F.size(e).alias("n")))
+    counts = pieces.where("cluster_id = 'a'").groupBy("errors.piece", "errors.n").count().collect()
+    assert {r["n"] for r in counts} == {2000} and sum(r["count"] for r in counts) == 2000
+    assert max(r["count"] for r in counts) * 2000 * 35 <= 16_000_000
+    assert [(r["page_id"], r["assignment"]) for r in pieces.where("cluster_id = 'a'").orderBy("page_id").collect()] == [(i, "rejected") for i in ids]
+    assert pieces.where("cluster_id = 'b'").count() == 2
